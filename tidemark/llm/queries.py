@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing
+from tidemark.llm import bpe_codec, line_dedup, mixing, topk_taat, vptree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,32 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return vptree.nearest(rows, rows.where("vec_id % 50 = 0"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return warc.read_archives(warc.write_archives(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk_taat.top_k(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(_table(spark, sf_dir, "documents"))
 
@@ -33,12 +59,34 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM flagged GROUP BY doc_id"""
 
+#: Exact neighbours: what the recall of op4_nearest, which is approximate, is measured against.
+EXACT_NEAREST_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s
+QUALIFY rank <= 5"""
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s
+QUALIFY rank <= 5"""
+
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_mix_sources": op2_mix_sources,
+    "op4_nearest": op4_nearest,
+    "op7_warc": op7_warc,
+    "op9_top_k": op9_top_k,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE = {
     "op2_mix_sources": mixing.sql(),
+    "op9_top_k": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
