@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, line_dedup, mixing, topk_taat, vptree, warc
+from tidemark.llm import bpe_codec, line_dedup, mixing, ngram_join, topk_taat, vptree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return vptree.nearest(rows, rows.where("vec_id % 50 = 0"))
@@ -79,6 +83,7 @@ QUALIFY rank <= 5"""
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_mix_sources": op2_mix_sources,
+    "op3_ngram_join": op3_ngram_join,
     "op4_nearest": op4_nearest,
     "op7_warc": op7_warc,
     "op9_top_k": op9_top_k,
