@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, line_dedup, mixing, ngram_join, topk_taat, vptree, warc
+from tidemark.llm import bpe_codec, langid_hd, line_dedup, mixing, ngram_join, pii_feistel, token_fst, topk_taat, vptree, warc
+
+#: The key of the pseudonyms in the query; a deployment passes its own secret to the operator.
+DEMO_KEY = b"public demonstration key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +39,23 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(rows, rows.where("vec_id % 50 = 0"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_hd.identify(_table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_feistel.pseudonymise(_table(spark, sf_dir, "documents"), DEMO_KEY)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return warc.read_archives(warc.write_archives(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_fst.token_counts(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return topk_taat.top_k(rows, rows.where("vec_id % 50 = 0"))
@@ -85,7 +100,10 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_ngram_join": op3_ngram_join,
     "op4_nearest": op4_nearest,
+    "op5_language": op5_language,
+    "op6_pii": op6_pii,
     "op7_warc": op7_warc,
+    "op8_token_counts": op8_token_counts,
     "op9_top_k": op9_top_k,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -167,3 +167,20 @@ def lines(column: pa.Array):
     low = LOWER[data]
     h1, h2 = (segment_hashes(low, a, b, base).view(np.int64) for base in BASES)
     return row, number, h1, h2, points, starts, ends, data
+
+
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each character of valid UTF-8 begins, and its code point."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    b0 = data[lead]
+    cp = b0.astype(np.int32)
+    wide = np.flatnonzero(b0 >= 0x80)
+    if len(wide):
+        at, first = lead[wide], b0[wide].astype(np.int32)
+        padded = np.concatenate((data, np.zeros(3, np.uint8)))
+        c1, c2, c3 = (padded[at + k].astype(np.int32) & 0x3F for k in (1, 2, 3))
+        two = ((first & 0x1F) << 6) | c1
+        three = ((first & 0x0F) << 12) | (c1 << 6) | c2
+        four = ((first & 0x07) << 18) | (c1 << 12) | (c2 << 6) | c3
+        cp[wide] = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+    return lead, cp
