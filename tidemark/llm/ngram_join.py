@@ -8,7 +8,8 @@ passages that very many documents share out of prefixes.
 1. `_counts`: one pass over the texts counts tokens into 2^COUNTER_BITS counters (fixed size, so it may be broadcast).
 2. `_profiles`: a second pass gives each row its set's 128-bit key, size and prefix, written once. Rows with equal sets
    become one class (exact copies cost no comparison); classes with equal size and prefix become one group.
-3. The groups' prefix tokens are partitioned and sorted by token; a streaming pass keeps those of two groups or more.
+3. The groups' prefix tokens are partitioned and sorted by token; a streaming pass keeps those that some other group of
+   the token's run passes the size and position filters with.
 4. Star rounds: in each token's run, and each group, members are compared with an anchor of their own size band and of
    the band below (one or two candidates a row, whatever the run's length), and links are joined into components.
 5. Last round: group pairs that pass the size and position filters and are not of one component already are
@@ -34,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import scan
-from tidemark.llm.common import narrow, release, steps, written
+from tidemark.llm.common import dropped, narrow, release, steps, written
 from tidemark.llm.components import components
 
 COUNTER_BITS = 22
 CHUNK_BITS = 16
 FILTER_BITS = 24
 STAR_ROUNDS = 2
+#: Longer runs of a token are passed on whole.
+LONG_RUN = 1024
 U64 = scan.U64
 
 
@@ -124,24 +127,62 @@ def _explode(batches):
             yield pa.RecordBatch.from_arrays([pa.array(tokens), part.column("g").take(row), part.column("n").take(row), pa.array(pos.astype(np.int32))], names=["token", "g", "n", "pos"])
 
 
-def _shared(batches):
-    """Of a partition sorted by token, the rows whose token stands in two rows or more."""
-    held, given = None, False  # the last row so far: the next batch may bring its equal
-    for b in batches:
-        if not b.num_rows:
-            continue
+def _runs_by_size(starts: np.ndarray, sizes: np.ndarray):
+    """Runs of equal length together, as rows of places."""
+    for k in np.unique(sizes).tolist():
+        if k > 1:
+            at = starts[sizes == k]
+            for lo in range(0, len(at), max(1, (1 << 18) // (k * k))):
+                yield at[lo : lo + max(1, (1 << 18) // (k * k)), None] + np.arange(k)
+
+
+def _shared(percent: int):
+    """Of a partition sorted by token, the rows that some other row of their run passes the filters with.
+
+    Runs of more than LONG_RUN rows are passed on whole, as they come; shorter ones are held until they end.
+    """
+
+    def feasible(rows: pa.RecordBatch, starts: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        n, pos = rows.column("n").to_numpy().astype(np.int64), rows.column("pos").to_numpy().astype(np.int64)
+        keep = np.zeros(rows.num_rows, dtype=bool)
+        for at in _runs_by_size(starts, sizes):
+            ok = possible(n[at][:, :, None], pos[at][:, :, None], n[at][:, None, :], pos[at][:, None, :], percent)
+            ok[:, np.arange(at.shape[1]), np.arange(at.shape[1])] = False
+            keep[at] = ok.any(axis=2)
+        return rows.filter(pa.array(keep))
+
+    def run(batches):
+        held, passing = None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if held is not None:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+                held = None
+            t = b.column("token").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+            sizes = np.diff(np.append(starts, len(t)))
+            if passing is not None and t[0] == passing:
+                yield b.slice(0, sizes[0])
+                if len(starts) == 1:
+                    continue
+                b, t = b.slice(sizes[0]), t[sizes[0] :]
+                starts, sizes = starts[1:] - sizes[0], sizes[1:]
+            last = int(starts[-1])
+            passing = t[-1] if len(t) - last > LONG_RUN else None
+            if passing is not None:
+                yield b.slice(last)
+            else:
+                held = b.slice(last)
+            whole = sizes[:-1]
+            for k in np.flatnonzero(whole > LONG_RUN).tolist():
+                yield b.slice(int(starts[k]), int(whole[k]))
+            small = whole <= LONG_RUN
+            yield feasible(b.slice(0, last), starts[:-1][small], whole[small])
         if held is not None:
-            b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-        t = b.column("token").to_numpy()
-        same = t[1:] == t[:-1]
-        keep = np.zeros(len(t), dtype=bool)
-        keep[:-1] |= same
-        keep[1:] |= same
-        last = bool(keep[-1])
-        if held is not None and given:
-            keep[0] = False
-        held, given = b.slice(len(t) - 1, 1), last
-        yield b.filter(pa.array(keep))
+            yield feasible(held, np.zeros(1, np.int64), np.array([held.num_rows]))
+
+    return run
 
 
 def least_overlap(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -339,19 +380,22 @@ class Join:
     def profiles(self) -> DataFrame:
         counts = self.spark.sparkContext.broadcast(_counts(self.docs, self.n))
         found = self.docs.mapInArrow(_profile(self.n, self.percent, counts), "doc long, k1 long, k2 long, n int, p1 long, p2 long, prefix binary")
-        return written(found.withColumn("row", F.monotonically_increasing_id()), "ngram-profiles")
+        return written(found.withColumn("row", F.monotonically_increasing_id()), "ngram-prefixes")
 
     def result(self) -> DataFrame:
         """doc, n_shingles, component_id, class_id (rows with one class_id have equal sets)."""
-        profiles = self.profiles()
+        prefixes = self.profiles()
+        profiles = written(prefixes.drop("prefix"), "ngram-profiles")
         sets = profiles.where("n > 0")
         classes = sets.groupBy("k1", "k2", "n", "p1", "p2").agg(F.min("row").alias("c"), F.min("doc").alias("doc"))
         classes = written(classes, "ngram-classes")
         groups = classes.groupBy("n", "p1", "p2").agg(F.min("c").alias("g"), F.count("*").alias("size"))
         groups = written(groups, "ngram-groups")
-        leaders = groups.select("g").join(sets.select("row", "n", "prefix"), F.col("g") == F.col("row")).select("g", "n", "prefix")
+        leaders = groups.select("g").join(prefixes.where("n > 0").select("row", "n", "prefix"), F.col("g") == F.col("row")).select("g", "n", "prefix")
         tokens = leaders.mapInArrow(_explode, "token long, g long, n int, pos int")
-        shared = written(tokens.repartition(self.parts, "token").sortWithinPartitions("token").mapInArrow(_shared, "token long, g long, n int, pos int"), "ngram-shared")
+        shared = written(tokens.repartition(self.parts, "token").sortWithinPartitions("token").mapInArrow(_shared(self.percent), "token long, g long, n int, pos int"), "ngram-shared")
+        dropped(prefixes)
+        del leaders, tokens
         release(self.spark)
         # groups of several classes: their members, by the leader
         members = written(classes.select("c", "n", "p1", "p2").join(groups.where("size > 1"), ["n", "p1", "p2"]).select("g", "c"), "ngram-members")
@@ -363,6 +407,7 @@ class Join:
         bits = self.spark.sparkContext.broadcast(_candidate_filter(keys.select("k1", "k2", "doc")))
         whole = self.docs.select(F.coalesce("doc", F.lit(0)).alias("doc"), "text").mapInArrow(_sets(self.n, bits), "k1 long, k2 long, doc long, set binary")
         self.whole = written(whole.join(keys, ["k1", "k2", "doc"]).select("c", "set"), "ngram-sets")
+        del whole
         release(self.spark)
 
         labels = None
