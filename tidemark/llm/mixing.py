@@ -110,18 +110,13 @@ def mix(docs: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), source_col: st
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The mix itself: each row of docs as often as it is emitted (rows not taken go)."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.withColumn("__mix_row", row)
-    taken = mix(marked, (id_col, "__mix_row"), source_col, text_col, **options)
-    # rows equal in every column share a key: number them on both sides, so that each finds its own emissions
-    copies = taken.groupBy(F.col(f"`{id_col}`").alias("__mix_id"), F.col("__mix_row").alias("__mix_key")).agg(F.sum("copies").alias("__mix_sum"), F.count("*").alias("__mix_rows"))
-    joined = marked.join(copies.where("__mix_sum > 0"), marked[f"`{id_col}`"].eqNullSafe(F.col("__mix_id")) & (F.col("__mix_row") == F.col("__mix_key")))
-    # q copies for each of the equal rows; what is left over goes to rows by a number among them
-    one = joined.where("__mix_rows = 1").withColumn("__mix_n", F.col("__mix_sum"))
-    w = Window.partitionBy("__mix_id", "__mix_key").orderBy(F.lit(1))
-    many = joined.where("__mix_rows > 1").withColumn("__mix_i", F.row_number().over(w))
-    many = many.withColumn("__mix_n", F.expr("__mix_sum div __mix_rows + if(__mix_i <= __mix_sum % __mix_rows, 1, 0)")).drop("__mix_i")
-    return one.unionByName(many).withColumn("__mix_copy", F.explode(F.expr("if(__mix_n > 0, sequence(1, cast(__mix_n as int)), array())"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = ["__mix1", "__mix2"]
+    marked = docs.withColumns({k: F.xxhash64(F.lit(i), *[F.col(f"`{c}`") for c in docs.columns]) for i, k in enumerate(keys)})
+    taken = mix(marked, (id_col, *keys), source_col, text_col, **options)
+    copies = taken.groupBy(*keys).agg(F.sum("copies").cast("int").alias("__mix_n")).where("__mix_n > 0")
+    # rows equal in every column are one row here, with the copies of all of them
+    one = marked.join(copies, keys).dropDuplicates(keys)
+    return one.withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_n)"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def sql(docs: str = "documents", seed: int = 7) -> str:

@@ -95,7 +95,7 @@ def set_key(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(scan.mix(scan.sums(scan.mix(h ^ U64(s)), at) + np.diff(at).astype(U64)).view(np.int64) for s in scan.STREAMS[1:3])
 
 
-def _profile(n: int, percent: int, counts):
+def _profile(n: int, percent: int, counts, tags: list[str]):
     def run(batches):
         freq = counts.value
         for whole in batches:
@@ -109,7 +109,7 @@ def _profile(n: int, percent: int, counts):
                 out = [ranked[a : a + k].tobytes() for a, k in zip(at[:-1].tolist(), p.tolist())]
                 inside = np.arange(len(ranked)) - np.repeat(at[:-1], size) < np.repeat(p, size)
                 p1, p2 = set_key(ranked[inside], np.concatenate(([0], np.cumsum(p))))
-                yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(k1), pa.array(k2), pa.array(size.astype(np.int32)), pa.array(p1), pa.array(p2), pa.array(out, pa.binary())], names=["doc", "k1", "k2", "n", "p1", "p2", "prefix"])
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc", *tags)], pa.array(k1), pa.array(k2), pa.array(size.astype(np.int32)), pa.array(p1), pa.array(p2), pa.array(out, pa.binary())], names=["doc", *tags, "k1", "k2", "n", "p1", "p2", "prefix"])
 
     return run
 
@@ -372,18 +372,21 @@ def _sets(n: int, bits):
 class Join:
     """The stages of one join; `result` gives a row for every input row."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, tags: list[str] | None = None):
+        """tags: long columns of docs that the result carries along."""
+        self.tags = {f"tag{i}": t for i, t in enumerate(tags or [])}
         self.spark, self.n, self.percent = docs.sparkSession, n, percent
-        self.docs = narrow(docs, doc=id_col, text=text_col).select(F.col("doc").cast("long").alias("doc"), "text")
+        self.docs = narrow(docs, doc=id_col, text=text_col, **self.tags).withColumn("doc", F.col("doc").cast("long"))
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def profiles(self) -> DataFrame:
         counts = self.spark.sparkContext.broadcast(_counts(self.docs, self.n))
-        found = self.docs.mapInArrow(_profile(self.n, self.percent, counts), "doc long, k1 long, k2 long, n int, p1 long, p2 long, prefix binary")
+        tags = "".join(f"{t} long, " for t in self.tags)
+        found = self.docs.mapInArrow(_profile(self.n, self.percent, counts, list(self.tags)), f"doc long, {tags}k1 long, k2 long, n int, p1 long, p2 long, prefix binary")
         return written(found.withColumn("row", F.monotonically_increasing_id()), "ngram-prefixes")
 
     def result(self) -> DataFrame:
-        """doc, n_shingles, component_id, class_id (rows with one class_id have equal sets)."""
+        """doc, n_shingles, component_id, root (one for each component), class_id (one for each set) and the tags."""
         prefixes = self.profiles()
         profiles = written(prefixes.drop("prefix"), "ngram-profiles")
         sets = profiles.where("n > 0")
@@ -419,10 +422,10 @@ class Join:
 
         c = classes.join(labels, F.col("c") == F.col("node"), "left").select("k1", "k2", "c", "doc", F.coalesce("root", "c").alias("root"))
         least = c.groupBy(F.col("root").alias("r")).agg(F.min("doc").alias("component_id"))
-        c = c.join(least, F.col("root") == F.col("r")).select(F.col("k1").alias("x1"), F.col("k2").alias("x2"), "c", "component_id")
-        rows = profiles.select("doc", "k1", "k2", "n")
+        c = c.join(least, F.col("root") == F.col("r")).select(F.col("k1").alias("x1"), F.col("k2").alias("x2"), "c", "root", "component_id")
+        rows = profiles.select("doc", *self.tags, "k1", "k2", "n")
         j = rows.join(c, (F.col("k1") == F.col("x1")) & (F.col("k2") == F.col("x2")) & (F.col("n") > 0), "left")
-        return j.select("doc", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"), F.col("c").alias("class_id"))
+        return j.select("doc", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"), "root", F.col("c").alias("class_id"), *[F.col(t).alias(name) for t, name in self.tags.items()])
 
     def _with_comp(self, rows: DataFrame, key: str, labels: DataFrame | None) -> DataFrame:
         if labels is None:
