@@ -1,7 +1,7 @@
 """A corpus pipeline over `documents`: five stages, each on all rows that the one before kept.
 
-language   rows without a letter (or without text), and rows whose score is below MIN_SCORE, go
-lines      repeated lines go, as line_dedup says; rows whose text is left without any word go
+language   rows that language identification rejects (`und`: no text, or no letter in it) go
+lines      repeated lines go from the texts, as line_dedup says; rows stay, if need be with an empty text
 near       one row of each group of near duplicates stays: the one with the smallest id
 mix        rows are emitted as often as the mix to target weights says (sources weigh 5, 2, 1, repeating)
 encode     byte-level BPE ids, and a digest of the ids decoded again
@@ -16,29 +16,28 @@ from tidemark.llm import bpe_codec, langid_hd, line_dedup, mixing, ngram_join
 from tidemark.llm.common import new_path
 from tidemark.llm.queries import vocabulary
 
-#: Texts in a trained language score far above; this rejects only what shares next to no letter sequence with any.
-MIN_SCORE = 0.05
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Trains on the labelled rows that aren't held out; rejects `und` and scores below MIN_SCORE. An unlabelled corpus
-    teaches nothing, so only rows without a letter go. Null text: goes. Repeated rows, null ids: judged each on its own."""
+    """Trains on the labelled rows that aren't held out; rejects `und`. A low score is no ground to reject: short clean
+    texts have one too. Where no row is labelled nothing is learned, and rows without a letter go all the same. Null
+    text: goes. Repeated rows, null ids: judged each on its own."""
     model = langid_hd.train(docs.where(F.col("doc_id").isNotNull() & ~langid_hd.is_held_out()))
     judged = langid_hd.with_language(docs.where("text is not null"), model)
     if model:
-        judged = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
+        judged = judged.where(F.col("lang_pred") != "und")
     else:
         judged = judged.where(F.regexp_like("text", F.lit("\\p{L}")))
     return judged.select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated lines out of the texts; n_chars follows the text. Texts left without a word go."""
+    """Takes repeated lines out of the texts; n_chars follows the text. All rows stay."""
     kept = line_dedup.apply_keep(docs)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.where(F.regexp_like("text", F.lit(mixing.WORD))).select(*docs.columns)
+    return kept.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
