@@ -12,7 +12,7 @@ passages that very many documents share out of prefixes.
    the token's run passes the size and position filters with.
 4. Star rounds: in each token's run, and each group, members are compared with an anchor of their own size band and of
    the band below (one or two candidates a row, whatever the run's length), and links are joined into components.
-5. Last round: group pairs that pass the size and position filters and are not of one component already are
+5. Last round: group pairs that pass the size, position and overlap filters and are not of one component already are
    expanded to their members, and those of different components are compared. No pair of different texts that could link
    is left out: it is either compared or joined already. In a family of near copies the stars join nearly all
    members, so all pairs within it are never made.
@@ -257,7 +257,7 @@ def _stars(percent: int):
 
 def _crossings(percent: int):
     """Of a partition sorted by token: all group pairs of a run that pass the filters and are not of one component
-    (mixed groups, component -1, are paired with all). Memory holds the run's rows; runs of one component are skipped."""
+    (mixed groups, component -1, are paired with all), with the room left after the token and the overlap needed. Memory holds the run's rows; runs of one component are skipped."""
     chunk = 1 << 20
 
     def pairs(rows):
@@ -276,8 +276,10 @@ def _crossings(percent: int):
             ok = ((comp[i] != comp[j]) | (comp[i] < 0)) & possible(n[i], pos[i], n[j], pos[j], percent)
             i, j = i[ok], j[ok]
             if len(i):
-                u = np.unique(np.column_stack((np.minimum(g[i], g[j]), np.maximum(g[i], g[j]))), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(u[:, 0]), pa.array(u[:, 1])], names=["ga", "gb"])
+                turn = g[i] > g[j]
+                a, b = np.where(turn, j, i), np.where(turn, i, j)
+                room = np.minimum(n[a] - pos[a], n[b] - pos[b]) - 1  # tokens that may still be shared after this one
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g[a], g[b], room, least_overlap(n[a], n[b], percent))], names=["ga", "gb", "room", "need"])
             at = to
 
     def run(batches):
@@ -435,9 +437,10 @@ class Join:
 
     def _star_pairs(self, shared: DataFrame, members: DataFrame, labels: DataFrame | None, r: int) -> DataFrame:
         size = F.floor(F.log("n") / F.log(F.lit(100 / self.percent)) + F.lit(1e-9)).cast("int")
-        mark = F.xxhash64("g") if r == 0 else F.xxhash64("g", "token", F.lit(r))
-        rows = self._with_comp(shared, "g", labels).select("token", "g", "n", "pos", "comp", size.alias("band"), mark.alias("mark"))
-        laid = rows.repartition(self.parts, "token").sortWithinPartitions("token", "band", "mark")
+        # the anchor: first the row with the fewest tokens rarer than this one, which an original has and its edited copies have not
+        mark = [F.col("pos"), F.xxhash64("g")] if r == 0 else [F.xxhash64("g", "token", F.lit(r))]
+        rows = self._with_comp(shared, "g", labels).select("token", "g", "n", "pos", "comp", size.alias("band"), *[m.alias(f"mark{i}") for i, m in enumerate(mark)])
+        laid = rows.repartition(self.parts, "token").sortWithinPartitions("token", "band", *[f"mark{i}" for i in range(len(mark))])
         pairs = laid.mapInArrow(_stars(self.percent), "a long, b long")
         if r == 0:
             pairs = pairs.unionByName(members.where("c <> g").select(F.col("c").alias("a"), F.col("g").alias("b")))
@@ -450,7 +453,10 @@ class Join:
         rows = self._with_comp(shared, "g", labels).join(mixed, F.col("g") == F.col("mg"), "left")
         rows = rows.select("token", "g", "n", "pos", F.when(F.col("mg").isNotNull(), F.lit(-1)).otherwise(F.col("comp")).alias("comp"))
         laid = rows.repartition(self.parts, "token").sortWithinPartitions("token")
-        gpairs = laid.mapInArrow(_crossings(self.percent), "ga long, gb long").distinct()
+        # a pair can share the tokens it was met at, and what room the last of them leaves
+        met = laid.mapInArrow(_crossings(self.percent), "ga long, gb long, room long, need long").groupBy("ga", "gb")
+        gpairs = met.agg(F.count("*").alias("met"), F.min("room").alias("room"), F.min("need").alias("need")).where("met + room >= need")
+        gpairs = written(gpairs.select("ga", "gb"), "ngram-crossings")
         # expand to members: those of mixed groups; of a group that is of one component every member may matter too
         every = mine.select("g", "c", "comp")
         one = self._with_comp(gpairs.select(F.col("ga").alias("g")).unionByName(gpairs.select(F.col("gb").alias("g"))).distinct().withColumn("c", F.col("g")), "c", labels).select("g", "c", "comp")
