@@ -1,6 +1,432 @@
-"""Named queries over the test tables and the DuckDB SQL that gives the same rows."""
+"""Named queries over the test tables and the DuckDB SQL that gives the same rows.
+
+The tables have no bank in them, so users or customers stand for accounts, events or orders for transactions, the event
+type for the country, and signup / error / other events for creates, deletes and updates.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions import checks, identity
+from tidemark.operators import fold, quality, rules
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events with its time as an instant."""
+    e = table(spark, sf_dir, "events")
+    return e.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def text_ts(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+def shown(alerts: DataFrame) -> DataFrame:
+    """Alerts with arrays and times as text, which hash alike everywhere."""
+    return alerts.select("rule", F.col("account_id").cast("long").alias("account_id"), F.array_join("evidence_keys", ",").alias("evidence"), text_ts("first_evidence_ts").alias("first_ts"), text_ts("last_source_commit_ts").alias("last_ts"))
+
+
+def _burst_sql(base: str, k: int, w: int, rule: str) -> str:
+    """base: account, item, ts"""
+    return f"""
+WITH t AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM ({base})),
+w AS (SELECT *, count(*) OVER (PARTITION BY account ORDER BY s RANGE BETWEEN CURRENT ROW AND {w} FOLLOWING) AS n FROM t),
+q AS (SELECT account, s, lag(s) OVER (PARTITION BY account ORDER BY s) AS p FROM w WHERE n >= {k}),
+b AS (SELECT DISTINCT account, s FROM q WHERE p IS NULL OR s - p > {w})
+SELECT '{rule}' AS rule, CAST(b.account AS BIGINT) AS account_id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY CAST(item AS VARCHAR)) AS evidence,
+  strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM b JOIN t ON t.account = b.account AND t.s BETWEEN b.s AND b.s + {w} GROUP BY b.account, b.s"""
+
+
+VELOCITY_SQL = _burst_sql("SELECT user_id AS account, event_id AS item, ts FROM events", 3, 21600, "card_velocity")
+TRAVEL_SQL = """
+SELECT 'impossible_travel' AS rule, user_id AS account_id, prev_id || ',' || event_id AS evidence,
+  strftime(prev_ts, '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(greatest(prev_ts, ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM (SELECT *, lag(event_type) OVER w AS prev_type, lag(ts) OVER w AS prev_ts, lag(event_id) OVER w AS prev_id FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+WHERE prev_type IS NOT NULL AND event_type <> prev_type AND CAST(floor(epoch(ts)) AS BIGINT) - CAST(floor(epoch(prev_ts)) AS BIGINT) <= 3600"""
+STRUCTURING_SQL = _burst_sql("SELECT c.c_custkey AS account, o.o_orderkey AS item, o.o_orderdate AS ts FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_totalprice >= 400000 AND o.o_totalprice < 500000", 3, 730 * 86400, "structuring")
+
+
+def _velocity(spark, sf_dir):
+    return rules.bursts(events(spark, sf_dir), "user_id", "event_id", "ts", 3, 21600, "card_velocity")
+
+
+def _travel(spark, sf_dir):
+    return rules.changes_of(events(spark, sf_dir), "user_id", "event_id", "ts", "event_type", 3600, "impossible_travel")
+
+
+def _structuring(spark, sf_dir):
+    o = rules.in_band(table(spark, sf_dir, "orders"), "o_totalprice", 400000, 500000)
+    owned = o.join(table(spark, sf_dir, "customer").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return rules.bursts(owned, "c_custkey", "o_orderkey", "o_orderdate", 3, 730 * 86400, "structuring")
+
+
+@query(VELOCITY_SQL)
+def card_velocity_burst(spark, sf_dir):
+    return shown(_velocity(spark, sf_dir))
+
+
+@query(TRAVEL_SQL)
+def impossible_travel(spark, sf_dir):
+    return shown(_travel(spark, sf_dir))
+
+
+@query(STRUCTURING_SQL)
+def structuring_band(spark, sf_dir):
+    return shown(_structuring(spark, sf_dir))
+
+
+@query(f"""
+WITH a AS (SELECT * FROM ({VELOCITY_SQL}) UNION ALL SELECT * FROM ({TRAVEL_SQL}) UNION ALL SELECT * FROM ({STRUCTURING_SQL}))
+SELECT sha256(rule || '|' || CAST(account_id AS VARCHAR) || '|' || split_part(evidence, ',', 1)) AS alert_id, * FROM a""")
+def rule_union_alert_id(spark, sf_dir):
+    a = rules.as_alerts(rules.union_rules(_velocity(spark, sf_dir), _travel(spark, sf_dir), _structuring(spark, sf_dir)))
+    return a.select("alert_id", "rule", F.col("account_id").cast("long").alias("account_id"), F.array_join("evidence_keys", ",").alias("evidence"), text_ts("first_evidence_ts").alias("first_ts"), text_ts("last_source_commit_ts").alias("last_ts"))
+
+
+@query(f"""
+SELECT rule, account_id, evidence, round(epoch(TIMESTAMP '2025-01-01 00:00:00') - epoch(CAST(last_ts AS TIMESTAMP)), 3) AS latency_seconds
+FROM ({VELOCITY_SQL})""")
+def alert_latency(spark, sf_dir):
+    a = rules.as_alerts(_velocity(spark, sf_dir).withColumn("last_source_commit_ts", F.date_trunc("second", "last_source_commit_ts")), F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    return a.select("rule", F.col("account_id").cast("long").alias("account_id"), F.array_join("evidence_keys", ",").alias("evidence"), F.round("latency_seconds", 3).alias("latency_seconds"))
+
+
+def _changes(spark, sf_dir):
+    op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
+    return events(spark, sf_dir).select("user_id", "event_id", op.alias("op"), "ts", "value", "event_type")
+
+
+FOLD_SQL = """
+WITH e AS (SELECT *, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op FROM events)
+SELECT user_id, arg_max(value, event_id) FILTER (WHERE op <> 'd') AS value, arg_max(event_type, event_id) FILTER (WHERE op <> 'd') AS kind,
+  max(event_id) AS _event_id, arg_max(op, event_id) AS _op, arg_max(op, event_id) = 'd' AS _is_deleted,
+  strftime(min(ts) FILTER (WHERE op = 'c'), '%Y-%m-%d %H:%M:%S') AS _first_commit_ts, strftime(arg_max(ts, event_id), '%Y-%m-%d %H:%M:%S') AS _last_commit_ts
+FROM e GROUP BY user_id"""
+
+
+def _state(changes):
+    img = F.when(F.col("op") != "d", F.struct("value", F.col("event_type").alias("kind")))
+    return fold.state_of(changes, ["user_id"], img, seq="event_id", commit="ts")
+
+
+def _shown_state(s):
+    return s.select("user_id", F.col("body.image.value").alias("value"), F.col("body.image.kind").alias("kind"), F.col("head.event_id").alias("_event_id"), F.col("head.op").alias("_op"), (F.col("head.op") == "d").alias("_is_deleted"), text_ts("first_commit").alias("_first_commit_ts"), text_ts("head.commit_ts").alias("_last_commit_ts"))
+
+
+@query(FOLD_SQL)
+def silver_max_by_fold(spark, sf_dir):
+    return _shown_state(fold.fold(_state(_changes(spark, sf_dir)), ["user_id"]))
+
+
+@query(FOLD_SQL)
+def silver_late_batches(spark, sf_dir):
+    """The same log folded in three batches out of order, one of them twice."""
+    c = _changes(spark, sf_dir)
+    state = None
+    for k in (2, 0, 1, 0):
+        state = fold.merge(state, _state(c.where(F.pmod(F.col("event_id"), F.lit(3)) == k)), ["user_id"])
+    return _shown_state(state)
+
+
+@query("""
+WITH e AS (SELECT *, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op FROM events),
+f AS (SELECT user_id, event_id, op, last_value(CASE WHEN op <> 'd' THEN {'v': value, 'k': event_type} END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS img,
+  row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM e)
+SELECT user_id, event_id, op, img.v AS value, img.k AS event_type FROM f WHERE r = 1""")
+def silver_latest_state(spark, sf_dir):
+    h = fold.history(_changes(spark, sf_dir), ["user_id"], ["event_id"], ["value", "event_type"])
+    return fold.latest(h, ["user_id"], ["event_id"]).select("user_id", "event_id", "op", "value", "event_type")
+
+
+SNAPSHOTS_SQL = """
+old AS (SELECT o_orderkey AS k, sha256(CAST(o_orderkey AS VARCHAR) || '|' || o_orderstatus) AS fp FROM orders WHERE o_orderkey % 7 <> 0),
+cur AS (SELECT o_orderkey AS k, sha256(CAST(o_orderkey AS VARCHAR) || '|' || CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END) AS fp FROM orders WHERE o_orderkey % 11 <> 0)"""
+
+
+@query(f"""
+WITH {SNAPSHOTS_SQL}
+SELECT coalesce(cur.k, old.k) AS o_orderkey, CASE WHEN old.k IS NULL THEN 'c' WHEN cur.k IS NULL THEN 'd' ELSE 'u' END AS op, substr(coalesce(cur.fp, old.fp), 1, 16) AS fingerprint
+FROM cur FULL JOIN old ON cur.k = old.k WHERE cur.fp IS DISTINCT FROM old.fp""")
+def snapshot_diff(spark, sf_dir):
+    from tidemark.sources.row_versions import snapshot_changes
+
+    o = table(spark, sf_dir, "orders")
+    fp = lambda status: identity.fingerprint(F.concat_ws("|", F.col("o_orderkey").cast("string"), status))
+    known = o.where("o_orderkey % 7 <> 0").select("o_orderkey", fp(F.col("o_orderstatus")).alias("fingerprint"))
+    now = o.where("o_orderkey % 11 <> 0").select("o_orderkey", fp(F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("o_orderstatus"))).alias("fingerprint"))
+    return snapshot_changes(now, known, ["o_orderkey"]).select("o_orderkey", "op", "fingerprint")
+
+
+@query("""
+SELECT event_id, sha256('shop|events|{"event_id":' || event_id || '}|' || strftime(ts, '%Y-%m-%dT%H:%M:%S')) AS change_id,
+  sha256('[null,{"event_id":' || event_id || ',"user_id":' || user_id || '}]') AS payload_hash FROM events""")
+def event_id_hash(spark, sf_dir):
+    e = events(spark, sf_dir)
+    key = identity.row_json(e.schema, ["event_id"])
+    after = identity.row_json(e.schema, ["user_id", "event_id"])
+    pos = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    return e.select("event_id", identity.event_id(F.lit("shop"), F.lit("events"), key, pos).alias("change_id"), identity.payload_hash(F.lit(None).cast("string"), after).alias("payload_hash"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_envelope_parse(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k BIGINT").alias("p")).select("event_id", "p.k")
+
+
+@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY ALL ORDER BY ALL")
+def event_ops_audit(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users")).orderBy("event_type")
+
+
+@query("SELECT round(quantile_cont(value, 0.5), 2) AS p50, round(quantile_cont(value, 0.95), 2) AS p95, round(max(value), 2) AS max FROM events")
+def latency_percentiles(spark, sf_dir):
+    return quality.percentiles(table(spark, sf_dir, "events"), "value")
+
+
+@query("SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR) AS balance_sum FROM customer")
+def balance_sum_exact(spark, sf_dir):
+    return table(spark, sf_dir, "customer").agg(F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("string").alias("balance_sum"))
+
+
+@query("SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-20'")
+def watermark_scan(spark, sf_dir):
+    e = table(spark, sf_dir, "events")  # the column as stored, so that the range reaches the scan
+    return e.where((F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))).select("event_id", "user_id", "event_type")
+
+
+@query("""
+WITH b AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-20'),
+top AS (SELECT max(ts) AS ts FROM events WHERE ts < TIMESTAMP '2024-01-15'),
+known AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-12')
+SELECT event_id, CASE WHEN k.user_id IS NULL THEN 'c' ELSE 'u' END AS op
+FROM (SELECT * FROM events WHERE ts >= (SELECT ts FROM top) AND ts < TIMESTAMP '2024-01-20') e LEFT JOIN known k ON e.user_id = k.user_id
+WHERE NOT (e.ts = (SELECT ts FROM top) AND e.event_id IN (SELECT event_id FROM events WHERE ts = (SELECT ts FROM top)))""")
+def keys_at_ts_boundary(spark, sf_dir):
+    """A scan from a watermark on (inclusive), without the keys already given at it."""
+    from tidemark.sources.row_versions import after_watermark
+
+    e = table(spark, sf_dir, "events")
+    cut, end = F.lit("2024-01-15").cast("timestamp_ntz"), F.lit("2024-01-20").cast("timestamp_ntz")
+    top = e.where(F.col("ts") < cut).agg(F.max("ts").alias("t")).first()["t"]
+    at = F.lit(top).cast("timestamp_ntz")
+    given = e.where(F.col("ts") == at).select("event_id")
+    known = e.where(F.col("ts") < F.lit("2024-01-12").cast("timestamp_ntz")).select("user_id").distinct()
+    rows = after_watermark(e, "ts", at, end, ["event_id"], given)
+    return rows.join(known.withColumn("seen", F.lit(True)), "user_id", "left").select("event_id", F.when(F.col("seen"), "u").otherwise("c").alias("op"))
+
+
+@query("""
+SELECT event_id, user_id, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS before_value, value AS after_value FROM events""")
+def before_after_images(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    return table(spark, sf_dir, "events").select("event_id", "user_id", F.lag("value").over(w).alias("before_value"), F.col("value").alias("after_value"))
+
+
+@query("""
+SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'd' ELSE 'c' END AS op, count(*) AS n FROM lineitem GROUP BY 1""")
+def log_operation_codes(spark, sf_dir):
+    """Log operation codes (1 delete, 2 insert) read as event ops."""
+    from tidemark.sources.change_log import op_of
+
+    code = F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(2)
+    return table(spark, sf_dir, "lineitem").select(op_of(code).alias("op")).groupBy("op").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT o_custkey || ':' || o_orderkey AS position, CAST(o_totalprice AS DOUBLE) AS before_price, CAST(o_totalprice AS DOUBLE) + 1 AS after_price, 'u' AS op FROM orders WHERE o_orderkey % 3 = 0""")
+def log_update_pairs(spark, sf_dir):
+    """Update-before and update-after rows of a change log joined into one change."""
+    from tidemark.sources.change_log import paired
+
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    rows = o.select(F.col("o_custkey").cast("string").alias("lsn"), F.col("o_orderkey").cast("string").alias("seq"), F.explode(F.array(F.lit(3), F.lit(4))).alias("code"), "o_totalprice")
+    rows = rows.withColumn("image", F.struct((F.col("o_totalprice") + F.when(F.col("code") == 4, 1.0).otherwise(0.0)).alias("price")))
+    p = paired(rows, "lsn", "seq", "code", "image")
+    return p.select(F.concat_ws(":", "lsn", "seq").alias("position"), F.col("before.price").alias("before_price"), F.col("after.price").alias("after_price"), "op")
+
+
+@query("""
+SELECT event_id, count(*) AS copies FROM (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_id % 3 = 0) GROUP BY event_id HAVING count(*) > 1""")
+def bronze_replay_duplicates(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id")
+    return e.unionByName(e.where("event_id % 3 = 0")).groupBy("event_id").agg(F.count("*").alias("copies")).where("copies > 1")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def bronze_insert_new(spark, sf_dir):
+    """Insert-only merge: a batch with repeats and rows that are there already adds only what is new."""
+    from tidemark.streaming.bronze import new_rows
+
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    have = e.where("event_id % 2 = 0")
+    batch = e.unionByName(e.where("event_id % 3 = 0"))
+    return have.unionByName(new_rows(batch, have))
+
+
+@query("SELECT count(*) AS missing FROM events a ANTI JOIN (SELECT event_id FROM events WHERE event_id % 10 <> 0) b ON a.event_id = b.event_id")
+def audit_anti_join(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return quality.missing_events(e, e.where("event_id % 10 <> 0")).agg(F.count("*").alias("missing"))
+
+
+@query("SELECT event_id, CAST(user_id % 3 AS INT) AS part, row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 AS offs FROM events")
+def topic_partition_offset(spark, sf_dir):
+    """Partition by key and gapless offsets, without sorting a partition in one task."""
+    from tidemark.streaming.topic_log import with_offsets
+
+    e = table(spark, sf_dir, "events").select("event_id", F.pmod("user_id", F.lit(3)).cast("int").alias("part"))
+    return with_offsets(e, "part", ["event_id"], "offs", {}).select("event_id", "part", "offs")
+
+
+@query(f"""
+SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, account_id, last_ts FROM ({VELOCITY_SQL}) ORDER BY last_ts DESC, alert_id LIMIT 10 OFFSET 20""")
+def alert_queue_page(spark, sf_dir):
+    a = rules.as_alerts(_velocity(spark, sf_dir))
+    a = a.select("alert_id", F.col("account_id").cast("long").alias("account_id"), text_ts("last_source_commit_ts").alias("last_ts"))
+    return a.orderBy(F.col("last_ts").desc(), "alert_id").offset(20).limit(10)
+
+
+@query(f"SELECT rule, count(*) AS n, count(DISTINCT account_id) AS accounts FROM (SELECT * FROM ({VELOCITY_SQL}) UNION ALL SELECT * FROM ({TRAVEL_SQL})) GROUP BY rule")
+def alert_stats(spark, sf_dir):
+    return rules.union_rules(_velocity(spark, sf_dir), _travel(spark, sf_dir)).groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("account_id").alias("accounts"))
+
+
+@query(f"""
+WITH a AS (SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, account_id FROM ({VELOCITY_SQL}))
+SELECT alert_id, account_id FROM a WHERE account_id % 2 = 1""")
+def outbox_pending(spark, sf_dir):
+    """Alerts not yet published: those stamped for even accounts are out."""
+    from tidemark.operators.outbox import pending, stamped
+
+    a = rules.as_alerts(_velocity(spark, sf_dir))
+    sent = a.where("account_id % 2 = 0").select("alert_id")
+    return pending(stamped(a, sent, F.lit("2025-01-01").cast("timestamp"))).select("alert_id", F.col("account_id").cast("long").alias("account_id"))
+
+
+@query("""
+SELECT user_id, round(count(*) FILTER (WHERE event_type = 'purchase') / nullif(count(*) FILTER (WHERE event_type IN ('purchase', 'click')), 0)::DOUBLE, 3) AS precision FROM events GROUP BY user_id""")
+def rule_precision(spark, sf_dir):
+    hits, all_ = F.count_if(F.col("event_type") == "purchase"), F.count_if(F.col("event_type").isin("purchase", "click"))
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.round(hits / F.nullif(all_, F.lit(0)), 3).alias("precision"))
+
+
+@query(f"""
+WITH a AS (SELECT row_number() OVER () AS id, rule, evidence FROM ({VELOCITY_SQL})),
+ax AS (SELECT id, rule, unnest(string_split(evidence, ',')) AS k FROM a),
+t AS (SELECT 'card_velocity' AS rule, user_id, event_id AS k FROM events WHERE user_id % 4 = 0 AND event_type = 'purchase'),
+h AS (SELECT DISTINCT id FROM ax JOIN (SELECT DISTINCT CAST(k AS VARCHAR) AS k FROM t) USING (k)),
+c AS (SELECT DISTINCT user_id FROM t JOIN (SELECT DISTINCT k FROM ax) x ON CAST(t.k AS VARCHAR) = x.k)
+SELECT 'card_velocity' AS rule, (SELECT count(*) FROM a) AS alerts, (SELECT count(*) FROM h) AS true_positives, (SELECT count(*) FROM a) - (SELECT count(*) FROM h) AS false_positives,
+  (SELECT count(DISTINCT user_id) FROM t) AS planted, (SELECT count(*) FROM c) AS caught,
+  round((SELECT count(*) FROM h) / (SELECT count(*) FROM a)::DOUBLE, 3) AS precision, round((SELECT count(*) FROM c) / (SELECT count(DISTINCT user_id) FROM t)::DOUBLE, 3) AS recall""")
+def score_recall(spark, sf_dir):
+    truth = table(spark, sf_dir, "events").where("user_id % 4 = 0 and event_type = 'purchase'").groupBy("user_id").agg(F.collect_list("event_id").alias("keys")).select(F.lit("card_velocity").alias("rule"), "keys")
+    return quality.scores(_velocity(spark, sf_dir), truth)
+
+
+LINEAGE_SQL = f"""
+WITH a AS (SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, unnest(string_split(evidence, ',')) AS k FROM ({VELOCITY_SQL}) WHERE account_id % 50 = 0)
+SELECT alert_id, CAST(e.event_id AS VARCHAR) AS entity_key, e.event_type AS op FROM a JOIN events e ON CAST(e.event_id AS VARCHAR) = a.k"""
+
+
+@query(LINEAGE_SQL)
+def lineage_explode(spark, sf_dir):
+    a = rules.as_alerts(_velocity(spark, sf_dir)).where("account_id % 50 = 0")
+    e = events(spark, sf_dir)
+    null = F.lit(None).cast("string")
+    bronze = e.select(F.col("event_id").cast("string").alias("event_id"), F.col("event_type").alias("op"), F.lit("shop").alias("source_system"), F.lit("events").alias("source_table"), null.alias("source_position"), null.alias("source_sequence"), F.col("ts").alias("source_commit_ts"), null.alias("kafka_topic"), null.alias("kafka_partition"), null.alias("kafka_offset"), identity.row_json(e.schema, ["event_id"]).alias("key_json"), null.alias("after_json"))
+    return quality.lineage(a, bronze, {"card_velocity": ("events", "event_id")}).select("alert_id", "entity_key", "op")
+
+
+@query("""
+SELECT s_suppkey, CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS amount FROM supplier WHERE s_acctbal > 0 AND s_acctbal < 2000""")
+def amount_band_decimal(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").withColumn("amount", checks.amount(F.format_string("%.2f", "s_acctbal")))
+    return rules.in_band(s, "amount", 0.01, 2000).select("s_suppkey", F.col("amount").cast("string").alias("amount"))
+
+
+@query("""
+WITH c AS (SELECT c_nationkey, count(*) AS s, count(*) FILTER (WHERE c_custkey % 100 <> 0) AS t FROM customer GROUP BY 1)
+SELECT CASE WHEN n_regionkey = 0 THEN 'SKIP' WHEN coalesce(s, 0) = coalesce(t, 0) THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS n
+FROM nation LEFT JOIN c ON n_nationkey = c_nationkey GROUP BY 1""")
+def reconcile_counts(spark, sf_dir):
+    """Source and target counts per nation; one region's snapshot is pending."""
+    n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    counts = c.groupBy("c_nationkey").agg(F.count("*").alias("source"), F.count_if(F.col("c_custkey") % 100 != 0).alias("target"))
+    j = n.join(counts, n["n_nationkey"] == counts["c_nationkey"], "left").na.fill(0, ["source", "target"])
+    return j.select(quality.verdict(F.col("source"), F.col("target"), F.col("n_regionkey") == 0).alias("status")).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH g AS (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 21, '0') AS bban FROM customer),
+d AS (SELECT *, CAST(98 - CAST(CAST(bban || '252900' AS HUGEINT) % 97 AS INT) AS INT) AS check_digits FROM g)
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN false ELSE true END AS valid FROM d""")
+def iban_mod97(spark, sf_dir):
+    """Made-up Portuguese account numbers with right check digits, every third one spoilt."""
+    bban = F.lpad(F.col("c_custkey").cast("string"), 21, "0")
+    rest = F.expr("cast(concat(lpad(cast(c_custkey as string), 21, '0'), '252900') as decimal(38,0)) % 97").cast("int")
+    check = F.lpad((98 - rest).cast("string"), 2, "0")
+    wrong = F.lpad(((98 - rest) % 97 + 1 + F.when((98 - rest) % 97 + 1 == 98 - rest, 1).otherwise(0)).cast("string"), 2, "0")
+    iban = F.concat(F.lit("PT"), F.when(F.col("c_custkey") % 3 == 0, wrong).otherwise(check), bban)
+    return table(spark, sf_dir, "customer").select("c_custkey", checks.iban_valid(iban).alias("valid"))
+
+
+@query("""
+SELECT fault, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'missing transfer_id' WHEN o_orderkey % 4 = 1 THEN 'invalid amount' ELSE 'invalid debtor_iban' END AS fault FROM orders) GROUP BY fault""")
+def dlq_rejects(spark, sf_dir):
+    """Why each made-up transfer is refused: the first reason in order."""
+    o = table(spark, sf_dir, "orders")
+    t = o.select(
+        F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey").cast("string")).alias("transfer_id"),
+        F.lit("PT00").alias("debtor_iban"),
+        F.lit("PT00").alias("creditor_iban"),
+        F.when(F.col("o_orderkey") % 4 == 1, "1.250,00").otherwise("12.50").alias("amount"),
+        F.col("o_orderdate").cast("string").alias("booking_ts"),
+    )
+    return t.select(checks.transfer_fault().alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'unknown op' WHEN event_id % 5 = 1 THEN 'a create needs an after image' ELSE '' END AS faults FROM events""")
+def envelope_violations(spark, sf_dir):
+    """Change events with planted faults, parsed from their JSON and checked."""
+    from tidemark.types import EVENT
+
+    e = table(spark, sf_dir, "events")
+    after = F.when(F.col("event_id") % 5 != 1, F.struct("user_id"))
+    src = F.struct(F.lit("shop").alias("system"), F.lit("db").alias("database"), F.lit("events").alias("table"), F.col("event_id").cast("string").alias("position"))
+    wire = F.to_json(F.struct(F.sha2(F.col("event_id").cast("string"), 256).alias("event_id"), F.when(F.col("event_id") % 5 == 0, "x").otherwise("c").alias("op"), F.struct("event_id").alias("key"), after.alias("after"), src.alias("source"), F.lit("2024-01-01T00:00:00").alias("captured_at"), F.lit("t").alias("trace_id"), F.lit(1).alias("schema_version"), F.sha2(F.lit("p"), 256).alias("payload_hash")))
+    parsed = e.select("event_id", F.from_json(wire, EVENT).alias("e"))
+    return parsed.select("event_id", F.array_join(checks.event_faults("e"), "; ").alias("faults"))
+
+
+@query("SELECT nation.n_nationkey, nation.n_name, region.r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def file_csv_scan(spark, sf_dir):
+    """CSV text to rows with line numbers (here from joined tables written as lines), each line parsed by its header."""
+    from tidemark.sources.file_drop import csv_rows
+
+    j = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    text = F.concat(F.lit("n_nationkey,n_name,r_name\n"), F.col("n_nationkey").cast("string"), F.lit(",\""), F.col("n_name"), F.lit("\","), F.col("r_name"), F.lit("\n"))
+    files = j.select(F.concat(F.lit("f"), F.col("n_nationkey").cast("string")).alias("name"), text.alias("content"))
+    rows = csv_rows(files, "content", ["n_nationkey", "n_name", "r_name"])
+    return rows.select(F.col("row.n_nationkey").cast("int").alias("n_nationkey"), "row.n_name", "row.r_name")
