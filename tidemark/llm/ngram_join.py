@@ -417,9 +417,9 @@ class Join:
 
         labels = None
         for r in range(STAR_ROUNDS):
-            labels = self._labels(labels, self._compare(self._star_pairs(shared, members, labels, r)))
+            labels = self._labels(labels, self._compare(self._star_pairs(shared, members, labels, r), few=r > 0))
             release(self.spark)
-        labels = self._labels(labels, self._compare(self._crossing_pairs(shared, members, labels)))
+        labels = self._labels(labels, self._compare(self._crossing_pairs(shared, members, labels), few=True))
         release(self.spark)
 
         c = classes.join(labels, F.col("c") == F.col("node"), "left").select("k1", "k2", "c", "doc", F.coalesce("root", "c").alias("root"))
@@ -471,10 +471,17 @@ class Join:
         within = x.join(y, (x["g"] == y["g"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b")
         return across.unionByName(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def _compare(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that link."""
-        left = self.whole.select(F.col("c").alias("a"), F.col("set").alias("set_a"))
-        right = self.whole.select(F.col("c").alias("b"), F.col("set").alias("set_b"))
+    def _compare(self, pairs: DataFrame, few: bool = False) -> DataFrame:
+        """The pairs that link. few: most candidate sets are in none of them, and are left out before the joins.
+
+        The pairs are written first, so that Spark knows their size (and broadcasts them if that is small).
+        """
+        pairs, whole = written(pairs, "ngram-pairs"), self.whole
+        if few:
+            ids = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+            whole = whole.join(written(ids, "ngram-ids"), "c", "left_semi")
+        left = whole.select(F.col("c").alias("a"), F.col("set").alias("set_a"))
+        right = whole.select(F.col("c").alias("b"), F.col("set").alias("set_b"))
         return pairs.join(left, "a").join(right, "b").mapInArrow(_verify(self.percent), "a long, b long")
 
     def _labels(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
