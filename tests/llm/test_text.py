@@ -217,12 +217,12 @@ def test_near_duplicates_equal_brute_force(docs, seed):
     assert collections.Counter(tuple(x) for x in got.collect()) == brute_near(rows)
 
 
-@pytest.mark.parametrize(("long_run", "bits", "rounds"), [(2, 4, 0), (1024, 10, 1)])
+@pytest.mark.parametrize(("long_run", "bits", "rounds"), [(2, 4, 1), (1024, 10, 2)])
 def test_near_duplicates_without_help(docs, monkeypatch, long_run, bits, rounds):
-    """Small counters, filters and runs, and fewer star rounds, cost time but no link."""
+    """Small counters, filters and runs, and few star rounds, cost time but no link."""
     monkeypatch.setattr(ngram_join, "LONG_RUN", long_run)
     monkeypatch.setattr(ngram_join, "COUNTER_BITS", 17 + bits % 3)
-    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(ngram_join, "MOST_ROUNDS", rounds)
     rows = near_rows(3)
     got = ngram_join.join_components(docs(rows)).select("doc_id", "n_shingles", "component_id")
     assert collections.Counter(tuple(x) for x in got.collect()) == brute_near(rows)

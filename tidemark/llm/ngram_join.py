@@ -12,6 +12,7 @@ passages that very many documents share out of prefixes.
    the token's run passes the size and position filters with.
 4. Star rounds: in each token's run, and each group, members are compared with an anchor of their own size band and of
    the band below (one or two candidates a row, whatever the run's length), and links are joined into components.
+   Further rounds, with other anchors, follow while more pairs are left than there are prefix rows.
 5. Last round: group pairs that pass the size, position and overlap filters and are not of one component already are
    expanded to their members, and those of different components are compared. No pair of different texts that could link
    is left out: it is either compared or joined already. In a family of near copies the stars join nearly all
@@ -41,7 +42,8 @@ from tidemark.llm.components import components
 COUNTER_BITS = 22
 CHUNK_BITS = 16
 FILTER_BITS = 24
-STAR_ROUNDS = 2
+#: Star rounds are repeated while more crossing pairs than prefix rows are left, so often at most; then all are compared.
+MOST_ROUNDS = 6
 #: Longer runs of a token are passed on whole.
 LONG_RUN = 1024
 U64 = scan.U64
@@ -53,7 +55,7 @@ def _count_tokens(n: int):
         for whole in batches:
             for b in steps(whole):
                 h, _ = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
-                total += np.bincount((h >> U64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total)).astype(np.uint32)
+                np.add.at(total, (h >> U64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
         parts = total.reshape(-1, 1 << CHUNK_BITS)
         at = [i for i in range(len(parts)) if parts[i].any()]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([zlib.compress(parts[i].astype("<u8").tobytes(), 1) for i in at], pa.binary())], names=["chunk", "counts"])
@@ -356,7 +358,7 @@ def _candidate_filter(keys: DataFrame) -> bytes:
 
 
 def _sets(n: int, bits):
-    """k1, k2, doc, set of the rows that are in the filter: one row of each candidate class, and few others."""
+    """k1, k2, set of the rows that are in the filter: one row of each candidate class, and few others."""
 
     def run(batches):
         member = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
@@ -366,7 +368,7 @@ def _sets(n: int, bits):
                 k1, k2 = set_key(h, at)
                 hit = np.flatnonzero(member[_filter_place(k1, k2, b.column("doc").to_numpy())] & (np.diff(at) > 0))
                 out = pa.array([h[at[i] : at[i + 1]].tobytes() for i in hit.tolist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), b.column("doc").take(pa.array(hit)), out], names=["k1", "k2", "doc", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), out], names=["k1", "k2", "set"])
 
     return run
 
@@ -410,16 +412,21 @@ class Join:
         keys = classes.join(wanted, "c", "left_semi").select("c", "k1", "k2", F.coalesce("doc", F.lit(0)).alias("doc"))
         keys = written(keys, "ngram-keys")
         bits = self.spark.sparkContext.broadcast(_candidate_filter(keys.select("k1", "k2", "doc")))
-        whole = self.docs.select(F.coalesce("doc", F.lit(0)).alias("doc"), "text").mapInArrow(_sets(self.n, bits), "k1 long, k2 long, doc long, set binary")
-        self.whole = written(whole.join(keys, ["k1", "k2", "doc"]).select("c", "set"), "ngram-sets")
-        del whole
+        texts = self.docs.select(F.coalesce("doc", F.lit(0)).alias("doc"), "text")
+        self.whole = written(texts.mapInArrow(_sets(self.n, bits), "k1 long, k2 long, set binary"), "ngram-sets")
+        self.keys = keys.select("c", "k1", "k2")
         release(self.spark)
 
-        labels = None
-        for r in range(STAR_ROUNDS):
-            labels = self._labels(labels, self._compare(self._star_pairs(shared, members, labels, r), few=r > 0))
+        labels, enough = None, shared.count() + members.count()
+        for r in range(MOST_ROUNDS):
+            labels = self._labels(labels, self._compare(self._star_pairs(shared, members, labels, r)))
+            pairs = written(self._crossing_pairs(shared, members, labels), "ngram-crossings")
             release(self.spark)
-        labels = self._labels(labels, self._compare(self._crossing_pairs(shared, members, labels), few=True))
+            if pairs.count() <= enough:  # else another star round, by other anchors, makes fewer
+                break
+        labels = self._labels(labels, self._compare(pairs, few=True))
+        for table in (groups, shared, members, keys, self.whole):
+            dropped(table)
         release(self.spark)
 
         c = classes.join(labels, F.col("c") == F.col("node"), "left").select("k1", "k2", "c", "doc", F.coalesce("root", "c").alias("root"))
@@ -456,7 +463,7 @@ class Join:
         # a pair can share the tokens it was met at, and what room the last of them leaves
         met = laid.mapInArrow(_crossings(self.percent), "ga long, gb long, room long, need long").groupBy("ga", "gb")
         gpairs = met.agg(F.count("*").alias("met"), F.min("room").alias("room"), F.min("need").alias("need")).where("met + room >= need")
-        gpairs = written(gpairs.select("ga", "gb"), "ngram-crossings")
+        gpairs = written(gpairs.select("ga", "gb"), "ngram-group-pairs")
         # expand to members: those of mixed groups; of a group that is of one component every member may matter too
         every = mine.select("g", "c", "comp")
         one = self._with_comp(gpairs.select(F.col("ga").alias("g")).unionByName(gpairs.select(F.col("gb").alias("g"))).distinct().withColumn("c", F.col("g")), "c", labels).select("g", "c", "comp")
@@ -476,13 +483,15 @@ class Join:
 
         The pairs are written first, so that Spark knows their size (and broadcasts them if that is small).
         """
-        pairs, whole = written(pairs, "ngram-pairs"), self.whole
+        whole = self.whole
+        key = lambda c: self.keys.select(F.col("c").alias(c), F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"))
+        pairs = written(pairs.join(key("a"), "a").join(key("b"), "b"), "ngram-pairs")
         if few:
-            ids = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-            whole = whole.join(written(ids, "ngram-ids"), "c", "left_semi")
-        left = whole.select(F.col("c").alias("a"), F.col("set").alias("set_a"))
-        right = whole.select(F.col("c").alias("b"), F.col("set").alias("set_b"))
-        return pairs.join(left, "a").join(right, "b").mapInArrow(_verify(self.percent), "a long, b long")
+            ids = [pairs.select(F.col(f"{c}1").alias("k1"), F.col(f"{c}2").alias("k2")) for c in "ab"]
+            whole = whole.join(written(ids[0].unionByName(ids[1]).distinct(), "ngram-ids"), ["k1", "k2"], "left_semi")
+        side = lambda c: whole.select(F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"), F.col("set").alias(f"set_{c}"))
+        both = pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
+        return both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long")
 
     def _labels(self, labels: DataFrame | None, links: DataFrame) -> DataFrame:
         """Joins new links to the components so far."""
