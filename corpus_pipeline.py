@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_codec, langid_hd, line_dedup, mixing, ngram_join
-from tidemark.llm.common import new_path
+from tidemark.llm.common import new_path, ship
 from tidemark.llm.queries import vocabulary
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -71,6 +71,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order; each result is written to the shared folder and read again."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = new_path(spark, f"stage-{name}")

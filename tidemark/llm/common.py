@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +53,22 @@ def dropped(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors unless their Python path has it already."""
+    root = Path(__file__).resolve().parents[2]
+    path = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if any(p and Path(p).resolve() == root for p in path) or getattr(spark.sparkContext, "_tidemark_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp()) / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((root / "tidemark").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+        if (root / "corpus_pipeline.py").exists():
+            z.write(root / "corpus_pipeline.py", "corpus_pipeline.py")
+    spark.sparkContext.addPyFile(str(archive))
+    spark.sparkContext._tidemark_shipped = True
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of plans that have ended (it waits for garbage collection)."""
     gc.collect()

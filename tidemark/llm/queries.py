@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_codec, langid_hd, line_dedup, mixing, ngram_join, pii_feistel, token_fst, topk_taat, vptree, warc
+from tidemark.llm.common import ship
 
 #: The key of the pseudonyms in the query; a deployment passes its own secret to the operator.
 DEMO_KEY = b"public demonstration key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
