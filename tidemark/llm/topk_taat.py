@@ -38,19 +38,26 @@ def postings(weights: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def accumulate(lists, rows: int, asked: np.ndarray) -> np.ndarray:
     """Scores of a block of query rows against all rows of a shard, term by term."""
-    exact = asked.dtype == object or any(w.dtype == object for _, w in lists)
-    score = np.zeros((len(asked), rows), dtype=object if exact else np.int64)
-    for t in range(min(len(lists), asked.shape[1])):
+    terms = min(len(lists), asked.shape[1])
+    kind = object
+    if asked.dtype != object and all(w.dtype != object for _, w in lists):
+        largest = sum(int(np.abs(asked[:, t]).max(initial=0)) * int(np.abs(lists[t][1]).max(initial=0)) for t in range(terms))
+        kind = np.int32 if largest < 1 << 31 else np.int64  # half the memory to pass over where no sum can overflow
+    score = np.zeros((len(asked), rows), dtype=kind)
+    whole = np.empty_like(score)
+    for t in range(terms):
         at, weight = lists[t]
         who = np.flatnonzero(asked[:, t] != 0)
         if not len(at) or not len(who):
             continue
+        q, w = asked[who, t].astype(kind), weight.astype(kind)
         if len(at) == rows and len(who) == len(asked):
-            score += asked[:, t, None] * weight[None, :]
+            np.multiply(q[:, None], w[None, :], out=whole)
+            score += whole
         elif len(at) == rows:
-            score[who] += asked[who, t, None] * weight[None, :]
+            score[who] += q[:, None] * w[None, :]
         else:
-            score[np.ix_(who, at)] += asked[who, t, None] * weight[None, :]
+            score[np.ix_(who, at)] += q[:, None] * w[None, :]
     return score
 
 
@@ -86,7 +93,7 @@ def _search(k: int, scale: float):
             at = best(row, k)
             qi.append(np.full(len(at), i))
             vi.append(own[at])
-            sc.append(row[at] if row.dtype != object else np.array([min(max(int(v), LIMITS[0]), LIMITS[1]) for v in row[at]], dtype=np.int64))
+            sc.append(row[at].astype(np.int64) if row.dtype != object else np.array([min(max(int(v), LIMITS[0]), LIMITS[1]) for v in row[at]], dtype=np.int64))
         return np.concatenate(qi), np.concatenate(vi), np.concatenate(sc)
 
     return build, search
