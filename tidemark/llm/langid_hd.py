@@ -163,14 +163,17 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
 def predict_rows(column: pa.Array, names: list[str], prototypes: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and score of each text. prototypes: a unit row for each name."""
     rows = len(column)
-    made = bundles(rows, *gram_counts(column))
+    counts = gram_counts(column)
+    made = bundles(rows, *counts)
     norm = np.sqrt((made * made).sum(axis=1))
+    lettered = np.zeros(rows, dtype=bool)
+    lettered[counts[1]] = True
     if not names:
         return ["und"] * rows, np.zeros(rows)
     cosine = (made @ prototypes.T) / np.maximum(norm, 1e-300)[:, None]
     best = cosine.argmax(axis=1)
     score = np.clip(cosine[np.arange(rows), best], 0.0, 1.0)
-    return [names[k] if n > 0 else "und" for k, n in zip(best.tolist(), norm.tolist())], np.where(norm > 0, score, 0.0)
+    return [names[k] if some else "und" for k, some in zip(best.tolist(), lettered.tolist())], np.where(lettered, score, 0.0)
 
 
 def _predict(names: list[str], prototypes: np.ndarray, keep: list[str]):

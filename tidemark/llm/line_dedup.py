@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import scan
-from tidemark.llm.common import narrow, release, steps, written
+from tidemark.llm.common import dropped, narrow, release, steps, written
 
 KEYS = "h1 long, h2 long, anon boolean, doc long, rk long, pos int"
 
@@ -115,6 +115,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = ["h1", "h2", "anon", "doc", "rk", "pos"]
     sorted_keys = keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
     found = written(sorted_keys.mapInArrow(_first_occurrences, "part int, kind int, " + KEYS), "line-firsts")
+    dropped(keys)
     release(spark)
     owners = _head_owners(found.where("kind >= 2").select("part", "kind", "h1", "h2", "anon", "doc").collect())
     table = spark.createDataFrame(owners, "part int, o_anon boolean, o_doc long")
