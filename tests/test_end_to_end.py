@@ -1,72 +1,25 @@
 """The whole platform over the simulated bank: replay equals source, planted cases are found, reconciliation passes."""
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 import pytest
 
-from tidemark import config, pipeline
-from tidemark.operators import quality
+from tidemark import pipeline
+from tidemark.demo import Platform
 from tidemark.service import AlertStore, answer
 from tidemark.simulate import Bank
-from tidemark.sources.change_log import ChangeLogSource, LogTable
-from tidemark.sources.file_drop import FileDropSource
-from tidemark.sources.row_versions import RowVersionSource, VersionedRows
-from tidemark.streaming import bronze, queue, silver
-from tidemark.streaming.topic_log import TopicLog
-from tidemark.tables import Tables
-
-
-class World:
-    def __init__(self, spark, root):
-        self.spark, self.root = spark, root
-        self.cfg = config.load()
-        self.bank = Bank(seed=11, now=datetime(2026, 10, 1, 9), customers=25, card_payments=40, transfers=8)
-        self.tables, self.topics = Tables(spark, f"{root}/tables"), TopicLog(spark, f"{root}/topics")
-        self.tables.ensure()
-        self.topics.ensure(config.all_topics(self.cfg))
-        self.folder = root / "drop"
-        self.folder.mkdir()
-        ddl = {e.source_table: e.columns for e in config.all_entities(self.cfg)}
-        cards = self.cfg["sources"]["sqlserver_cards"]
-        short = lambda t: t.split(".")[1]
-        self.log = ChangeLogSource("sqlserver_cards", "cards", [LogTable(t["schema"], t["table"], t["primary_key"]) for t in cards["tables"]], lambda t: self.bank.log_rows(spark, short(t), ddl[t]), self.bank.max_lsn, lambda t: (1).to_bytes(10, "big"), lambda t: self.bank.current_rows(spark, short(t), ddl[t]))
-        self.loans = RowVersionSource("db2_core", "COREBANK", [VersionedRows("CORE", "LOANS", ["LOAN_ID"], "ROW_CHANGED")], lambda t: self.bank.loan_rows(spark, ddl[t]), lambda: self.bank.now + timedelta(seconds=10), lambda t: pipeline.known_table(self.tables, "db2_core", t), 3)
-        self.drop = FileDropSource(spark, str(self.folder))
-        self.sources = [self.log, self.loans, self.drop]
-
-    def capture(self):
-        out = {}
-        for s in self.sources:
-            out[s.name] = pipeline.run_capture(self.tables, self.topics, s, config.topics_of(self.cfg["sources"][s.name]), self.cfg["kafka"]["dlq_topic"])
-        return out
-
-    def load(self):
-        names = [t for s in self.cfg["sources"].values() for t in config.topics_of(s).values()]
-        bronze.run_bronze(self.tables, self.topics, names, f"{self.root}/ck/bronze", self.cfg["kafka"]["dlq_topic"])
-        silver.run_silver(self.tables, config.all_entities(self.cfg), f"{self.root}/ck/silver")
-
-    def view(self, name):
-        return silver.view(self.tables, next(e for e in config.all_entities(self.cfg) if e.silver_table == name))
-
-    def gold(self):
-        return pipeline.run_gold(self.tables, self.view("silver_card_transactions"), self.view("silver_partner_transfers"), self.view("silver_accounts"))
-
-    def reconcile(self):
-        stats = {s.name: s.stats() for s in self.sources}
-        entities = {n: config.entities_of(s) for n, s in self.cfg["sources"].items()}
-        return pipeline.run_reconciliation(self.tables, entities, stats, {"db2_core"})
 
 
 @pytest.fixture(scope="module")
 def world(spark, tmp_path_factory):
-    w = World(spark, tmp_path_factory.mktemp("world"))
+    bank = Bank(seed=11, now=datetime(2026, 10, 1, 9), customers=25, card_payments=40, transfers=8)
+    w = Platform(spark, tmp_path_factory.mktemp("world"), bank)
     w.bank.open()
     first = w.capture()
     w.load()
     assert first["sqlserver_cards"]["ops"]["c"] == len(w.bank.tables["customers"]) + len(w.bank.tables["accounts"])
     for _ in range(3):
         w.bank.hour()
-        w.bank.write_files(w.folder)
         w.capture()
     w.load()
     w.n_alerts = w.gold()
@@ -96,8 +49,8 @@ def test_reconciliation_passes_and_is_stored(world):
     assert {c["check_name"] for c in checks} == {"row_count", "balance_sum", "audit_to_bronze_missing"}
 
 
-def test_planted_cases_are_all_found(world, spark):
-    s = {r["rule"]: r for r in quality.scores(world.tables.read("gold_fraud_alerts"), world.bank.truth_rows(spark)).collect()}
+def test_planted_cases_are_all_found(world):
+    s = {r["rule"]: r for r in world.scores().collect()}
     assert {t["rule"] for t in world.bank.truth} == {"card_velocity", "impossible_travel", "structuring"}
     for rule in {t["rule"] for t in world.bank.truth}:
         assert s[rule]["recall"] == 1.0
@@ -118,7 +71,7 @@ def test_a_second_load_finds_nothing_new(world):
 
 def test_refused_rows_are_in_the_dead_letter_topic(world):
     bad = sum(text.count("1.250,00") for text in world.bank.files.values())
-    dlq = world.topics.read(world.cfg["kafka"]["dlq_topic"]).collect()
+    dlq = world.topics.read(world.dlq).collect()
     assert len(dlq) == bad and all("invalid amount" in r["value"] for r in dlq)
 
 
@@ -134,14 +87,13 @@ def test_lineage_leads_to_stored_changes(world):
     assert {r["entity_key"] for r in found} == keys and all(r["kafka_offset"] is not None for r in found)
 
 
-def test_outbox_queue_and_service(world, tmp_path):
-    topic = world.cfg["kafka"]["alerts_topic"]
-    assert pipeline.publish_pending_alerts(world.tables, world.topics, topic) == world.n_alerts
-    assert pipeline.publish_pending_alerts(world.tables, world.topics, topic) == 0
+def test_outbox_queue_and_service(world):
+    assert world.publish() == world.n_alerts
+    assert world.publish() == 0
     store = AlertStore(world.tables)
-    counts = queue.consume(store, world.topics, topic, str(tmp_path / "ck"))
+    counts = world.consume(store, "q1")
     assert counts == {"stored": world.n_alerts, "duplicate": 0, "rejected": 0}
-    again = queue.consume(store, world.topics, topic, str(tmp_path / "ck2"))
+    again = world.consume(store, "q2")
     assert again == {"stored": 0, "duplicate": world.n_alerts, "rejected": 0}
     status, page = answer(store, "GET", "/alerts?limit=2")
     assert status == 200 and len(page) == 2
@@ -156,7 +108,6 @@ def test_outbox_queue_and_service(world, tmp_path):
 
 def test_a_failure_before_the_watermark_replays_the_same_ids(world, monkeypatch):
     world.bank.hour()
-    world.bank.write_files(world.folder)
     monkeypatch.setattr(world.tables, "upsert", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("crash")))
     with pytest.raises(RuntimeError, match="crash"):
         world.capture()

@@ -430,3 +430,58 @@ def file_csv_scan(spark, sf_dir):
     files = j.select(F.concat(F.lit("f"), F.col("n_nationkey").cast("string")).alias("name"), text.alias("content"))
     rows = csv_rows(files, "content", ["n_nationkey", "n_name", "r_name"])
     return rows.select(F.col("row.n_nationkey").cast("int").alias("n_nationkey"), "row.n_name", "row.r_name")
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A folder for the tables and topics of one run, below spark.checkpoint.dir."""
+    import uuid
+
+    from tidemark.streaming.topic_log import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext._jsc.sc().getCheckpointDir().get()}/run-{uuid.uuid4().hex}"
+
+
+STREAM_SQL = """
+WITH e AS (SELECT *, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op FROM events)
+SELECT user_id, arg_max(value, event_id) FILTER (WHERE op <> 'd') AS value, CAST(max(event_id) AS VARCHAR) AS last_event, arg_max(op, event_id) AS _op, arg_max(op, event_id) = 'd' AS _is_deleted FROM e GROUP BY user_id"""
+
+
+@query(STREAM_SQL)
+def stream_to_latest_state(spark, sf_dir):
+    """Events published to a topic, one batch of them twice, streamed into the raw table and folded into the latest state."""
+    from tidemark.sources.base import event_json, to_events
+    from tidemark.streaming.bronze import run_bronze
+    from tidemark.streaming.silver import Entity, run_silver, view
+    from tidemark.streaming.topic_log import TopicLog, message
+    from tidemark.tables import Tables
+
+    root = _scratch(spark)
+    tables, topics = Tables(spark, f"{root}/tables"), TopicLog(spark, f"{root}/topics")
+    tables.ensure()
+    topics.ensure(["events", "dead"])
+    c = _changes(spark, sf_dir).withColumn("seq", F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    image = F.to_json(F.struct("user_id", "value", "event_id"), {"ignoreNullFields": "false"})
+    null = F.lit(None).cast("string")
+    gone = F.col("op") == "d"  # a delete has its key alone, as of a source that is polled
+    ev = to_events(c, "db2", "shop", "events", ["user_id"], identity.row_json(c.schema, ["user_id"]), F.col("op"), null, F.when(~gone, image), F.col("seq"), F.date_format("ts", identity.ISO_MICROS), F.col("seq"), "trace")
+    rows = ev.select(*message(event_json(), F.col("topic_key"), {"event_id": F.col("event_id")}), F.col("source.sequence").alias("seq"))
+    entity = Entity("events", "silver_events", ["user_id"], "user_id BIGINT, value DOUBLE, event_id BIGINT")
+    # the later part first, and a part of it again
+    for part in ("seq % 2 = 1", "seq % 2 = 0", "seq % 3 = 0"):
+        topics.append("events", rows.where(part), ["seq"])
+        run_bronze(tables, topics, ["events"], f"{root}/ck/bronze", "dead")
+        run_silver(tables, [entity], f"{root}/ck/silver")
+    out = view(tables, entity)
+    return out.select("user_id", "value", F.col("_source_sequence").cast("bigint").cast("string").alias("last_event"), "_op", "_is_deleted")
+
+
+@query(f"""
+WITH a AS (SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, account_id FROM ({VELOCITY_SQL})),
+s AS (SELECT *, CASE WHEN account_id % 3 = 0 THEN 'CONFIRMED' ELSE 'OPEN' END AS status FROM a)
+SELECT status, count(*) AS n, count(DISTINCT alert_id) AS ids FROM s GROUP BY status""")
+def analyst_queue_upsert(spark, sf_dir):
+    """A repeated alert refreshes its evidence; what analysts decided stays."""
+    a = rules.as_alerts(_velocity(spark, sf_dir)).select("alert_id", "account_id", F.lit("OPEN").alias("status"))
+    decided = a.withColumn("status", F.when(F.col("account_id") % 3 == 0, "CONFIRMED").otherwise("OPEN")).where("account_id % 2 = 0 or account_id % 3 = 0")
+    return fold.upsert(decided, a, ["alert_id"], ["status"]).groupBy("status").agg(F.count("*").alias("n"), F.count_distinct("alert_id").alias("ids"))
