@@ -80,7 +80,7 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
 
 
-def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES):
+def steps(batch: pa.RecordBatch, column: str | int = "text", limit: int = STEP_BYTES):
     """Slices of a batch whose texts have at most `limit` bytes together (or hold a single row)."""
     import numpy as np
     import pyarrow.compute as pc

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import scan
-from tidemark.llm.common import dropped, narrow, release, steps, written
+from tidemark.llm.common import STEP_BYTES, dropped, narrow, release, steps, written
 
 KEYS = "h1 long, h2 long, anon boolean, doc long, rk long, pos int"
 
@@ -166,7 +166,7 @@ def with_keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
 
 def _digests(batches):
-    for b in batches:
+    for b in (part for whole in batches for part in steps(whole, limit=4 * STEP_BYTES)):
         out = [(len_, gone, hashlib.sha256(text.encode()).hexdigest()) for text, len_, gone in map(kept_text, b.column("text").to_pylist(), b.column("__ld_keep").to_pylist())]
         cols = list(zip(*out)) if out else [[], [], []]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
@@ -180,7 +180,7 @@ def line_digests(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 def _rewrite(names, text_col):
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in steps(whole, text_col, 4 * STEP_BYTES)):
             kept = [kept_text(t, k)[0] if k is not None else t for t, k in zip(b.column(text_col).to_pylist(), b.column("__ld_keep").to_pylist())]
             cols = [pa.array(kept, pa.string()) if n == text_col else b.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(cols, names=names)

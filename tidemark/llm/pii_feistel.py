@@ -31,7 +31,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import narrow
+from tidemark.llm.common import STEP_BYTES, narrow, steps
 
 ROUNDS = 10
 KINDS = ("card", "phone", "ssn", "iban", "ip", "date", "email")
@@ -275,18 +275,19 @@ def _digit_rows(column: pa.Array):
 def _rewrite(key: bytes, names: list[str], text_col: str, counts: bool):
     def run(batches):
         p = Pseudonyms(key)
-        for b in batches:
-            at = names.index(text_col)
-            some = _digit_rows(b.column(at))
-            texts = b.column(at).to_pylist()
-            found = [[] for _ in texts]
-            for i in some.nonzero()[0].tolist():
-                if texts[i] is not None:
-                    texts[i], found[i] = p.rewrite(texts[i])
-            cols = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(len(names))]
-            if counts:
-                cols += [pa.array([sum(kind == f[2] for f in x) for x in found], pa.int64()) for kind in KINDS]
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, *[f"n_{kind}" for kind in KINDS]] if counts else names)
+        at = names.index(text_col)
+        for whole in batches:
+            for b in steps(whole, column=at, limit=4 * STEP_BYTES):
+                some = _digit_rows(b.column(at))
+                texts = b.column(at).to_pylist()
+                found = [[] for _ in texts]
+                for i in some.nonzero()[0].tolist():
+                    if texts[i] is not None:
+                        texts[i], found[i] = p.rewrite(texts[i])
+                cols = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(len(names))]
+                if counts:
+                    cols += [pa.array([sum(kind == f[2] for f in x) for x in found], pa.int64()) for kind in KINDS]
+                yield pa.RecordBatch.from_arrays(cols, names=[*names, *[f"n_{kind}" for kind in KINDS]] if counts else names)
 
     return run
 
