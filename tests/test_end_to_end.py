@@ -1,12 +1,15 @@
 """The whole platform over the simulated bank: replay equals source, planted cases are found, reconciliation passes."""
 
+import json
+import threading
+import urllib.request
 from datetime import datetime
 
 import pytest
 
 from tidemark import pipeline
 from tidemark.demo import Platform
-from tidemark.service import AlertStore, answer
+from tidemark.service import AlertStore, answer, serve
 from tidemark.simulate import Bank
 
 
@@ -103,6 +106,11 @@ def test_outbox_queue_and_service(world):
     assert answer(store, "PATCH", f"/alerts/{one}", b'{"status": "LATER"}')[0] == 422
     assert answer(store, "GET", "/alerts/none")[0] == 404 and answer(store, "GET", "/alerts?limit=0")[0] == 422
     assert answer(store, "GET", "/stats")[1]["total"] == world.n_alerts
+    server = serve(store, port=0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    with urllib.request.urlopen(f"http://127.0.0.1:{server.server_port}/alerts/{one}") as r:
+        assert json.load(r)["alert_id"] == one
+    server.shutdown()
     assert answer(store, "GET", "/health")[1] == {"status": "ok", "consumer_running": False, "alerts": world.n_alerts}
 
 

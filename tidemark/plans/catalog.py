@@ -485,3 +485,43 @@ def analyst_queue_upsert(spark, sf_dir):
     a = rules.as_alerts(_velocity(spark, sf_dir)).select("alert_id", "account_id", F.lit("OPEN").alias("status"))
     decided = a.withColumn("status", F.when(F.col("account_id") % 3 == 0, "CONFIRMED").otherwise("OPEN")).where("account_id % 2 = 0 or account_id % 3 = 0")
     return fold.upsert(decided, a, ["alert_id"], ["status"]).groupBy("status").agg(F.count("*").alias("n"), F.count_distinct("alert_id").alias("ids"))
+
+
+@query("""
+SELECT c_custkey, substr(sha256('{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '","c_nationkey":' || c_nationkey || '}'), 1, 16) AS fingerprint FROM customer""")
+def row_fingerprint(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", identity.fingerprint(identity.row_json(c.schema, ["c_nationkey", "c_mktsegment", "c_custkey"])).alias("fingerprint"))
+
+
+@query("""
+WITH w AS (SELECT 's' || (user_id % 7) AS source_name, event_id, ts FROM events)
+SELECT source_name, max(event_id) AS watermark, strftime(arg_max(ts, event_id), '%Y-%m-%d %H:%M:%S') AS updated_at FROM w GROUP BY 1""")
+def control_upsert(spark, sf_dir):
+    """Watermarks written over and over: one row a source, the last written."""
+    e = events(spark, sf_dir).select(F.concat(F.lit("s"), (F.col("user_id") % 7).cast("string")).alias("source_name"), F.col("event_id").alias("watermark"), text_ts("ts").alias("updated_at"))
+    state = None
+    for part in (e.where("watermark % 2 = 0"), e):
+        state = fold.upsert(state, fold.latest(part, ["source_name"], ["watermark"]), ["source_name"])
+    return state
+
+
+@query("""
+SELECT 'f' || (o_orderkey % 10) AS file_name, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS "rows", count(*) FILTER (WHERE o_orderkey % 3 = 0) AS rejected, count(DISTINCT o_custkey) FILTER (WHERE o_orderkey % 3 <> 0) AS ids
+FROM orders WHERE o_orderkey < 500 GROUP BY 1""")
+def file_manifest_counts(spark, sf_dir):
+    """Rows, refused rows and distinct valid ids of files."""
+    from tidemark.sources.file_drop import csv_rows
+
+    o = table(spark, sf_dir, "orders").where("o_orderkey < 500")
+    line = F.concat_ws(",", F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, "1.250").otherwise("12.50"))
+    files = o.groupBy(F.concat(F.lit("f"), (F.col("o_orderkey") % 10).cast("string")).alias("file_name")).agg(F.concat(F.lit("id,amount\n"), F.array_join(F.collect_list(line), "\n")).alias("content"))
+    rows = csv_rows(files, "content", ["id", "amount"])
+    good = checks.amount(F.col("row.amount")).isNotNull()
+    return rows.groupBy("file_name").agg(F.count_if(good).alias("rows"), F.count_if(~good).alias("rejected"), F.count_distinct(F.when(good, F.col("row.id"))).alias("ids"))
+
+
+@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
+def key_set_difference(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    return table(spark, sf_dir, "customer").select("c_custkey").join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").distinct()
