@@ -17,7 +17,8 @@ passages that very many documents share out of prefixes.
    expanded to their members, and those of different components are compared. No pair of different texts that could link
    is left out: it is either compared or joined already. In a family of near copies the stars join nearly all
    members, so all pairs within it are never made.
-6. Comparison needs whole sets: a third pass makes those of candidate classes only (chosen by a filter of 2^FILTER_BITS
+6. Pairs whose parity bits (PARITY_BITS for each set) differ in too many places cannot overlap enough and go. Comparison
+   of the rest needs whole sets: a third pass makes those of candidate classes only (chosen by a filter of 2^FILTER_BITS
    bits, fixed size), and pairs meet them by joins that Spark may split when skewed.
 
 Nulls, ties, repeats: a null or empty text, or one without words, has an empty set and links with nothing; its component
@@ -42,6 +43,7 @@ from tidemark.llm.components import components
 COUNTER_BITS = 22
 CHUNK_BITS = 16
 FILTER_BITS = 24
+PARITY_BITS = 1024
 #: Star rounds are repeated while more crossing pairs than prefix rows are left, so often at most; then all are compared.
 MOST_ROUNDS = 6
 #: Longer runs of a token are passed on whole.
@@ -97,6 +99,30 @@ def set_key(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return tuple(scan.mix(scan.sums(scan.mix(h ^ U64(s)), at) + np.diff(at).astype(U64)).view(np.int64) for s in scan.STREAMS[1:3])
 
 
+def parities(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row of bits for each set: whether an odd number of its tokens falls on each of PARITY_BITS places."""
+    rows = len(at) - 1
+    place = (scan.mix(h ^ U64(scan.STREAMS[3])) >> U64(32)) % U64(PARITY_BITS)
+    place = place.astype(np.int64) + np.repeat(np.arange(rows), np.diff(at)) * PARITY_BITS
+    odd = np.bincount(place, minlength=rows * PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(rows, PARITY_BITS), axis=1)
+
+
+def _by_parity(percent: int):
+    """Pairs whose sets can overlap enough: they differ in at least as many tokens as their parities differ in bits."""
+
+    def run(batches):
+        names = ["a", "b", "a1", "a2", "b1", "b2"]
+        for b in batches:
+            na, nb = (b.column(c).to_numpy().astype(np.int64) for c in ("an", "bn"))
+            pa_, pb = (np.frombuffer(scan.raw(b.column(c))[0].tobytes(), np.uint8).reshape(-1, PARITY_BITS // 8) for c in ("ap", "bp"))
+            differ = np.bitwise_count(pa_ ^ pb).sum(axis=1, dtype=np.int64)
+            keep = pa.array(na + nb - differ >= 2 * least_overlap(na, nb, percent))
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in names], names=names)
+
+    return run
+
+
 def _profile(n: int, percent: int, counts, tags: list[str]):
     def run(batches):
         freq = counts.value
@@ -111,7 +137,7 @@ def _profile(n: int, percent: int, counts, tags: list[str]):
                 out = [ranked[a : a + k].tobytes() for a, k in zip(at[:-1].tolist(), p.tolist())]
                 inside = np.arange(len(ranked)) - np.repeat(at[:-1], size) < np.repeat(p, size)
                 p1, p2 = set_key(ranked[inside], np.concatenate(([0], np.cumsum(p))))
-                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc", *tags)], pa.array(k1), pa.array(k2), pa.array(size.astype(np.int32)), pa.array(p1), pa.array(p2), pa.array(out, pa.binary())], names=["doc", *tags, "k1", "k2", "n", "p1", "p2", "prefix"])
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc", *tags)], pa.array(k1), pa.array(k2), pa.array(size.astype(np.int32)), pa.array(p1), pa.array(p2), pa.array([x.tobytes() for x in parities(h, at)], pa.binary()), pa.array(out, pa.binary())], names=["doc", *tags, "k1", "k2", "n", "p1", "p2", "parity", "prefix"])
 
     return run
 
@@ -386,7 +412,7 @@ class Join:
     def profiles(self) -> DataFrame:
         counts = self.spark.sparkContext.broadcast(_counts(self.docs, self.n))
         tags = "".join(f"{t} long, " for t in self.tags)
-        found = self.docs.mapInArrow(_profile(self.n, self.percent, counts, list(self.tags)), f"doc long, {tags}k1 long, k2 long, n int, p1 long, p2 long, prefix binary")
+        found = self.docs.mapInArrow(_profile(self.n, self.percent, counts, list(self.tags)), f"doc long, {tags}k1 long, k2 long, n int, p1 long, p2 long, parity binary, prefix binary")
         return written(found.withColumn("row", F.monotonically_increasing_id()), "ngram-prefixes")
 
     def result(self) -> DataFrame:
@@ -394,7 +420,7 @@ class Join:
         prefixes = self.profiles()
         profiles = written(prefixes.drop("prefix"), "ngram-profiles")
         sets = profiles.where("n > 0")
-        classes = sets.groupBy("k1", "k2", "n", "p1", "p2").agg(F.min("row").alias("c"), F.min("doc").alias("doc"))
+        classes = sets.groupBy("k1", "k2", "n", "p1", "p2", "parity").agg(F.min("row").alias("c"), F.min("doc").alias("doc"))
         classes = written(classes, "ngram-classes")
         groups = classes.groupBy("n", "p1", "p2").agg(F.min("c").alias("g"), F.count("*").alias("size"))
         groups = written(groups, "ngram-groups")
@@ -409,12 +435,12 @@ class Join:
         # candidates: every class whose group shares a token, or its prefix, with another
         wanted = shared.select(F.col("g").alias("c")).distinct()
         wanted = wanted.unionByName(members.join(wanted, members["g"] == wanted["c"], "left_semi").select("c")).unionByName(members.select("c")).distinct()
-        keys = classes.join(wanted, "c", "left_semi").select("c", "k1", "k2", F.coalesce("doc", F.lit(0)).alias("doc"))
+        keys = classes.join(wanted, "c", "left_semi").select("c", "k1", "k2", "n", "parity", F.coalesce("doc", F.lit(0)).alias("doc"))
         keys = written(keys, "ngram-keys")
         bits = self.spark.sparkContext.broadcast(_candidate_filter(keys.select("k1", "k2", "doc")))
         texts = self.docs.select(F.coalesce("doc", F.lit(0)).alias("doc"), "text")
         self.whole = written(texts.mapInArrow(_sets(self.n, bits), "k1 long, k2 long, set binary"), "ngram-sets")
-        self.keys = keys.select("c", "k1", "k2")
+        self.keys = keys
         release(self.spark)
 
         labels, enough = None, shared.count() + members.count()
@@ -484,8 +510,9 @@ class Join:
         The pairs are written first, so that Spark knows their size (and broadcasts them if that is small).
         """
         whole = self.whole
-        key = lambda c: self.keys.select(F.col("c").alias(c), F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"))
-        pairs = written(pairs.join(key("a"), "a").join(key("b"), "b"), "ngram-pairs")
+        key = lambda c: self.keys.select(F.col("c").alias(c), F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"), F.col("n").alias(f"{c}n"), F.col("parity").alias(f"{c}p"))
+        able = pairs.join(key("a"), "a").join(key("b"), "b").mapInArrow(_by_parity(self.percent), "a long, b long, a1 long, a2 long, b1 long, b2 long")
+        pairs = written(able, "ngram-pairs")
         if few:
             ids = [pairs.select(F.col(f"{c}1").alias("k1"), F.col(f"{c}2").alias("k2")) for c in "ab"]
             whole = whole.join(written(ids[0].unionByName(ids[1]).distinct(), "ngram-ids"), ["k1", "k2"], "left_semi")
