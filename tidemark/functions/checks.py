@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.types import OPS
 
+# Fixed values.
 REQUIRED_TRANSFER = ("transfer_id", "debtor_iban", "creditor_iban", "amount", "booking_ts")
 
 

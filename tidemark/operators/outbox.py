@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed values.
 FIELDS = ("alert_id", "rule", "account_id", "evidence_keys", "first_evidence_ts", "last_source_commit_ts", "alert_created_at", "latency_seconds")
 
 

@@ -20,6 +20,7 @@ from tidemark.streaming.silver import Entity, view
 from tidemark.streaming.topic_log import TopicLog, message
 from tidemark.tables import Tables
 
+# Fixed values.
 LINEAGE = {"card_velocity": ("dbo.card_transactions", "tx_id"), "impossible_travel": ("dbo.card_transactions", "tx_id"), "structuring": ("partner_transfers", "transfer_id")}
 
 

@@ -46,23 +46,24 @@ def shown(alerts: DataFrame) -> DataFrame:
 
 
 def _burst_sql(base: str, k: int, w: int, rule: str) -> str:
-    """base: account, item, ts"""
+    """base: account, item, ts. The definition said with joins: an event is full if k events lie within w seconds from it on,
+    and begins a burst if no full one lies within the w seconds before."""
     return f"""
-WITH t AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM ({base})),
-w AS (SELECT *, count(*) OVER (PARTITION BY account ORDER BY s RANGE BETWEEN CURRENT ROW AND {w} FOLLOWING) AS n FROM t),
-q AS (SELECT account, s, lag(s) OVER (PARTITION BY account ORDER BY s) AS p FROM w WHERE n >= {k}),
-b AS (SELECT DISTINCT account, s FROM q WHERE p IS NULL OR s - p > {w})
-SELECT '{rule}' AS rule, CAST(b.account AS BIGINT) AS account_id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY CAST(item AS VARCHAR)) AS evidence,
-  strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
-FROM b JOIN t ON t.account = b.account AND t.s BETWEEN b.s AND b.s + {w} GROUP BY b.account, b.s"""
+WITH e AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM ({base})),
+full_ones AS (SELECT a.account, a.s FROM e a JOIN e b ON a.account = b.account AND b.s - a.s >= 0 AND b.s - a.s <= {w} GROUP BY a.account, a.s, a.item HAVING count(*) >= {k}),
+begins AS (SELECT DISTINCT account, s FROM full_ones f WHERE NOT EXISTS (SELECT 1 FROM full_ones x WHERE x.account = f.account AND x.s < f.s AND x.s >= f.s - {w}))
+SELECT '{rule}' AS rule, CAST(g.account AS BIGINT) AS account_id, array_to_string(list_sort(list(CAST(e.item AS VARCHAR))), ',') AS evidence,
+  strftime(min(e.ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(e.ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM begins g, e WHERE e.account = g.account AND e.s - g.s >= 0 AND e.s - g.s <= {w} GROUP BY g.account, g.s"""
 
 
 VELOCITY_SQL = _burst_sql("SELECT user_id AS account, event_id AS item, ts FROM events", 3, 21600, "card_velocity")
 TRAVEL_SQL = """
-SELECT 'impossible_travel' AS rule, user_id AS account_id, prev_id || ',' || event_id AS evidence,
-  strftime(prev_ts, '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(greatest(prev_ts, ts), '%Y-%m-%d %H:%M:%S') AS last_ts
-FROM (SELECT *, lag(event_type) OVER w AS prev_type, lag(ts) OVER w AS prev_ts, lag(event_id) OVER w AS prev_id FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-WHERE prev_type IS NOT NULL AND event_type <> prev_type AND CAST(floor(epoch(ts)) AS BIGINT) - CAST(floor(epoch(prev_ts)) AS BIGINT) <= 3600"""
+SELECT 'impossible_travel' AS rule, a.user_id AS account_id, a.event_id || ',' || b.event_id AS evidence,
+  strftime(a.ts, '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(greatest(a.ts, b.ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) a
+JOIN (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) b ON a.user_id = b.user_id AND b.k = a.k + 1
+WHERE a.event_type <> b.event_type AND floor(epoch(b.ts)) - floor(epoch(a.ts)) <= 3600"""
 STRUCTURING_SQL = _burst_sql("SELECT c.c_custkey AS account, o.o_orderkey AS item, o.o_orderdate AS ts FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_totalprice >= 400000 AND o.o_totalprice < 500000", 3, 730 * 86400, "structuring")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.tables import Tables
 
+# Fixed values.
 STATUSES = ("OPEN", "CONFIRMED", "DISMISSED")
 ANALYST = ("status", "note", "decided_at", "received_at")
 

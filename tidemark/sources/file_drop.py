@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import checks, identity
 from tidemark.sources.base import Capture, to_events
 
+# Fixed values.
 TRANSFER_COLUMNS = ["transfer_id", "value_date", "booking_ts", "debtor_iban", "creditor_iban", "amount", "currency", "reference"]
 
 

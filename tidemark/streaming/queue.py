@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.service import AlertStore
 from tidemark.streaming.topic_log import TopicLog
 
+# Fixed values.
 REQUIRED = ("alert_id", "rule", "account_id", "evidence_keys")
 ALERT = "alert_id STRING, rule STRING, account_id INT, evidence_keys ARRAY<STRING>, first_evidence_ts STRING, last_source_commit_ts STRING, alert_created_at STRING, latency_seconds DOUBLE"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+# Fixed values.
 OPS = ("c", "u", "d", "r")  # create, update, delete, snapshot read
 SCHEMA_VERSION = 1
 
