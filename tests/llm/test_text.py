@@ -353,6 +353,27 @@ def test_pseudonyms_keep_format_and_validity_and_can_be_undone():
             assert inner.endswith("@mail3.example.com")
 
 
+def test_phones_with_any_area_code():
+    p = pii_feistel.Pseudonyms(b"k")
+    for v in ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 (171) 055-2028", "(171) 555-2028", "+1 466-155-2028", "call.+1-017-555-7713"]:
+        new, found = p.rewrite(f"see {v}, thanks")
+        assert [f[2] for f in found] == ["phone"] and p.restore(new) == f"see {v}, thanks", v
+        was, now = (re.sub(r"\D", "", x)[-10:] for x in (v, new))
+        assert was != now and [c[0] > "1" for c in (was, was[3:])] == [c[0] > "1" for c in (now, now[3:])]
+        assert re.sub(r"\d", "0", new[4:-8]) == re.sub(r"\d", "0", v)
+    assert p.rewrite("+1 (017) 555-7713")[0][3:] == p.rewrite("(017) 555-7713")[0]
+    assert p.rewrite("017-555-7713") == ("017-555-7713", [])
+
+
+def test_planted_phones_are_gone_whatever_their_area_code(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    finds = re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}")
+    was = {r["doc_id"]: set(finds.findall(r["text"])) for r in df.collect()}
+    got = {r["doc_id"]: r for r in pii_feistel.pseudonymise(df, b"k").collect()}
+    assert sum(map(len, was.values())) > 10
+    assert not any(v in got[d]["text"] for d, vs in was.items() for v in vs) and all(got[d]["n_phone"] >= len(vs) for d, vs in was.items())
+
+
 def test_equal_values_stay_linked_in_any_spelling():
     p = pii_feistel.Pseudonyms(b"k")
     a, b = p.rewrite("4532015112830366")[0], p.rewrite("x 4532 0151 1283 0366 y")[0]

@@ -6,7 +6,8 @@ every document, so records stay linked while nobody without the key can tell who
 
 kind   rule                                                     permuted within
 card   13-19 digits, plain or in groups, Luhn                   numbers of that length and first digit; check digit made anew
-phone  North American area and exchange codes; or +country      valid codes and any line number; digits after the country code
+phone  North American, any codes after +1 or in (ddd) ddd-dddd, assignable and other codes, each among themselves, and any line
+       else assignable ones; or +country                        number; digits after the country code
 ssn    ddd-dd-dddd with assignable area, group and serial       assignable numbers
 iban   country, check digits modulo 97, account                 accounts with digits and letters at the same places; check made anew
 ip     four numbers up to 255                                   all addresses
@@ -132,10 +133,10 @@ NUMBER = re.compile(
     | (?P<dmy>\d\d?([./])\d\d?\4(?:19|20)\d\d(?![\w/]))
     | (?P<ssn>\d{3}-\d\d-\d{4}(?![\w-]))
     | (?P<card>(?:\d{13,19}|\d{4}([ -])\d{4}\7\d{4}\7\d{4}|\d{4}([ -])\d{6}\8\d{5})(?![\d-]))
-    | (?P<nanp>(?:\+?1[ .-]?)?(?:\([2-9]\d\d\)[ ]?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\d))
+    | (?P<nanp>(?:(?:\+?1[ .-]?)?\(\d{3}\)[ ]?\d{3}|\+1[ .-]?\d{3}[ .-]\d{3}|(?:1[ .-]?)?[2-9]\d\d[ .-][2-9]\d\d)[ .-]\d{4}(?!\d))
     | (?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))
     | (?P<iban>[A-Z]{2}\d\d(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-    )|(?<![\w+])(?P<intl>\+(?!1\b)\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d))|(?<!\w)(?P<plus>\+1[ .-]?(?:\([2-9]\d\d\)[ ]?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\d))""",
+    )|(?<![\w+])(?P<intl>\+(?!1\b)\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d))|(?<!\w)(?P<plus>\+1[ .-]?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))""",
     re.X,
 )
 #: A local part has 64 characters at most.
@@ -161,11 +162,15 @@ class Pseudonyms:
 
     def nanp(self, text: str, back: bool = False) -> str | None:
         digits = re.sub(r"\D", "", text)
-        area, exchange, line = int(digits[-10:-7]), int(digits[-7:-4]), int(digits[-4:])
-        x = self._walk("nanp", 800 * 800 * 10000, ((area - 200) * 800 + exchange - 200) * 10000 + line, back)
+        codes, line = (int(digits[-10:-7]), int(digits[-7:-4])), int(digits[-4:])
+        # codes from 200 on are assignable; others, found after +1 or with parentheses, are permuted among themselves
+        low = [200 if c >= 200 else 0 for c in codes]
+        area, exchange = (800 if at else 200 for at in low)
+        tweak = "nanp" if all(low) else f"nanp{low[0]},{low[1]}"
+        x = self._walk(tweak, area * exchange * 10000, ((codes[0] - low[0]) * exchange + codes[1] - low[1]) * 10000 + line, back)
         rest, line = divmod(x, 10000)
-        area, exchange = divmod(rest, 800)
-        return refill(text, digits[:-10] + f"{area + 200:03d}{exchange + 200:03d}{line:04d}")
+        first, second = divmod(rest, exchange)
+        return refill(text, digits[:-10] + f"{first + low[0]:03d}{second + low[1]:03d}{line:04d}")
 
     plus = nanp
 
