@@ -121,3 +121,14 @@ def test_catalogue_equals_its_sql(spark):
         assert sorted(df.columns) == sorted(names), name
         cols = sorted(names)
         assert shown(df.collect(), [df.columns.index(c) for c in cols]) == shown(got.fetchall(), [names.index(c) for c in cols]), name
+
+
+def test_lineage_reaches_every_alert(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.plans.catalog import QUERIES
+
+    alerts = QUERIES["card_velocity_burst"](spark, SMALL).select(F.split("evidence", ",").alias("keys"), "account_id").collect()
+    rows = QUERIES["lineage_explode_all"](spark, SMALL).collect()
+    assert any(r["account_id"] % 50 for r in alerts) and len({r["alert_id"] for r in rows}) == len(alerts)
+    assert sorted(r["entity_key"] for r in rows) == sorted(k for r in alerts for k in r["keys"])
