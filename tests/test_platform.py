@@ -132,3 +132,11 @@ def test_lineage_reaches_every_alert(spark):
     rows = QUERIES["lineage_explode_all"](spark, SMALL).collect()
     assert any(r["account_id"] % 50 for r in alerts) and len({r["alert_id"] for r in rows}) == len(alerts)
     assert sorted(r["entity_key"] for r in rows) == sorted(k for r in alerts for k in r["keys"])
+
+
+def test_manifests_count_every_order(spark):
+    from tidemark.plans.catalog import QUERIES
+
+    n = spark.read.parquet(f"{SMALL}/orders.parquet").count()
+    rows = QUERIES["file_manifest_counts_all"](spark, SMALL).collect()
+    assert n > 500 and sum(r["rows"] + r["rejected"] for r in rows) == n and all(r["rows"] + r["rejected"] <= 1000 for r in rows)

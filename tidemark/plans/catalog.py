@@ -519,21 +519,32 @@ def control_upsert(spark, sf_dir):
     return state
 
 
-@query("""
-SELECT 'f' || (o_orderkey % 10) AS file_name, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS "rows", count(*) FILTER (WHERE o_orderkey % 3 = 0) AS rejected, count(DISTINCT o_custkey) FILTER (WHERE o_orderkey % 3 <> 0) AS ids
-FROM orders WHERE o_orderkey < 500 GROUP BY 1""")
-def file_manifest_counts(spark, sf_dir):
-    """Rows, refused rows and distinct valid ids of files."""
+def _manifest(o: DataFrame, file_number) -> DataFrame:
     from tidemark.sources.file_drop import csv_rows
 
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 500")
     line = F.concat_ws(",", F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, "1.250").otherwise("12.50"))
-    files = o.groupBy(F.concat(F.lit("f"), (F.col("o_orderkey") % 10).cast("string")).alias("file_name")).agg(F.concat(F.lit("id,amount\n"), F.array_join(F.collect_list(line), "\n")).alias("content"))
+    files = o.groupBy(F.concat(F.lit("f"), file_number.cast("string")).alias("file_name")).agg(F.concat(F.lit("id,amount\n"), F.array_join(F.collect_list(line), "\n")).alias("content"))
     rows = csv_rows(files, "content", ["id", "amount"])
     good = checks.amount(F.col("row.amount")).isNotNull()
     return rows.groupBy("file_name").agg(F.count_if(good).alias("rows"), F.count_if(~good).alias("rejected"), F.count_distinct(F.when(good, F.col("row.id"))).alias("ids"))
 
 
+@query("""
+SELECT 'f' || (o_orderkey % 10) AS file_name, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS "rows", count(*) FILTER (WHERE o_orderkey % 3 = 0) AS rejected, count(DISTINCT o_custkey) FILTER (WHERE o_orderkey % 3 <> 0) AS ids
+FROM orders WHERE o_orderkey < 500 GROUP BY 1""")
+def file_manifest_counts(spark, sf_dir):
+    """Rows, refused rows and distinct valid ids of files made of the first 500 orders; file_manifest_counts_all has all orders."""
+    return _manifest(table(spark, sf_dir, "orders").where("o_orderkey < 500"), F.col("o_orderkey") % 10)
+
+
+@query("""
+SELECT 'f' || (o_orderkey // 1000) AS file_name, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS "rows", count(*) FILTER (WHERE o_orderkey % 3 = 0) AS rejected, count(DISTINCT o_custkey) FILTER (WHERE o_orderkey % 3 <> 0) AS ids
+FROM orders GROUP BY 1""")
+def file_manifest_counts_all(spark, sf_dir):
+    """The same of all orders, in files of 1,000 keys each, so that no file grows with the table."""
+    return _manifest(table(spark, sf_dir, "orders"), F.expr("o_orderkey div 1000"))
+
+
 @query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def key_set_difference(spark, sf_dir):
     o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
