@@ -140,3 +140,12 @@ def test_manifests_count_every_order(spark):
     n = spark.read.parquet(f"{SMALL}/orders.parquet").count()
     rows = QUERIES["file_manifest_counts_all"](spark, SMALL).collect()
     assert n > 500 and sum(r["rows"] + r["rejected"] for r in rows) == n and all(r["rows"] + r["rejected"] <= 1000 for r in rows)
+
+
+def test_every_order_becomes_an_update_pair(spark):
+    from tidemark.plans.catalog import QUERIES
+
+    keys = {r["o_orderkey"] for r in spark.read.parquet(f"{SMALL}/orders.parquet").select("o_orderkey").collect()}
+    rows = QUERIES["log_update_pairs_all"](spark, SMALL).collect()
+    assert len(rows) == len(keys) and {int(r["position"].split(":")[1]) for r in rows} == keys
+    assert all(r["op"] == "u" and abs(r["after_price"] - r["before_price"] - 1) < 1e-6 for r in rows)

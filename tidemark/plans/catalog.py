@@ -253,19 +253,29 @@ def log_operation_codes(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(op_of(code).alias("op")).groupBy("op").agg(F.count("*").alias("n"))
 
 
-@query("""
-SELECT o_custkey || ':' || o_orderkey AS position, CAST(o_totalprice AS DOUBLE) AS before_price, CAST(o_totalprice AS DOUBLE) + 1 AS after_price, 'u' AS op FROM orders WHERE o_orderkey % 3 = 0""")
-def log_update_pairs(spark, sf_dir):
-    """Update-before and update-after rows of a change log joined into one change."""
+def _update_pairs(o: DataFrame) -> DataFrame:
     from tidemark.sources.change_log import paired
 
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
     rows = o.select(F.col("o_custkey").cast("string").alias("lsn"), F.col("o_orderkey").cast("string").alias("seq"), F.explode(F.array(F.lit(3), F.lit(4))).alias("code"), "o_totalprice")
     rows = rows.withColumn("image", F.struct((F.col("o_totalprice") + F.when(F.col("code") == 4, 1.0).otherwise(0.0)).alias("price")))
     p = paired(rows, "lsn", "seq", "code", "image")
     return p.select(F.concat_ws(":", "lsn", "seq").alias("position"), F.col("before.price").alias("before_price"), F.col("after.price").alias("after_price"), "op")
 
 
+@query("""
+SELECT o_custkey || ':' || o_orderkey AS position, CAST(o_totalprice AS DOUBLE) AS before_price, CAST(o_totalprice AS DOUBLE) + 1 AS after_price, 'u' AS op FROM orders WHERE o_orderkey % 3 = 0""")
+def log_update_pairs(spark, sf_dir):
+    """Update-before and update-after rows of a change log joined into one change, for every third order; log_update_pairs_all has all."""
+    return _update_pairs(table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0"))
+
+
+@query("""
+SELECT o_custkey || ':' || o_orderkey AS position, CAST(o_totalprice AS DOUBLE) AS before_price, CAST(o_totalprice AS DOUBLE) + 1 AS after_price, 'u' AS op FROM orders""")
+def log_update_pairs_all(spark, sf_dir):
+    """The same of all orders."""
+    return _update_pairs(table(spark, sf_dir, "orders"))
+
+
 @query("""
 SELECT event_id, count(*) AS copies FROM (SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_id % 3 = 0) GROUP BY event_id HAVING count(*) > 1""")
 def bronze_replay_duplicates(spark, sf_dir):
