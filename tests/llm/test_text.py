@@ -374,6 +374,26 @@ def test_planted_phones_are_gone_whatever_their_area_code(spark):
     assert not any(v in got[d]["text"] for d, vs in was.items() for v in vs) and all(got[d]["n_phone"] >= len(vs) for d, vs in was.items())
 
 
+def test_common_spellings_of_phones_and_timestamps():
+    p = pii_feistel.Pseudonyms(b"k")
+    phones = ["+442079460958", "+15551234567", "+1 5551234567", "+1-(555)-1234567", "+33 1 42 68 53 00", "+49 30 123456", "+49.30.1234.5.6", "+351 21 1234567", "+1 555 1234"]
+    for v, kind in [*[(x, "phone") for x in phones], ("1985-03-12T08:00", "date"), ("1985/03/12T08:00:00.5Z", "date")]:
+        new, found = p.rewrite(f"see {v}, thanks")
+        assert [f[2] for f in found] == [kind] and new != f"see {v}, thanks" and p.restore(new) == f"see {v}, thanks", v
+        assert re.sub(r"\d", "0", new[4:-8]) == re.sub(r"\d", "0", v)
+    assert p.rewrite("1985-03-12T08:00")[0] == p.rewrite("1985-03-12")[0] + "T08:00"
+    digits = lambda v: re.sub(r"\D", "", p.rewrite(v)[0])
+    assert digits("+442079460958") == digits("+44 20 7946 0958") and digits("+14665557600") == digits("+1 (466) 555-7600") == "1" + digits("466-555-7600")
+    assert p.rewrite("+15551234567")[0][:2] == "+1" and p.rewrite("+442079460958")[0][:3] == "+44"
+    for tail, kind in (("1985-03-12", "date"), ("05/03/2020", "date"), ("123-45-6789", "ssn"), ("10.1.2.3", "ip")):
+        text = f"+33 1 42 68 53 00 {tail}"
+        new, found = p.rewrite(text)
+        assert [f[2] for f in found] == ["phone", kind] and new.startswith(p.rewrite(text[:17])[0] + " ") and p.restore(new) == text
+    assert [f[2] for f in p.rewrite("+44 4532 0151 1283 0366")[1]] == ["card"]
+    for v in ["+123456", "+1234567890123456", "1985-03-12Th", "1985-02-30T08:00"]:
+        assert p.rewrite(v) == (v, [])
+
+
 def test_equal_values_stay_linked_in_any_spelling():
     p = pii_feistel.Pseudonyms(b"k")
     a, b = p.rewrite("4532015112830366")[0], p.rewrite("x 4532 0151 1283 0366 y")[0]

@@ -7,11 +7,13 @@ every document, so records stay linked while nobody without the key can tell who
 kind   rule                                                     permuted within
 card   13-19 digits, plain or in groups, Luhn                   numbers of that length and first digit; check digit made anew
 phone  North American, any codes after +1 or in (ddd) ddd-dddd, assignable and other codes, each among themselves, and any line
-       else assignable ones; or +country                        number; digits after the country code
+       else assignable ones; or + and 7-15 digits, plain or in  number; digits after the country code
+       groups with one space, dot or hyphen between
 ssn    ddd-dd-dddd with assignable area, group and serial       assignable numbers
 iban   country, check digits modulo 97, account                 accounts with digits and letters at the same places; check made anew
 ip     four numbers up to 255                                   all addresses
-date   y-m-d, y/m/d, d.m.y, d/m/y or m/d/y that exist, 1900 on  dates 1900-2099 that are valid in the same readings
+date   y-m-d, y/m/d, d.m.y, d/m/y or m/d/y that exist, 1900 on; dates 1900-2099 that are valid in the same readings
+       y-m-d and y/m/d also before a T with a time
 email  local part before a domain                               local parts with digits and letters at the same places; the domain stays
 
 The permutation is a Feistel network on a product of two near-equal moduli with a keyed hash as round function; values outside
@@ -129,16 +131,22 @@ def _readings(a: int, b: int, y: int) -> tuple[bool, bool]:
 
 NUMBER = re.compile(
     r"""(?<![\w.+-])(?:
-      (?P<ymd>(?:19|20)\d\d([-/])\d\d?\2\d\d?(?![\w/-]))
+      (?P<ymd>(?:19|20)\d\d([-/])\d\d?\2\d\d?(?:(?=T\d)|(?![\w/-])))
     | (?P<dmy>\d\d?([./])\d\d?\4(?:19|20)\d\d(?![\w/]))
     | (?P<ssn>\d{3}-\d\d-\d{4}(?![\w-]))
     | (?P<card>(?:\d{13,19}|\d{4}([ -])\d{4}\7\d{4}\7\d{4}|\d{4}([ -])\d{6}\8\d{5})(?![\d-]))
     | (?P<nanp>(?:(?:\+?1[ .-]?)?\(\d{3}\)[ ]?\d{3}|\+1[ .-]?\d{3}[ .-]\d{3}|(?:1[ .-]?)?[2-9]\d\d[ .-][2-9]\d\d)[ .-]\d{4}(?!\d))
     | (?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))
     | (?P<iban>[A-Z]{2}\d\d(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-    )|(?<![\w+])(?P<intl>\+(?!1\b)\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d))|(?<!\w)(?P<plus>\+1[ .-]?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d))""",
+    )|(?<!\w)(?P<plus>\+1(?:[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|(?:[ .-]?\d){10})(?!\d))
+    |(?<![\w+])(?P<intl>\+(?!\d{1,3}[ -](?:\d{4}[ -]){3}\d{4}(?!\d))  # no card after a sign
+      (?:[1-9](?:[ .-]?\d){6}
+        (?:(?:[ ](?!\d{4}[/-]\d\d?[/-]\d|\d\d?[./]\d\d?[./]\d{4}(?!\d)|\d{3}-\d\d-\d{4}(?!\d)|\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))|[.-])?\d){0,8}  # up to a value of another kind
+      |0\d{0,2}(?:[ .-]\d{2,4}){2,4})(?!\d))""",
     re.X,
 )
+#: Country codes: one or two digits where those are given out, three elsewhere.
+COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 #: A local part has 64 characters at most.
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64})@([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+)")
 
@@ -175,11 +183,12 @@ class Pseudonyms:
     plus = nanp
 
     def intl(self, text: str, back: bool = False) -> str | None:
-        country, rest = re.match(r"\+(\d+)(.*)", text).groups()
-        digits = re.sub(r"\D", "", rest)
-        if not 7 <= len(country + digits) <= 15:
+        digits = re.sub(r"\D", "", text)
+        if not 7 <= len(digits) <= 15:
             return None
-        return f"+{country}" + refill(rest, str(self._walk(f"intl{country}", 10 ** len(digits), int(digits), back)).zfill(len(digits)))
+        country = COUNTRY.match(digits)[0]
+        n = len(digits) - len(country)
+        return refill(text, country + str(self._walk(f"intl{country}", 10**n, int(digits[len(country) :]), back)).zfill(n))
 
     def ssn(self, text: str, back: bool = False) -> str | None:
         area, group, serial = map(int, text.split("-"))
