@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, langid_hd, line_dedup, mixing, ngram_join, pii_feistel, queries, token_fst
+from tidemark.llm import bpe_codec, langid_hd, line_dedup, mixing, ngram_join, pii_feistel, queries, scan, token_fst
 
 MULTI = queries.vocabulary("byte_bpe_multi_50k.tiktoken")
 GPT = queries.vocabulary("byte_bpe_50k.json")
@@ -151,6 +151,42 @@ def test_a_hot_line_that_crosses_partitions(spark, docs):
     assert got == brute_lines(rows)
 
 
+def thue_morse(k):
+    """A string of 2^k letters and its complement: equal under every polynomial hash modulo a power of two."""
+    s = "a"
+    for _ in range(k):
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s, s.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_unequal_texts_are_not_taken_for_equal(docs, parts):
+    a, b = thue_morse(11)
+    texts = [a, b, f"{a} x y z w", f"{b} x y z w", "\n".join([a, b])]
+    rows = list(enumerate(texts * parts))
+    assert collections.Counter(tuple(x) for x in line_dedup.line_digests(docs(rows)).collect()) == brute_lines(rows)
+    got = ngram_join.join_components(docs(rows)).select("doc_id", "n_shingles", "component_id")
+    assert collections.Counter(tuple(x) for x in got.collect()) == brute_near(rows)
+
+
+def test_hashes_of_ranges_are_128_bits_of_the_bytes_alone():
+    r = random.Random(1)
+    pieces = [bytes(r.choice(b"ab\x00c") for _ in range(r.randrange(40))) for _ in range(20_000)]
+    ends = np.cumsum([len(p) for p in pieces])
+    x, y = scan.range_hashes(np.frombuffer(b"".join(pieces), np.uint8), ends - [len(p) for p in pieces], ends)
+    seen = {}
+    for p, *h in zip(pieces, x.tolist(), y.tolist()):
+        assert seen.setdefault(p, h) == h
+    assert len({a for a, _ in seen.values()}) == len({b for _, b in seen.values()}) == len(seen)
+
+
+def test_very_long_lines_and_texts(docs):
+    r = random.Random(9)
+    long = "".join(r.choice("abcdefgh ") for _ in range(1 << 21))
+    rows = [(1, long), (2, "\n".join([long, "x" * (1 << 21)])), (3, "y\n" * 300_000), (4, long + "z")]
+    assert collections.Counter(tuple(x) for x in line_dedup.line_digests(docs(rows)).collect()) == brute_lines(rows)
+
+
 def test_line_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert collections.Counter(tuple(x) for x in line_dedup.line_digests(odd).collect()) == brute_lines(rows)

@@ -38,12 +38,13 @@ def _line_keys(min_chars: int):
     def run(batches):
         for whole in batches:
             for b in steps(whole):
-                row, number, h1, h2, points, *_ = scan.lines(b.column("text"))
+                row, number, points, lo, hi, low = scan.lines(b.column("text"))
                 keep = points >= min_chars
+                h1, h2 = (h.view(np.int64) for h in scan.range_hashes(low, lo[keep], hi[keep]))
                 at = pa.array(row[keep])
                 doc = b.column("doc").take(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1[keep]), pa.array(h2[keep]), doc.is_null(), doc.fill_null(0), b.column("rk").take(at), pa.array(number[keep].astype(np.int32))],
+                    [pa.array(h1), pa.array(h2), doc.is_null(), doc.fill_null(0), b.column("rk").take(at), pa.array(number[keep].astype(np.int32))],
                     names=["h1", "h2", "anon", "doc", "rk", "pos"],
                 )
 

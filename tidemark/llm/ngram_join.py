@@ -1,6 +1,7 @@
 """N-gram Jaccard join: a grouped prefix join over word shingles, exact, with components of the links.
 
-A document's set is its distinct n-word shingles (64-bit hashes; A-Z lower-cased). Two link when 100 * intersection >=
+A document's set is its distinct n-word shingles (A-Z lower-cased), hashed to 128 bits: the key of a set, which decides which
+sets are equal, is made of all of them, and pairs are compared by the first 64. Two link when 100 * intersection >=
 percent * union. The order of tokens that prefixes follow is (estimated document frequency, hash): the estimate comes
 from one counter array of fixed size over all texts, and any order gives the same links; rare tokens first keeps
 passages that very many documents share out of prefixes.
@@ -56,7 +57,7 @@ def _count_tokens(n: int):
         total = np.zeros(1 << COUNTER_BITS, dtype=np.uint32)
         for whole in batches:
             for b in steps(whole):
-                h, _ = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
+                h, _, _ = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
                 np.add.at(total, (h >> U64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
         parts = total.reshape(-1, 1 << CHUNK_BITS)
         at = [i for i in range(len(parts)) if parts[i].any()]
@@ -94,9 +95,9 @@ def prefix_length(size: np.ndarray, percent: int) -> np.ndarray:
     return size - (percent * size + 99) // 100 + 1
 
 
-def set_key(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 128-bit key of each set: two sums of independently mixed tokens."""
-    return tuple(scan.mix(scan.sums(scan.mix(h ^ U64(s)), at) + np.diff(at).astype(U64)).view(np.int64) for s in scan.STREAMS[1:3])
+def set_key(h: np.ndarray, also: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 128-bit key of each set: sums of the mixed tokens, from either half of their hashes."""
+    return tuple(scan.mix(scan.sums(scan.mix(x ^ U64(s)), at) + np.diff(at).astype(U64)).view(np.int64) for x, s in zip((h, also), scan.STREAMS[1:3]))
 
 
 def parities(h: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -128,15 +129,15 @@ def _profile(n: int, percent: int, counts, tags: list[str]):
         freq = counts.value
         for whole in batches:
             for b in steps(whole):
-                h, at = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
+                h, also, at = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
                 size = np.diff(at)
-                k1, k2 = set_key(h, at)
+                k1, k2 = set_key(h, also, at)
                 order = np.lexsort((h, freq[(h >> U64(64 - COUNTER_BITS)).astype(np.int64)], np.repeat(np.arange(len(size)), size)))
                 ranked = h[order]
                 p = np.where(size > 0, prefix_length(size, percent), 0)
                 out = [ranked[a : a + k].tobytes() for a, k in zip(at[:-1].tolist(), p.tolist())]
                 inside = np.arange(len(ranked)) - np.repeat(at[:-1], size) < np.repeat(p, size)
-                p1, p2 = set_key(ranked[inside], np.concatenate(([0], np.cumsum(p))))
+                p1, p2 = set_key(ranked[inside], also[order][inside], np.concatenate(([0], np.cumsum(p))))
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc", *tags)], pa.array(k1), pa.array(k2), pa.array(size.astype(np.int32)), pa.array(p1), pa.array(p2), pa.array([x.tobytes() for x in parities(h, at)], pa.binary()), pa.array(out, pa.binary())], names=["doc", *tags, "k1", "k2", "n", "p1", "p2", "parity", "prefix"])
 
     return run
@@ -390,8 +391,8 @@ def _sets(n: int, bits):
         member = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
         for whole in batches:
             for b in steps(whole):
-                h, at = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
-                k1, k2 = set_key(h, at)
+                h, also, at = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
+                k1, k2 = set_key(h, also, at)
                 hit = np.flatnonzero(member[_filter_place(k1, k2, b.column("doc").to_numpy())] & (np.diff(at) > 0))
                 out = pa.array([h[at[i] : at[i + 1]].tobytes() for i in hit.tolist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(k1[hit]), pa.array(k2[hit]), out], names=["k1", "k2", "set"])

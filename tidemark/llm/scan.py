@@ -5,13 +5,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
-#: Odd multipliers for polynomial hashes modulo 2^64, and constants of a 64-bit finaliser.
-BASES = (0x9E6C63D0876A3F6B, 0xD1342543DE82EF95)
+#: Constants of a 64-bit finaliser, and of independent streams.
 MIX_A, MIX_B = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 STREAMS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
 
+#: Masks of the first k of eight bytes.
+BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U64)
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -27,25 +29,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i below n (kept, and grown by doubling)."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(1 << 20, 1 << int(n).bit_length())
-        pair = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, dtype=U64)
-            p[0] = 1
-            pair.append(np.multiply.accumulate(p))
-        if n > 1 << 22:
-            return pair[0], pair[1]  # too large to keep
-        _powers[base] = have = (pair[0], pair[1])
-    return have
-
-
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row and where each begins and ends (n + 1 offsets). A null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -77,33 +60,39 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """A 64-bit hash of each byte range; equal ranges have equal hashes wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    up, down = powers(base, len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(U64) * U64(0x9E3779B97F4A7C15))
+def digests(pieces) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hashes (XXH3, which isn't linear in its input) of byte strings, as two arrays of 64 bits."""
+    out = np.frombuffer(b"".join([xxhash.xxh3_128_digest(p) for p in pieces]), dtype=">u8").reshape(-1, 2)
+    return out[:, 0].astype(U64), out[:, 1].astype(U64)
 
 
-def shingle_hashes(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-word shingles of each text (A-Z lower-cased), with repeats, and n + 1 offsets.
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hashes of byte ranges (words, lines); equal ranges have equal hashes wherever they stand.
 
-    A text with fewer than n words, but one at least, has its whole sequence as one shingle; one without words none.
+    Up to 15 bytes and their number are 128 bits themselves, which a bijection spreads: no two such ranges share a hash.
+    Longer ones go through digests().
     """
-    data, offsets = raw(column)
-    data = LOWER[data]
-    starts, ends, first = words(data, offsets)
-    h = segment_hashes(data, starts, ends, BASES[0])
-    count = np.diff(first)
-    each = np.where(count >= n, count - n + 1, np.minimum(count, 1))
-    out_at = np.concatenate(([0], np.cumsum(each)))
-    if not len(h):
-        return np.zeros(0, U64), out_at
-    coef = powers(BASES[1], 64)[0][1 : n + 1] if n < 63 else powers(BASES[1], n + 2)[0][1 : n + 1]
+    size = ends - starts
+    padded = np.concatenate((data, np.zeros(16, np.uint8)))
+    at = np.ndarray((len(data) + 9,), dtype="<u8", buffer=padded, strides=(1,))  # eight bytes from every place on
+    held = np.minimum(size, 15)
+    x = at[starts] & BYTES[np.minimum(held, 8)]
+    y = (at[starts + 8] & BYTES[np.maximum(held - 8, 0)]) | held.astype(U64) << U64(56)
+    for s in STREAMS[:2]:
+        x ^= mix(y ^ U64(s))
+        y ^= mix(x + U64(s))
+    long = np.flatnonzero(size > 15)
+    if len(long):
+        text = data.tobytes()
+        x[long], y[long] = digests([text[lo:hi] for lo, hi in zip(starts[long].tolist(), ends[long].tolist())])
+    return x, y
+
+
+def _window(h: np.ndarray, first: np.ndarray, count: np.ndarray, out_at: np.ndarray, n: int) -> np.ndarray:
+    """The hash of every n words one after the other, from the words' own; of all of them where there are fewer."""
+    coef = mix(np.arange(1, n + 1, dtype=U64) * U64(STREAMS[1])) | U64(1)
     out = np.zeros(out_at[-1], dtype=U64)
+    each = np.diff(out_at)
     if len(h) >= n:
         rolled = np.zeros(len(h) - n + 1, dtype=U64)
         for k in range(n):
@@ -119,13 +108,32 @@ def shingle_hashes(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
             for k in range(m):
                 s += h[first[:-1][short] + k] * coef[k]
             out[out_at[:-1][short]] = s
-    return mix(out ^ U64(STREAMS[0])), out_at
+    return mix(out ^ U64(STREAMS[0]))
+
+
+def shingle_hashes(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit hashes (two arrays) of the n-word shingles of each text (A-Z lower-cased), with repeats, and n + 1 offsets.
+
+    A text with fewer than n words, but one at least, has its whole sequence as one shingle; one without words none.
+    """
+    data, offsets = raw(column)
+    data = LOWER[data]
+    starts, ends, first = words(data, offsets)
+    count = np.diff(first)
+    each = np.where(count >= n, count - n + 1, np.minimum(count, 1))
+    out_at = np.concatenate(([0], np.cumsum(each)))
+    if not len(starts):
+        return np.zeros(0, U64), np.zeros(0, U64), out_at
+    return *(_window(h, first, count, out_at, n) for h in range_hashes(data, starts, ends)), out_at
 
 
-def distinct(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's hashes sorted and without repeats."""
-    parts = [np.unique(hashes[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-    return (np.concatenate(parts) if parts else np.zeros(0, U64)), np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
+def distinct(h: np.ndarray, also: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's hashes sorted and without repeats, what stands beside them, and the offsets."""
+    order = np.concatenate([np.zeros(0, np.int64), *[lo + np.argsort(h[lo:hi]) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist())]])
+    h, row = h[order], np.repeat(np.arange(len(at) - 1), np.diff(at))
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    return h[new], also[order[new]], np.concatenate(([0], np.cumsum(new)))[at]
 
 
 def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -134,11 +142,11 @@ def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def lines(column: pa.Array):
+def lines(column: pa.Array) -> tuple[np.ndarray, ...]:
     """Every line of every text (split at \\n; an empty text is one empty line).
 
-    Gives: row of each line, its number in the text, 128-bit key hash as two int64 arrays, code points of its key
-    (white stripped at both ends), start and end of the line in the data, and the data.
+    Gives: row of each line, its number in the text, code points of its key (white stripped at both ends), start and end
+    of the key in the data, and the data with A-Z lower-cased.
     """
     data, offsets = raw(column)
     n_text = len(offsets) - 1
@@ -164,9 +172,7 @@ def lines(column: pa.Array):
     b = np.where(some, (solid[np.maximum(hi - 1, 0)] if len(solid) else 0) + 1, starts)
     heads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
     points = heads[b] - heads[a]
-    low = LOWER[data]
-    h1, h2 = (segment_hashes(low, a, b, base).view(np.int64) for base in BASES)
-    return row, number, h1, h2, points, starts, ends, data
+    return row, number, points, a, b, LOWER[data]
 
 
 def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
