@@ -74,6 +74,37 @@ def test_factor_one_is_exact(spark, rows):
     assert sum(g[2] == w[2] for g, w in zip(got, want)) >= 0.99 * len(want)
 
 
+def exact_neighbours(rows, k=5):
+    """By numpy, with the same sums: (query, rank, id, cosine)."""
+    rows = usable(rows, zero_too=False)
+    ids, m = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    norm = np.sqrt((m * m).sum(axis=1))
+    out = []
+    for q in np.flatnonzero(ids % 50 == 0):
+        score = (m * m[q]).sum(axis=1) / (norm * norm[q])
+        other = np.flatnonzero(ids != ids[q])
+        best = other[np.lexsort((ids[other], -score[other]))][:k]
+        out += [(int(ids[q]), r + 1, int(ids[i]), float(score[i])) for r, i in enumerate(best)]
+    return sorted(out)
+
+
+SIGNS = [[1.0 if n >> k & 1 else -1.0 for k in range(8)] for n in range(256)]
+POWERS = [(i, [2.0 ** (i % 13 - 6) * x for x in (1.0, 3.0, -2.0, 0.5)]) for i in range(1, 31)] + [(50, [1.0, 3.0, -2.0, 0.5])]
+SCALED = [(i, [float(np.float32(x * (1 + i * 0.37))) for x in (0.3, -1.1, 0.77)]) for i in range(600)]
+TIES = [(i, SIGNS[i * 7 % 256]) for i in range(500)]
+
+
+@pytest.mark.parametrize("rows", [POWERS, SCALED, TIES, TIES + [(50, [1.0] * 8), (50, [2.0] * 8), (50, [1.0] * 7 + [-1.0])]])
+def test_ties_go_to_the_smaller_id(spark, rows):
+    df = vectors(spark, rows)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vptree.nearest(df, df.where("vec_id % 50 = 0"), factor=1.0).collect())
+    asked = {g[0] for g in got}
+    want = exact_neighbours(rows)
+    if len({i for i, _ in rows}) == len(rows):
+        assert got == [w for w in want if w[0] in asked] and 50 in asked
+    assert all(g[0] != g[2] for g in got)
+
+
 @pytest.mark.parametrize("clusters", [0, 40])
 def test_recall_with_the_production_factor(spark, clusters):
     rows = random_rows(3000, 32, 6, clusters)
@@ -110,7 +141,7 @@ def test_pruning_skips_leaves_and_a_larger_factor_more():
         n = [0]
         leaf = tree._leaf
         tree._leaf = lambda places, who, n=n, leaf=leaf: (n.__setitem__(0, n[0] + len(who)), leaf(places, who))
-        tree.search(tree.points[:50], 7, factor)
+        tree.search(np.full(50, -1), tree.points[:50], np.ones(50), factor)
         visits.append(n[0])
     leaves = 4000 / vptree.LEAF
     assert visits[1] < visits[0] < 50 * leaves * 0.5

@@ -6,9 +6,13 @@ at distance d than max(d - largest, smallest - d). It is skipped if `factor` tim
 distance so far: factor 1 is the triangle inequality itself and gives exact search, larger ones skip more.
 A block of queries first falls to its home leaves, which sets the distances to beat, and then passes the tree once.
 
-Equal vectors are one point of the tree with their k + 1 smallest ids, which is all that k neighbours other than the
-query itself can need; so a vector that a third of all rows share costs no more than any other. Scores are recomputed
-from the original vectors in double precision. Shards and blocks meet as vectors.py says.
+Ranking is by the measure itself: wherever a point may be among the k best, its cosine is computed from the original
+components in double precision, and places go by (cosine, id). Distances only choose what is looked at, and SLACK, more than
+their rounding errors come to, is allowed for when a half is skipped; so factor 1 gives what brute force gives, ties included.
+
+Vectors that are equal but for a power of two have the same cosines to the last bit. They are one point of the tree with
+their k + 1 smallest ids, which is all that k neighbours other than the query itself can need; so a vector that a third of
+all rows share costs no more than any other. Shards and blocks meet as vectors.py says.
 
 Nulls, ties, repeats: rows with a null id, a null or zero vector or a null or non-finite component take no part; ties go
 to the smaller id; rows equal in id and vector count once, and rows that repeat an id are never neighbours of their own id; vectors of different lengths count as
@@ -26,28 +30,38 @@ from tidemark.llm import vectors
 
 LEAF = 64
 FACTOR = 1.2
+#: Rounding errors of distances between unit vectors are below it (of a cosine some 1e-15, of a distance near 0 its root).
+SLACK = 1e-6
+#: Cosines from matrix products and from sums of products differ by less.
+BLUR = 1e-12
 
 
 def rescaled(m: np.ndarray) -> np.ndarray:
-    """Rows of extreme size by a power of two, which leaves cosines as they are, to where squares neither overflow nor vanish."""
+    """Rows by a power of two, which leaves cosines as they are, so that their largest component is between a half and 1."""
     top = np.abs(m).max(axis=1) if m.size else np.ones(len(m))
-    odd = (top > 1e100) | ((top < 1e-100) & (top > 0))
-    if odd.any():
-        m = m.copy()
-        m[odd] = np.ldexp(m[odd], -np.frexp(top[odd])[1][:, None])
-    return m
+    return np.ldexp(m, -np.frexp(np.where(top > 0, top, 1.0))[1][:, None])
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of unit rows."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * (a @ b.T), 0.0))
 
 
 class Tree:
     """Nodes are tuples: ("leaf", places) or (vantage, near half, far half, four bounds)."""
 
     def __init__(self, ids: np.ndarray, m: np.ndarray, k: int, seed: int = 0):
-        m = rescaled(m)
+        self.k = k
+        m = rescaled(m) + 0.0  # -0 and 0 are equal
         bits = np.ascontiguousarray(m).view([("", m.dtype)] * m.shape[1]).ravel() if m.shape[1] else np.zeros(len(m))
         _, first, group = np.unique(bits, return_index=True, return_inverse=True)
         by = np.argsort(group, kind="stable")
         start = np.searchsorted(group[by], np.arange(len(first)))
         self.members = [np.unique(ids[by[a:b]])[: k + 1] for a, b in zip(start, [*start[1:], len(by)])]
+        #: the smallest id of each point, and the one that stands for it where that is the query's own (-1: none)
+        self.first = np.array([x[0] for x in self.members], dtype=np.int64)
+        self.alone = np.array([len(x) == 1 for x in self.members], dtype=bool)
+        self.second = np.array([x[min(1, len(x) - 1)] for x in self.members], dtype=np.int64)
         self.original = m[first]
         self.norms = np.sqrt((self.original * self.original).sum(axis=1))
         self.points = self.original / self.norms[:, None]
@@ -65,25 +79,38 @@ class Tree:
         bounds = (d[order[0]], d[order[half - 1]], d[order[half]], d[order[-1]])
         return (v, self._grow(near), self._grow(far), bounds)
 
-    def search(self, m: np.ndarray, keep: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Places (-1: none) and distances of the `keep` nearest points found for each row of the unit matrix m."""
-        self.q = m
-        self.place = np.full((len(m), keep), -1, dtype=np.int64)
-        self.dist = np.full((len(m), keep), np.inf)
+    def search(self, ids: np.ndarray, m: np.ndarray, norms: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places (-1: none) and cosines of the k best points found for each query: its id, its row and the row's norm."""
+        self.ids, self.raw, self.own = ids, m, norms
+        self.q = m / norms[:, None]
+        self.place = np.full((len(m), self.k), -1, dtype=np.int64)
+        self.score = np.full((len(m), self.k), -np.inf)
         home = np.full(len(m), -1, dtype=np.int64)
         self._fall(self.root, np.arange(len(m)), home, [0])
         self._pass(self.root, np.arange(len(m)), home, [0], factor)
-        return self.place, self.dist
+        return self.place, self.score
 
     def _leaf(self, places: np.ndarray, who: np.ndarray) -> None:
-        d = distances(self.q[who], self.points[places])
-        every_d = np.hstack((self.dist[who], d))
-        every_p = np.hstack((self.place[who], np.broadcast_to(places, d.shape)))
-        keep = self.dist.shape[1]
-        pick = np.argpartition(every_d, keep - 1, axis=1)[:, :keep]
-        pick = np.take_along_axis(pick, np.argsort(np.take_along_axis(every_d, pick, 1), axis=1, kind="stable"), 1)
-        self.dist[who] = np.take_along_axis(every_d, pick, 1)
-        self.place[who] = np.take_along_axis(every_p, pick, 1)
+        rough = self.q[who] @ self.points[places].T
+        row, col = np.nonzero(rough >= self.score[who, -1][:, None] - BLUR)
+        query, point = who[row], places[col]
+        ok = ~(self.alone[point] & (self.first[point] == self.ids[query]))
+        query, point = query[ok], point[ok]
+        if not len(query):
+            return
+        exact = np.concatenate([self._cosine(query[lo : lo + 8192], point[lo : lo + 8192]) for lo in range(0, len(query), 8192)])
+        some = np.unique(query)
+        query = np.concatenate((query, np.repeat(some, self.k)))
+        point = np.concatenate((point, self.place[some].ravel()))
+        exact = np.concatenate((exact, self.score[some].ravel()))
+        stands = np.where(point >= 0, np.where(self.first[point] == self.ids[query], self.second[point], self.first[point]), np.iinfo(np.int64).max)
+        order = np.lexsort((stands, -exact, query))
+        begin = np.searchsorted(query[order], some)
+        best = order[begin[:, None] + np.arange(self.k)]
+        self.place[some], self.score[some] = point[best], exact[best]
+
+    def _cosine(self, query: np.ndarray, point: np.ndarray) -> np.ndarray:
+        return (self.original[point] * self.raw[query]).sum(axis=1) / (self.norms[point] * self.own[query])
 
     def _fall(self, node, who, home, counter) -> None:
         """Every query to one leaf; leaves are numbered in the order of the pass."""
@@ -110,12 +137,8 @@ class Tree:
         d = distances(self.q[who], self.points[v : v + 1])[:, 0] if len(who) else np.zeros(0)
         for child, low, high in ((near, near_min, near_max), (far, far_min, far_max)):
             bound = np.maximum(np.maximum(d - high, low - d), 0.0)
-            self._pass(child, who[bound * factor <= self.dist[who, -1]], home, counter, factor)
-
-
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of unit rows."""
-    return np.sqrt(np.maximum(2.0 - 2.0 * (a @ b.T), 0.0))
+            reach = np.sqrt(np.maximum(2.0 - 2.0 * self.score[who, -1], 0.0)) + SLACK
+            self._pass(child, who[bound * factor <= reach], home, counter, factor)
 
 
 def _search(k: int, factor: float):
@@ -125,20 +148,18 @@ def _search(k: int, factor: float):
     def search(tree, query_ids, m):
         m = rescaled(m)  # components that the shard's vectors lack count in the norm alone
         norms = np.sqrt((m * m).sum(axis=1))
-        cut = vectors.fit(m, tree.original.shape[1])
-        place, _ = tree.search(cut / norms[:, None], k + 2, factor)
+        place, score = tree.search(query_ids, vectors.fit(m, tree.original.shape[1]), norms, factor)
         qi, vi, sc = [], [], []
         for i, q in enumerate(query_ids):
             at = place[i][place[i] >= 0]
-            score = (tree.original[at] * cut[i]).sum(axis=1) / (tree.norms[at] * norms[i])
             ids = np.concatenate([tree.members[p] for p in at]) if len(at) else np.zeros(0, np.int64)
-            score = np.repeat(score, [len(tree.members[p]) for p in at])
+            each = np.repeat(score[i][: len(at)], [len(tree.members[p]) for p in at])
             other = ids != q
-            ids, score = ids[other], score[other]
-            top = np.lexsort((ids, -score))[:k]
+            ids, each = ids[other], each[other]
+            top = np.lexsort((ids, -each))[:k]
             qi.append(np.full(len(top), i))
             vi.append(ids[top])
-            sc.append(score[top])
+            sc.append(each[top])
         return np.concatenate(qi), np.concatenate(vi), np.concatenate(sc)
 
     return build, search
