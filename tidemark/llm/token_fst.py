@@ -12,8 +12,9 @@ A byte-level BPE vocabulary is compiled into two deterministic machines.
    kept in a dense table (states x byte classes); past MAX_STATES the table starts anew.
 
 Pieces are lanes that step through the table together. A piece longer than CHUNK bytes is cut into chunks, each of which
-gives a map from an entry state to (exit state, count); maps are evaluated for the entry that a short run-up suggests,
-composed by a parallel prefix scan, and evaluated again only where the composed entry differs.
+has a map from entry states to (exit state, count). Its entries are the states that run-ups of several lengths end in, and every
+exit in the map of the chunk before; so the maps of a piece can be composed from its first state on. They are composed for
+all chunks at once by a parallel prefix scan, which doubles the stretch that each map covers in every step.
 
 Strings of the vocabulary's added tokens are matched first, as the library does by default, and count as one token each.
 
@@ -36,7 +37,7 @@ from tidemark.llm.common import narrow, steps
 
 MAX_STATES = 1 << 18
 CHUNK = 256
-RUN_UP = 64
+RUN_UPS = (64, 63, 61, 48)
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: What follows an apostrophe in a contraction.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -184,26 +185,39 @@ class Transducer:
         return out
 
     def _chunked(self, cols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Chunk maps, composed by a prefix scan over all chunks of all pieces at once."""
+        """Tokens of long pieces: the chunks' maps, for all pieces at once, composed by a prefix scan."""
         per = -(-lengths // CHUNK)
         piece = np.repeat(np.arange(len(starts)), per)
         first = np.cumsum(per) - per
         number = np.arange(len(piece)) - first[piece]
         at = starts[piece] + number * CHUNK
         n = np.minimum(CHUNK, lengths[piece] - number * CHUNK)
-        zero = np.zeros(len(piece), dtype=np.int32)
-        run_up = np.minimum(RUN_UP, number * CHUNK)
-        entry = self.run(cols, at - run_up, run_up, zero)[0]  # a guess, but exact for the first chunk
-        leave, count = self.run(cols, at, n, entry)
-        head = number == 0
-        while True:
-            due = np.where(head, 0, np.concatenate((zero[:1], leave[:-1])))
-            wrong = np.flatnonzero(due != entry)
-            if not len(wrong):
-                break
-            entry[wrong] = due[wrong]
-            leave[wrong], count[wrong] = self.run(cols, at[wrong], n[wrong], entry[wrong])
-        return np.add.reduceat(count, first)
+        final = number == per[piece] - 1
+        chunk, entry, leave, count = self._maps(cols, at, n, number, final)
+        # an entry of a map points to the entry of the next map that it leaves by; behind the last map is nothing to count
+        key = chunk << 32 | entry
+        after = np.where(final[chunk], len(key), np.searchsorted(key, (chunk + 1) << 32 | leave))
+        after, total = np.append(after, len(key)), np.append(count, 0)
+        while (after != len(key)).any():
+            total += total[after]
+            after = after[after]
+        return total[np.searchsorted(key, first << 32)]
+
+    def _maps(self, cols, at, n, number, final) -> tuple[np.ndarray, ...]:
+        """Entries of the maps, ordered by chunk and entry state: chunk, entry state, exit state, count."""
+        every = np.arange(len(at))
+        zero = np.zeros(len(at), dtype=np.int32)
+        suggested = [np.where(number == 0, 0, self.run(cols, at - up, up, zero)[0]) for up in (np.minimum(r, number * CHUNK) for r in RUN_UPS)]
+        due = np.unique(np.concatenate([every << 32 | s for s in suggested]))
+        known, leave, count = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        while len(due):
+            chunk, entry = due >> 32, due & 0xFFFFFFFF
+            to, gain = self.run(cols, at[chunk], n[chunk], entry)
+            known, leave, count = (np.concatenate(x) for x in ((known, due), (leave, to), (count, gain)))
+            on = ~final[chunk]
+            due = np.setdiff1d((chunk[on] + 1) << 32 | to[on], known)
+        order = np.argsort(known)
+        return known[order] >> 32, known[order] & 0xFFFFFFFF, leave[order], count[order]
 
 
 class Counter:
