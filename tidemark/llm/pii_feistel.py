@@ -1,7 +1,7 @@
 """Personal data: format-preserving Feistel pseudonyms.
 
 Numbers and dates that pass their own validity rule are replaced by a keyed permutation of the values of the same format:
-the replacement is valid by the same rule, has the same separators and lengths, and equal values get equal replacements in
+the replacement is valid by the same rule, has the same separators and lengths (of addresses the length may differ), and equal values get equal replacements in
 every document, so records stay linked while nobody without the key can tell whose they are.
 
 kind   rule                                                     permuted within
@@ -12,9 +12,10 @@ phone  North American, any codes after +1 or in (ddd) ddd-dddd, assignable and o
 ssn    ddd-dd-dddd with assignable area, group and serial       assignable numbers
 iban   country, check digits modulo 97, account                 accounts with digits and letters at the same places; check made anew
 ip     four numbers up to 255                                   all addresses
-date   y-m-d, y/m/d, d.m.y, d/m/y or m/d/y that exist, 1900 on; dates 1900-2099 that are valid in the same readings
-       y-m-d and y/m/d also before a T with a time
-email  local part before a domain                               local parts with digits and letters at the same places; the domain stays
+date   y-m-d, y/m/d, d.m.y, d/m/y or m/d/y that exist, 1900 on; dates 1900-2099 that are valid in the same readings and have as
+       y-m-d and y/m/d also before a T with a time              many digits in each place
+email  local part before a domain                               local parts with digits and letters at the same places, each letter
+                                                                of its own alphabet and case; the domain stays
 
 The permutation is a Feistel network on a product of two near-equal moduli with a keyed hash as round function; values outside
 the format's range are permuted again until they fall inside (cycle walking), so it is a bijection and `restore` inverts it.
@@ -29,6 +30,7 @@ import calendar
 import hashlib
 import math
 import re
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -47,7 +49,8 @@ class Permutation:
         self.size = size
         self.a = max(1, math.isqrt(size - 1) + 1) if size > 1 else 1
         self.b = -(-size // self.a)
-        self.key = hashlib.blake2b(tweak.encode(), key=key, digest_size=32).digest()
+        short = key if len(key) <= hashlib.blake2b.MAX_KEY_SIZE else hashlib.blake2b(key).digest()
+        self.key = hashlib.blake2b(tweak.encode(), key=short, digest_size=32).digest()
 
     def _round(self, i: int, value: int) -> int:
         return int.from_bytes(hashlib.blake2b(b"%d|%d" % (i, value), key=self.key, digest_size=32).digest(), "big")
@@ -93,30 +96,37 @@ def refill(shape: str, symbols: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
-def _radixes(text: str) -> list[tuple[int, str]]:
-    tables = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    return [(len(t), t) for c in text for t in tables if c in t]
+ASCII = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
+@lru_cache(4096)
+def alphabet(c: str) -> str:
+    """The characters that c may be replaced by: those of its class, or beyond ASCII the letters and digits of its own kind among
+    the 128 code points that it lies in. Empty for others, which stay."""
+    if c.isascii():
+        return next((t for t in ASCII if c in t), "")
+    if not c.isalnum():
+        return ""
+    low = ord(c) & ~127
+    return "".join(x for x in map(chr, range(low, low + 128)) if unicodedata.category(x) == unicodedata.category(c) and x.isalnum())
 
 
 def pack(text: str) -> tuple[int, int, str]:
     """Letters and digits as one number in mixed radix, how many such there are, and the pattern of classes."""
     value, size, pattern = 0, 1, ""
     for c in text:
-        if not (c.isascii() and c.isalnum()):
-            pattern += c
-            continue
-        n, table = _radixes(c)[0]
-        value, size = value * n + table.index(c), size * n
-        pattern += table[0]
+        table = alphabet(c)
+        if table:
+            value, size = value * len(table) + table.index(c), size * len(table)
+        pattern += table[0] if table else c
     return value, size, pattern
 
 
 def unpack(value: int, pattern: str) -> str:
     out = []
     for c in reversed(pattern):
-        if c in "0aA":
-            n, table = _radixes(c)[0]
-            value, k = divmod(value, n)
+        if table := alphabet(c):
+            value, k = divmod(value, len(table))
             out.append(table[k])
         else:
             out.append(c)
@@ -129,6 +139,17 @@ def _readings(a: int, b: int, y: int) -> tuple[bool, bool]:
     return ok(a, b), ok(b, a)
 
 
+def _widths(parts: list[str]):
+    """The digits of each number (empty if all have two), and whether others can be written with as many."""
+    short = [len(p) == 1 for p in parts]
+    wide = "".join(str(len(p)) for p in parts) if any(short) else ""
+    return wide, lambda *values: not any(s and v > 9 for s, v in zip(short, values))
+
+
+def _padded(value: int, like: str) -> str:
+    return str(value).zfill(len(like))
+
+
 NUMBER = re.compile(
     r"""(?<![\w.+-])(?:
       (?P<ymd>(?:19|20)\d\d([-/])\d\d?\2\d\d?(?:(?=T\d)|(?![\w/-])))
@@ -148,7 +169,7 @@ NUMBER = re.compile(
 #: Country codes: one or two digits where those are given out, three elsewhere.
 COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 #: A local part has 64 characters at most.
-EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{1,64})@([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+)")
+EMAIL = re.compile(r"(?<![\w.%+-])([\w.%+-]{1,64})@([^\W_][\w-]{0,62}(?:\.[\w-]{1,63})+)")
 
 
 class Pseudonyms:
@@ -217,23 +238,27 @@ class Pseudonyms:
 
     def ymd(self, text: str, back: bool = False) -> str | None:
         sep = text[4]
-        y, m, d = map(int, text.split(sep))
-        good = lambda x: _readings(x % 31 + 1, x // 31 % 12 + 1, x // 372 + 1900)[0]
+        parts = text.split(sep)
+        y, m, d = map(int, parts)
         if not (1 <= m <= 12 and _readings(d, m, y)[0]):
             return None
-        x = self._walk("ymd", 200 * 372, (y - 1900) * 372 + (m - 1) * 31 + d - 1, back, good)
-        return f"{x // 372 + 1900}{sep}{x // 31 % 12 + 1:02d}{sep}{x % 31 + 1:02d}"
+        wide, fits = _widths(parts[1:])
+        good = lambda x: _readings(x % 31 + 1, x // 31 % 12 + 1, x // 372 + 1900)[0] and fits(x // 31 % 12 + 1, x % 31 + 1)
+        x = self._walk(f"ymd{wide}", 200 * 372, (y - 1900) * 372 + (m - 1) * 31 + d - 1, back, good)
+        return f"{x // 372 + 1900}{sep}{_padded(x // 31 % 12 + 1, parts[1])}{sep}{_padded(x % 31 + 1, parts[2])}"
 
     def dmy(self, text: str, back: bool = False) -> str | None:
         sep = "." if "." in text else "/"
-        a, b, y = map(int, text.split(sep))
+        parts = text.split(sep)
+        a, b, y = map(int, parts)
         same = lambda r: r[:1] if sep == "." else r  # noqa: E731  with dots, the day comes first
         kind = same(_readings(a, b, y))
         if not any(kind):
             return None
-        good = lambda x: same(_readings(x // 31 % 31 + 1, x % 31 + 1, x // 961 + 1900)) == kind
-        x = self._walk(f"dmy{sep}", 200 * 961, (y - 1900) * 961 + (a - 1) * 31 + b - 1, back, good)
-        return f"{x // 31 % 31 + 1:02d}{sep}{x % 31 + 1:02d}{sep}{x // 961 + 1900}"
+        wide, fits = _widths(parts[:2])
+        good = lambda x: same(_readings(x // 31 % 31 + 1, x % 31 + 1, x // 961 + 1900)) == kind and fits(x // 31 % 31 + 1, x % 31 + 1)
+        x = self._walk(f"dmy{sep}{wide}", 200 * 961, (y - 1900) * 961 + (a - 1) * 31 + b - 1, back, good)
+        return f"{_padded(x // 31 % 31 + 1, parts[0])}{sep}{_padded(x % 31 + 1, parts[1])}{sep}{x // 961 + 1900}"
 
     def email(self, local: str, back: bool = False) -> str:
         value, size, pattern = pack(local)
