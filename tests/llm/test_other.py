@@ -2,13 +2,16 @@
 
 import collections
 import hashlib
+import os
 import random
+import re
 from io import BytesIO
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import components, ngram_join, queries, topk_taat, vptree, warc
+from tidemark.llm import bpe_codec, common, components, mixing, ngram_join, queries, topk_taat, vptree, warc
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -255,25 +258,83 @@ def test_registered_queries_equal_their_sql(spark):
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
 
 
-def test_pipeline_stages(spark):
+CLASHING = ["score", "lang_pred", "__text", "__ld_keep", "__near1", "__words", "__mix1", "copies", "row", "keep", "key1", "key2", "n", "copy", "doc", "at", "words", "size", "target", "taken"]
+
+
+def test_pipeline_stages_leave_other_columns_alone(spark):
+    import corpus_pipeline as p
+
+    base = spark.read.parquet(f"{SMALL}/documents.parquet").where("n_chars < 800").limit(60)
+    more = [F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING]
+    docs = base.select("*", *more, F.create_map(F.lit("k"), F.col("source")).alias("tags"), F.array("lang").alias("a.dotted name"))
+    want = {r["doc_id"]: r for r in docs.collect()}
+    for name, stage in p.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SMALL).collect(), docs.schema)
+        got = docs.collect()
+        assert got and docs.columns == list(want[got[0]["doc_id"]].asDict()), name
+        for r in got:
+            same = [c for c in docs.columns if c not in ("text", "n_chars")]
+            assert [r[c] for c in same] == [want[r["doc_id"]][c] for c in same], name
+
+
+def brute_pipeline(rows):
+    """All stages by plain loops over (id, text, lang, source): what the last stage gives, counted."""
+    import tiktoken
+    from test_text import MULTI, brute_language, brute_near, brute_targets
+
+    ranks = bpe_codec.read_ranks(MULTI)
+    import public_tokenizers
+
+    tik = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    white = " \t\n\x0b\x0c\r"
+    rows = [r for r, (lang, _) in zip(rows, brute_language([r[:3] for r in rows])) if lang != "und"]
+    key = lambda line: re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(white))
+    owner = {}
+    for d, text, *_ in rows:
+        for line in text.split("\n"):
+            owner[key(line)] = min(owner.get(key(line), d), d)
+    rows = [(d, "\n".join(x for x in t.split("\n") if len(key(x)) < 10 or owner[key(x)] == d), lang, source) for d, t, lang, source in rows]
+    first = {d: c for d, _, c in brute_near([r[:2] for r in rows])}
+    rows = [r for r in rows if first[r[0]] == r[0]]
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    sizes = collections.Counter()
+    for _, t, _, s in rows:
+        sizes[s] += words(t)
+    targets = brute_targets(sizes)
+    out = collections.Counter()
+    for s in sizes:
+        ratio, u = min(targets[s] / sizes[s], 3.0) if sizes[s] else 0.0, mixing.offset(7, s)
+        for k, (_, d, t) in enumerate(sorted((words(t), d, t) for d, t, _, x in rows if x == s), 1):
+            ids = tik.encode_ordinary(t)
+            digest = lambda b: hashlib.sha256(b).hexdigest()
+            out[d, len(ids), digest(np.array(ids, "<u4").tobytes()), digest(t.encode())] += int(np.floor(ratio * k + u) - np.floor(ratio * (k - 1) + u))
+    return +out
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
     import corpus_pipeline as p
 
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 150")
-    extra = spark.createDataFrame([(900, "12 34 !!"), (901, None), (902, "kurz"), (903, "kurz")], "doc_id LONG, text STRING")
-    docs = docs.unionByName(extra, allowMissingColumns=True)
-    kept = p.language(spark, docs, SMALL)
-    assert kept.columns == docs.columns
-    assert {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in kept.collect()} == {900, 901}
-    lined = p.lines(spark, kept, SMALL)
-    assert lined.columns == docs.columns and lined.count() == kept.count()
-    near = p.near_duplicates(spark, kept, SMALL)
-    comp = ngram_join.join_components(kept).select("doc_id", "component_id").collect()
-    assert {r["doc_id"] for r in near.collect()} == {d for d, c in comp if d == c} and near.columns == docs.columns
-    mixed = p.mix(spark, near, SMALL)
-    assert mixed.columns == docs.columns and max(collections.Counter(r["doc_id"] for r in mixed.collect()).values()) <= 3
-    out = p.encode(spark, mixed, SMALL).collect()
-    text = {r["doc_id"]: r["text"] for r in near.collect()}
-    assert len(out) == mixed.count() and all(r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest() for r in out)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("n_chars < 1500")
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()]
+    rows += [(9000, "12 34 !!", "en", "a"), (9001, None, "en", None), (9002, "kurz", None, None), (9003, "kurz", None, "z"), (9004, "a line that comes twice\n" + rows[0][1], "en", None), (9005, "A line that comes TWICE ", "en", "web")]
+    spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = p.run(spark, str(tmp_path))
+    assert collections.Counter(tuple(r) for r in got.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()) == brute_pipeline(rows)
+    # of all that was written on the way the last result alone is left
+    with common.intermediates(spark) as made:
+        p.run(spark, str(tmp_path)).count()
+        left = [x for x in made if os.path.exists(x.removeprefix("file://").removeprefix("file:"))]
+    assert len(left) == 1 and "stage-encode" in left[0]
+
+
+def test_intermediates_need_a_shared_folder(spark, monkeypatch):
+    class Elsewhere:
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "_jsc": spark.sparkContext._jsc})
+
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            common.shared_dir(Elsewhere)
 
 
 def test_pipeline_over_nothing(spark):

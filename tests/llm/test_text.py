@@ -91,7 +91,7 @@ def test_token_counts_with_small_tables_and_long_pieces(monkeypatch):
 
     monkeypatch.setattr(token_fst, "MAX_STATES", 50)
     monkeypatch.setattr(token_fst, "CHUNK", 16)
-    monkeypatch.setattr(token_fst, "RUN_UP", 2)
+    monkeypatch.setattr(token_fst, "RUN_UPS", (2,))
     lib, c = Tokenizer.from_file(GPT), token_fst.Counter(GPT)
     r = random.Random(4)
     texts = ["".join(r.choice("abcnt") for _ in range(r.randrange(900))) for _ in range(40)] + ["a" * 777, "=" * 500, " " * 400 + "x"]
@@ -99,6 +99,15 @@ def test_token_counts_with_small_tables_and_long_pieces(monkeypatch):
         assert c.count(pa.array([t]))[1][0] == len(lib.encode(t, add_special_tokens=False).ids)
 
 
+def test_token_counts_of_very_long_pieces():
+    from tokenizers import Tokenizer
+
+    lib, c = Tokenizer.from_file(GPT), token_fst.Counter(GPT)
+    r = random.Random(6)
+    texts = ["a" * 99_999, "ab" * 60_000, "".join(r.choice("abcdehimnorstu") for _ in range(100_000)), "=" * 70_001 + "x", "日本" * 20_000, "the" * 30_000]
+    assert c.count(pa.array(texts))[1].tolist() == [len(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_token_count_rows(odd):
     from tokenizers import Tokenizer
 
@@ -243,6 +252,8 @@ def near_rows(seed):
         chain = chain[5:] + fresh(5)
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     r.shuffle(rows)
+    head = fresh(60)
+    rows += [(len(rows) + i, " ".join(head + edited(r, base[:40], i % 7))) for i in range(30)]  # equal beginnings
     return rows + [(None, " ".join(base)), (5, rows[0][1]), (5, rows[0][1]), (900, None), (901, " \t ")]
 
 
@@ -253,10 +264,11 @@ def test_near_duplicates_equal_brute_force(docs, seed):
     assert collections.Counter(tuple(x) for x in got.collect()) == brute_near(rows)
 
 
-@pytest.mark.parametrize(("long_run", "bits", "rounds"), [(2, 4, 1), (1024, 10, 2)])
-def test_near_duplicates_without_help(docs, monkeypatch, long_run, bits, rounds):
-    """Small counters, filters and runs, and few star rounds, cost time but no link."""
+@pytest.mark.parametrize(("long_run", "bits", "rounds", "slice_rows"), [(2, 4, 1, 512), (1024, 10, 2, 3)])
+def test_near_duplicates_without_help(docs, monkeypatch, long_run, bits, rounds, slice_rows):
+    """Small counters, filters, runs and slices, and few star rounds, cost time but no link."""
     monkeypatch.setattr(ngram_join, "LONG_RUN", long_run)
+    monkeypatch.setattr(ngram_join, "SLICE_ROWS", slice_rows)
     monkeypatch.setattr(ngram_join, "COUNTER_BITS", 17 + bits % 3)
     monkeypatch.setattr(ngram_join, "MOST_ROUNDS", rounds)
     rows = near_rows(3)
@@ -354,6 +366,41 @@ def test_language_bundle_is_the_definition():
     assert (got[0] == want).all() and not got[1].any()
 
 
+def brute_bundle(text):
+    """The sum of the bound letter trigrams of a text, word by word."""
+    import regex
+
+    out = np.zeros(langid_hd.DIMENSIONS)
+    for word in regex.findall(r"\p{L}+", text or ""):
+        codes = [0, *(ord(c.lower()[0]) for c in word), 0]
+        for trio in zip(codes, codes[1:], codes[2:]):
+            a, b, c = (langid_hd.letter_vector(x).astype(int) for x in trio)
+            out += np.roll(a, 2) * np.roll(b, 1) * c
+    return out
+
+
+def brute_language(rows):
+    """rows: (id, text, lang). Language and score of each row, by the definition."""
+    sums = {}
+    for d, text, lang in rows:
+        if d is not None and lang is not None and text is not None and zlib.crc32(str(d).encode()) % 3 != 1:
+            sums[lang] = sums.get(lang, 0) + brute_bundle(text)
+    names = sorted(k for k, v in sums.items() if v.any())
+    out = []
+    for _, text, _ in rows:
+        b = brute_bundle(text)
+        score = [b @ sums[k] / np.linalg.norm(b) / np.linalg.norm(sums[k]) if b.any() else 0.0 for k in names]
+        out.append((names[int(np.argmax(score))], max(0.0, max(score))) if names and any(c.isalpha() for c in text or "") else ("und", 0.0))
+    return out
+
+
+def test_language_equals_brute_force(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars < 1500")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in df.collect()] + [(9001, None, "en"), (9002, "12 !", "en"), (None, "the and of", "en"), (9003, "Ünïcode ÇA et là", None)]
+    got = {(r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in langid_hd.identify(df.sparkSession.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")).collect()}
+    assert got == {(d, lang, round(float(score), 9)) for (d, *_), (lang, score) in zip(rows, brute_language(rows))} and len(rows) > 100
+
+
 def test_language_odd_rows(docs, odd):
     df = odd.drop("lang").withColumn("lang", F.lit("en"))
     got = langid_hd.identify(df).collect()
@@ -430,6 +477,83 @@ def test_common_spellings_of_phones_and_timestamps():
         assert p.rewrite(v) == (v, [])
 
 
+def test_dates_keep_the_digits_of_every_place():
+    p = pii_feistel.Pseudonyms(b"k")
+    for shape in ("{y}-{m}-{d}", "{y}/{m:02d}/{d}", "{d}.{m}.{y}", "{d}/{m}/{y}", "{m:02d}/{d}/{y}"):
+        seen = {}
+        for y, m, d in [(2020, 1, 5), (1999, 9, 9), (2001, 2, 28), (2024, 12, 31), (1950, 10, 1), (2020, 11, 30)]:
+            text = shape.format(y=y, m=m, d=d)
+            new, found = p.rewrite(text)
+            assert [f[2] for f in found] == ["date"] and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text) and p.restore(new) == text, (text, new)
+            assert seen.setdefault(new, text) == text
+    assert p.rewrite("2020-01-05")[0] != p.rewrite("2020-1-5")[0]
+
+
+def test_long_keys_and_local_parts_beyond_ascii():
+    a, b = (pii_feistel.Pseudonyms(k) for k in (b"x" * 200, b"x" * 200 + b"y"))
+    text = "from josé.Ñandú7@münchen.example, 李雷@example.cn and ольга_1@example.ru"
+    new, found = a.rewrite(text)
+    assert [f[2] for f in found] == ["email"] * 3 and a.restore(new) == text and b.rewrite(text)[0] != new
+    assert not any(x in new for x in ("josé", "Ñandú", "李", "雷", "ольга")) and all(x in new for x in ("@münchen.example", "@example.cn", "@example.ru"))
+
+
+def test_every_value_of_a_small_format_is_permuted():
+    """By trial of all values: each format is mapped onto itself, one to one."""
+    p = pii_feistel.Pseudonyms(b"k")
+    days = [f"{y}-{m}-{d}" for y in range(1900, 2100) for m in range(1, 10) for d in range(1, 10)]
+    image = {p.ymd(x) for x in days}
+    assert image == set(days)
+    for table in (["é", "ß", "ñ"], list("αβγ")):
+        names = [c for c in pii_feistel.alphabet(table[0])]
+        assert {p.email(c) for c in names} == set(names)
+
+
+def found_by_hand(text):
+    """Kinds and values by one plain test for every stretch between white space, for texts that hold whole values only."""
+    import datetime
+    import ipaddress
+
+    out = []
+    for word in re.split(r"[\s,;()<>]+", text):
+        word = word.strip(".:!?'\"")
+        digits = re.sub(r"\D", "", word)
+        if re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s]+", word):
+            out.append(("email", word))
+        elif re.fullmatch(r"\d+\.\d+\.\d+\.\d+", word):
+            try:
+                out.append(("ip", str(ipaddress.IPv4Address(".".join(str(int(x)) for x in word.split("."))))))
+            except ValueError:
+                pass
+        elif re.fullmatch(r"\d{13,19}", word):
+            total = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits)))
+            if total % 10 == 0:
+                out.append(("card", word))
+        elif re.fullmatch(r"(19|20)\d\d-\d\d?-\d\d?", word):
+            try:
+                datetime.date(*map(int, word.split("-")))
+                out.append(("date", word))
+            except ValueError:
+                pass
+    return out
+
+
+def test_pii_equals_a_plain_search(spark, docs):
+    """Counts of each kind, valid replacements, and one replacement for one value over all documents."""
+    r = random.Random(12)
+    card = lambda: (lambda b: b + pii_feistel.luhn_digit(b))("4" + "".join(r.choice("0123456789") for _ in range(14)))
+    make = [card, lambda: str(r.randrange(10**15, 10**16)), lambda: ".".join(str(r.randrange(300)) for _ in range(4)), lambda: f"{r.randrange(1900, 2100)}-{r.randrange(1, 14):02d}-{r.randrange(1, 33):02d}", lambda: f"u{r.randrange(50)}.x@mail{r.randrange(3)}.example.org", lambda: r.choice(["word", "and", "42"])]
+    rows = [(i, " ".join(r.choice(make)() for _ in range(r.randrange(30)))) for i in range(300)]
+    rows += [(300 + i, t) for i, (_, t) in enumerate(rows[:50])]
+    was = dict(rows)
+    seen = {}
+    for x in pii_feistel.pseudonymise(docs(rows), b"k").collect():
+        old, new = found_by_hand(was[x["doc_id"]]), found_by_hand(x["text"])
+        assert [k for k, _ in old] == [k for k, _ in new] and all(x[f"n_{k}"] == sum(k == kind for kind, _ in old) for k in ("card", "ip", "date", "email"))
+        for (k, a), (_, b) in zip(old, new):
+            assert seen.setdefault((k, a), b) == b
+    assert len(set(seen.items())) == len({(k, b) for (k, _), b in seen.items()}) > 500
+
+
 def test_equal_values_stay_linked_in_any_spelling():
     p = pii_feistel.Pseudonyms(b"k")
     a, b = p.rewrite("4532015112830366")[0], p.rewrite("x 4532 0151 1283 0366 y")[0]

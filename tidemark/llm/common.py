@@ -5,8 +5,10 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -18,20 +20,48 @@ STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests), a temporary one."""
+    """The folder named by spark.checkpoint.dir; where that is unset and all runs in this process (tests), a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             path = found.get()
+        elif spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             path = "file://" + tempfile.mkdtemp(prefix="shared-")
             spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def intermediates(spark: SparkSession):
+    """Whatever operators write into the shared folder inside this block is deleted at its end.
+
+    Results are lazy and may read it: write or collect them inside.
+    """
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield stack[-1]
+    finally:
+        for path in stack.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if stack := _scopes.__dict__.get("stack"):
+        stack[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -46,11 +76,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def dropped(df: DataFrame) -> None:
     """Removes what written() made, once nothing will read it again."""
-    path = getattr(df, "_written_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+    if path := getattr(df, "_written_path", None):
+        _delete(df.sparkSession, path)
 
 
 def ship(spark: SparkSession) -> None:
@@ -80,6 +107,16 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
 
 
+def packed(df: DataFrame, name: str = "row"):
+    """All columns of df as one struct: beside it, ours can have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
+def unpacked(df: DataFrame, columns: list[str], name: str = "row") -> DataFrame:
+    """The columns of a packed row again."""
+    return df.select(*[F.col(name).getField(c).alias(c) for c in columns])
+
+
 def steps(batch: pa.RecordBatch, column: str | int = "text", limit: int = STEP_BYTES):
     """Slices of a batch whose texts have at most `limit` bytes together (or hold a single row)."""
     import numpy as np

@@ -21,9 +21,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm import scan
-from tidemark.llm.common import narrow, steps
+from tidemark.llm.common import narrow, packed, steps
 
 DIMENSIONS = 512
 GRAM = 3
@@ -205,9 +206,20 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray] | None = None, id_col
     return slim.mapInArrow(_predict(names, prototypes, ["doc_id", "held_out"]), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
-def with_language(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
-    """docs with columns lang_pred and score."""
-    names, prototypes = unit_rows(model)
-    marked = docs.withColumn("__text", F.col(f"`{text_col}`"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double"
-    return marked.mapInArrow(_predict(names, prototypes, docs.columns), schema)
+def _judge(names: list[str], prototypes: np.ndarray, text_col: str):
+    def run(batches):
+        for whole in batches:
+            row = whole.column("row")
+            texts = pa.RecordBatch.from_arrays([row.field(text_col), pa.array(np.arange(len(row)))], names=["text", "at"])
+            for b in steps(texts):
+                lang, score = predict_rows(b.column("text"), names, prototypes)
+                yield pa.RecordBatch.from_arrays([row.slice(b.column("at")[0].as_py(), b.num_rows), pa.array(lang, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
+
+    return run
+
+
+def judged(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
+    """row (all columns of docs as a struct, whatever they are called), lang_pred, score."""
+    rows = docs.select(packed(docs))
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(_judge(*unit_rows(model), text_col), schema)

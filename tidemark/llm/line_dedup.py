@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import scan
-from tidemark.llm.common import STEP_BYTES, dropped, narrow, release, steps, written
+from tidemark.llm.common import STEP_BYTES, dropped, narrow, packed, release, steps, written
 
 KEYS = "h1 long, h2 long, anon boolean, doc long, rk long, pos int"
 
@@ -158,38 +158,45 @@ def kept_text(text: str | None, keep: bytes | None) -> tuple[str, int, int]:
 
 
 def with_keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
-    """docs with a column __ld_keep: the bitmap, or null where every line stays."""
+    """row (all columns of docs as a struct, whatever they are called) and keep: the bitmap, or null where every line stays."""
     maps = keep_bitmaps(docs, id_col, text_col, min_chars)
-    maps = maps.select(F.col("anon").alias("__ld_anon"), F.col("doc").alias("__ld_doc"), F.col("rk").alias("__ld_rk"), F.col("keep").alias("__ld_keep"))
-    d, t = docs[f"`{id_col}`"], docs[f"`{text_col}`"]
-    on = (maps["__ld_anon"] == d.isNull()) & (maps["__ld_doc"] == F.coalesce(d.cast("long"), F.lit(0))) & (maps["__ld_rk"] == F.xxhash64(F.coalesce(t, F.lit(""))))
-    return docs.join(maps, on, "left").drop("__ld_anon", "__ld_doc", "__ld_rk")
+    d, t = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    rows = docs.select(packed(docs), d.isNull().alias("anon"), F.coalesce(d, F.lit(0)).alias("doc"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("rk"))
+    return rows.join(maps, ["anon", "doc", "rk"], "left").select("row", "keep")
+
+
+def _kept(batches, text_col: str):
+    """Slices of the rows, with what kept_text() makes of each of their texts."""
+    for whole in batches:
+        row = whole.column("row")
+        texts = pa.RecordBatch.from_arrays([row.field(text_col), whole.column("keep"), pa.array(np.arange(len(row)))], names=["text", "keep", "at"])
+        for b in steps(texts, limit=4 * STEP_BYTES):
+            yield row.slice(b.column("at")[0].as_py(), b.num_rows), list(zip(b.column("text").to_pylist(), b.column("keep").to_pylist()))
 
 
 def _digests(batches):
-    for b in (part for whole in batches for part in steps(whole, limit=4 * STEP_BYTES)):
-        out = [(len_, gone, hashlib.sha256(text.encode()).hexdigest()) for text, len_, gone in map(kept_text, b.column("text").to_pylist(), b.column("__ld_keep").to_pylist())]
-        cols = list(zip(*out)) if out else [[], [], []]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
+    for row, pairs in _kept(batches, "text"):
+        out = [kept_text(*pair) for pair in pairs]
+        sha = [hashlib.sha256(text.encode()).hexdigest() for text, *_ in out]
+        yield pa.RecordBatch.from_arrays([row.field("doc_id"), pa.array([n for _, n, _ in out], pa.int64()), pa.array([gone for *_, gone in out], pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
 
 def line_digests(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 of every row."""
     slim = narrow(docs, doc_id="doc_id", text="text")
-    return with_keep(slim, min_chars=min_chars).mapInArrow(_digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    kind = slim.schema["doc_id"].dataType.simpleString()
+    return with_keep(slim, min_chars=min_chars).mapInArrow(_digests, f"doc_id {kind}, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def _rewrite(names, text_col):
     def run(batches):
-        for b in (part for whole in batches for part in steps(whole, text_col, 4 * STEP_BYTES)):
-            kept = [kept_text(t, k)[0] if k is not None else t for t, k in zip(b.column(text_col).to_pylist(), b.column("__ld_keep").to_pylist())]
-            cols = [pa.array(kept, pa.string()) if n == text_col else b.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+        for row, pairs in _kept(batches, text_col):
+            kept = [kept_text(t, k)[0] if k is not None else t for t, k in pairs]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()) if n == text_col else row.field(n) for n in names], names=names)
 
     return run
 
 
 def apply_keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
     """docs with the dropped lines taken out of their texts; all rows and columns stay."""
-    joined = with_keep(docs, id_col, text_col, min_chars)
-    return joined.mapInArrow(_rewrite(docs.columns, text_col), docs.schema)
+    return with_keep(docs, id_col, text_col, min_chars).mapInArrow(_rewrite(docs.columns, text_col), docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import packed, unpacked, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -108,15 +108,21 @@ def mix(docs: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), source_col: st
     return j.select(*[F.col(k).alias(c) for k, c in zip(keys, key_cols)], "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def _hashable(docs: DataFrame) -> list:
+    """The columns of docs; those with maps in them, which have no hash, as JSON."""
+    return [F.to_json(F.struct(F.col(f"`{f.name}`").alias("v"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
-    """The mix itself: each row of docs as often as it is emitted (rows not taken go)."""
-    keys = ["__mix1", "__mix2"]
-    marked = docs.withColumns({k: F.xxhash64(F.lit(i), *[F.col(f"`{c}`") for c in docs.columns]) for i, k in enumerate(keys)})
-    taken = mix(marked, (id_col, *keys), source_col, text_col, **options)
-    copies = taken.groupBy(*keys).agg(F.sum("copies").cast("int").alias("__mix_n")).where("__mix_n > 0")
+    """The mix itself: each row of docs as often as it is emitted (rows not taken go). Columns may have any name and type."""
+    keys = ["key1", "key2"]
+    own = [F.col(f"`{c}`").alias(name) for name, c in (("doc", id_col), ("source", source_col), ("text", text_col))]
+    marked = docs.select(packed(docs), *own, *[F.xxhash64(F.lit(i), *_hashable(docs)).alias(k) for i, k in enumerate(keys)])
+    taken = mix(marked, ("doc", *keys), "source", "text", **options)
+    copies = taken.groupBy(*keys).agg(F.sum("copies").cast("int").alias("n")).where("n > 0")
     # rows equal in every column are one row here, with the copies of all of them
-    one = marked.join(copies, keys).dropDuplicates(keys)
-    return one.withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_n)"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    one = marked.select("row", *keys).join(copies, keys).dropDuplicates(keys)
+    return unpacked(one.select("row", F.explode(F.expr("sequence(1, n)")).alias("copy")), docs.columns)
 
 
 def sql(docs: str = "documents", seed: int = 7) -> str:
