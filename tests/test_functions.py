@@ -69,6 +69,25 @@ def test_event_contract(spark, text, n):
     assert len(df.first()["f"]) == n
 
 
+@pytest.mark.parametrize("odd", ["a}b", '"', "{", "\\", "a\nb", "", "é}日", None])
+def test_event_messages_are_json_whatever_a_field_holds(spark, odd):
+    from tidemark.sources.base import event_json
+
+    names = [f.name for f in schema(EVENT)]
+    source = {n: odd for n in schema(EVENT)["source"].dataType.names}
+    row = {n: odd for n in names} | {"key": '{"id":1}', "before": None, "after": '{"v":"}"}', "source": source, "schema_version": 1}
+    text = spark.createDataFrame([tuple(row[n] if n != "source" else tuple(source.values()) for n in names)], EVENT).select(event_json().alias("m")).first()["m"]
+    got = json.loads(text)
+    assert got == row | {"key": {"id": 1}, "after": {"v": "}"}} and list(got) == sorted(names)
+
+
+def test_an_event_of_nulls_is_json(spark):
+    from tidemark.sources.base import event_json
+
+    text = spark.createDataFrame([tuple(None for _ in schema(EVENT))], EVENT).select(event_json().alias("m")).first()["m"]
+    assert set(json.loads(text).values()) == {None}
+
+
 def test_unreadable_event_has_faults_and_no_id(spark):
     df = spark.createDataFrame([("not json",)], "v STRING").select(F.from_json("v", EVENT).alias("e"))
     assert df.select(checks.event_faults("e").alias("f")).first()["f"]

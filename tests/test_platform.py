@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config
 from tidemark.simulate import Bank, pt_iban
-from tidemark.streaming.topic_log import DeliveryError, TopicLog, kafka_options
+from tidemark.streaming.topic_log import DeliveryError, TopicLog, kafka_append, kafka_options, kafka_producer_options
 from tidemark.tables import Tables
 
 
@@ -31,6 +31,67 @@ def test_topics(spark, tmp_path):
     assert t.read("b").count() == 0
 
 
+def test_a_lost_race_leaves_offsets_gapless(spark, tmp_path, monkeypatch):
+    a, b = TopicLog(spark, str(tmp_path)), TopicLog(spark, str(tmp_path))
+    a.ensure(["t"])
+    rename, raced = a.files.rename, []
+
+    def late(x, y):
+        if not raced:
+            raced.append(b.append("t", messages(spark, 7, 100), ["value"]).count())  # another writer is first, under the same number
+        return rename(x, y)
+
+    monkeypatch.setattr(a.files, "rename", late)
+    a.append("t", messages(spark, 9), ["value"])
+    b.append("t", messages(spark, 5, 200), ["value"])
+    rows = b.read("t").collect()
+    assert len(rows) == 21 and raced == [7]
+    for p in {r["partition"] for r in rows}:
+        mine = sorted(r["offset"] for r in rows if r["partition"] == p)
+        assert mine == list(range(len(mine)))
+
+
+def test_a_repeated_step_writes_once(spark, tmp_path):
+    t = TopicLog(spark, str(tmp_path))
+    t.ensure(["t"])
+    assert t.append("t", messages(spark, 3), ["value"], once=("w", 0)).count() == 3
+    t.append("t", messages(spark, 2, 50), ["value"])
+    assert t.append("t", messages(spark, 3), ["value"], once=("w", 0)).count() == 0
+    assert t.append("t", messages(spark, 4), ["value"], once=("w", 1)).count() == 4 and t.read("t").count() == 9
+
+
+def test_bad_events_reach_the_dead_letter_topic_once(spark, tmp_path):
+    from tidemark.streaming.bronze import run_bronze
+
+    tables, t = Tables(spark, f"{tmp_path}/tables"), TopicLog(spark, f"{tmp_path}/topics")
+    tables.ensure()
+    t.ensure(["in", "dead"])
+    t.append("in", messages(spark, 6), ["value"])
+    append = tables.append
+    tables.append = lambda *a, **k: append(*a, **k)
+    real = t.append
+
+    def fails_after(topic, *a, **k):
+        real(topic, *a, **k)
+        raise RuntimeError("lost after writing")
+
+    t.append = fails_after
+    with pytest.raises(Exception, match="lost after writing"):
+        run_bronze(tables, t, ["in"], f"{tmp_path}/ck", "dead")
+    t.append = real
+    run_bronze(tables, t, ["in"], f"{tmp_path}/ck", "dead")  # the same batch again
+    assert t.read("dead").count() == 6
+
+
+def test_object_stores_are_refused(spark):
+    from tidemark.files import Files
+
+    f = Files(spark)
+    p = spark._jvm.org.apache.hadoop.fs.Path("s3a://bucket/x")
+    with pytest.raises(OSError, match="no atomic rename"):
+        f._rename(p, p, "NONE")
+
+
 def test_tables(spark, tmp_path):
     t = Tables(spark, str(tmp_path))
     assert t.ensure() and t.ensure() == []
@@ -48,10 +109,17 @@ def test_tables(spark, tmp_path):
 
 def test_kafka_options():
     assert kafka_options({"bootstrap.servers": "h:1"}) == {"kafka.bootstrap.servers": "h:1"}
+    sure = kafka_producer_options({"bootstrap.servers": "h:1"})
+    assert sure["kafka.acks"] == "all" and sure["kafka.enable.idempotence"] == "true"
     o = kafka_options({"bootstrap.servers": "h:1", "security.protocol": "SASL_SSL", "sasl.username": "u", "sasl.password": "p"}, shaded=True)
     assert o["kafka.sasl.jaas.config"].startswith("kafkashaded.") and 'username="u"' in o["kafka.sasl.jaas.config"]
 
 
+def test_a_broker_that_cannot_be_written_to_is_a_delivery_error(spark):
+    with pytest.raises(DeliveryError, match="t: "):
+        kafka_append(messages(spark, 1), kafka_producer_options({"bootstrap.servers": "127.0.0.1:1"}), "t")
+
+
 def test_configuration(monkeypatch):
     cfg = config.load()
     assert config.topics_of(cfg["sources"]["sqlserver_cards"])["dbo.accounts"] == "banking.cdc.cards.accounts"

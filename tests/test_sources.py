@@ -129,7 +129,8 @@ HEAD = ",".join(file_drop.TRANSFER_COLUMNS)
 def test_files_are_captured_once_and_again_when_changed(spark, tmp_path):
     (tmp_path / "a.csv").write_text("\n".join([HEAD, GOOD.format(1, "10.00"), GOOD.format(2, "abc"), GOOD.format(3, "5.00").replace("GB82", "GB83"), GOOD.format(4, "1.00") + ",extra", ""]))
     (tmp_path / "notes.txt").write_text("ignored")
-    s = file_drop.FileDropSource(spark, str(tmp_path))
+    taken = []
+    s = file_drop.FileDropSource(spark, str(tmp_path), manifest=lambda: spark.createDataFrame(taken, "file_name STRING, etag STRING") if taken else None)
     got = s.capture(None, "t")
     ev = got.events.collect()
     assert [(r["op"], r["key"]) for r in ev] == [("c", '{"transfer_id":"T1"}')]
@@ -138,7 +139,8 @@ def test_files_are_captured_once_and_again_when_changed(spark, tmp_path):
     m = got.manifest.first()
     assert (m["rows"], m["rejected"], m["file_name"]) == (1, 3, "a.csv")
     assert s.stats() == {"partner_transfers": {"rows": 1}}
-    assert s.capture(got.watermark, "t").events is None
+    taken.append((m["file_name"], m["etag"]))
+    assert s.capture(got.watermark, "t").events is None and got.watermark == {"files": 1}
     import os
 
     (tmp_path / "a.csv").write_text("\n".join([HEAD, GOOD.format(1, "11.00"), ""]))
@@ -153,6 +155,54 @@ def test_a_file_that_is_not_utf8_is_refused_whole(spark, tmp_path):
     assert got.events.count() == 0 and [r["reason"] for r in got.rejects.collect()] == ["not valid UTF-8"]
 
 
+class Share:
+    """A client of a share with a folder, a file of another kind and two CSV files."""
+
+    files = {"a.csv": f"{HEAD}\n{GOOD.format(1, '10.00')}\n", "b.csv": f"{HEAD}\n{GOOD.format(2, '20.00')}\n", "c.txt": "no"}
+
+    def list_directories_and_files(self):
+        return [{"name": "sub.csv", "is_directory": True}, *({"name": n, "is_directory": False} for n in self.files)]
+
+    def get_file_client(self, name):
+        self.name = name
+        return self
+
+    def get_file_properties(self):
+        from types import SimpleNamespace
+
+        return SimpleNamespace(etag=f'"0x{self.name}"', size=len(self.files[self.name]), last_modified=T0)
+
+    def download_file(self):
+        return self
+
+    def readall(self):
+        return self.files[self.name].encode()
+
+
+def test_a_share_with_a_client_of_its_own(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors don't have the tests
+    taken = []
+    s = file_drop.FileDropSource(spark, file_drop.RemoteShare(spark, Share), manifest=lambda: spark.createDataFrame(taken, "file_name STRING, etag STRING") if taken else None)
+    got = s.capture(None, "t")
+    assert sorted(r["key"] for r in got.events.collect()) == ['{"transfer_id":"T1"}', '{"transfer_id":"T2"}']
+    taken += [(r["file_name"], r["etag"]) for r in got.manifest.collect()]
+    assert [e for _, e in sorted(taken)] == ["0xa.csv", "0xb.csv"] and s.capture(got.watermark, "t").events is None
+    assert s.stats() == {"partner_transfers": {"rows": 2}}
+
+
+def test_long_fields_and_unbalanced_quotes(spark):
+    big = "x" * (1 << 20)
+    quoted = '"' + "y,\n" * (1 << 18) + '""z"'
+    text = f"a,b\n1,{big}\n2,{quoted}\n3,w\n4,\"open {big}"
+    df = spark.createDataFrame([("f", text)], "name STRING, content STRING")
+    got = {r["line"]: r["row"] for r in file_drop.csv_rows(df, "content", ["a", "b"]).collect()}
+    assert tuple(got[2]) == ("1", big) and tuple(got[3]) == ("2", "y,\n" * (1 << 18) + '"z') and tuple(got[4]) == ("3", "w") and got[5] is None
+
+
 def test_csv_quoting(spark):
     text = 'a,b\n1,"x, ""y""\nz"\n2,\n3\n"4",w\r\n'
     df = spark.createDataFrame([("f", text)], "name STRING, content STRING")

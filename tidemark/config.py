@@ -80,7 +80,7 @@ def build_source(spark: SparkSession, cfg: dict[str, Any], name: str, known: Cal
     src = cfg["sources"][name]
     key = src["connection_secret"]
     if src["type"] == "fileshare":
-        return FileDropSource(spark, secret(key, "dir"), name, src["share"])
+        return FileDropSource(spark, secret(key, "dir"), name, src["share"], lambda: known("cdc_file_manifest"))
     if src["type"] == "sqlserver":
         read = jdbc(spark, f"jdbc:sqlserver://{secret(key, 'host')}:{secret(key, 'port')};databaseName={src['database']};encrypt=false", secret, key)
         one = lambda sql: read(f"({sql}) q").first()[0]

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+#: Object stores that copy where they are told to rename.
+NO_RENAME = {"s3", "s3a", "s3n", "gs", "oss", "wasb", "wasbs"}
+
 
 class Files:
     def __init__(self, spark: SparkSession):
@@ -25,19 +31,21 @@ class Files:
         """Written beside and renamed, so a reader sees the old text or the new."""
         fs, p = self._at(path)
         fs.mkdirs(p.getParent())
-        beside = self.jvm.org.apache.hadoop.fs.Path(path + ".new")
+        beside = self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.new")
         out = fs.create(beside, True)
         out.write(bytearray(text.encode()))
         out.close()
-        if not self._replace(beside, p):
-            raise OSError(f"cannot write {path}")
+        self._rename(beside, p, "OVERWRITE")
 
-    def _replace(self, a, b) -> bool:
+    def _rename(self, a, b, option: str) -> None:
+        scheme = (a.toUri().getScheme() or "").lower()
+        if scheme in NO_RENAME:
+            raise OSError(f"{scheme} has no atomic rename: keep tables and topics on a file system that has")
         ctx = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(b.toUri(), self.conf)
-        options = self.jvm.java.lang.reflect.Array.newInstance(self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
-        options[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        kind = self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+        options = self.jvm.java.lang.reflect.Array.newInstance(kind, 1)
+        options[0] = getattr(self.jvm.org.apache.hadoop.fs.Options.Rename, option)
         ctx.rename(ctx.makeQualified(a), ctx.makeQualified(b), options)
-        return True
 
     def read_text(self, path: str) -> str:
         fs, p = self._at(path)
@@ -48,10 +56,17 @@ class Files:
             stream.close()
 
     def rename(self, a: str, b: str) -> bool:
+        """Moves a to b; False, and nothing moved, if b exists."""
         fs, p = self._at(a)
         q = self.jvm.org.apache.hadoop.fs.Path(b)
         fs.mkdirs(q.getParent())
-        return not fs.exists(q) and fs.rename(p, q)
+        try:
+            self._rename(p, q, "NONE")
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        return True
 
     def delete(self, path: str) -> None:
         fs, p = self._at(path)

@@ -18,14 +18,13 @@ def missing_events(audit: DataFrame, bronze: DataFrame) -> DataFrame:
 
 
 def lineage(alerts: DataFrame, bronze: DataFrame, sources: dict[str, tuple[str, str]]) -> DataFrame:
-    """Every source change behind each alert: rules map to (source table, key name) in `sources`."""
-    rules = alerts.sparkSession.createDataFrame([(r, t, k) for r, (t, k) in sources.items()], "rule STRING, source_table STRING, key_name STRING")
-    wanted = alerts.select("alert_id", "rule", F.explode("evidence_keys").alias("entity_key")).join(F.broadcast(rules), "rule")
-    names = {k for _, k in sources.values()}
-    found = None
-    for name in sorted(names):
-        part = bronze.withColumn("entity_key", F.get_json_object("key_json", f"$.{name}")).withColumn("key_name", F.lit(name))
-        found = part if found is None else found.unionByName(part)
+    """Every source change behind each alert: rules map to (source table, key name) in `sources`. Bronze is read once."""
+    pairs = sorted(set(sources.values()))
+    at = lambda k: F.coalesce(*[F.when(F.col("rule") == rule, F.lit(pair[k])) for rule, pair in sorted(sources.items())])
+    wanted = alerts.where(F.col("rule").isin(*sources)).select("alert_id", at(0).alias("source_table"), at(1).alias("key_name"), F.explode("evidence_keys").alias("entity_key"))
+    named = F.array(*[F.when(F.col("source_table") == t, F.struct(F.lit(k).alias("key_name"), F.get_json_object("key_json", f"$.{k}").alias("entity_key"))) for t, k in pairs])
+    found = bronze.where(F.col("source_table").isin(*{t for t, _ in pairs})).withColumn("__key", F.explode(F.array_compact(named)))
+    found = found.withColumns({c: F.col(f"__key.{c}") for c in ("key_name", "entity_key")})
     return wanted.join(found, ["source_table", "key_name", "entity_key"]).select("alert_id", "event_id", "op", "source_system", "source_table", "source_position", "source_sequence", "source_commit_ts", "kafka_topic", "kafka_partition", "kafka_offset", "entity_key", "after_json")
 
 

@@ -54,19 +54,15 @@ def to_events(df: DataFrame, system: str, database: str, table: str, key_names:
     )
 
 
+def json_text(column: Column) -> Column:
+    """The column as a JSON value (null, a quoted string, a number)."""
+    whole = F.to_json(F.struct(column.alias("v")))  # {"v":...}
+    return F.when(column.isNull(), F.lit("null")).otherwise(F.substring(whole, F.lit(6), F.length(whole) - 6))
+
+
 def event_json() -> Column:
-    """The event columns as the message of a topic."""
-    names = ["event_id", "op", "key", "before", "after", "source", "captured_at", "trace_id", "schema_version", "payload_hash"]
-    # images are JSON already: they are set into the text as objects, not as strings
-    parts = []
-    for n in sorted(names):
-        if n in ("key", "before", "after"):
-            value = F.coalesce(F.col(n), F.lit("null"))
-        elif n == "source":
-            value = F.to_json("source", {"ignoreNullFields": "false"})
-        elif n == "schema_version":
-            value = F.col(n).cast("string")
-        else:
-            value = F.coalesce(F.substring_index(F.substring(F.to_json(F.struct(F.col(n).alias("v"))), 6, 1 << 20), "}", 1), F.lit("null"))
-        parts.append(F.concat(F.lit(f'"{n}":'), value))
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    """The event columns as the message of a topic, names sorted. Images are JSON already and are set in as objects."""
+    images, names = ("key", "before", "after"), ("event_id", "op", "captured_at", "trace_id", "schema_version", "payload_hash")
+    values = {n: F.coalesce(F.col(n), F.lit("null")) for n in images} | {n: json_text(F.col(n)) for n in names}
+    values["source"] = F.coalesce(F.to_json("source", {"ignoreNullFields": "false"}), F.lit("null"))
+    return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), values[n]) for n in sorted(values)]), F.lit("}"))

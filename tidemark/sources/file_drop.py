@@ -1,13 +1,16 @@
 """File arrival: new and changed files of a folder, one event for each valid row, refused rows with their reason.
 
-The folder is listed by Spark's binaryFile reader, so any file system Spark reads will do, and files are parsed where
-they are read. A file is known by its name and its version (modification time and size).
+A folder is listed by Spark's binaryFile reader, so any file system Spark reads will do; a share with a client of its own is
+listed by that. Files are parsed where they are read; a file is one row, so it must fit a task's memory. A file is known by
+its name and its version (modification time and size, or the share's own tag).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,43 +28,104 @@ def csv_rows(files: DataFrame, content: str, columns: list[str]) -> DataFrame:
     than the header, or with unbalanced quotes, has row null.
     """
     text = F.regexp_replace(F.regexp_replace(F.col(content), "^﻿", ""), "\r\n?", "\n")
-    # a record: fields, each quoted or without quotes, up to a line end outside quotes
-    records = F.filter(F.regexp_extract_all(text, F.lit(r'((?:[^"\n]|"(?:[^"]|"")*"?)+)(?:\n|$)'), 1), lambda x: x != "")
-    fields = lambda rec: F.transform(F.regexp_extract_all(F.concat(rec, F.lit(",")), F.lit(r'("(?:[^"]|"")*"|[^,"]*),'), 1), lambda f: F.when(f.startswith('"'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
+    # a record: fields, each quoted or without quotes, up to a line end outside quotes. Every repetition is possessive: the
+    # matcher neither goes back nor nests, however long a field is
+    records = F.filter(F.regexp_extract_all(text, F.lit(r'((?:[^"\n]++|"(?:[^"]++|"")*+"?+)++)(?:\n|$)'), 1), lambda x: x != "")
+    fields = lambda rec: F.transform(F.regexp_extract_all(F.concat(rec, F.lit(",")), F.lit(r'("(?:[^"]++|"")*+"|[^,"]*+),'), 1), lambda f: F.when(f.startswith('"'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
     whole = files.withColumn("__records", records).withColumn("__header", fields(F.get("__records", F.lit(0))))
     out = whole.select("*", F.posexplode(F.slice("__records", F.lit(2), F.greatest(F.size("__records") - 1, F.lit(0)))).alias("__at", "__record"))
     out = out.withColumn("__fields", fields(F.col("__record"))).withColumn("line", F.col("__at") + 2)
-    commas = F.regexp_count(F.regexp_replace("__record", '"(?:[^"]|"")*"', ""), F.lit(","))
-    good = (F.size("__fields") <= F.size("__header")) & (F.size("__fields") == commas + 1)
+    commas = F.regexp_count(F.regexp_replace("__record", '"(?:[^"]++|"")*+"', ""), F.lit(","))
+    quotes = F.length("__record") - F.length(F.replace("__record", F.lit('"')))
+    good = (F.size("__fields") <= F.size("__header")) & (F.size("__fields") == commas + 1) & (quotes % 2 == 0)
     value = lambda c: F.get("__fields", (F.array_position("__header", c) - 1).cast("int"))
     row = F.struct(*[F.when(F.array_position("__header", c) > 0, value(c)).alias(c) for c in columns])
     return out.withColumn("row", F.when(good, row)).withColumn("raw", F.col("__record")).drop("__records", "__header", "__at", "__fields", "__record")
 
 
+class Folder:
+    """A share that Spark reads itself: any Hadoop path, mounted Azure Files among them."""
+
+    def __init__(self, spark: SparkSession, path: str, suffix: str = ".csv"):
+        self.spark, self.path, self.suffix = spark, path.rstrip("/"), suffix
+
+    def _all(self) -> DataFrame:
+        return self.spark.read.format("binaryFile").option("pathGlobFilter", f"*{self.suffix}").load(self.path)
+
+    def listing(self) -> DataFrame:
+        """name, etag, size, last_modified of every file with the suffix. Contents aren't read."""
+        m = F.date_format("modificationTime", identity.ISO_MICROS)
+        etag = F.concat_ws("-", F.unix_micros("modificationTime").cast("string"), F.col("length").cast("string"))
+        return self._all().select(F.element_at(F.split("path", "/"), -1).alias("name"), etag.alias("etag"), F.col("length").alias("size"), m.alias("last_modified"))
+
+    def contents(self, names: list[str]) -> DataFrame:
+        """name, content of these files."""
+        files = self.spark.read.format("binaryFile").load([f"{self.path}/{n}" for n in names])
+        return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+
+
+class RemoteShare:
+    """A share behind a client of its own, such as the Azure Files SDK's directory client.
+
+    connect: makes the client, on the driver and on executors alike. It has list_directories_and_files(), giving items
+    with name and is_directory, and get_file_client(name), which has get_file_properties() (etag, size, last_modified) and
+    download_file().readall(). Directories and other suffixes are passed over; contents are downloaded by executors.
+    """
+
+    def __init__(self, spark: SparkSession, connect: Callable[[], Any], suffix: str = ".csv"):
+        self.spark, self.connect, self.suffix = spark, connect, suffix
+
+    def listing(self) -> DataFrame:
+        client, rows = self.connect(), []
+        for item in client.list_directories_and_files():
+            if item["is_directory"] or not item["name"].endswith(self.suffix):
+                continue
+            p = client.get_file_client(item["name"]).get_file_properties()
+            rows.append((item["name"], p.etag.strip('"'), p.size, p.last_modified.strftime("%Y-%m-%dT%H:%M:%S.%f")))
+        return self.spark.createDataFrame(sorted(rows), "name STRING, etag STRING, size LONG, last_modified STRING")
+
+    def contents(self, names: list[str]) -> DataFrame:
+        connect = self.connect
+
+        def download(batches):
+            client = connect()
+            for b in batches:
+                for name in b.column("name").to_pylist():
+                    data = client.get_file_client(name).download_file().readall()
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data], pa.binary())], names=["name", "content"])
+
+        wanted = self.spark.createDataFrame([(n,) for n in names], "name STRING")
+        return wanted.repartition(max(1, min(len(names), int(self.spark.conf.get("spark.sql.shuffle.partitions"))))).mapInArrow(download, "name STRING, content BINARY")
+
+
 class FileDropSource:
+    """manifest: the rows (file_name, etag) of the files that earlier runs took, or None. It is the state: what is listed there with
+    the same version is left alone. Only names of new files reach the driver."""
+
     system = "azure_fileshare"
     table = "partner_transfers"
 
-    def __init__(self, spark: SparkSession, folder: str, name: str = "partner_fileshare", share: str = "partner-drop", suffix: str = ".csv"):
-        self.spark, self.folder, self.name, self.share, self.suffix = spark, folder, name, share, suffix
+    def __init__(self, spark: SparkSession, folder: str | Folder | RemoteShare, name: str = "partner_fileshare", share: str = "partner-drop", manifest: Callable[[], DataFrame | None] = lambda: None):
+        self.spark, self.name, self.share, self.manifest = spark, name, share, manifest
+        self.files = Folder(spark, folder) if isinstance(folder, str) else folder
 
-    def listing(self) -> DataFrame:
-        """name, etag, size, last_modified, path of every file with the suffix."""
-        df = self.spark.read.format("binaryFile").option("pathGlobFilter", f"*{self.suffix}").load(self.folder)
-        m = F.date_format("modificationTime", identity.ISO_MICROS)
-        return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.concat_ws("-", F.unix_micros("modificationTime").cast("string"), F.col("length").cast("string")).alias("etag"), F.col("length").alias("size"), m.alias("last_modified"))
+    def arrivals(self) -> DataFrame:
+        """Listed files that are new or changed, and `again`: whether an earlier version was taken."""
+        found, seen = self.files.listing(), self.manifest()
+        if seen is None:
+            return found.withColumn("again", F.lit(False))
+        fresh = found.join(seen.select(F.col("file_name").alias("name"), "etag"), ["name", "etag"], "left_anti")
+        earlier = seen.select(F.col("file_name").alias("name")).distinct().withColumn("again", F.lit(True))
+        return fresh.join(earlier, "name", "left").withColumn("again", F.coalesce("again", F.lit(False)))
 
     def capture(self, watermark: dict[str, Any] | None, trace_id: str) -> Capture:
-        seen: dict[str, str] = dict((watermark or {}).get("files", {}))
-        found = self.listing().drop("path").orderBy("name").collect()  # names and versions of a folder, no contents
-        new = [f for f in found if seen.get(f["name"]) != f["etag"]]
+        new = self.arrivals().select("name", "etag", "last_modified", "again").collect()
         if not new:
-            return Capture(None, {"files": seen})
-        marks = self.spark.createDataFrame([(f["name"], f["etag"], f["last_modified"], f["name"] in seen) for f in new], "name STRING, etag STRING, last_modified STRING, again BOOLEAN")
-        # only the new files are read
-        paths = [f"{self.folder.rstrip('/')}/{f['name']}" for f in new]
-        files = self.spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"), F.expr("try_validate_utf8(cast(content as string))").alias("text"))
-        files = files.join(F.broadcast(marks), "name")
+            return Capture(None, watermark or {"files": 0})
+        marks = self.spark.createDataFrame(new, "name STRING, etag STRING, last_modified STRING, again BOOLEAN")
+        files = self.files.contents(sorted(f["name"] for f in new))
+        files = files.select("name", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("long").alias("size"), F.expr("try_validate_utf8(cast(content as string))").alias("text"))
+        files = files.join(marks, "name")
         rows = csv_rows(files, "text", TRANSFER_COLUMNS)
         rows = rows.withColumn("position", F.concat(F.col("name"), F.lit(":"), F.col("line").cast("string"), F.lit("@"), F.substring("sha256", 1, 12)))
         fault = F.when(F.col("row").isNull(), F.lit("malformed record")).otherwise(checks.transfer_fault("row."))
@@ -75,10 +139,13 @@ class FileDropSource:
         events = to_events(flat, self.system, self.share, self.table, ["transfer_id"], F.col("key_json"), F.col("op"), null, F.col("after"), F.col("position"), F.col("last_modified"), sequence, trace_id, "row.")
         per = rows.groupBy("name").agg(F.count_if(F.col("fault").isNull()).alias("rows"), F.count_if(F.col("fault").isNotNull()).alias("rejected"))
         manifest = files.join(per, "name", "left").select(F.col("name").alias("file_name"), "etag", "size", "sha256", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.coalesce("rejected", F.lit(0)).cast("long").alias("rejected"), F.lit(trace_id).alias("trace_id"))
-        return Capture(events, {"files": seen | {f["name"]: f["etag"] for f in new}}, rejects, manifest)
+        return Capture(events, {"files": (watermark or {}).get("files", 0) + len(new)}, rejects, manifest)
 
     def stats(self) -> dict[str, dict[str, Any]]:
         """Distinct valid transfers over all files."""
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", f"*{self.suffix}").load(self.folder).select(F.expr("try_validate_utf8(cast(content as string))").alias("text"))
+        names = [r["name"] for r in self.files.listing().select("name").collect()]
+        if not names:
+            return {self.table: {"rows": 0}}
+        files = self.files.contents(names).select(F.expr("try_validate_utf8(cast(content as string))").alias("text"))
         rows = csv_rows(files, "text", TRANSFER_COLUMNS).where(F.col("row").isNotNull()).where(checks.transfer_fault("row.").isNull())
         return {self.table: {"rows": rows.agg(F.count_distinct("row.transfer_id")).first()[0]}}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,10 @@ def parsed(messages: DataFrame) -> DataFrame:
 def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: str, dlq: str | None = None, source: DataFrame | None = None):
     """Reads what is new in the topics (or in `source`, a stream of messages) once and stops. Bad messages go to the dead-letter topic."""
 
+    def query_id() -> str:
+        """Of the stream, as its checkpoint has it: a batch that is repeated has the same number under it."""
+        return json.loads(tables.files.read_text(f"{checkpoint}/metadata"))["id"]
+
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = parsed(batch).persist()
         try:
@@ -40,7 +46,7 @@ def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: s
             if dlq and not bad.isEmpty():
                 value = F.to_json(F.struct(F.lit("topic").alias("source_system"), F.concat_ws(":", "kafka_topic", "kafka_partition", "kafka_offset").alias("position"), F.array_join("faults", "; ").alias("reason"), "raw"))
                 key = F.concat_ws(":", "kafka_topic", "kafka_partition", "kafka_offset")
-                topics.append(dlq, bad.select(key.alias("key"), value.alias("value"), F.create_map(F.lit("kind"), F.lit("event")).alias("headers")), ["key"])
+                topics.append(dlq, bad.select(key.alias("key"), value.alias("value"), F.create_map(F.lit("kind"), F.lit("event")).alias("headers")), ["key"], once=(query_id(), batch_id))
         finally:
             rows.unpersist()
 

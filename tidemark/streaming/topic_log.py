@@ -1,8 +1,8 @@
 """Topics as Parquet folders with the columns of a broker's messages: key, value, headers, topic, partition, offset, timestamp.
 
 <root>/<topic>/batch=<n>/… holds messages, <root>/<topic>/_meta.json the number of partitions. A batch is written to a
-name of its own and becomes visible by one rename, with its first offsets in the name table; a reader, batch or streaming,
-sees whole batches only. Offsets are gapless within (topic, partition).
+name of its own, with the offsets it ends at, and becomes visible by one rename; a reader, batch or streaming, sees whole
+batches only. Offsets are gapless within (topic, partition).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import json
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.files import Files
@@ -21,8 +21,16 @@ from tidemark.types import MESSAGE
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Takes spark.checkpoint.dir where it is set; a temporary folder (one machine, as in tests) otherwise."""
     sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="checkpoint-"))
+    if sc._jsc.sc().getCheckpointDir().isDefined():
+        return
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and sc.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(shared or "file://" + tempfile.mkdtemp(prefix="checkpoint-"))
+
+
+#: Writers of one topic at a time that append() stands.
+ATTEMPTS = 20
 
 
 class DeliveryError(RuntimeError):
@@ -73,33 +81,44 @@ class TopicLog:
     def _batches(self, topic: str) -> list[int]:
         return sorted(int(n.split("=")[1]) for n in self.files.names(f"{self.root}/{topic}") if n.startswith("batch="))
 
-    def _ends(self, topic: str) -> dict[int, int]:
-        """The next offset of each partition, kept with the last batch."""
-        done = self._batches(topic)
-        return {int(k): v for k, v in json.loads(self.files.read_text(f"{self.root}/{topic}/_ends/{done[-1]}.json")).items()} if done else {}
+    def _state(self, topic: str, done: list[int]) -> dict:
+        """ends: the next offset of each partition; written: the last number of each writer. Kept inside the last batch."""
+        if not done:
+            return {"ends": {}, "written": {}}
+        s = json.loads(self.files.read_text(f"{self.root}/{topic}/batch={done[-1]}/_state.json"))
+        return s | {"ends": {int(k): v for k, v in s["ends"].items()}}
 
-    def append(self, topic: str, messages: DataFrame, order: list[str]) -> DataFrame:
+    def append(self, topic: str, messages: DataFrame, order: list[str], once: tuple[str, int] | None = None) -> DataFrame:
         """messages: key, value, headers (and more). Returns what was written with its partition and offset.
 
-        The batch is staged, its ends recorded, then renamed into place: until the rename nothing of it is visible.
+        A batch is staged with its state, then renamed into place, which fails if another writer was first: the batch is then
+        numbered anew. Until the rename nothing of it is visible. once: a writer and its number; what a writer wrote under
+        a number isn't written again (an empty table is returned), so a repeated step leaves no second copy.
         """
         if not self.files.exists(f"{self.root}/{topic}/_meta.json"):
             raise DeliveryError(f"topic {topic} does not exist")
-        n, first = self.partitions(topic), self._ends(topic)
-        number = (self._batches(topic) or [-1])[-1] + 1
-        staged = f"{self.root}/_staged/{topic}-{uuid.uuid4().hex}"
+        n = self.partitions(topic)
         dealt = messages.withColumn("partition", F.pmod(F.hash("key"), F.lit(n)).cast("int"))
-        held = f"{staged}-in"
-        numbered = with_offsets(dealt, "partition", order, "offset", first, held)
-        numbered.select("key", "value", "headers", F.lit(topic).alias("topic"), "partition", "offset", F.current_timestamp().alias("timestamp"), *[c for c in messages.columns if c not in ("key", "value", "headers")]).write.parquet(staged)
-        back = self.spark.read.parquet(staged)
-        ends = {r["partition"]: r["top"] + 1 for r in back.groupBy("partition").agg(F.max("offset").alias("top")).collect()}
-        self.files.write_text(f"{self.root}/{topic}/_ends/{number}.json", json.dumps(first | ends))
-        target = f"{self.root}/{topic}/batch={number}"
-        if not self.files.rename(staged, target):
-            raise DeliveryError(f"{topic}: batch {number} could not be put in place")
-        self.files.delete(held)
-        return self.spark.read.parquet(target)
+        more = [c for c in messages.columns if c not in ("key", "value", "headers")]
+        for _ in range(ATTEMPTS):
+            done = self._batches(topic)
+            state = self._state(topic, done)
+            if once and state["written"].get(once[0], -1) >= once[1]:
+                return self.spark.createDataFrame([], self.read(topic).schema)
+            staged = f"{self.root}/_staged/{topic}-{uuid.uuid4().hex}"
+            numbered = with_offsets(dealt, "partition", order, "offset", state["ends"], f"{staged}-in")
+            numbered.select("key", "value", "headers", F.lit(topic).alias("topic"), "partition", "offset", F.current_timestamp().alias("timestamp"), *more).write.parquet(staged)
+            tops = self.spark.read.parquet(staged).groupBy("partition").agg(F.max("offset").alias("top")).collect()
+            state["ends"] |= {r["partition"]: r["top"] + 1 for r in tops}
+            state["written"] |= dict([once]) if once else {}
+            self.files.write_text(f"{staged}/_state.json", json.dumps(state))
+            target = f"{self.root}/{topic}/batch={(done or [-1])[-1] + 1}"
+            placed = self.files.rename(staged, target)
+            self.files.delete(f"{staged}-in")
+            if placed:
+                return self.spark.read.parquet(target)
+            self.files.delete(staged)
+        raise DeliveryError(f"{topic}: other writers were first {ATTEMPTS} times")
 
     def read(self, topic: str) -> DataFrame:
         return self.spark.read.schema(MESSAGE).parquet(*[f"{self.root}/{topic}/batch={n}" for n in self._batches(topic)]) if self._batches(topic) else self.spark.createDataFrame([], MESSAGE)
@@ -123,6 +142,28 @@ def kafka_options(conf: dict[str, str], shaded: bool = False) -> dict[str, str]:
     return out | {"kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "PLAIN", "kafka.sasl.jaas.config": jaas}
 
 
+def kafka_producer_options(conf: dict[str, str], shaded: bool = False) -> dict[str, str]:
+    """Options of Spark's Kafka sink: every message acknowledged by all replicas, written once, in order, compressed."""
+    # Fixed values.
+    sure = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.compression.type": "zstd", "kafka.linger.ms": "20"}
+    return kafka_options(conf, shaded) | sure
+
+
+def kafka_append(messages: DataFrame, options: dict[str, str], topic: str) -> int:
+    """Writes messages (key, value, headers) to a broker and returns how many; any that was not acknowledged is a DeliveryError.
+
+    A broker's partitions and offsets aren't reported back by the sink; Bronze reads them with the messages.
+    """
+    pairs = F.transform(F.map_entries("headers"), lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value")))
+    seen = Observation()
+    rows = messages.select(F.col("key").cast("binary"), F.col("value").cast("binary"), pairs.alias("headers")).observe(seen, F.count(F.lit(1)).alias("n"))
+    try:
+        rows.write.format("kafka").options(**options).option("topic", topic).option("includeHeaders", "true").save()
+    except Exception as e:
+        raise DeliveryError(f"{topic}: {e}") from e
+    return seen.get["n"]
+
+
 def kafka_stream(spark: SparkSession, options: dict[str, str], topics: list[str]) -> DataFrame:
     """The same columns from a broker, where the connector is on the class path."""
     df = spark.readStream.format("kafka").options(**options).option("subscribe", ",".join(topics)).option("startingOffsets", "earliest").option("failOnDataLoss", "true").option("includeHeaders", "true").load()
