@@ -168,6 +168,37 @@ def test_simulator_is_consistent():
     assert iban.startswith("PT50") and int("".join(str(int(ch, 36)) for ch in iban[4:] + iban[:4])) % 97 == 1
 
 
+def test_the_log_can_be_carried_out_on_a_database():
+    import sqlite3
+    from decimal import Decimal
+
+    from tidemark import seeding
+
+    b = bank(4)
+    con = sqlite3.connect(":memory:")
+    adapt = lambda v: str(v) if isinstance(v, Decimal | datetime) or hasattr(v, "isoformat") else v
+    for t, rows in b.tables.items():
+        con.execute(f"create table {t} ({', '.join(next(iter(rows.values())))})")
+    assert seeding.apply_log(con, b.log, adapt, every=7) == sum(c.code != 3 for c in b.log)
+    for t, rows in b.tables.items():
+        assert sorted(con.execute(f"select * from {t}").fetchall()) == sorted(tuple(map(adapt, r.values())) for r in rows.values())
+    con.execute(f"create table loans ({', '.join(next(iter(b.loans.values())))})")
+    for _ in range(2):
+        seeding.replace_rows(con, "loans", "LOAN_ID", b.loans, adapt)
+        assert sorted(con.execute("select * from loans").fetchall()) == sorted(tuple(map(adapt, r.values())) for r in b.loans.values())
+        b.hour()
+
+
+def test_heartbeat_waits_and_gives_up():
+    from tidemark import seeding
+
+    now = [0.0]
+    sleep = lambda s: now.__setitem__(0, now[0] + s)
+    assert seeding.heartbeat(lambda: 7, lambda t: t == 7 and now[0] >= 3, clock=lambda: now[0], sleep=sleep) == 3
+    with pytest.raises(seeding.NotCaptured):
+        seeding.heartbeat(lambda: 7, lambda t: False, clock=lambda: now[0], sleep=sleep)
+
+
 SMALL = "/root/testdata/sf0.001"
 
 
