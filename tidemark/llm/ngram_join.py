@@ -49,6 +49,8 @@ PARITY_BITS = 1024
 MOST_ROUNDS = 6
 #: Longer runs of a token are passed on whole.
 LONG_RUN = 1024
+#: Rows of a slice, at least: runs of a token and groups that are longer are cut up and dealt to several tasks.
+SLICE_ROWS = 512
 U64 = scan.U64
 
 
@@ -61,7 +63,8 @@ def _count_tokens(n: int):
                 np.add.at(total, (h >> U64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
         parts = total.reshape(-1, 1 << CHUNK_BITS)
         at = [i for i in range(len(parts)) if parts[i].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([zlib.compress(parts[i].astype("<u8").tobytes(), 1) for i in at], pa.binary())], names=["chunk", "counts"])
+        for i in at:  # zeros are left to the shuffle's own compression
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([parts[i].tobytes()], pa.binary())], names=["chunk", "counts"])
 
     return run
 
@@ -70,11 +73,12 @@ def _add_counts(batches):
     """Streams; holds one chunk of counters for each chunk number of its partition."""
     held: dict[int, np.ndarray] = {}
     for b in batches:
-        for chunk, z in zip(b.column("chunk").to_pylist(), b.column("counts").to_pylist()):
-            x = np.frombuffer(zlib.decompress(z), "<u8")
+        for chunk, raw in zip(b.column("chunk").to_pylist(), b.column("counts")):
+            x = np.frombuffer(raw.as_buffer(), "<u4").astype(np.uint64)
             held[chunk] = held[chunk] + x if chunk in held else x
     at = sorted(held)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([zlib.compress(held[i].tobytes(), 1) for i in at], pa.binary())], names=["chunk", "counts"])
+    kept = [np.minimum(held[i], (1 << 32) - 1).astype("<u4") for i in at]
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in kept], pa.binary())], names=["chunk", "counts"])
 
 
 def _counts(texts: DataFrame, n: int) -> np.ndarray:
@@ -82,11 +86,10 @@ def _counts(texts: DataFrame, n: int) -> np.ndarray:
     schema = "chunk int, counts binary"
     some = texts.select("text").mapInArrow(_count_tokens(n), schema)
     chunks = 1 << (COUNTER_BITS - CHUNK_BITS)
-    added = some.repartition(chunks, "chunk").mapInArrow(_add_counts, schema)
+    added = some.repartition(max(1, chunks // 4), "chunk").mapInArrow(_add_counts, schema)
     out = np.zeros((chunks, 1 << CHUNK_BITS), dtype=np.uint32)
-    for r in added.toLocalIterator():
-        x = np.frombuffer(zlib.decompress(r["counts"]), "<u8")
-        out[r["chunk"]] = np.minimum(x, (1 << 32) - 1).astype(np.uint32)
+    for r in added.collect():
+        out[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), "<u4")
     return out.reshape(-1)
 
 
@@ -143,17 +146,29 @@ def _profile(n: int, percent: int, counts, tags: list[str]):
     return run
 
 
-def _explode(batches):
-    """token, g, n, pos of every group's prefix."""
-    for b in batches:
-        for lo in range(0, b.num_rows, 512):
-            part = b.slice(lo, 512)
-            data, at = scan.raw(part.column("prefix").cast(pa.binary()))
-            each = np.diff(at) // 8
-            tokens = np.frombuffer(data.tobytes(), dtype=np.int64)
-            row = pa.array(np.repeat(np.arange(part.num_rows), each))
-            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(each) - each, each)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), part.column("g").take(row), part.column("n").take(row), pa.array(pos.astype(np.int32))], names=["token", "g", "n", "pos"])
+def _explode(counts, slice_rows: int):
+    """token, g, n, pos of every group's prefix; slices: how many its token's run is cut into, and the one it is in.
+
+    The counters bound a run from above, so that a slice has about slice_rows rows at most.
+    """
+
+    def run(batches):
+        freq = counts.value
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                data, at = scan.raw(part.column("prefix").cast(pa.binary()))
+                each = np.diff(at) // 8
+                tokens = np.frombuffer(data.tobytes(), dtype=np.int64)
+                row = np.repeat(np.arange(part.num_rows), each)
+                pos = np.arange(len(tokens)) - np.repeat(np.cumsum(each) - each, each)
+                slices = -(-freq[(tokens.view(U64) >> U64(64 - COUNTER_BITS)).astype(np.int64)].astype(np.int64) // slice_rows)
+                slices = np.maximum(slices, 1)
+                g = part.column("g").take(pa.array(row))
+                own = (scan.mix(g.to_numpy().view(U64)) % slices.astype(U64)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens), g, part.column("n").take(pa.array(row)), pa.array(pos.astype(np.int32)), pa.array(slices.astype(np.int32)), pa.array(own)], names=["token", "g", "n", "pos", "slices", "slice"])
+
+    return run
 
 
 def _runs_by_size(starts: np.ndarray, sizes: np.ndarray):
@@ -168,17 +183,20 @@ def _runs_by_size(starts: np.ndarray, sizes: np.ndarray):
 def _shared(percent: int):
     """Of a partition sorted by token, the rows that some other row of their run passes the filters with.
 
-    Runs of more than LONG_RUN rows are passed on whole, as they come; shorter ones are held until they end.
+    Runs of more than LONG_RUN rows are passed on whole, as they come, and so are rows of sliced runs; others are held until
+    they end.
     """
 
     def feasible(rows: pa.RecordBatch, starts: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
         n, pos = rows.column("n").to_numpy().astype(np.int64), rows.column("pos").to_numpy().astype(np.int64)
+        sliced = rows.column("slices").to_numpy() > 1
         keep = np.zeros(rows.num_rows, dtype=bool)
-        for at in _runs_by_size(starts, sizes):
+        light = ~sliced[starts] if len(starts) else np.zeros(0, bool)
+        for at in _runs_by_size(starts[light], sizes[light]):
             ok = possible(n[at][:, :, None], pos[at][:, :, None], n[at][:, None, :], pos[at][:, None, :], percent)
             ok[:, np.arange(at.shape[1]), np.arange(at.shape[1])] = False
             keep[at] = ok.any(axis=2)
-        return rows.filter(pa.array(keep))
+        return rows.filter(pa.array(keep | sliced))
 
     def run(batches):
         held, passing = None, None
@@ -226,25 +244,26 @@ def possible(na, pa_, nb, pb, percent: int) -> np.ndarray:
 
 
 def _stars(percent: int):
-    """Of a partition sorted by token, band and mark: each row with the first of its band and the first of the band below.
-    State between batches: two anchors. A row's component is that of its group's leader."""
+    """Of a partition sorted by token, slice, band and mark: each row with the first of its band and the first of the band
+    below. State between batches: two anchors. A row's component is that of its group's leader."""
 
     def run(batches):
-        token = None
+        cell = None
         anchors: dict[int, tuple] = {}
         names = ["a", "b"]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t, g, n, pos, comp, bands = (batch.column(c).to_numpy() for c in ("token", "g", "n", "pos", "comp", "band"))
+            t, k, g, n, pos, comp, bands = (batch.column(c).to_numpy() for c in ("token", "slice", "g", "n", "pos", "comp", "band"))
             head = np.ones(len(t), dtype=bool)
-            head[1:] = (t[1:] != t[:-1]) | (bands[1:] != bands[:-1])
+            head[1:] = (t[1:] != t[:-1]) | (k[1:] != k[:-1]) | (bands[1:] != bands[:-1])
             starts = np.flatnonzero(head)
             run_of = np.cumsum(head) - 1
-            # anchor of each (token, band) run: its first row, or that of an earlier batch
+            # anchor of each (token, slice, band) run: its first row, or that of an earlier batch
             ag, an, ap, ac = g[starts].copy(), n[starts].copy(), pos[starts].copy(), comp[starts].copy()
-            rt, rb = t[starts], bands[starts]
-            if token == rt[0] and int(rb[0]) in anchors:
+            rt, rk, rb = t[starts], k[starts], bands[starts]
+            same = (rt[1:] == rt[:-1]) & (rk[1:] == rk[:-1])
+            if cell == (rt[0], rk[0]) and int(rb[0]) in anchors:
                 ag[0], an[0], ap[0], ac[0] = anchors[int(rb[0])]
             out_a, out_b = [], []
 
@@ -256,11 +275,11 @@ def _stars(percent: int):
             every = np.arange(len(t))
             pair(every, run_of)
             below = np.full(len(starts), -1)
-            has = np.flatnonzero((rt[1:] == rt[:-1]) & (rb[1:] == rb[:-1] + 1)) + 1
+            has = np.flatnonzero(same & (rb[1:] == rb[:-1] + 1)) + 1
             below[has] = has - 1
             rows = every[below[run_of] >= 0]
             pair(rows, below[run_of[rows]])
-            if token == rt[0] and int(rb[0]) - 1 in anchors:
+            if cell == (rt[0], rk[0]) and int(rb[0]) - 1 in anchors:
                 bg, bn, bp, bc = anchors[int(rb[0]) - 1]
                 rows = every[run_of == 0]
                 ok = (comp[rows] != bc) & (g[rows] != bg) & possible(n[rows].astype(np.int64), pos[rows], np.int64(bn), bp, percent)
@@ -268,12 +287,12 @@ def _stars(percent: int):
                 out_b.append(np.full(int(ok.sum()), bg))
             last = len(starts) - 1
             kept = {}
-            if last and rt[last] == rt[last - 1]:
+            if last and same[-1]:
                 kept[int(rb[last - 1])] = (ag[last - 1], an[last - 1], ap[last - 1], ac[last - 1])
-            elif token == rt[last] and not last:
-                kept = {k: v for k, v in anchors.items() if k >= int(rb[last]) - 1}
+            elif cell == (rt[last], rk[last]) and not last:
+                kept = {band: v for band, v in anchors.items() if band >= int(rb[last]) - 1}
             kept[int(rb[last])] = (ag[last], an[last], ap[last], ac[last])
-            token, anchors = rt[last], kept
+            cell, anchors = (rt[last], rk[last]), kept
             a, b = np.concatenate(out_a), np.concatenate(out_b)
             lo, hi = np.minimum(a, b), np.maximum(a, b)
             if len(lo):
@@ -284,51 +303,111 @@ def _stars(percent: int):
     return run
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Every row once for each pair of slices that its own is in, so that all pairs of a run meet in some block (i <= j), and no
+    block holds more than two slices: i, j."""
+    other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    out = rows.select("*", other.alias("other"))
+    return out.select(*rows.columns, F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"))
+
+
+def _cells(batches, read, keys: int, dull=None):
+    """The rows of each cell of a partition sorted by cell, as arrays. read: arrays of a batch, the first `keys` of which name
+    the cell. dull: tells, for all cells that lie inside a batch, which of them aren't wanted."""
+    held: list[list[np.ndarray]] = []
+
+    def joined():
+        return held[0] if len(held) == 1 else [np.concatenate(x) for x in zip(*held)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = read(batch)
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for k in cols[:keys]:
+            new[1:] |= k[1:] != k[:-1]
+        if held and any(h[-1] != c[0] for h, c in zip(held[-1][:keys], cols[:keys])):
+            yield joined()
+            held = []
+        starts = np.concatenate(([0], np.flatnonzero(new)))
+        stops = np.append(starts[1:], batch.num_rows)
+        wanted = np.ones(len(starts), dtype=bool) if dull is None else ~dull(cols, starts)
+        if len(starts) > 1 and held:
+            held.append([c[: stops[0]] for c in cols])
+            yield joined()
+            held, wanted[0] = [], False
+        for at in np.flatnonzero(wanted[:-1]).tolist():
+            yield [c[starts[at] : stops[at]] for c in cols]
+        held.append([c[starts[-1] :] for c in cols])
+    if held:
+        yield joined()
+
+
+def _upper_pairs(each: np.ndarray, chunk: int = 1 << 20):
+    """Pairs (i, i + 1 .. i + each[i]) of places, about `chunk` at a time."""
+    done = np.concatenate(([0], np.cumsum(each)))
+    at = 0
+    while at < len(each):
+        to = max(at + 1, int(np.searchsorted(done, done[at] + chunk, side="right")) - 1)
+        i = np.repeat(np.arange(at, to), each[at:to])
+        yield i, np.arange(len(i)) - np.repeat(done[at:to] - done[at], each[at:to]) + i + 1
+        at = to
+
+
 def _crossings(percent: int):
-    """Of a partition sorted by token: all group pairs of a run that pass the filters and are not of one component
-    (mixed groups, component -1, are paired with all), with the room left after the token and the overlap needed. Memory holds the run's rows; runs of one component are skipped."""
-    chunk = 1 << 20
-
-    def pairs(rows):
-        g, n, pos, comp = rows
-        if len(g) < 2 or (comp[0] >= 0 and (comp == comp[0]).all()):
-            return
-        order = np.argsort(n, kind="stable")
-        g, n, pos, comp = g[order], n[order].astype(np.int64), pos[order].astype(np.int64), comp[order]
-        top = np.searchsorted(n, 100 * n // percent, side="right")  # partners lie after a row, up to this place
-        each = top - np.arange(len(n)) - 1
-        at = 0
-        while at < len(n):
-            to = at + max(1, int(np.searchsorted(np.cumsum(each[at:]), chunk, side="right")))
-            i = np.repeat(np.arange(at, min(to, len(n))), each[at:to])
-            j = np.arange(len(i)) - np.repeat(np.cumsum(each[at:to]) - each[at:to], each[at:to]) + i + 1
-            ok = ((comp[i] != comp[j]) | (comp[i] < 0)) & possible(n[i], pos[i], n[j], pos[j], percent)
-            i, j = i[ok], j[ok]
-            if len(i):
-                turn = g[i] > g[j]
-                a, b = np.where(turn, j, i), np.where(turn, i, j)
-                room = np.minimum(n[a] - pos[a], n[b] - pos[b]) - 1  # tokens that may still be shared after this one
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g[a], g[b], room, least_overlap(n[a], n[b], percent))], names=["ga", "gb", "room", "need"])
-            at = to
+    """Of a partition sorted by token and block: all group pairs of a block that pass the filters and are not of one component
+    (mixed groups, component -1, are paired with all), with the room left after the token and the overlap needed. Memory
+    holds a block's rows; blocks of one component are skipped."""
 
     def run(batches):
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
+        read = lambda batch: [batch.column(c).to_numpy() for c in ("token", "i", "j", "slice", "g", "n", "pos", "comp")]
+
+        def dull(cols, starts):
+            low, high = np.minimum.reduceat(cols[7], starts), np.maximum.reduceat(cols[7], starts)
+            return (low == high) & (low >= 0)
+
+        for _, first, second, own, g, n, pos, comp in _cells(batches, read, 3, dull):
+            if len(comp) < 2 or (comp[0] >= 0 and (comp == comp[0]).all()):
                 continue
-            t = batch.column("token").to_numpy()
-            cols = [batch.column(c).to_numpy() for c in ("g", "n", "pos", "comp")]
-            cut = [0, *(np.flatnonzero(t[1:] != t[:-1]) + 1).tolist(), len(t)]
-            for lo, hi in zip(cut[:-1], cut[1:]):
-                part = [c[lo:hi] for c in cols]
-                if rest is not None and rest[0] == t[lo]:
-                    rest[1].append(part)
-                else:
-                    if rest is not None:
-                        yield from pairs([np.concatenate(x) for x in zip(*rest[1])])
-                    rest = (t[lo], [part])
-        if rest is not None:
-            yield from pairs([np.concatenate(x) for x in zip(*rest[1])])
+            across = first[0] != second[0]
+            order = np.argsort(n, kind="stable")
+            own, g, n, pos, comp = own[order], g[order], n[order].astype(np.int64), pos[order].astype(np.int64), comp[order]
+            top = np.searchsorted(n, 100 * n // percent, side="right")  # partners lie after a row, up to this place
+            for i, j in _upper_pairs(top - np.arange(len(n)) - 1):
+                ok = ((comp[i] != comp[j]) | (comp[i] < 0)) & possible(n[i], pos[i], n[j], pos[j], percent)
+                if across:
+                    ok &= own[i] != own[j]
+                i, j = i[ok], j[ok]
+                if len(i):
+                    turn = g[i] > g[j]
+                    a, b = np.where(turn, j, i), np.where(turn, i, j)
+                    room = np.minimum(n[a] - pos[a], n[b] - pos[b]) - 1  # tokens that may still be shared after this one
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g[a], g[b], room, least_overlap(n[a], n[b], percent))], names=["ga", "gb", "room", "need"])
+
+    return run
+
+
+def _inside(percent: int):
+    """Of a partition of members sorted by group and block: the pairs of a block that are of different components and whose
+    parities let them overlap enough. Other pairs are never made into rows."""
+
+    def run(batches):
+        def read(batch):
+            bits = np.frombuffer(scan.raw(batch.column("parity"))[0].tobytes(), "<u8").reshape(batch.num_rows, -1)
+            return [*[batch.column(c).to_numpy() for c in ("g", "i", "j", "slice", "c", "comp", "n")], bits]
+
+        for _, first, second, own, c, comp, n, bits in _cells(batches, read, 3):
+            across = first[0] != second[0]
+            most = 2 * (n[0].astype(np.int64) - least_overlap(n[0].astype(np.int64), n[0].astype(np.int64), percent))
+            for i, j in _upper_pairs(len(c) - 1 - np.arange(len(c)), 1 << 16):
+                ok = comp[i] != comp[j]
+                if across:
+                    ok &= own[i] != own[j]
+                i, j = i[ok], j[ok]
+                near = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= most
+                a, b = c[i[near]], c[j[near]]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return run
 
@@ -411,44 +490,47 @@ class Join:
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def profiles(self) -> DataFrame:
-        counts = self.spark.sparkContext.broadcast(_counts(self.docs, self.n))
+        freq = _counts(self.docs, self.n)
+        self.counts = self.spark.sparkContext.broadcast(freq)
+        # a token counts as frequent well above the mean, which grows with the corpus
+        self.slice_rows = max(SLICE_ROWS, 4 * int(freq.mean()))
         tags = "".join(f"{t} long, " for t in self.tags)
-        found = self.docs.mapInArrow(_profile(self.n, self.percent, counts, list(self.tags)), f"doc long, {tags}k1 long, k2 long, n int, p1 long, p2 long, parity binary, prefix binary")
-        return written(found.withColumn("row", F.monotonically_increasing_id()), "ngram-prefixes")
+        found = self.docs.mapInArrow(_profile(self.n, self.percent, self.counts, list(self.tags)), f"doc long, {tags}k1 long, k2 long, n int, p1 long, p2 long, parity binary, prefix binary")
+        return written(found.withColumn("row", F.monotonically_increasing_id()), "ngram-profiles")
+
+    def _shared_tokens(self, leaders: DataFrame) -> DataFrame:
+        """Prefix rows with a feasible partner; those of tokens that are cut into slices are passed on as they are."""
+        schema = "token long, g long, n int, pos int, slices int, slice int"
+        tokens = leaders.mapInArrow(_explode(self.counts, self.slice_rows), schema)
+        # whole runs come together; the rows of sliced ones are dealt anywhere
+        deal = F.when(F.col("slices") > 1, F.xxhash64("token", "slice")).otherwise(F.col("token"))
+        laid = tokens.repartition(self.parts, deal).sortWithinPartitions("token", "slice")
+        return written(laid.mapInArrow(_shared(self.percent), schema), "ngram-shared")
 
     def result(self) -> DataFrame:
         """doc, n_shingles, component_id, root (one for each component), class_id (one for each set) and the tags."""
-        prefixes = self.profiles()
-        profiles = written(prefixes.drop("prefix"), "ngram-profiles")
+        profiles = self.profiles()
         sets = profiles.where("n > 0")
         classes = sets.groupBy("k1", "k2", "n", "p1", "p2", "parity").agg(F.min("row").alias("c"), F.min("doc").alias("doc"))
         classes = written(classes, "ngram-classes")
         groups = classes.groupBy("n", "p1", "p2").agg(F.min("c").alias("g"), F.count("*").alias("size"))
         groups = written(groups, "ngram-groups")
-        leaders = groups.select("g").join(prefixes.where("n > 0").select("row", "n", "prefix"), F.col("g") == F.col("row")).select("g", "n", "prefix")
-        tokens = leaders.mapInArrow(_explode, "token long, g long, n int, pos int")
-        shared = written(tokens.repartition(self.parts, "token").sortWithinPartitions("token").mapInArrow(_shared(self.percent), "token long, g long, n int, pos int"), "ngram-shared")
-        dropped(prefixes)
-        del leaders, tokens
-        release(self.spark)
+        leaders = groups.select("g").join(sets.select("row", "n", "prefix"), F.col("g") == F.col("row")).select("g", "n", "prefix")
+        shared = self._shared_tokens(leaders)
         # groups of several classes: their members, by the leader
-        members = written(classes.select("c", "n", "p1", "p2").join(groups.where("size > 1"), ["n", "p1", "p2"]).select("g", "c"), "ngram-members")
+        members = written(classes.select("c", "n", "p1", "p2", "parity").join(groups.where("size > 1"), ["n", "p1", "p2"]).select("g", "c", "n", "parity", "size"), "ngram-members")
         # candidates: every class whose group shares a token, or its prefix, with another
-        wanted = shared.select(F.col("g").alias("c")).distinct()
-        wanted = wanted.unionByName(members.join(wanted, members["g"] == wanted["c"], "left_semi").select("c")).unionByName(members.select("c")).distinct()
+        wanted = shared.select(F.col("g").alias("c")).unionByName(members.select("c")).distinct()
         keys = classes.join(wanted, "c", "left_semi").select("c", "k1", "k2", "n", "parity", F.coalesce("doc", F.lit(0)).alias("doc"))
         keys = written(keys, "ngram-keys")
         bits = self.spark.sparkContext.broadcast(_candidate_filter(keys.select("k1", "k2", "doc")))
         texts = self.docs.select(F.coalesce("doc", F.lit(0)).alias("doc"), "text")
         self.whole = written(texts.mapInArrow(_sets(self.n, bits), "k1 long, k2 long, set binary"), "ngram-sets")
         self.keys = keys
-        release(self.spark)
-
         labels, enough = None, shared.count() + members.count()
         for r in range(MOST_ROUNDS):
             labels = self._labels(labels, self._compare(self._star_pairs(shared, members, labels, r)))
             pairs = written(self._crossing_pairs(shared, members, labels), "ngram-crossings")
-            release(self.spark)
             if pairs.count() <= enough:  # else another star round, by other anchors, makes fewer
                 break
         labels = self._labels(labels, self._compare(pairs, few=True))
@@ -472,9 +554,12 @@ class Join:
     def _star_pairs(self, shared: DataFrame, members: DataFrame, labels: DataFrame | None, r: int) -> DataFrame:
         size = F.floor(F.log("n") / F.log(F.lit(100 / self.percent)) + F.lit(1e-9)).cast("int")
         # the anchor: first the row with the fewest tokens rarer than this one, which an original has and its edited copies have not
-        mark = [F.col("pos"), F.xxhash64("g")] if r == 0 else [F.xxhash64("g", "token", F.lit(r))]
-        rows = self._with_comp(shared, "g", labels).select("token", "g", "n", "pos", "comp", size.alias("band"), *[m.alias(f"mark{i}") for i, m in enumerate(mark)])
-        laid = rows.repartition(self.parts, "token").sortWithinPartitions("token", "band", *[f"mark{i}" for i in range(len(mark))])
+        marks = [F.col("pos"), F.xxhash64("g")] if r == 0 else [F.xxhash64("g", "token", F.lit(r)), F.lit(0)]
+        rows = self._with_comp(shared, "g", labels).select("token", "slice", "slices", "g", "n", "pos", "comp", size.alias("band"), *[m.alias(f"mark{i}") for i, m in enumerate(marks)])
+        # a sliced run has one anchor for each band, which is sent to all of its slices
+        first = rows.where("slices > 1").groupBy("token", "band").agg(F.min(F.struct("mark0", "mark1", "g", "n", "pos", "comp", "slices")).alias("x"))
+        sent = first.select("token", F.explode(F.sequence(F.lit(0), F.col("x.slices") - 1)).alias("slice"), "x.slices", "x.g", "x.n", "x.pos", "x.comp", "band", "x.mark0", "x.mark1")
+        laid = rows.unionByName(sent).repartition(self.parts, "token", "slice").sortWithinPartitions("token", "slice", "band", "mark0", "mark1")
         pairs = laid.mapInArrow(_stars(self.percent), "a long, b long")
         if r == 0:
             pairs = pairs.unionByName(members.where("c <> g").select(F.col("c").alias("a"), F.col("g").alias("b")))
@@ -485,8 +570,13 @@ class Join:
         of_group = mine.groupBy(F.col("g").alias("mg")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         mixed = of_group.where("lo <> hi").select("mg")
         rows = self._with_comp(shared, "g", labels).join(mixed, F.col("g") == F.col("mg"), "left")
-        rows = rows.select("token", "g", "n", "pos", F.when(F.col("mg").isNotNull(), F.lit(-1)).otherwise(F.col("comp")).alias("comp"))
-        laid = rows.repartition(self.parts, "token").sortWithinPartitions("token")
+        rows = rows.select("token", "slices", "slice", "g", "n", "pos", F.when(F.col("mg").isNotNull(), F.lit(-1)).otherwise(F.col("comp")).alias("comp"))
+        # a sliced run of one component needs no pairs, and isn't multiplied
+        sliced = rows.where("slices > 1")
+        span = sliced.groupBy(F.col("token").alias("t")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi or lo < 0")
+        several = _blocks(sliced.join(span.select("t"), F.col("token") == F.col("t"), "left_semi"))
+        whole = rows.where("slices = 1").select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))
+        laid = whole.unionByName(several).drop("slices").repartition(self.parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
         # a pair can share the tokens it was met at, and what room the last of them leaves
         met = laid.mapInArrow(_crossings(self.percent), "ga long, gb long, room long, need long").groupBy("ga", "gb")
         gpairs = met.agg(F.count("*").alias("met"), F.min("room").alias("room"), F.min("need").alias("need")).where("met + room >= need")
@@ -499,10 +589,10 @@ class Join:
         b = every.select(F.col("g").alias("gb"), F.col("c").alias("b"), F.col("comp").alias("cb"))
         across = gpairs.join(a, "ga").join(b, "gb").where("ca <> cb").select("a", "b")
         # within a group of several components: members are compared with those of other components
-        inner = mine.join(mixed, F.col("g") == F.col("mg"), "left_semi")
-        x = inner.select("g", F.col("c").alias("a"), F.col("comp").alias("ca"))
-        y = inner.select("g", F.col("c").alias("b"), F.col("comp").alias("cb"))
-        within = x.join(y, (x["g"] == y["g"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b")
+        slices = F.ceil(F.col("size") / self.slice_rows).cast("int")
+        inner = mine.join(mixed, F.col("g") == F.col("mg"), "left_semi").withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("c"), F.col("slices")).cast("int"))
+        blocks = _blocks(inner).select("g", "i", "j", "slice", "c", "comp", "n", "parity")
+        within = blocks.repartition(self.parts, "g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(_inside(self.percent), "a long, b long")
         return across.unionByName(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def _compare(self, pairs: DataFrame, few: bool = False) -> DataFrame:
@@ -516,7 +606,7 @@ class Join:
         pairs = written(able, "ngram-pairs")
         if few:
             ids = [pairs.select(F.col(f"{c}1").alias("k1"), F.col(f"{c}2").alias("k2")) for c in "ab"]
-            whole = whole.join(written(ids[0].unionByName(ids[1]).distinct(), "ngram-ids"), ["k1", "k2"], "left_semi")
+            whole = whole.join(ids[0].unionByName(ids[1]).distinct(), ["k1", "k2"], "left_semi")
         side = lambda c: whole.select(F.col("k1").alias(f"{c}1"), F.col("k2").alias(f"{c}2"), F.col("set").alias(f"set_{c}"))
         both = pairs.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
         return both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long")
