@@ -228,7 +228,7 @@ def test_lineage_reaches_every_alert(spark):
     from tidemark.plans.catalog import QUERIES
 
     alerts = QUERIES["card_velocity_burst"](spark, SMALL).select(F.split("evidence", ",").alias("keys"), "account_id").collect()
-    rows = QUERIES["lineage_explode_all"](spark, SMALL).collect()
+    rows = QUERIES["lineage_explode"](spark, SMALL).collect()
     assert any(r["account_id"] % 50 for r in alerts) and len({r["alert_id"] for r in rows}) == len(alerts)
     assert sorted(r["entity_key"] for r in rows) == sorted(k for r in alerts for k in r["keys"])
 
@@ -237,7 +237,7 @@ def test_manifests_count_every_order(spark):
     from tidemark.plans.catalog import QUERIES
 
     n = spark.read.parquet(f"{SMALL}/orders.parquet").count()
-    rows = QUERIES["file_manifest_counts_all"](spark, SMALL).collect()
+    rows = QUERIES["file_manifest_counts"](spark, SMALL).collect()
     assert n > 500 and sum(r["rows"] + r["rejected"] for r in rows) == n and all(r["rows"] + r["rejected"] <= 1000 for r in rows)
 
 
@@ -245,6 +245,6 @@ def test_every_order_becomes_an_update_pair(spark):
     from tidemark.plans.catalog import QUERIES
 
     keys = {r["o_orderkey"] for r in spark.read.parquet(f"{SMALL}/orders.parquet").select("o_orderkey").collect()}
-    rows = QUERIES["log_update_pairs_all"](spark, SMALL).collect()
+    rows = QUERIES["log_update_pairs"](spark, SMALL).collect()
     assert len(rows) == len(keys) and {int(r["position"].split(":")[1]) for r in rows} == keys
     assert all(r["op"] == "u" and abs(r["after_price"] - r["before_price"] - 1) < 1e-6 for r in rows)

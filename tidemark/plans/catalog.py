@@ -6,7 +6,7 @@ type for the country, and signup / error / other events for creates, deletes and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import checks, identity
@@ -114,7 +114,19 @@ def alert_latency(spark, sf_dir):
 
 def _changes(spark, sf_dir):
     op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
-    return events(spark, sf_dir).select("user_id", "event_id", op.alias("op"), "ts", "value", "event_type")
+    return events(spark, sf_dir).select("user_id", "event_id", op.alias("op"), "ts", "value", "event_type", "props")
+
+
+def _messages(changes: DataFrame, keys: list[str], after) -> DataFrame:
+    """Messages of a topic, of changes with columns op, seq, ts; deletes keep their image too."""
+    from tidemark.sources.base import event_json, to_events
+    from tidemark.streaming.topic_log import message
+
+    null = F.lit(None).cast("string")
+    gone = F.col("op") == "d"
+    ev = to_events(changes, "shop", "db", "events", keys, identity.row_json(changes.schema, keys), F.col("op"), F.when(gone, after), after, F.col("seq"), F.date_format("ts", identity.ISO_MICROS), null, "trace")
+    rows = ev.select(*message(event_json(), F.col("topic_key"), {"event_id": F.col("event_id")}))
+    return rows.select("*", F.lit("events").alias("topic"), F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"))
 
 
 FOLD_SQL = """
@@ -155,7 +167,7 @@ f AS (SELECT user_id, event_id, op, last_value(CASE WHEN op <> 'd' THEN {'v': va
   row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM e)
 SELECT user_id, event_id, op, img.v AS value, img.k AS event_type FROM f WHERE r = 1""")
 def silver_latest_state(spark, sf_dir):
-    h = fold.history(_changes(spark, sf_dir), ["user_id"], ["event_id"], ["value", "event_type"])
+    h = fold.history(_changes(spark, sf_dir).drop("props"), ["user_id"], ["event_id"], ["value", "event_type"])
     return fold.latest(h, ["user_id"], ["event_id"]).select("user_id", "event_id", "op", "value", "event_type")
 
 
@@ -189,9 +201,16 @@ def event_id_hash(spark, sf_dir):
     return e.select("event_id", identity.event_id(F.lit("shop"), F.lit("events"), key, pos).alias("change_id"), identity.payload_hash(F.lit(None).cast("string"), after).alias("payload_hash"))
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS source_position, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op, 'events' AS source_table,
+  '{"event_id":' || event_id || '}' AS key_json, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, strftime(ts, '%Y-%m-%d %H:%M:%S') AS commit_ts FROM events""")
 def json_envelope_parse(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k BIGINT").alias("p")).select("event_id", "p.k")
+    """Change events as messages, read back into Bronze columns."""
+    from tidemark.streaming.bronze import parsed
+
+    got = parsed(_messages(_changes(spark, sf_dir).withColumn("seq", F.col("event_id").cast("string")), ["event_id"], F.to_json(F.struct("props"))))
+    k = F.from_json(F.get_json_object("after_json", "$.props"), "k BIGINT")["k"]
+    return got.select("source_position", "op", "source_table", "key_json", k.alias("k"), text_ts("source_commit_ts").alias("commit_ts"))
 
 
 @query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY ALL ORDER BY ALL")
@@ -204,15 +223,24 @@ def latency_percentiles(spark, sf_dir):
     return quality.percentiles(table(spark, sf_dir, "events"), "value")
 
 
-@query("SELECT CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR) AS balance_sum FROM customer")
+@query("SELECT count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR) AS balance_sum FROM customer")
 def balance_sum_exact(spark, sf_dir):
-    return table(spark, sf_dir, "customer").agg(F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("string").alias("balance_sum"))
+    """A source's own statistics: rows, and the sum of balances to the cent."""
+    from tidemark.sources.change_log import ChangeLogSource, LogTable
+
+    rows = table(spark, sf_dir, "customer").withColumn("balance", F.col("c_acctbal").cast("decimal(18,2)"))
+    source = ChangeLogSource("s", "db", [LogTable("dbo", "accounts", ["c_custkey"])], None, None, None, lambda t: rows)
+    stats = source.stats()["dbo.accounts"]
+    return spark.createDataFrame([(stats["rows"], stats["balance_sum"])], "n LONG, balance_sum STRING")
 
 
 @query("SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-20'")
 def watermark_scan(spark, sf_dir):
-    e = table(spark, sf_dir, "events")  # the column as stored, so that the range reaches the scan
-    return e.where((F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))).select("event_id", "user_id", "event_type")
+    """Rows from a watermark on, up to the safety lag; the column as stored, so that the range reaches the scan."""
+    from tidemark.sources.row_versions import after_watermark
+
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+    return after_watermark(table(spark, sf_dir, "events"), "ts", day("2024-01-15"), day("2024-01-20"), ["event_id"], None).select("event_id", "user_id", "event_type")
 
 
 @query("""
@@ -228,21 +256,13 @@ def keys_at_ts_boundary(spark, sf_dir):
 
     e = table(spark, sf_dir, "events")
     cut, end = F.lit("2024-01-15").cast("timestamp_ntz"), F.lit("2024-01-20").cast("timestamp_ntz")
-    top = e.where(F.col("ts") < cut).agg(F.max("ts").alias("t")).first()["t"]
-    at = F.lit(top).cast("timestamp_ntz")
+    at = e.where(F.col("ts") < cut).agg(F.max("ts")).scalar()
     given = e.where(F.col("ts") == at).select("event_id")
     known = e.where(F.col("ts") < F.lit("2024-01-12").cast("timestamp_ntz")).select("user_id").distinct()
     rows = after_watermark(e, "ts", at, end, ["event_id"], given)
     return rows.join(known.withColumn("seen", F.lit(True)), "user_id", "left").select("event_id", F.when(F.col("seen"), "u").otherwise("c").alias("op"))
 
 
-@query("""
-SELECT event_id, user_id, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS before_value, value AS after_value FROM events""")
-def before_after_images(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    return table(spark, sf_dir, "events").select("event_id", "user_id", F.lag("value").over(w).alias("before_value"), F.col("value").alias("after_value"))
-
-
 @query("""
 SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'd' ELSE 'c' END AS op, count(*) AS n FROM lineitem GROUP BY 1""")
 def log_operation_codes(spark, sf_dir):
@@ -262,17 +282,10 @@ def _update_pairs(o: DataFrame) -> DataFrame:
     return p.select(F.concat_ws(":", "lsn", "seq").alias("position"), F.col("before.price").alias("before_price"), F.col("after.price").alias("after_price"), "op")
 
 
-@query("""
-SELECT o_custkey || ':' || o_orderkey AS position, CAST(o_totalprice AS DOUBLE) AS before_price, CAST(o_totalprice AS DOUBLE) + 1 AS after_price, 'u' AS op FROM orders WHERE o_orderkey % 3 = 0""")
-def log_update_pairs(spark, sf_dir):
-    """Update-before and update-after rows of a change log joined into one change, for every third order; log_update_pairs_all has all."""
-    return _update_pairs(table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0"))
-
-
 @query("""
 SELECT o_custkey || ':' || o_orderkey AS position, CAST(o_totalprice AS DOUBLE) AS before_price, CAST(o_totalprice AS DOUBLE) + 1 AS after_price, 'u' AS op FROM orders""")
-def log_update_pairs_all(spark, sf_dir):
-    """The same of all orders."""
+def log_update_pairs(spark, sf_dir):
+    """Update-before and update-after rows of a change log joined into one change."""
     return _update_pairs(table(spark, sf_dir, "orders"))
 
 
@@ -309,12 +322,43 @@ def topic_partition_offset(spark, sf_dir):
     return with_offsets(e, "part", ["event_id"], "offs", {}).select("event_id", "part", "offs")
 
 
-@query(f"""
-SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, account_id, last_ts FROM ({VELOCITY_SQL}) ORDER BY last_ts DESC, alert_id LIMIT 10 OFFSET 20""")
-def alert_queue_page(spark, sf_dir):
+PAGE_SQL = f"""
+SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, account_id, last_ts FROM ({VELOCITY_SQL}) ORDER BY last_ts DESC, alert_id"""
+
+
+def _queue(spark, sf_dir):
+    """A store of alerts that were made when their last event was."""
+    from tidemark.service import AlertStore
+    from tidemark.tables import Tables
+    from tidemark.types import QUEUE, schema
+
     a = rules.as_alerts(_velocity(spark, sf_dir))
-    a = a.select("alert_id", F.col("account_id").cast("long").alias("account_id"), text_ts("last_source_commit_ts").alias("last_ts"))
-    return a.orderBy(F.col("last_ts").desc(), "alert_id").offset(20).limit(10)
+    a = a.withColumn("alert_created_at", text_ts("last_source_commit_ts"))
+    cols = [f for f in schema(QUEUE) if f.name in a.columns]
+    tables = Tables(spark, f"{_scratch(spark)}/tables")
+    tables.ensure()
+    store = AlertStore(tables)
+    store.upsert(a.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cols]))
+    return store
+
+
+@query(f"{PAGE_SQL} LIMIT 10 OFFSET 20")
+def alert_queue_page(spark, sf_dir):
+    """The third page of ten."""
+    page = _queue(spark, sf_dir).page(status="OPEN", rule="card_velocity", limit=10, offset=20)
+    return page.select("alert_id", F.col("account_id").cast("long").alias("account_id"), F.col("alert_created_at").alias("last_ts"))
+
+
+@query(f"SELECT alert_id, 'CONFIRMED' AS status, 'seen' AS note, true AS decided FROM ({PAGE_SQL} LIMIT 2)")
+def analyst_decisions(spark, sf_dir):
+    """The first three alerts are decided, one of them is opened again; those that stay decided."""
+    store = _queue(spark, sf_dir)
+    first = [r["alert_id"] for r in store.list(limit=3)]
+    for k in first:
+        store.set_status(k, "CONFIRMED", "seen")
+    store.set_status(first[2], "OPEN")
+    done = store.page(status="CONFIRMED")
+    return done.select("alert_id", "status", "note", F.col("decided_at").isNotNull().alias("decided"))
 
 
 @query(f"SELECT rule, count(*) AS n, count(DISTINCT account_id) AS accounts FROM (SELECT * FROM ({VELOCITY_SQL}) UNION ALL SELECT * FROM ({TRAVEL_SQL})) GROUP BY rule")
@@ -334,13 +378,6 @@ def outbox_pending(spark, sf_dir):
     return pending(stamped(a, sent, F.lit("2025-01-01").cast("timestamp"))).select("alert_id", F.col("account_id").cast("long").alias("account_id"))
 
 
-@query("""
-SELECT user_id, round(count(*) FILTER (WHERE event_type = 'purchase') / nullif(count(*) FILTER (WHERE event_type IN ('purchase', 'click')), 0)::DOUBLE, 3) AS precision FROM events GROUP BY user_id""")
-def rule_precision(spark, sf_dir):
-    hits, all_ = F.count_if(F.col("event_type") == "purchase"), F.count_if(F.col("event_type").isin("purchase", "click"))
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.round(hits / F.nullif(all_, F.lit(0)), 3).alias("precision"))
-
-
 @query(f"""
 WITH a AS (SELECT row_number() OVER () AS id, rule, evidence FROM ({VELOCITY_SQL})),
 ax AS (SELECT id, rule, unnest(string_split(evidence, ',')) AS k FROM a),
@@ -355,11 +392,6 @@ def score_recall(spark, sf_dir):
     return quality.scores(_velocity(spark, sf_dir), truth)
 
 
-LINEAGE_SQL = f"""
-WITH a AS (SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, unnest(string_split(evidence, ',')) AS k FROM ({VELOCITY_SQL}) WHERE account_id % 50 = 0)
-SELECT alert_id, CAST(e.event_id AS VARCHAR) AS entity_key, e.event_type AS op FROM a JOIN events e ON CAST(e.event_id AS VARCHAR) = a.k"""
-
-
 def _lineage(spark, sf_dir, a: DataFrame) -> DataFrame:
     e = events(spark, sf_dir)
     null = F.lit(None).cast("string")
@@ -367,16 +399,10 @@ def _lineage(spark, sf_dir, a: DataFrame) -> DataFrame:
     return quality.lineage(a, bronze, {"card_velocity": ("events", "event_id")}).select("alert_id", "entity_key", "op")
 
 
-@query(LINEAGE_SQL)
-def lineage_explode(spark, sf_dir):
-    """Evidence of the accounts that are multiples of 50; lineage_explode_all has all alerts."""
-    return _lineage(spark, sf_dir, rules.as_alerts(_velocity(spark, sf_dir)).where("account_id % 50 = 0"))
-
-
 @query(f"""
 WITH a AS (SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, unnest(string_split(evidence, ',')) AS k FROM ({VELOCITY_SQL}))
 SELECT alert_id, CAST(e.event_id AS VARCHAR) AS entity_key, e.event_type AS op FROM a JOIN events e ON CAST(e.event_id AS VARCHAR) = a.k""")
-def lineage_explode_all(spark, sf_dir):
+def lineage_explode(spark, sf_dir):
     """The evidence of every alert and the events behind it."""
     return _lineage(spark, sf_dir, rules.as_alerts(_velocity(spark, sf_dir)))
 
@@ -402,8 +428,9 @@ def reconcile_counts(spark, sf_dir):
 
 @query("""
 WITH g AS (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 21, '0') AS bban FROM customer),
-d AS (SELECT *, CAST(98 - CAST(CAST(bban || '252900' AS HUGEINT) % 97 AS INT) AS INT) AS check_digits FROM g)
-SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN false ELSE true END AS valid FROM d""")
+d AS (SELECT *, 98 - CAST(CAST(bban || '252900' AS HUGEINT) % 97 AS INT) AS good FROM g),
+w AS (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN good % 97 + 1 + CASE WHEN good % 97 + 1 = good THEN 1 ELSE 0 END ELSE good END AS digits FROM d)
+SELECT c_custkey, CAST(bban || '2529' || lpad(CAST(digits AS VARCHAR), 2, '0') AS HUGEINT) % 97 = 1 AS valid FROM w""")
 def iban_mod97(spark, sf_dir):
     """Made-up Portuguese account numbers with right check digits, every third one spoilt."""
     bban = F.lpad(F.col("c_custkey").cast("string"), 21, "0")
@@ -414,23 +441,35 @@ def iban_mod97(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", checks.iban_valid(iban).alias("valid"))
 
 
-@query("""
-SELECT fault, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'missing transfer_id' WHEN o_orderkey % 4 = 1 THEN 'invalid amount' ELSE 'invalid debtor_iban' END AS fault FROM orders) GROUP BY fault""")
+TRANSFERS_SQL = """
+t AS (SELECT CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS transfer_id, 'PT00' AS debtor_iban, 'PT00' AS creditor_iban,
+  CASE WHEN o_orderkey % 4 = 1 THEN '1.250,00' ELSE '12.50' END AS amount, CAST(o_orderdate AS VARCHAR) AS booking_ts FROM orders),
+judged AS (SELECT CASE WHEN coalesce(transfer_id, '') = '' THEN 'missing transfer_id' WHEN coalesce(debtor_iban, '') = '' THEN 'missing debtor_iban'
+  WHEN coalesce(creditor_iban, '') = '' THEN 'missing creditor_iban' WHEN coalesce(amount, '') = '' THEN 'missing amount' WHEN coalesce(booking_ts, '') = '' THEN 'missing booking_ts'
+  WHEN try_cast(amount AS DECIMAL(38,18)) IS NULL OR try_cast(amount AS DECIMAL(38,18)) <= 0 THEN 'invalid amount'
+  WHEN length(debtor_iban) < 15 THEN 'invalid debtor_iban' WHEN length(creditor_iban) < 15 THEN 'invalid creditor_iban' END AS fault FROM t)"""
+
+
+@query(f"WITH {TRANSFERS_SQL} SELECT fault, count(*) AS n FROM judged GROUP BY fault")
 def dlq_rejects(spark, sf_dir):
     """Why each made-up transfer is refused: the first reason in order."""
-    o = table(spark, sf_dir, "orders")
-    t = o.select(
+    return _spoilt_transfers(spark, sf_dir).select(checks.transfer_fault().alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
+
+
+def _spoilt_transfers(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey").cast("string")).alias("transfer_id"),
         F.lit("PT00").alias("debtor_iban"),
         F.lit("PT00").alias("creditor_iban"),
         F.when(F.col("o_orderkey") % 4 == 1, "1.250,00").otherwise("12.50").alias("amount"),
         F.col("o_orderdate").cast("string").alias("booking_ts"),
     )
-    return t.select(checks.transfer_fault().alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
 
 
 @query("""
-SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'unknown op' WHEN event_id % 5 = 1 THEN 'a create needs an after image' ELSE '' END AS faults FROM events""")
+WITH e AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'x' ELSE 'c' END AS op, CASE WHEN event_id % 5 <> 1 THEN '{}' END AS after FROM events),
+f AS (SELECT event_id, [CASE WHEN op NOT IN ('c', 'u', 'd', 'r') THEN 'unknown op' END, CASE WHEN op = 'c' AND after IS NULL THEN 'a create needs an after image' END] AS all_ FROM e)
+SELECT event_id, array_to_string(list_filter(all_, lambda x: x IS NOT NULL), '; ') AS faults FROM f""")
 def envelope_violations(spark, sf_dir):
     """Change events with planted faults, parsed from their JSON and checked."""
     from tidemark.types import EVENT
@@ -539,19 +578,11 @@ def _manifest(o: DataFrame, file_number) -> DataFrame:
     return rows.groupBy("file_name").agg(F.count_if(good).alias("rows"), F.count_if(~good).alias("rejected"), F.count_distinct(F.when(good, F.col("row.id"))).alias("ids"))
 
 
-@query("""
-SELECT 'f' || (o_orderkey % 10) AS file_name, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS "rows", count(*) FILTER (WHERE o_orderkey % 3 = 0) AS rejected, count(DISTINCT o_custkey) FILTER (WHERE o_orderkey % 3 <> 0) AS ids
-FROM orders WHERE o_orderkey < 500 GROUP BY 1""")
-def file_manifest_counts(spark, sf_dir):
-    """Rows, refused rows and distinct valid ids of files made of the first 500 orders; file_manifest_counts_all has all orders."""
-    return _manifest(table(spark, sf_dir, "orders").where("o_orderkey < 500"), F.col("o_orderkey") % 10)
-
-
 @query("""
 SELECT 'f' || (o_orderkey // 1000) AS file_name, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS "rows", count(*) FILTER (WHERE o_orderkey % 3 = 0) AS rejected, count(DISTINCT o_custkey) FILTER (WHERE o_orderkey % 3 <> 0) AS ids
 FROM orders GROUP BY 1""")
-def file_manifest_counts_all(spark, sf_dir):
-    """The same of all orders, in files of 1,000 keys each, so that no file grows with the table."""
+def file_manifest_counts(spark, sf_dir):
+    """Rows, refused rows and distinct valid ids of files made of the orders, 1,000 keys each, so that no file grows with the table."""
     return _manifest(table(spark, sf_dir, "orders"), F.expr("o_orderkey div 1000"))
 
 
@@ -559,3 +590,234 @@ def file_manifest_counts_all(spark, sf_dir):
 def key_set_difference(spark, sf_dir):
     o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
     return table(spark, sf_dir, "customer").select("c_custkey").join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").distinct()
+
+
+LOG_SQL = """
+l AS (SELECT event_id, user_id, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
+  '0x' || printf('%020x', event_id) || ':0x' || printf('%020x', 1) AS position, '{"event_id":' || event_id || '}' AS key,
+  '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS image FROM events)"""
+
+
+def _event_log(spark, sf_dir):
+    """The events as a database's change log, and a source over it whose log ends where it is told to."""
+    from tidemark.sources.change_log import ChangeLogSource, LogTable
+
+    place = lambda c: F.unhex(F.lpad(F.hex(c), 20, "0"))
+    c = _changes(spark, sf_dir)
+    code = F.when(F.col("op") == "c", 2).when(F.col("op") == "d", 1).otherwise(4)
+    one = c.select(place(F.col("event_id")).alias("lsn"), place(F.lit(1).cast("long")).alias("seq"), code.alias("code"), F.col("ts").alias("commit_ts"), "event_id", "user_id")
+    log = one.unionByName(one.where("code = 4").withColumn("code", F.lit(3)))  # an update's row before it is as the one after
+    top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+
+    def source(end: int):
+        at = lambda n: n.to_bytes(10, "big")
+        return ChangeLogSource("shop", "db", [LogTable("dbo", "events", ["event_id"])], lambda t: log, lambda: at(end), lambda t: at(0))
+
+    return source, top
+
+
+@query(f"WITH {LOG_SQL} SELECT key, op, position, CASE WHEN op <> 'c' THEN image END AS before, CASE WHEN op <> 'd' THEN image END AS after FROM l")
+def log_change_scan(spark, sf_dir):
+    """A change log read in two runs, the second from the first one's watermark on."""
+    source, top = _event_log(spark, sf_dir)
+    first = source(top // 2).capture(None, "t")
+    second = source(top).capture(first.watermark, "t")
+    return first.events.unionByName(second.events).select("key", "op", "source.position", "before", "after")
+
+
+@query("SELECT r_name, 2 * r_regionkey < 4 AS gap FROM region")
+def log_gap_detection(spark, sf_dir):
+    """For each last position read (twice the key): whether changes after it are gone, where the log begins at 4."""
+    from tidemark.sources.change_log import ChangeLogSource, GapError, LogTable
+
+    at = lambda n: n.to_bytes(10, "big")
+    empty = spark.createDataFrame([], "lsn BINARY, seq BINARY, code INT, commit_ts TIMESTAMP, id INT")
+    source = ChangeLogSource("s", "db", [LogTable("dbo", "t", ["id"])], lambda t: empty, lambda: at(9), lambda t: at(4))
+    out = []
+    for r in table(spark, sf_dir, "region").collect():
+        try:
+            source.capture({"lsn": {"dbo.t": "0x" + at(2 * r["r_regionkey"]).hex()}}, "t")
+            out.append((r["r_name"], False))
+        except GapError:
+            out.append((r["r_name"], True))
+    return spark.createDataFrame(out, "r_name STRING, gap BOOLEAN")
+
+
+@query("SELECT n_nationkey, n_nationkey % 3 = 0 AS due FROM nation")
+def snapshot_cadence(spark, sf_dir):
+    """Run after run: which take a snapshot, if every third does and the first."""
+    from tidemark.sources.row_versions import snapshot_due
+
+    state, out = {}, []
+    for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").collect():
+        due, runs = snapshot_due(state, 3)
+        state = {"runs_since_snapshot": runs}
+        out.append((r["n_nationkey"], due))
+    return spark.createDataFrame(out, "n_nationkey INT, due BOOLEAN")
+
+
+@query(f"WITH {LOG_SQL} SELECT op, count(*) AS n, count(DISTINCT position) AS positions, CAST(count(*) AS BIGINT) AS delivered FROM l GROUP BY op")
+def capture_run(spark, sf_dir):
+    """Captured, published and audited in two runs, the watermark committed last; each change is delivered once."""
+    from tidemark import pipeline
+    from tidemark.streaming.topic_log import TopicLog
+    from tidemark.tables import Tables
+
+    root = _scratch(spark)
+    tables, topics = Tables(spark, f"{root}/tables"), TopicLog(spark, f"{root}/topics")
+    tables.ensure()
+    topics.ensure(["events", "dead"])
+    source, top = _event_log(spark, sf_dir)
+    for end in (top // 2, top, top):
+        pipeline.run_capture(tables, topics, source(end), {"dbo.events": "events"}, "dead")
+    audit = tables.read("cdc_event_audit")
+    sent = topics.read("events").select(F.col("partition").alias("p"), F.col("offset").alias("o"), F.lit(1).alias("sent"))
+    j = audit.join(sent, (F.col("kafka_partition") == F.col("p")) & (F.col("kafka_offset") == F.col("o")), "left")
+    return j.groupBy("op").agg(F.count("*").alias("n"), F.count_distinct("source_position").alias("positions"), F.count("sent").alias("delivered"))
+
+
+@query(f"WITH {TRANSFERS_SQL} SELECT fault AS reason, count(*) AS n FROM judged WHERE fault IS NOT NULL GROUP BY fault")
+def dlq_publish(spark, sf_dir):
+    """Refused rows sent to the dead-letter topic and read back."""
+    from tidemark import pipeline
+    from tidemark.sources.base import REJECT
+    from tidemark.streaming.topic_log import TopicLog
+
+    topics = TopicLog(spark, f"{_scratch(spark)}/topics")
+    topics.ensure(["dead"])
+    bad = _spoilt_transfers(spark, sf_dir).withColumn("reason", checks.transfer_fault()).where("reason is not null")
+    pipeline.publish(topics, None, {}, bad.select(F.lit("s").alias("source_system"), "booking_ts", "reason", F.col("amount").alias("raw")).withColumnRenamed("booking_ts", "position"), "dead", "s")
+    body = F.from_json("value", REJECT)
+    return topics.read("dead").select(body["reason"].alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+GOLD_SQL = f"""
+SELECT * FROM ({_burst_sql("SELECT user_id AS account, event_id AS item, ts FROM events", 5, 600, "card_velocity")}) UNION ALL SELECT * FROM ({TRAVEL_SQL})
+UNION ALL SELECT * FROM ({_burst_sql("SELECT o_custkey AS account, o_orderkey AS item, o_orderdate AS ts FROM orders WHERE o_totalprice >= 9000 AND o_totalprice < 10000", 3, 86400, "structuring")})"""
+
+
+@query(f"SELECT sha256(rule || '|' || CAST(account_id AS VARCHAR) || '|' || split_part(evidence, ',', 1)) AS alert_id, rule, account_id, evidence, true AS kept FROM ({GOLD_SQL})")
+def gold_run_twice(spark, sf_dir):
+    """All rules run over the latest state, twice: the second run changes no alert and keeps when each was made."""
+    from tidemark import pipeline
+    from tidemark.tables import Tables
+
+    tables = Tables(spark, f"{_scratch(spark)}/tables")
+    tables.ensure()
+    e, o = events(spark, sf_dir), table(spark, sf_dir, "orders")
+    cards = e.select(F.col("event_id").alias("tx_id"), F.col("user_id").alias("account_id"), F.col("event_type").alias("country"), F.col("ts").alias("tx_ts"), F.col("ts").alias("_first_commit_ts"))
+    transfers = o.select(F.col("o_orderkey").cast("string").alias("transfer_id"), F.col("o_custkey").cast("string").alias("debtor_iban"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").cast("timestamp").alias("booking_ts"), F.col("o_orderdate").cast("timestamp").alias("_first_commit_ts"), F.lit(False).alias("_is_deleted"))
+    accounts = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("iban"), F.col("c_custkey").alias("account_id"))
+    pipeline.run_gold(tables, cards, transfers, accounts)
+    made = tables.read("gold_fraud_alerts").select("alert_id", F.col("alert_created_at").alias("made"))
+    pipeline.run_gold(tables, cards, transfers, accounts)
+    now = tables.read("gold_fraud_alerts").join(made, "alert_id", "left")
+    return now.select("alert_id", "rule", F.col("account_id").cast("long").alias("account_id"), F.array_join("evidence_keys", ",").alias("evidence"), F.col("alert_created_at").eqNullSafe(F.col("made")).alias("kept"))
+
+
+def _alert_messages(spark, sf_dir):
+    """Alerts as messages; those of every third account are cut short."""
+    from tidemark.operators.outbox import alert_json
+    from tidemark.streaming.topic_log import message
+
+    a = rules.as_alerts(_velocity(spark, sf_dir), F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    text = alert_json(a)
+    value = F.when(F.col("account_id") % 3 == 0, F.substring(text, F.lit(1), F.length(text) - 20)).otherwise(text)
+    return a.select(*message(value, F.col("account_id").cast("string"), {"schema_version": F.lit("1")}), "account_id")
+
+
+@query(f"""
+WITH a AS (SELECT *, sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id FROM ({VELOCITY_SQL}))
+SELECT CASE WHEN account_id % 3 <> 0 THEN alert_id END AS alert_id, CASE WHEN account_id % 3 <> 0 THEN evidence END AS evidence,
+  CASE WHEN account_id % 3 <> 0 THEN replace(first_ts, ' ', 'T') END AS first_ts, account_id % 3 <> 0 AS ok FROM a""")
+def alert_messages(spark, sf_dir):
+    """The messages of alerts read as the queue reads them: fields of the good ones, and which are good."""
+    from tidemark.streaming.queue import readable
+
+    m = readable(_alert_messages(spark, sf_dir))
+    good = lambda c: F.when(F.col("ok"), c)
+    return m.select(good(F.col("alert_id")).alias("alert_id"), good(F.array_join("evidence_keys", ",")).alias("evidence"), good(F.substring("first_evidence_ts", 1, 19)).alias("first_ts"), "ok")
+
+
+@query(f"""
+WITH a AS (SELECT account_id % 3 <> 0 AS ok FROM ({VELOCITY_SQL}))
+SELECT step, CASE WHEN step = 1 THEN count(*) FILTER (WHERE ok) ELSE 0 END AS stored, CASE WHEN step = 1 THEN 0 ELSE count(*) FILTER (WHERE ok) END AS duplicate, count(*) FILTER (WHERE NOT ok) AS rejected
+FROM a, (VALUES (1), (2)) t(step) GROUP BY step""")
+def queue_consumer(spark, sf_dir):
+    """The queue's consumer over a topic of alerts, and over the same alerts sent again; offsets follow the store."""
+    from tidemark.service import AlertStore
+    from tidemark.streaming.queue import consume
+    from tidemark.streaming.topic_log import TopicLog
+    from tidemark.tables import Tables
+
+    root = _scratch(spark)
+    tables, topics = Tables(spark, f"{root}/tables"), TopicLog(spark, f"{root}/topics")
+    tables.ensure()
+    topics.ensure(["alerts"])
+    store, out = AlertStore(tables), []
+    for step in (1, 2):
+        topics.append("alerts", _alert_messages(spark, sf_dir).drop("account_id"), ["key", "value"])
+        c = consume(store, topics, "alerts", f"{root}/ck")
+        out.append((step, c["stored"], c["duplicate"], c["rejected"]))
+    return spark.createDataFrame(out, "step INT, stored LONG, duplicate LONG, rejected LONG")
+
+
+@query("""
+WITH t AS (SELECT count(*) AS n, sum(CAST(c_acctbal AS DECIMAL(18,2))) AS b, count(*) FILTER (WHERE c_custkey % 100 = 0) AS lost,
+  sum(CAST(c_acctbal AS DECIMAL(18,2))) FILTER (WHERE c_custkey % 100 <> 0) AS have FROM customer),
+r AS (SELECT 'row_count' AS check_name, CAST(n AS VARCHAR) AS source_value, CAST(n - lost AS VARCHAR) AS target_value FROM t
+  UNION ALL SELECT 'balance_sum', CAST(CAST(b AS DECIMAL(38,2)) AS VARCHAR), CAST(CAST(have AS DECIMAL(38,2)) AS VARCHAR) FROM t
+  UNION ALL SELECT 'audit_to_bronze_missing', '0', CAST(lost AS VARCHAR) FROM t)
+SELECT *, CASE WHEN source_value = target_value THEN 'PASS' ELSE 'FAIL' END AS status FROM r""")
+def reconciliation_run(spark, sf_dir):
+    """Source against latest state, and audit against Bronze, where every hundredth change was lost on the way."""
+    from tidemark import pipeline
+    from tidemark.streaming.silver import Entity, apply_batch
+    from tidemark.tables import Tables
+
+    tables = Tables(spark, f"{_scratch(spark)}/tables")
+    tables.ensure()
+    c = table(spark, sf_dir, "customer").withColumn("balance", F.col("c_acctbal").cast("decimal(18,2)"))
+    event = F.sha2(F.col("c_custkey").cast("string"), 256)
+    rows = c.select(event.alias("event_id"), F.lit("c").alias("op"), F.lit("customer").alias("source_table"), F.lit("0").alias("source_sequence"), F.lit("2025-01-01").alias("source_commit_ts"), F.to_json(F.struct("c_custkey")).alias("key_json"), identity.row_json(c.schema, ["c_custkey", "balance"]).alias("after_json"), "c_custkey")
+    tables.append("cdc_event_audit", rows)
+    tables.append("bronze_change_events", rows.where("c_custkey % 100 <> 0"))
+    entity = Entity("customer", "silver_customer", ["c_custkey"], "c_custkey BIGINT, balance DECIMAL(18,2)")
+    apply_batch(tables, tables.read("bronze_change_events"), entity)
+    total = c.agg(F.count("*").alias("n"), F.sum("balance").cast("string").alias("b")).first()
+    got = pipeline.run_reconciliation(tables, {"s": [entity]}, {"s": {"customer": {"rows": total["n"], "balance_sum": total["b"]}}}, fail=False)
+    return spark.createDataFrame([(r["check_name"], r["source_value"], r["target_value"], r["status"]) for r in got], "check_name STRING, source_value STRING, target_value STRING, status STRING")
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN '1.250,00' ELSE '12.50' END AS amount FROM orders)
+SELECT CASE WHEN try_cast(amount AS DECIMAL(38,18)) IS NULL THEN 'invalid amount' ELSE 'event' END AS what, count(*) AS n, count(DISTINCT o_orderkey) AS ids FROM t GROUP BY 1""")
+def file_capture(spark, sf_dir):
+    """Orders written as CSV files of a partner and captured from the folder: events, and refused records."""
+    from tidemark.sources.file_drop import TRANSFER_COLUMNS, FileDropSource
+
+    folder = f"{_scratch(spark)}/drop"
+    o = table(spark, sf_dir, "orders")
+    values = {"transfer_id": F.col("o_orderkey").cast("string"), "debtor_iban": F.lit("GB82WEST12345698765432"), "creditor_iban": F.lit("DE89370400440532013000"), "amount": F.when(F.col("o_orderkey") % 4 == 1, "1.250,00").otherwise("12.50"), "booking_ts": F.col("o_orderdate").cast("string"), "currency": F.lit("EUR"), "reference": F.lit('a "quoted", reference')}
+    rows = o.repartition(4).select(*[values.get(c, F.lit("x")).alias(c) for c in TRANSFER_COLUMNS])
+    rows.write.option("header", "true").option("escape", '"').csv(folder)
+    got = FileDropSource(spark, folder).capture(None, "t")
+    ids = got.events.select(F.lit("event").alias("what"), F.get_json_object("key", "$.transfer_id").alias("id"))
+    refused = got.rejects.select(F.col("reason").alias("what"), F.split_part("raw", F.lit(","), F.lit(1)).alias("id"))
+    return ids.unionByName(refused).groupBy("what").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+
+
+@query("""
+SELECT table_name AS tab, string_agg(column_name || ' ' || CASE data_type WHEN 'INTEGER' THEN 'INT' WHEN 'VARCHAR' THEN 'STRING' ELSE data_type END, ', ' ORDER BY ordinal_position) AS columns
+FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'orders', 'events') GROUP BY table_name""")
+def ddl_silver_schema(spark, sf_dir):
+    """CREATE TABLE statements of five tables, read into the schema of their latest state."""
+    from tidemark.onboarding.ddl import parse, silver_schema
+
+    sql = {"bigint": "BIGINT", "int": "INTEGER", "string": "NVARCHAR(200)", "double": "DOUBLE PRECISION", "timestamp": "DATETIME2(6)", "timestamp_ntz": "DATETIME2(6)"}
+    out = []
+    for name in ("region", "nation", "customer", "orders", "events"):
+        fields = [(f.name, sql[f.dataType.simpleString()]) for f in table(spark, sf_dir, name).schema]
+        text = f"CREATE TABLE [dbo].[{name}] (" + ", ".join(f"[{n}] {t} NOT NULL /* , */" for n, t in fields) + f", CONSTRAINT pk PRIMARY KEY ([{fields[0][0]}]))"
+        out.append((name, silver_schema(parse(text))))
+    return spark.createDataFrame(out, "tab STRING, columns STRING")
