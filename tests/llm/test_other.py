@@ -187,6 +187,36 @@ def test_archives_hold_every_page_once(spark, least):
     assert full[200] == "z" * 70000 and all(full[i] == (h or "") for i, _, h in rows if i in full and i != 3)
 
 
+def test_filters_that_are_full_change_no_record(spark, monkeypatch):
+    r = random.Random(2)
+    rows = [(i, None, r.choice(["same page", "other page", f"page {i}", f"page {i}", None])) for i in range(200)] + [(None, "u", "page 3"), (None, None, "alone"), (None, "v", "alone")]
+    for bits in (4, 8):
+        monkeypatch.setattr(warc, "FILTER_BITS", bits)
+        assert read_back(spark, rows)[0] == brute_pages(rows)
+
+
+def test_stores_by_their_names_in_spark(spark, tmp_path):
+    from pyarrow import fs
+
+    assert warc.open_store("file:///a/b") == (fs.LocalFileSystem(), "/a/b") and warc.open_store("dbfs:/a/b") == (fs.LocalFileSystem(), "/dbfs/a/b")
+    for uri, kind, path in (("s3a://bucket/a", "S3FileSystem", "bucket/a"), ("gs://bucket/a", "GcsFileSystem", "bucket/a"), ("abfss://box@acct.dfs.core.windows.net/a", "AzureFileSystem", "box/a")):
+        if hasattr(fs, kind):
+            store, at = warc.open_store(uri)
+            assert type(store).__name__ == kind and at == path
+    df = spark.createDataFrame([(1, "http://a", "hello", None), (2, "http://b", "hello", None)], PAGES)
+    with pytest.raises(ValueError, match="give one by `store`"):
+        warc.write_archives(df, "odd://x/y")
+    root = str(tmp_path)
+
+    def mine(uri):
+        from pyarrow import fs
+
+        return fs.LocalFileSystem(), root + "/" + uri.removeprefix("odd://")
+
+    manifest = warc.write_archives(df, "odd://x/y", store=mine)
+    assert sorted(r["record_type"] for r in warc.read_archives(manifest, store=mine).collect()) == ["response", "revisit"]
+
+
 def test_archive_of_nothing(spark):
     got, manifest, _ = read_back(spark, [])
     assert not got and manifest.count() == 0

@@ -8,6 +8,7 @@ import tempfile
 import threading
 import uuid
 import zipfile
+import zlib
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -96,6 +97,34 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext._tidemark_shipped = True
 
 
+def bit_filter(places: DataFrame, bits: int) -> bytes:
+    """2^bits bits, packed, of which those at the places (column `place`) are set. What reaches the driver has a fixed size."""
+    import numpy as np
+
+    schema = "bits binary"
+    row = lambda x: pa.RecordBatch.from_arrays([pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())], names=["bits"])
+
+    def mark(batches):
+        seen = np.zeros(1 << bits, dtype=bool)
+        for b in batches:
+            seen[b.column("place").to_numpy()] = True
+        if seen.any():
+            yield row(np.packbits(seen))
+
+    def merge(batches):
+        total = np.zeros(1 << bits - 3, dtype=np.uint8)
+        for b in batches:
+            for z in b.column("bits").to_pylist():
+                total |= np.frombuffer(zlib.decompress(z), np.uint8)
+        if total.any():
+            yield row(total)
+
+    total = np.zeros(1 << bits - 3, dtype=np.uint8)
+    for r in places.select("place").mapInArrow(mark, schema).repartition(16).mapInArrow(merge, schema).collect():
+        total |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
+    return total.tobytes()
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of plans that have ended (it waits for garbage collection)."""
     gc.collect()
