@@ -43,6 +43,7 @@ from tidemark.llm.components import components
 
 COUNTER_BITS = 22
 CHUNK_BITS = 16
+FAN_IN = 32
 FILTER_BITS = 24
 PARITY_BITS = 1024
 #: Star rounds are repeated while more crossing pairs than prefix rows are left, so often at most; then all are compared.
@@ -61,35 +62,47 @@ def _count_tokens(n: int):
             for b in steps(whole):
                 h, _, _ = scan.distinct(*scan.shingle_hashes(b.column("text"), n))
                 np.add.at(total, (h >> U64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
-        parts = total.reshape(-1, 1 << CHUNK_BITS)
-        at = [i for i in range(len(parts)) if parts[i].any()]
-        for i in at:  # zeros are left to the shuffle's own compression
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([parts[i].tobytes()], pa.binary())], names=["chunk", "counts"])
+        yield from _chunks(enumerate(total.reshape(-1, 1 << CHUNK_BITS)))
 
     return run
 
 
+def _chunks(counters):
+    """Rows for chunks of counters that aren't all 0, each in the narrowest type, and the task they come from."""
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    for i, x in counters:
+        if top := int(x.max()):
+            kind = np.min_scalar_type(top)
+            cols = [pa.array([part], pa.int32()), pa.array([i], pa.int32()), pa.array([kind.itemsize], pa.int32()), pa.array([x.astype(kind).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["part", "chunk", "width", "counts"])
+
+
 def _add_counts(batches):
     """Streams; holds one chunk of counters for each chunk number of its partition."""
     held: dict[int, np.ndarray] = {}
     for b in batches:
-        for chunk, raw in zip(b.column("chunk").to_pylist(), b.column("counts")):
-            x = np.frombuffer(raw.as_buffer(), "<u4").astype(np.uint64)
+        for chunk, width, raw in zip(b.column("chunk").to_pylist(), b.column("width").to_pylist(), b.column("counts")):
+            x = np.frombuffer(raw.as_buffer(), f"<u{width}").astype(np.uint64)
             held[chunk] = held[chunk] + x if chunk in held else x
-    at = sorted(held)
-    kept = [np.minimum(held[i], (1 << 32) - 1).astype("<u4") for i in at]
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in kept], pa.binary())], names=["chunk", "counts"])
+    yield from _chunks((i, np.minimum(held[i], (1 << 32) - 1)) for i in sorted(held))
 
 
 def _counts(texts: DataFrame, n: int) -> np.ndarray:
-    """Document frequencies by the first COUNTER_BITS bits of the hash. What reaches the driver has a fixed size."""
-    schema = "chunk int, counts binary"
-    some = texts.select("text").mapInArrow(_count_tokens(n), schema)
+    """Document frequencies by the first COUNTER_BITS bits of the hash. What reaches the driver has a fixed size.
+
+    Added up in two steps, FAN_IN tasks at a time first, so that no task reads what all others wrote.
+    """
+    schema = "part int, chunk int, width int, counts binary"
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = 1 << (COUNTER_BITS - CHUNK_BITS)
+    some = texts.select("text").mapInArrow(_count_tokens(n), schema)
+    some = some.repartition(parts, "chunk", F.floor(F.col("part") / FAN_IN)).mapInArrow(_add_counts, schema)
     added = some.repartition(max(1, chunks // 4), "chunk").mapInArrow(_add_counts, schema)
     out = np.zeros((chunks, 1 << CHUNK_BITS), dtype=np.uint32)
     for r in added.collect():
-        out[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), "<u4")
+        out[r["chunk"]] = np.frombuffer(r["counts"], f"<u{r['width']}")
     return out.reshape(-1)
 
 
@@ -147,7 +160,7 @@ def _profile(n: int, percent: int, counts, tags: list[str]):
 
 
 def _explode(counts, slice_rows: int):
-    """token, g, n, pos of every group's prefix; slices: how many its token's run is cut into, and the one it is in.
+    """token, g, n, pos of every group's prefix; slices: how many its token's run is cut into.
 
     The counters bound a run from above, so that a slice has about slice_rows rows at most.
     """
@@ -160,13 +173,10 @@ def _explode(counts, slice_rows: int):
                 data, at = scan.raw(part.column("prefix").cast(pa.binary()))
                 each = np.diff(at) // 8
                 tokens = np.frombuffer(data.tobytes(), dtype=np.int64)
-                row = np.repeat(np.arange(part.num_rows), each)
+                row = pa.array(np.repeat(np.arange(part.num_rows), each))
                 pos = np.arange(len(tokens)) - np.repeat(np.cumsum(each) - each, each)
                 slices = -(-freq[(tokens.view(U64) >> U64(64 - COUNTER_BITS)).astype(np.int64)].astype(np.int64) // slice_rows)
-                slices = np.maximum(slices, 1)
-                g = part.column("g").take(pa.array(row))
-                own = (scan.mix(g.to_numpy().view(U64)) % slices.astype(U64)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(tokens), g, part.column("n").take(pa.array(row)), pa.array(pos.astype(np.int32)), pa.array(slices.astype(np.int32)), pa.array(own)], names=["token", "g", "n", "pos", "slices", "slice"])
+                yield pa.RecordBatch.from_arrays([pa.array(tokens), part.column("g").take(row), part.column("n").take(row), pa.array(pos.astype(np.int32)), pa.array(np.maximum(slices, 1).astype(np.int32))], names=["token", "g", "n", "pos", "slices"])
 
     return run
 
@@ -500,12 +510,15 @@ class Join:
 
     def _shared_tokens(self, leaders: DataFrame) -> DataFrame:
         """Prefix rows with a feasible partner; those of tokens that are cut into slices are passed on as they are."""
-        schema = "token long, g long, n int, pos int, slices int, slice int"
+        schema = "token long, g long, n int, pos int, slices int"
         tokens = leaders.mapInArrow(_explode(self.counts, self.slice_rows), schema)
         # whole runs come together; the rows of sliced ones are dealt anywhere
-        deal = F.when(F.col("slices") > 1, F.xxhash64("token", "slice")).otherwise(F.col("token"))
-        laid = tokens.repartition(self.parts, deal).sortWithinPartitions("token", "slice")
-        return written(laid.mapInArrow(_shared(self.percent), schema), "ngram-shared")
+        deal = F.when(F.col("slices") > 1, F.xxhash64("token", "g")).otherwise(F.col("token"))
+        laid = tokens.repartition(self.parts, deal).sortWithinPartitions("token")
+        shared = written(laid.mapInArrow(_shared(self.percent), schema), "ngram-shared")
+        out = shared.withColumn("slice", F.pmod(F.xxhash64("g"), F.col("slices")).cast("int"))
+        out._written_path = shared._written_path
+        return out
 
     def result(self) -> DataFrame:
         """doc, n_shingles, component_id, root (one for each component), class_id (one for each set) and the tags."""
