@@ -248,3 +248,74 @@ def test_every_order_becomes_an_update_pair(spark):
     rows = QUERIES["log_update_pairs"](spark, SMALL).collect()
     assert len(rows) == len(keys) and {int(r["position"].split(":")[1]) for r in rows} == keys
     assert all(r["op"] == "u" and abs(r["after_price"] - r["before_price"] - 1) < 1e-6 for r in rows)
+
+
+def test_a_merge_writes_the_buckets_it_touches(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = Tables(spark, str(tmp_path), buckets=8)
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    newest = lambda old, new: new if old is None else old.join(new, "k", "left_anti").unionByName(new)
+    t.merge("s", rows(0, 0, "none"), ["k"], newest)
+    assert not t.exists("s")  # no rows, nothing written
+    t.merge("s", rows(0, 1000, "a"), ["k"], newest)
+    first = t._manifest("s")["at"]
+    assert len(first) == 8 and t.read("s").count() == 1000
+    reader = t.read("s")
+    t.merge("s", rows(7, 8, "b"), ["k"], newest)
+    second = t._manifest("s")["at"]
+    assert sum(first[b] != second[b] for b in first) == 1
+    assert reader.where("v = 'a'").count() == 1000  # began before, reads on
+    assert {r["k"]: r["v"] for r in t.read("s").collect()} == {k: "b" if k == 7 else "a" for k in range(1000)}
+    one = rows(7, 8, "?").select(F.col("k").cast("int"))  # the same bucket whatever the type of the key
+    near = t.lookup("s", one, ["k"])
+    assert near.where("k = 7").count() == 1 and near.count() < 1000
+    t.merge("s", rows(7, 8, "c"), ["k"], newest)
+    gone = t._manifest("s")["before"]
+    assert len(gone) == 1 and first[gone[0].split("=")[-1]].startswith("v=0") and not t.files.exists(f"{t.path('s')}/v=0/__bucket={gone[0].split('=')[-1]}")
+    t.merge("s", rows(0, 1000, "x"), ["k"], lambda old, new: old.where("false"))
+    assert t.read("s").count() == 0 and t.read("s").columns == ["k", "v"]
+    t.merge("s", rows(5, 6, "d"), ["k"], newest)
+    assert [tuple(r) for r in t.read("s").collect()] == [(5, "d")]
+
+
+def test_buckets_double_as_they_grow(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    t = Tables(spark, str(tmp_path), buckets=2, bucket_bytes=2000)
+    add = lambda old, new: new if old is None else old.unionByName(new)
+    for step in range(3):
+        t.merge("s", spark.range(step * 2000, step * 2000 + 2000).select(F.col("id").alias("k")), ["k"], add)
+    m = t._manifest("s")
+    assert m["buckets"] >= 8 and len(m["at"]) == m["buckets"]
+    assert sorted(r["k"] for r in t.read("s").collect()) == list(range(6000))
+    t.replace("s", spark.range(10).select(F.col("id").alias("k")), ["k"])
+    assert t.read("s").count() == 10 and t._manifest("s")["buckets"] == m["buckets"]
+
+
+def test_rows_that_change_between_two_reads_harm_no_other_bucket(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    t = Tables(spark, str(tmp_path), buckets=4)
+    newest = lambda old, new: new if old is None else old.join(new, "k", "left_anti").unionByName(new)
+    rows = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("k"))
+    t.merge("s", rows(0, 100), ["k"], newest)
+    seen = t._touched(t._manifest("s"), rows(3, 4), ["k"], 4)
+    monkeypatch.setattr(t, "_touched", lambda *a: seen)  # as if the first read had given one row only
+    t.merge("s", rows(0, 100), ["k"], newest)
+    assert sorted(r["k"] for r in t.read("s").collect()) == list(range(100))
+
+
+def test_stored_events_are_not_shuffled_for_a_small_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming.bronze import new_rows
+
+    spark.range(100_000).select(F.col("id").cast("string").alias("event_id")).write.parquet(f"{tmp_path}/have")
+    batch = spark.createDataFrame([(str(i),) for i in (5, 5, 100_001, 100_001)], "event_id STRING").persist()
+    batch.count()
+    got = new_rows(batch, spark.read.parquet(f"{tmp_path}/have"))
+    assert [r["event_id"] for r in got.collect()] == ["100001"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    semi = next(line for line in plan.splitlines() if "LeftSemi" in line)
+    assert "BroadcastHashJoin" in semi

@@ -27,6 +27,11 @@ class Files:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below."""
+        fs, p = self._at(path)
+        return fs.getContentSummary(p).getLength()
+
     def write_text(self, path: str, text: str) -> None:
         """Written beside and renamed, so a reader sees the old text or the new."""
         fs, p = self._at(path)

@@ -66,8 +66,14 @@ def run_capture(tables: Tables, topics: TopicLog, source: Source, topic_of: dict
             tables.append("cdc_event_audit", audit)
         if got.manifest is not None:
             tables.append("cdc_file_manifest", got.manifest.withColumn("processed_at", F.current_timestamp()))
-        for table, rows in got.state.items():
-            tables.replace(f"known__{source.name}__{table}", rows)
+        for table, k in got.known.items():
+            name = f"known__{source.name}__{table}"
+            if k.news is None:
+                tables.replace(name, k.rows, k.keys)
+            else:
+                news = k.news.persist()
+                tables.merge(name, news, k.keys, k.add)
+                news.unpersist()
         ops = {r["op"]: r["count"] for r in events.groupBy("op").count().collect()} if events is not None else {}
         n_rejects = got.rejects.count() if got.rejects is not None else 0
         n_files = got.manifest.count() if got.manifest is not None else 0
@@ -81,10 +87,16 @@ def run_capture(tables: Tables, topics: TopicLog, source: Source, topic_of: dict
 
 
 def run_gold(tables: Tables, cards: DataFrame, transfers: DataFrame, accounts: DataFrame) -> int:
-    """All rules over the latest state; known alerts get new evidence, new ones are added. Returns how many there are."""
+    """All rules over the latest state; known alerts get new evidence, new ones are added, and
+    only buckets with such alerts are written. Returns how many there are."""
     found = rules.as_alerts(rules.union_rules(rules.card_velocity(cards), rules.impossible_travel(cards), rules.structuring(transfers, accounts)))
     keep = [c for c in found.columns if c not in ("alert_id", "evidence_keys")]
-    tables.upsert("gold_fraud_alerts", found.dropDuplicates(["alert_id"]), ["alert_id"], keep)
+    have = tables.read("gold_fraud_alerts").select("alert_id", "evidence_keys")
+    news = found.dropDuplicates(["alert_id"]).join(have, ["alert_id", "evidence_keys"], "left_anti").select(*found.columns).persist()
+    try:
+        tables.upsert("gold_fraud_alerts", news, ["alert_id"], keep)
+    finally:
+        news.unpersist()
     return tables.read("gold_fraud_alerts").count()
 
 
@@ -96,7 +108,7 @@ def publish_pending_alerts(tables: Tables, topics: TopicLog, topic: str) -> int:
     rows = due.select(*message(outbox.alert_json(due), F.col("account_id").cast("string"), {"alert_id": F.col("alert_id"), "schema_version": F.lit("1")}), "alert_id")
     sent = topics.append(topic, rows, ["alert_id"])
     n = sent.count()
-    tables.replace("gold_fraud_alerts", outbox.stamped(tables.read("gold_fraud_alerts"), sent))
+    tables.merge("gold_fraud_alerts", sent.select("alert_id"), ["alert_id"], outbox.stamped)
     return n
 
 

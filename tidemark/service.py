@@ -35,16 +35,23 @@ class AlertStore:
         have = [c for c in once.columns if c not in ANALYST]
         rows = once.select(*have, F.lit("OPEN").alias("status"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("decided_at"), F.lit(now).alias("received_at"))
         with self._lock:
-            old = self.tables.read(self.table)
+            old = self.tables.lookup(self.table, rows, ["alert_id"])
             new = rows.join(old.select("alert_id"), "alert_id", "left_anti").count()
             keep = [c for c in old.columns if c not in ("alert_id", "evidence_keys")]
             self.tables.upsert(self.table, rows, ["alert_id"], keep)
         return new
 
     def get(self, alert_id: str) -> dict[str, Any] | None:
-        rows = self.tables.read(self.table).where(F.col("alert_id") == alert_id).take(1)
+        rows = self._near(alert_id).where(F.col("alert_id") == alert_id).take(1)
         return rows[0].asDict() if rows else None
 
+    def _id(self, alert_id: str) -> DataFrame:
+        return self.tables.spark.range(1).select(F.lit(alert_id).alias("alert_id"))
+
+    def _near(self, alert_id: str) -> DataFrame:
+        """The bucket an id is in."""
+        return self.tables.lookup(self.table, self._id(alert_id), ["alert_id"])
+
     def page(self, status: str | None = None, rule: str | None = None, account_id: int | None = None, limit: int = 100, offset: int = 0) -> DataFrame:
         """Newest first; filters hold together."""
         df = self.tables.read(self.table)
@@ -61,13 +68,13 @@ class AlertStore:
         if status not in STATUSES:
             raise ValueError(f"status is one of {', '.join(STATUSES)}")
         with self._lock:
-            df = self.tables.read(self.table)
-            if df.where(F.col("alert_id") == alert_id).isEmpty():
+            if self._near(alert_id).where(F.col("alert_id") == alert_id).isEmpty():
                 return None
             at = None if status == "OPEN" else datetime.now(UTC).isoformat()
             this = F.col("alert_id") == alert_id
             put = {"status": F.lit(status), "note": F.lit(note).cast("string"), "decided_at": F.lit(at).cast("string")}
-            self.tables.replace(self.table, df.select(*[(F.when(this, put[c]).otherwise(F.col(c)).alias(c) if c in put else F.col(c)) for c in df.columns]))
+            decided = lambda old, _: old.select(*[(F.when(this, put[c]).otherwise(F.col(c)).alias(c) if c in put else F.col(c)) for c in old.columns])
+            self.tables.merge(self.table, self._id(alert_id), ["alert_id"], decided)
         return self.get(alert_id)
 
     def stats(self) -> dict[str, Any]:

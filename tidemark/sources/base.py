@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
@@ -15,15 +16,29 @@ from tidemark.types import SCHEMA_VERSION
 REJECT = "source_system STRING, position STRING, reason STRING, raw STRING"
 
 
+@dataclass
+class Known:
+    """What is to be known of a table's rows after a run: all of it, and, if the run only adds, what it adds and how."""
+
+    rows: DataFrame
+    keys: list[str]
+    news: DataFrame | None = None
+    add: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None
+
+
 @dataclass
 class Capture:
-    """events: columns of the wire schema and topic_key. state: tables (by name) to be kept with the watermark."""
+    """events: columns of the wire schema and topic_key. known: by table, what is kept with the watermark."""
 
     events: DataFrame | None
     watermark: dict[str, Any]
     rejects: DataFrame | None = None
     manifest: DataFrame | None = None
-    state: dict[str, DataFrame] = field(default_factory=dict)
+    known: dict[str, Known] = field(default_factory=dict)
+
+    @property
+    def state(self) -> dict[str, DataFrame]:
+        return {table: k.rows for table, k in self.known.items()}
 
 
 class Source(Protocol):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import identity
-from tidemark.sources.base import Capture, to_events
+from tidemark.sources.base import Capture, Known, to_events
 
 
 def after_watermark(rows: DataFrame, ts: str, since: Column | None, until: Column, keys: list[str], given: DataFrame | None) -> DataFrame:
@@ -90,14 +90,14 @@ class RowVersionSource:
         due, runs = snapshot_due(before, self.snapshot_every)
         now = self.clock()
         upper = F.lit((now - self.safety_lag).isoformat()).cast("timestamp")
-        marks, state, events = dict(before.get("tables", {})), {}, None
+        marks, kept, events = dict(before.get("tables", {})), {}, None
         for t in self.tables:
             part, mark, known = self._table(t, marks.get(t.qualified), upper, now, due, trace_id)
             events = part if events is None else events.unionByName(part)
             if mark:
                 marks[t.qualified] = mark
-            state[t.qualified] = known
-        return Capture(events, {"tables": marks, "runs_since_snapshot": runs}, state=state)
+            kept[t.qualified] = known
+        return Capture(events, {"tables": marks, "runs_since_snapshot": runs}, known=kept)
 
     def _prepared(self, t: VersionedRows) -> DataFrame:
         df = self.read(t.qualified)
@@ -121,7 +121,8 @@ class RowVersionSource:
         seen = known.select(*keys).withColumn("__seen", F.lit(True))
         polled = polled.join(seen, keys, "left").withColumn("op", F.when(F.col("__seen"), "u").otherwise("c")).drop("__seen")
         changes = polled.select(*keys, "op", "__json", "__iso", "fingerprint", F.col("__iso").alias("__seq"), F.concat(F.lit(f"{t.ts_column}="), F.col("__iso")).alias("__pos"), F.col("__iso").alias("__commit"))
-        updated = _newest(known, polled.select(*keys, "fingerprint", F.col("__iso").alias("ts")), keys)
+        news = polled.select(*keys, "fingerprint", F.col("__iso").alias("ts"))
+        updated = _newest(known, news, keys)
         if due:
             settled = spark_rows.where(F.col("__ts") < upper)
             diff = snapshot_changes(settled, updated, keys, deletes_from=spark_rows)
@@ -147,7 +148,7 @@ class RowVersionSource:
         null = F.lit(None).cast("string")
         key_json = identity.row_json(spark_rows.schema, keys)
         events = to_events(changes, self.system, self.database, t.qualified, keys, key_json, F.col("op"), null, F.when(F.col("op") != "d", F.col("__json")), F.col("__pos"), F.col("__commit"), F.col("__seq"), trace_id)
-        return events, ({"ts": newest} if newest else None), updated
+        return events, ({"ts": newest} if newest else None), (Known(updated, keys) if due else Known(updated, keys, news, lambda old, new: new if old is None else _newest(old, new, keys)))
 
     def stats(self) -> dict[str, dict[str, Any]]:
         return {t.qualified: {"rows": self.read(t.qualified).count()} for t in self.tables}

@@ -14,8 +14,13 @@ from tidemark.types import EVENT
 
 
 def new_rows(batch: DataFrame, have: DataFrame, key: str = "event_id") -> DataFrame:
-    """The batch without repeats and without what is there already."""
-    return batch.dropDuplicates([key]).join(have.select(key), key, "left_anti").select(*batch.columns)
+    """The batch without repeats and without what is there already.
+
+    What is there is first cut down to the keys of the batch by a semi join: a batch that Spark may broadcast then costs a scan
+    of one column and no shuffle of all that is stored, and for a larger one it may put a Bloom filter before that shuffle. An anti join alone allows neither.
+    """
+    known = have.select(key).join(batch.select(key), key, "left_semi")
+    return batch.dropDuplicates([key]).join(known, key, "left_anti").select(*batch.columns)
 
 
 def parsed(messages: DataFrame) -> DataFrame:
@@ -40,6 +45,7 @@ def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: s
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = parsed(batch).persist()
         try:
+            rows.count()  # so that the batch's size is known to the planner
             good = rows.where("size(faults) = 0").drop("faults", "raw")
             tables.append("bronze_change_events", new_rows(good, tables.read("bronze_change_events", but_batch=batch_id)), batch=batch_id)
             bad = rows.where("size(faults) > 0")

@@ -34,10 +34,8 @@ def entity_state(bronze: DataFrame, e: Entity) -> DataFrame:
 
 
 def apply_batch(tables: Tables, bronze: DataFrame, e: Entity) -> None:
-    batch = entity_state(bronze, e)
-    name = f"{e.silver_table}__state"
-    old = tables.read(name) if tables.exists(name) else None
-    tables.replace(name, fold.merge(old, batch, e.primary_key))
+    """Folds a batch into the buckets of the entity's state that its keys are in."""
+    tables.merge(f"{e.silver_table}__state", entity_state(bronze, e), e.primary_key, lambda old, batch: fold.merge(old, batch, e.primary_key))
 
 
 def view(tables: Tables, e: Entity) -> DataFrame:

@@ -1,29 +1,38 @@
 """Tables as Parquet folders. Spark alone cannot merge into Parquet, and nothing here needs it to.
 
-Log tables only grow: each batch is a folder of its own, written anew if the batch is repeated. State tables are replaced
-whole: a new version is written beside the old one and a pointer file is swapped; the version before stays for readers
-that began on it.
+Log tables only grow: each batch is a folder of its own, written anew if the batch is repeated. State tables lie in buckets by
+a hash of their keys. A merge reads the buckets that its rows fall into, writes these beside the old ones and swaps the manifest,
+a small file that names the folder of each bucket; buckets without news stay where they are. Folders that a merge replaces stay
+for readers that began on them and go with the next one. Buckets double in number as they grow.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.files import Files
 from tidemark.operators import fold
 from tidemark.types import QUEUE, TABLES, schema
 
 STATE_TABLES = {"cdc_control", "gold_fraud_alerts", "alert_queue"}
-KEPT_VERSIONS = 2
+#: One row for each source.
+SINGLE = {"cdc_control"}
+#: Buckets of a new state table, and the mean size of those written from which on there are more.
+BUCKETS = 16
+BUCKET_BYTES = 256 << 20
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, bucket_bytes: int = BUCKET_BYTES):
         self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
+        self.buckets, self.bucket_bytes = buckets, bucket_bytes
         self.ddl = TABLES | {"alert_queue": QUEUE}
 
     def path(self, name: str) -> str:
@@ -36,15 +45,17 @@ class Tables:
             self.files.write_text(f"{self.path(n)}/_table.json", json.dumps({"columns": self.ddl[n], "kind": "state" if n in STATE_TABLES else "log"}))
         return made
 
-    def _version(self, name: str) -> int | None:
+    def _manifest(self, name: str) -> dict[str, Any] | None:
+        """Of a state table: version, columns, number of buckets, folder of each bucket, mean bytes of those last written, and
+        the folders that its last change replaced."""
         p = f"{self.path(name)}/_current.json"
-        return json.loads(self.files.read_text(p))["version"] if self.files.exists(p) else None
+        return json.loads(self.files.read_text(p)) if self.files.exists(p) else None
 
     def is_log(self, name: str) -> bool:
         return name in TABLES and name not in STATE_TABLES
 
     def exists(self, name: str) -> bool:
-        return bool(self._folders(name)) if self.is_log(name) else self._version(name) is not None
+        return bool(self._folders(name)) if self.is_log(name) else self._manifest(name) is not None
 
     def _folders(self, name: str) -> list[str]:
         return [n for n in self.files.names(self.path(name)) if n.startswith("batch=")]
@@ -55,8 +66,8 @@ class Tables:
         if self.is_log(name):
             folders = [f for f in self._folders(name) if f != f"batch={but_batch}"]
             return self.spark.read.schema(self.ddl[name]).parquet(*[f"{self.path(name)}/{f}" for f in folders]) if folders else empty()
-        v = self._version(name)
-        return empty() if v is None else self.spark.read.parquet(f"{self.path(name)}/v={v}")
+        m = self._manifest(name)
+        return empty() if m is None else self._at(name, m, m["at"].values())
 
     def append(self, name: str, rows: DataFrame, batch: int | str | None = None) -> None:
         """Adds a batch to a log table, cast to its columns. The same batch again takes the place of the first."""
@@ -64,21 +75,75 @@ class Tables:
         cast = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in want])
         cast.write.mode("overwrite").parquet(f"{self.path(name)}/batch={uuid.uuid4().hex if batch is None else batch}")
 
-    def replace(self, name: str, rows: DataFrame) -> None:
-        """The next version of a state table."""
-        v = self._version(name)
-        new = 0 if v is None else v + 1
-        rows.write.mode("overwrite").parquet(f"{self.path(name)}/v={new}")
-        self.files.write_text(f"{self.path(name)}/_current.json", json.dumps({"version": new}))
-        for n in self.files.names(self.path(name)):
-            if n.startswith("v=") and int(n[2:]) <= new - KEPT_VERSIONS:
-                self.files.delete(f"{self.path(name)}/{n}")
+    def _at(self, name: str, manifest: dict[str, Any], folders) -> DataFrame:
+        kind, paths = StructType.fromJson(manifest["columns"]), [f"{self.path(name)}/{f}" for f in folders]
+        return self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
+
+    def _bucket(self, manifest: dict[str, Any] | None, keys: list[str], n: int) -> Column:
+        """The bucket of a row, its keys taken in the types the table has."""
+        kinds = {f.name: f.dataType for f in StructType.fromJson(manifest["columns"])} if manifest else {}
+        cast = [F.col(f"`{k}`").cast(kinds[k]) if k in kinds else F.col(f"`{k}`") for k in keys]
+        return F.pmod(F.xxhash64(*cast), F.lit(n)).cast("int")
+
+    def _touched(self, manifest: dict[str, Any] | None, rows: DataFrame, keys: list[str], n: int) -> list[str]:
+        return sorted(str(r["b"]) for r in rows.select(self._bucket(manifest, keys, n).alias("b")).distinct().collect())
+
+    def _put(self, name: str, old: dict[str, Any] | None, rows: DataFrame, keys: list[str], n: int, stay: dict[str, str]) -> None:
+        """Writes the rows by bucket and makes a manifest of them and of the buckets that stay."""
+        v = old["version"] + 1 if old else 0
+        folder = f"{self.path(name)}/v={v}"
+        dealt = rows.withColumn("__bucket", self._bucket(old, keys, n)).hint("rebalance", F.col("__bucket"))
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("__bucket").parquet(folder)
+        new = {f.split("=")[1]: f"v={v}/{f}" for f in self.files.names(folder) if f.startswith("__bucket=")}
+        at = stay | new
+        gone = sorted(set(old["at"].values()) - set(at.values())) if old else []
+        mean = self.files.size(folder) // len(new) if new else 0
+        manifest = {"version": v, "columns": json.loads(rows.schema.json()), "keys": keys, "buckets": n, "at": at, "mean_bytes": mean, "before": gone}
+        self.files.write_text(f"{self.path(name)}/_current.json", json.dumps(manifest))
+        used = {f.split("/")[0] for f in [*at.values(), *gone]}
+        for f in [*(old["before"] if old else []), *[f for f in self.files.names(self.path(name)) if f.startswith("v=") and f not in used]]:
+            self.files.delete(f"{self.path(name)}/{f}")
+
+    def replace(self, name: str, rows: DataFrame, keys: list[str]) -> None:
+        """All rows of a state table anew."""
+        m = self._manifest(name)
+        self._put(name, m, rows, keys, m["buckets"] if m else self._first(name), {})
+
+    def _first(self, name: str) -> int:
+        return 1 if name in SINGLE else self.buckets
+
+    def merge(self, name: str, rows: DataFrame, keys: list[str], how: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+        """`how` makes the new rows of the buckets that `rows` fall into of the old ones there (None: no table yet) and `rows`.
+
+        It must leave keys as they are. Without rows nothing is written. Rows are read more than once.
+        """
+        m = self._manifest(name)
+        n = m["buckets"] if m else self._first(name)
+        touched = set(self._touched(m, rows, keys, n))
+        if not touched:
+            return
+        while m and name not in SINGLE and m["mean_bytes"] * m["buckets"] > self.bucket_bytes * n:
+            n *= 2
+        if m and n > m["buckets"]:  # every row may change its bucket
+            touched = set(m["at"])
+        else:  # read again, rows may have come in other buckets
+            rows = rows.where(self._bucket(m, keys, n).isin([int(b) for b in touched]))
+        old = self._at(name, m, [f for b, f in m["at"].items() if b in touched]) if m else self.read(name) if name in self.ddl else None
+        self._put(name, m, how(old, rows), keys, n, {b: f for b, f in m["at"].items() if b not in touched} if m else {})
+
+    def lookup(self, name: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """The rows of those buckets of a state table in which the keys of `rows` are, if they are in it."""
+        m = self._manifest(name)
+        if m is None:
+            return self.read(name)
+        touched = self._touched(m, rows, keys, m["buckets"])
+        return self._at(name, m, [f for b, f in m["at"].items() if b in touched])
 
     def upsert(self, name: str, rows: DataFrame, keys: list[str], keep: list[str] | None = None) -> None:
         """Rows replace those with equal keys, but for the columns in `keep`."""
         want = schema(self.ddl[name])
         new = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want])
-        self.replace(name, fold.upsert(self.read(name), new, keys, keep))
+        self.merge(name, new, keys, lambda old, new: fold.upsert(old, new, keys, keep))
 
     def stream(self, name: str, ddl: str) -> DataFrame:
         """A log table as a stream of the batches that come."""
