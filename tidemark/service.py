@@ -42,15 +42,12 @@ class AlertStore:
         return new
 
     def get(self, alert_id: str) -> dict[str, Any] | None:
-        rows = self._near(alert_id).where(F.col("alert_id") == alert_id).take(1)
+        near = self.tables.lookup(self.table, self._id(alert_id), ["alert_id"])  # the bucket it is in
+        rows = near.where(F.col("alert_id") == alert_id).take(1)
         return rows[0].asDict() if rows else None
 
     def _id(self, alert_id: str) -> DataFrame:
-        return self.tables.spark.range(1).select(F.lit(alert_id).alias("alert_id"))
-
-    def _near(self, alert_id: str) -> DataFrame:
-        """The bucket an id is in."""
-        return self.tables.lookup(self.table, self._id(alert_id), ["alert_id"])
+        return self.tables.spark.range(0, 1, 1, 1).select(F.lit(alert_id).alias("alert_id"))
 
     def page(self, status: str | None = None, rule: str | None = None, account_id: int | None = None, limit: int = 100, offset: int = 0) -> DataFrame:
         """Newest first; filters hold together."""
@@ -68,14 +65,14 @@ class AlertStore:
         if status not in STATUSES:
             raise ValueError(f"status is one of {', '.join(STATUSES)}")
         with self._lock:
-            if self._near(alert_id).where(F.col("alert_id") == alert_id).isEmpty():
+            found = self.get(alert_id)
+            if found is None:
                 return None
-            at = None if status == "OPEN" else datetime.now(UTC).isoformat()
+            put = {"status": status, "note": note, "decided_at": None if status == "OPEN" else datetime.now(UTC).isoformat()}
             this = F.col("alert_id") == alert_id
-            put = {"status": F.lit(status), "note": F.lit(note).cast("string"), "decided_at": F.lit(at).cast("string")}
-            decided = lambda old, _: old.select(*[(F.when(this, put[c]).otherwise(F.col(c)).alias(c) if c in put else F.col(c)) for c in old.columns])
+            decided = lambda old, _: old.withColumns({c: F.when(this, F.lit(v).cast("string")).otherwise(F.col(c)) for c, v in put.items()})
             self.tables.merge(self.table, self._id(alert_id), ["alert_id"], decided)
-        return self.get(alert_id)
+        return found | put
 
     def stats(self) -> dict[str, Any]:
         counts = self.tables.read(self.table).groupBy("status", "rule").count().collect()

@@ -25,8 +25,8 @@ STATE_TABLES = {"cdc_control", "gold_fraud_alerts", "alert_queue"}
 #: One row for each source.
 SINGLE = {"cdc_control"}
 #: Buckets of a new state table, and the mean size of those written from which on there are more.
-BUCKETS = 16
-BUCKET_BYTES = 256 << 20
+BUCKETS = 8
+BUCKET_BYTES = 64 << 20
 
 
 class Tables:
