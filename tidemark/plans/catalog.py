@@ -538,6 +538,23 @@ def stream_to_latest_state(spark, sf_dir):
     return out.select("user_id", "value", F.col("_source_sequence").cast("bigint").cast("string").alias("last_event"), "_op", "_is_deleted")
 
 
+@query("SELECT o_custkey, max(o_orderkey) AS last_order, count(*) AS orders FROM orders GROUP BY o_custkey")
+def state_bucket_merge(spark, sf_dir):
+    """A state table of customers that the orders are merged into in three batches, its buckets doubling on the way."""
+    from tidemark.tables import Tables
+
+    tables = Tables(spark, f"{_scratch(spark)}/tables", buckets=2, bucket_bytes=1 << 12)
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("last_order"), F.lit(1).cast("long").alias("orders"), (F.col("o_orderkey") % 3).alias("part"))
+
+    def add(old, new):
+        both = new if old is None else old.unionByName(new)
+        return both.groupBy("o_custkey").agg(F.max("last_order").alias("last_order"), F.sum("orders").alias("orders"))
+
+    for part in range(3):
+        tables.merge("customers", o.where(F.col("part") == part).drop("part"), ["o_custkey"], add)
+    return tables.read("customers")
+
+
 @query(f"""
 WITH a AS (SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, account_id FROM ({VELOCITY_SQL})),
 s AS (SELECT *, CASE WHEN account_id % 3 = 0 THEN 'CONFIRMED' ELSE 'OPEN' END AS status FROM a)
