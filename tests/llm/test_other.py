@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, common, components, mixing, ngram_join, queries, topk_taat, vptree, warc
+from tidemark.llm import bpe_codec, cells, common, components, mixing, ngram_join, queries, topk_taat, vptree, warc
+from tidemark.llm import vectors as vector_module
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -123,6 +124,30 @@ def test_recall_with_the_production_factor(spark, clusters):
     assert len(got & want) / len(want) >= 0.9
 
 
+@pytest.mark.parametrize("rows", [random_rows(900, 6, 11, clusters=7), random_rows(400, 3, 12) + [(i, [0.5, -1.0, 2.0]) for i in range(400, 900)], TIES])
+def test_cells_in_parts_and_queries_in_slabs(spark, monkeypatch, rows):
+    """Small parts and slabs, so that each cell is cut: as exact as before."""
+    monkeypatch.setattr(cells, "PART_BYTES", 4000)
+    monkeypatch.setattr(vector_module, "SLAB_ROWS", 3)
+    df = vectors(spark, rows)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vptree.nearest(df, df.where("vec_id % 50 = 0"), factor=1.0).collect())
+    want = brute(rows, cosine, zero_too=False)
+    assert [g[:2] for g in got] == [w[:2] for w in want] and all(abs(g[3] - w[3]) < 1e-9 for g, w in zip(got, want))
+    assert got == exact_neighbours(rows)
+
+
+def test_queries_visit_few_cells(spark):
+    """Of clustered vectors; copies of one vector are one pivot, and cells that no query comes to are not sent."""
+    rows = random_rows(6400, 16, 13, clusters=40) + [(i, [1.0] * 16) for i in range(6400, 9600)]
+    df = vector_module.usable(vectors(spark, rows), "vec_id", "embedding")
+    grid = cells.Cells(df)
+    assert len(grid.pivots) == len(np.unique(grid.pivots, axis=0)) == 13
+    asked = vector_module.tagged(df.where("id % 50 = 0")).withColumn("least", F.lit(0.98))
+    n = grid.visits(asked, 1.0, vptree.SLACK).select(F.avg(F.size("cells")).alias("n")).first()["n"]
+    assert n < 4
+    assert grid.meet(grid.place(asked).where("cell < 0")).count() == 0
+
+
 def test_recall_on_the_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = {(r["query_id"], r["vec_id"]) for r in vptree.nearest(df, df.where("vec_id % 50 = 0")).collect()}
@@ -144,7 +169,7 @@ def test_pruning_skips_leaves_and_a_larger_factor_more():
         n = [0]
         leaf = tree._leaf
         tree._leaf = lambda places, who, n=n, leaf=leaf: (n.__setitem__(0, n[0] + len(who)), leaf(places, who))
-        tree.search(np.full(50, -1), tree.points[:50], np.ones(50), factor)
+        tree.search(np.full(50, -1), tree.points[:50], np.ones(50), np.full(50, -np.inf), factor)
         visits.append(n[0])
     leaves = 4000 / vptree.LEAF
     assert visits[1] < visits[0] < 50 * leaves * 0.5

@@ -81,7 +81,7 @@ def _search(k: int, scale: float):
             ids, m = ids[first], m[first]
         return ids, postings(integers(m, scale))
 
-    def search(shard, query_ids, m):
+    def search(shard, query_ids, m, _):
         ids, lists = shard
         score = accumulate(lists, len(ids), integers(m, scale))
         qi, vi, sc = [], [], []

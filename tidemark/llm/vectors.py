@@ -1,6 +1,6 @@
 """Routing of vectors and query blocks for the searches over embeddings.
 
-Every query of a stated set meets every shard of the vectors once. Shards are as many as the square root of the rows
+units() lets every query of a stated set meet every shard of the vectors once (cells.py sends it to some of them only). Shards are as many as the square root of the rows
 over SHARD_SCALE, so that what is sent (rows once for each slab of queries, queries once for each shard) stays balanced; a slab
 holds SLAB_ROWS queries. A task sorts its (shard, slab) units so that the shard's vectors come first, builds its
 structure from them, and streams the queries past it in blocks: memory holds a shard and a block.
@@ -20,6 +20,7 @@ from tidemark.llm.common import narrow
 SHARD_SCALE = 64
 SLAB_ROWS = 1 << 16
 BLOCK_ROWS = 256
+NONE = float("-inf")
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -30,19 +31,27 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def units(rows: DataFrame, queries: DataFrame) -> DataFrame:
-    """shard, slab, side (0 vectors, 1 queries), tag (of a query's row), id, vec: partitioned and sorted by unit.
+    """shard, slab, side (0 vectors, 1 queries), tag (of a query's row), id, vec, least (score to reach): partitioned and sorted by unit.
 
     Query rows that are equal are asked once; rows with one id and different vectors are told apart by their tag.
     """
     n_rows, n_asked = rows.count(), queries.count()
     shards = max(1, math.ceil(math.sqrt(n_rows / SHARD_SCALE)))
     slabs = max(1, math.ceil(n_asked / SLAB_ROWS))
-    tag = F.xxhash64("id", "vec")
-    base = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("tag"), "id", "vec")
-    asked = queries.dropDuplicates(["id", "vec"])
-    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("id"), F.lit(slabs)).cast("int").alias("slab"), F.lit(1).alias("side"), tag.alias("tag"), "id", "vec")
-    parts = max(shards * slabs, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return base.unionByName(asked).repartition(parts, "shard", "slab").sortWithinPartitions("shard", "slab", "side", "id")
+    base = rows.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("tag"), "id", "vec", F.lit(NONE).alias("least"))
+    asked = tagged(queries).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("id"), F.lit(slabs)).cast("int").alias("slab"), F.lit(1).alias("side"), "tag", "id", "vec", F.lit(NONE).alias("least"))
+    return sent(base.unionByName(asked), shards * slabs)
+
+
+def tagged(queries: DataFrame) -> DataFrame:
+    """Different query rows, with a tag that tells those of one id apart."""
+    return queries.dropDuplicates(["id", "vec"]).withColumn("tag", F.xxhash64("id", "vec"))
+
+
+def sent(both: DataFrame, n_units: int) -> DataFrame:
+    """Rows and queries partitioned and sorted by unit, a unit's rows first."""
+    parts = max(n_units, int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return both.repartition(parts, "shard", "slab").sortWithinPartitions("shard", "slab", "side", "id")
 
 
 def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -67,8 +76,8 @@ def fit(m: np.ndarray, width: int) -> np.ndarray:
 
 
 def searcher(build, search, kind: pa.DataType):
-    """A mapInArrow function. build(ids, matrix) makes a shard's structure; search(structure, ids, matrix) gives
-    for each query (row numbers are its own) the arrays query row, vector id, score."""
+    """A mapInArrow function. build(ids, matrix) makes a shard's structure; search(structure, ids, matrix, least)
+    gives for each query (row numbers are its own) the arrays query row, vector id, score; scores below `least` needn't be found."""
 
     def run(batches):
         unit, held, made = None, [], None
@@ -95,16 +104,16 @@ def searcher(build, search, kind: pa.DataType):
                     made = build(ids, np.vstack([fit(m, width) for m in ms]))
                 for at in range(0, part.num_rows, BLOCK_ROWS):
                     q = part.slice(at, BLOCK_ROWS)
-                    qi, vi, sc = search(made, q.column("id").to_numpy(), matrix(q.column("vec"))[0])
+                    qi, vi, sc = search(made, q.column("id").to_numpy(), matrix(q.column("vec"))[0], q.column("least").to_numpy())
                     row = pa.array(qi)
                     yield pa.RecordBatch.from_arrays([q.column("id").take(row), q.column("tag").take(row), pa.array(vi, pa.int64()), pa.array(sc, kind)], names=names)
 
     return run
 
 
-def merged(found: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k best of all shards, ties to the smaller id."""
+def merged(found: DataFrame, k: int, *more: str) -> DataFrame:
+    """query_id, rank, vec_id, score (and more columns): each query's k best of all shards, ties to the smaller id."""
     from pyspark.sql import Window
 
     w = Window.partitionBy("query_id", "tag").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", *more)

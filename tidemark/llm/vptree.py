@@ -12,7 +12,10 @@ their rounding errors come to, is allowed for when a half is skipped; so factor
 
 Vectors that are equal but for a power of two have the same cosines to the last bit. They are one point of the tree with
 their k + 1 smallest ids, which is all that k neighbours other than the query itself can need; so a vector that a third of
-all rows share costs no more than any other. Shards and blocks meet as vectors.py says.
+all rows share costs no more than any other.
+
+A shard is a cell of cells.py, or a part of one. A query first searches its own cell; with its k-th cosine there it goes on to
+those cells only that the triangle inequality, times `factor` like any other bound, leaves, and their trees begin with that cosine.
 
 Nulls, ties, repeats: rows with a null id, a null or zero vector or a null or non-finite component take no part; ties go
 to the smaller id; rows equal in id and vector count once, and rows that repeat an id are never neighbours of their own id; vectors of different lengths count as
@@ -26,7 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import vectors
+from tidemark.llm import cells, vectors
+from tidemark.llm.cells import distances, rescaled
+from tidemark.llm.common import written
 
 LEAF = 64
 FACTOR = 1.2
@@ -36,17 +41,6 @@ SLACK = 1e-6
 BLUR = 1e-12
 
 
-def rescaled(m: np.ndarray) -> np.ndarray:
-    """Rows by a power of two, which leaves cosines as they are, so that their largest component is between a half and 1."""
-    top = np.abs(m).max(axis=1) if m.size else np.ones(len(m))
-    return np.ldexp(m, -np.frexp(np.where(top > 0, top, 1.0))[1][:, None])
-
-
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of unit rows."""
-    return np.sqrt(np.maximum(2.0 - 2.0 * (a @ b.T), 0.0))
-
-
 class Tree:
     """Nodes are tuples: ("leaf", places) or (vantage, near half, far half, four bounds)."""
 
@@ -79,9 +73,10 @@ class Tree:
         bounds = (d[order[0]], d[order[half - 1]], d[order[half]], d[order[-1]])
         return (v, self._grow(near), self._grow(far), bounds)
 
-    def search(self, ids: np.ndarray, m: np.ndarray, norms: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Places (-1: none) and cosines of the k best points found for each query: its id, its row and the row's norm."""
-        self.ids, self.raw, self.own = ids, m, norms
+    def search(self, ids: np.ndarray, m: np.ndarray, norms: np.ndarray, least: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places (-1: none) and cosines of the k best points found for each query: its id, its row, the row's norm and the
+        cosine below which nothing is of use."""
+        self.ids, self.raw, self.own, self.least = ids, m, norms, least
         self.q = m / norms[:, None]
         self.place = np.full((len(m), self.k), -1, dtype=np.int64)
         self.score = np.full((len(m), self.k), -np.inf)
@@ -92,7 +87,7 @@ class Tree:
 
     def _leaf(self, places: np.ndarray, who: np.ndarray) -> None:
         rough = self.q[who] @ self.points[places].T
-        row, col = np.nonzero(rough >= self.score[who, -1][:, None] - BLUR)
+        row, col = np.nonzero(rough >= self._beat(who)[:, None] - BLUR)
         query, point = who[row], places[col]
         ok = ~(self.alone[point] & (self.first[point] == self.ids[query]))
         query, point = query[ok], point[ok]
@@ -109,6 +104,9 @@ class Tree:
         best = order[begin[:, None] + np.arange(self.k)]
         self.place[some], self.score[some] = point[best], exact[best]
 
+    def _beat(self, who: np.ndarray) -> np.ndarray:
+        return np.maximum(self.score[who, -1], self.least[who])
+
     def _cosine(self, query: np.ndarray, point: np.ndarray) -> np.ndarray:
         return (self.original[point] * self.raw[query]).sum(axis=1) / (self.norms[point] * self.own[query])
 
@@ -137,7 +135,7 @@ class Tree:
         d = distances(self.q[who], self.points[v : v + 1])[:, 0] if len(who) else np.zeros(0)
         for child, low, high in ((near, near_min, near_max), (far, far_min, far_max)):
             bound = np.maximum(np.maximum(d - high, low - d), 0.0)
-            reach = np.sqrt(np.maximum(2.0 - 2.0 * self.score[who, -1], 0.0)) + SLACK
+            reach = np.sqrt(np.maximum(2.0 - 2.0 * self._beat(who), 0.0)) + SLACK
             self._pass(child, who[bound * factor <= reach], home, counter, factor)
 
 
@@ -145,10 +143,10 @@ def _search(k: int, factor: float):
     def build(ids, m):
         return Tree(ids, m, k)
 
-    def search(tree, query_ids, m):
+    def search(tree, query_ids, m, least):
         m = rescaled(m)  # components that the shard's vectors lack count in the norm alone
         norms = np.sqrt((m * m).sum(axis=1))
-        place, score = tree.search(query_ids, vectors.fit(m, tree.original.shape[1]), norms, factor)
+        place, score = tree.search(query_ids, vectors.fit(m, tree.original.shape[1]), norms, least, factor)
         qi, vi, sc = [], [], []
         for i, q in enumerate(query_ids):
             at = place[i][place[i] >= 0]
@@ -170,5 +168,16 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, factor: float
     some = F.exists("vec", lambda x: x != 0)
     rows, asked = vectors.usable(candidates, id_col, vec_col).where(some), vectors.usable(queries, id_col, vec_col).where(some)
     run = vectors.searcher(*_search(k, factor), pa.float64())
-    found = vectors.units(rows, asked).mapInArrow(run, "query_id long, tag long, vec_id long, score double")
-    return vectors.merged(found, k)
+    found = lambda units: units.mapInArrow(run, "query_id long, tag long, vec_id long, score double")
+    grid = cells.Cells(rows)
+    if not len(grid.pivots):
+        return vectors.merged(found(vectors.units(rows, asked)), k)
+    home = written(grid.place(vectors.tagged(asked)), "vector-queries").drop("dist")
+    first = written(found(grid.meet(home.withColumn("least", F.lit(vectors.NONE)))), "vector-homes")
+    reached = F.sort_array(F.collect_list("score"), asc=False)
+    kth = vectors.merged(first, k, "tag").groupBy(F.col("query_id").alias("id"), "tag").agg(reached.alias("s"))
+    kth = kth.select("id", "tag", F.when(F.size("s") >= k, F.element_at("s", k)).alias("least"))
+    known = home.drop("cell").join(kth, ["id", "tag"], "left").fillna(vectors.NONE, ["least"])
+    going = written(grid.visits(known, factor, SLACK), "vector-visits")
+    others = found(grid.meet(going.select("id", "tag", "vec", "least", F.explode("cells").alias("cell"))))
+    return vectors.merged(first.unionByName(others), k)
