@@ -24,8 +24,11 @@ NONE = float("-inf")
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """id, vec (doubles) of the rows that take part: no null id or vector, no null or non-finite component."""
-    v = narrow(vectors, id=id_col, vec=vec_col).select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
+    """id, vec of the rows that take part: no null id or vector, no null or non-finite component. Vectors of floats stay so, which
+    halves what is sent; matrix() makes doubles of them."""
+    v = narrow(vectors, id=id_col, vec=vec_col)
+    kind = "array<float>" if v.schema["vec"].dataType.simpleString() == "array<float>" else "array<double>"
+    v = v.select(F.col("id").cast("long").alias("id"), F.col("vec").cast(kind).alias("vec"))
     ok = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     return v.where(F.col("id").isNotNull() & F.col("vec").isNotNull() & ok)
 
