@@ -3,6 +3,9 @@
 Both rules look a bounded time back and ahead, so a key's events are cut into time slabs with a halo, and windows are
 partitioned by (key, slab): a key that holds a third of all events is spread over as many tasks as its time span has
 slabs. No rule joins the table with itself.
+
+With `touched` (account_id, ts: where rows changed) a rule looks only at slabs that these moments can reach, and gives the alerts in
+them as it would over all events: each run costs what is new, but for a scan that Spark may cut with a filter of the touched slabs.
 """
 
 from __future__ import annotations
@@ -33,7 +36,18 @@ def _dealt(df: DataFrame, window_s: int, back: int, ahead: int) -> DataFrame:
     return df.withColumn("__slab", F.explode(_slabs(F.col("__s"), length, back, ahead))).withColumn("__own", F.col("__slab") == F.floor(F.col("__s") / length).cast("long"))
 
 
-def bursts(events: DataFrame, key: str, item: str, ts: str, min_count: int, window_s: int, rule: str, commit: str | None = None) -> DataFrame:
+def _reached(dealt: DataFrame, touched: DataFrame | None, window_s: int, back: int, ahead: int, beside: int) -> DataFrame:
+    """The rows of the slabs that touched moments reach (`__hit`) and of so many slabs on either side of them."""
+    if touched is None:
+        return dealt.withColumn("__hit", F.lit(True))
+    moments = touched.select(F.col("account_id").alias("__who"), seconds(F.col("ts")).alias("s")).where("__who is not null and s is not null")
+    slabs = moments.select("__who", F.explode(_slabs(F.col("s"), max(1, SLAB * window_s), back, ahead)).alias("slab")).distinct()
+    off = F.explode(F.sequence(F.lit(-beside), F.lit(beside))) if beside else F.lit(0)
+    around = slabs.select("__who", "slab", off.alias("off")).groupBy("__who", (F.col("slab") + F.col("off")).alias("__at")).agg(F.max(F.col("off") == 0).alias("__hit"))
+    return dealt.join(around, (F.col("account_id") == F.col("__who")) & (F.col("__slab") == F.col("__at"))).drop("__who", "__at")
+
+
+def bursts(events: DataFrame, key: str, item: str, ts: str, min_count: int, window_s: int, rule: str, commit: str | None = None, touched: DataFrame | None = None) -> DataFrame:
     """One row for each burst: at least min_count events of a key within window_s seconds (both ends included).
 
     A burst starts at an event that has enough events in the window from it on, if no such event lies in the window_s seconds
@@ -42,6 +56,8 @@ def bursts(events: DataFrame, key: str, item: str, ts: str, min_count: int, wind
     """
     base = events.select(F.col(key).alias("account_id"), F.col(item).cast("string").alias("item"), F.col(ts).cast("timestamp").alias("ts"), (F.col(commit) if commit else F.col(ts)).cast("timestamp").alias("commit"), seconds(F.col(ts)).alias("__s"))
     dealt = _dealt(base.where("account_id is not null and __s is not null"), window_s, 2 * window_s, window_s)
+    # a burst that a touched slab has part of may begin or end in the next one
+    dealt = _reached(dealt, touched, window_s, 2 * window_s, window_s, 1)
     w = Window.partitionBy("account_id", "__slab").orderBy("__s")
     n = F.count("*").over(w.rangeBetween(0, window_s))
     dealt = dealt.withColumn("__q", F.when(n >= min_count, F.col("__s")))
@@ -49,14 +65,15 @@ def bursts(events: DataFrame, key: str, item: str, ts: str, min_count: int, wind
     dealt = dealt.withColumn("__start", F.when(before.isNull(), F.col("__q")))
     dealt = dealt.withColumn("__burst", F.max("__start").over(w.rangeBetween(-window_s, 0)))
     found = dealt.where("__own and __burst is not null").groupBy("account_id", "__burst")
-    out = found.agg(F.array_sort(F.collect_list("item")).alias("evidence_keys"), F.min("ts").alias("first_evidence_ts"), F.max("commit").alias("last_source_commit_ts"))
+    out = found.agg(F.array_sort(F.collect_list("item")).alias("evidence_keys"), F.min("ts").alias("first_evidence_ts"), F.max("commit").alias("last_source_commit_ts"), F.max("__hit").alias("__hit")).where("__hit")
     return out.select(F.lit(rule).alias("rule"), "account_id", "evidence_keys", "first_evidence_ts", "last_source_commit_ts")
 
 
-def changes_of(events: DataFrame, key: str, item: str, ts: str, attribute: str, max_gap_s: int, rule: str, commit: str | None = None) -> DataFrame:
+def changes_of(events: DataFrame, key: str, item: str, ts: str, attribute: str, max_gap_s: int, rule: str, commit: str | None = None, touched: DataFrame | None = None) -> DataFrame:
     """One row for each two consecutive events (by time, item) of a key at most max_gap_s apart whose attribute differs."""
     base = events.select(F.col(key).alias("account_id"), F.col(item).alias("item"), F.col(ts).cast("timestamp").alias("ts"), F.col(attribute).alias("value"), (F.col(commit) if commit else F.col(ts)).cast("timestamp").alias("commit"), seconds(F.col(ts)).alias("__s"))
     dealt = _dealt(base.where("account_id is not null and __s is not null"), max_gap_s, max_gap_s + 1, 0)
+    dealt = _reached(dealt, touched, max_gap_s, max_gap_s + 1, 0, 0)
     w = Window.partitionBy("account_id", "__slab").orderBy("ts", "item")
     prev = F.lag(F.struct("item", "ts", "value", "commit", "__s")).over(w)
     j = dealt.withColumn("__prev", prev).where("__own and __prev.value is not null and value <> __prev.value").where(F.col("__s") - F.col("__prev.__s") <= max_gap_s)
@@ -86,17 +103,21 @@ def as_alerts(found: DataFrame, created_at: Column | None = None) -> DataFrame:
     return out.select("alert_id", "rule", F.col("account_id").cast("int").alias("account_id"), "evidence_keys", "first_evidence_ts", "last_source_commit_ts", "alert_created_at", latency.alias("latency_seconds"), F.lit(None).cast("timestamp").alias("published_at"))
 
 
-def card_velocity(cards: DataFrame, min_count: int = 5, window_s: int = 600) -> DataFrame:
+def card_velocity(cards: DataFrame, min_count: int = 5, window_s: int = 600, touched: DataFrame | None = None) -> DataFrame:
     """Deleted transactions count: an expired authorisation was an attempt."""
-    return bursts(cards, "account_id", "tx_id", "tx_ts", min_count, window_s, "card_velocity", "_first_commit_ts")
+    return bursts(cards, "account_id", "tx_id", "tx_ts", min_count, window_s, "card_velocity", "_first_commit_ts", touched)
+
+
+def impossible_travel(cards: DataFrame, max_gap_s: int = 3600, touched: DataFrame | None = None) -> DataFrame:
+    return changes_of(cards, "account_id", "tx_id", "tx_ts", "country", max_gap_s, "impossible_travel", "_first_commit_ts", touched)
 
 
-def impossible_travel(cards: DataFrame, max_gap_s: int = 3600) -> DataFrame:
-    return changes_of(cards, "account_id", "tx_id", "tx_ts", "country", max_gap_s, "impossible_travel", "_first_commit_ts")
+def owned(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Transfers and the account they go out from; accounts deleted at the source still own their transfers."""
+    return transfers.join(accounts.select("iban", "account_id"), transfers["debtor_iban"] == accounts["iban"]).select(*[transfers[c] for c in transfers.columns], "account_id")
 
 
-def structuring(transfers: DataFrame, accounts: DataFrame, low: int = 9000, high: int = 10000, min_count: int = 3, window_s: int = 86_400) -> DataFrame:
-    """Live outgoing transfers within the band; accounts deleted at the source still own their transfers."""
+def structuring(transfers: DataFrame, accounts: DataFrame, low: int = 9000, high: int = 10000, min_count: int = 3, window_s: int = 86_400, touched: DataFrame | None = None) -> DataFrame:
+    """Live outgoing transfers within the band."""
     live = in_band(transfers.where("not _is_deleted"), "amount", low, high)
-    owned = live.join(accounts.select("iban", "account_id"), live["debtor_iban"] == accounts["iban"]).select(*[live[c] for c in live.columns], "account_id")
-    return bursts(owned, "account_id", "transfer_id", "booking_ts", min_count, window_s, "structuring", "_first_commit_ts")
+    return bursts(owned(live, accounts), "account_id", "transfer_id", "booking_ts", min_count, window_s, "structuring", "_first_commit_ts", touched)

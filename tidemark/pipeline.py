@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from datetime import UTC, datetime
 from typing import Any
 
@@ -19,9 +20,11 @@ from tidemark.sources.base import REJECT, Source, event_json
 from tidemark.streaming.silver import Entity, view
 from tidemark.streaming.topic_log import TopicLog, message
 from tidemark.tables import Tables
+from tidemark.types import schema
 
 # Fixed values.
-LINEAGE = {"card_velocity": ("dbo.card_transactions", "tx_id"), "impossible_travel": ("dbo.card_transactions", "tx_id"), "structuring": ("partner_transfers", "transfer_id")}
+CARDS, TRANSFERS, ACCOUNTS = "dbo.card_transactions", "partner_transfers", "dbo.accounts"
+LINEAGE = {"card_velocity": (CARDS, "tx_id"), "impossible_travel": (CARDS, "tx_id"), "structuring": (TRANSFERS, "transfer_id")}
 
 
 class ReconciliationError(RuntimeError):
@@ -86,10 +89,44 @@ def run_capture(tables: Tables, topics: TopicLog, source: Source, topic_of: dict
     return {"source_name": source.name, "trace_id": trace, "events": sum(ops.values()), "rejects": n_rejects, "ops": ops, "files": n_files, "seconds": (datetime.now(UTC) - began).total_seconds()}
 
 
-def run_gold(tables: Tables, cards: DataFrame, transfers: DataFrame, accounts: DataFrame) -> int:
-    """All rules over the latest state; known alerts get new evidence, new ones are added, and
-    only buckets with such alerts are written. Returns how many there are."""
-    found = rules.as_alerts(rules.union_rules(rules.card_velocity(cards), rules.impossible_travel(cards), rules.structuring(transfers, accounts)))
+def touched_moments(batch: DataFrame, entities: dict[str, Entity], transfers: DataFrame, accounts: DataFrame) -> dict[str, DataFrame]:
+    """Of a batch of raw events, per rule input the (account_id, ts) whose alerts it can change: where a row is and where it was, by
+    the images of each change; and all transfers of an account whose IBAN is new to it. `entities` are by source table.
+
+    A change whose image before is missing, as a polled source gives none, leaves only the place where the row was unseen.
+    """
+
+    def images(table: str, where: str = "true") -> DataFrame:
+        s = schema(entities[table].columns)
+        mine = batch.where(F.col("source_table") == table).select(F.from_json("before_json", s).alias("before"), F.from_json("after_json", s).alias("after")).where(where)
+        return mine.select(F.explode(F.array_compact(F.array("before", "after"))).alias("i")).select("i.*")
+
+    cards = images(CARDS).select("account_id", F.col("tx_ts").alias("ts"))
+    named = images(TRANSFERS).select("debtor_iban", F.col("booking_ts").alias("ts"))
+    moved = images(ACCOUNTS, "not before.iban <=> after.iban").select("iban", "account_id").distinct()
+    late = rules.owned(transfers.select("debtor_iban", F.col("booking_ts").alias("ts")), moved)
+    both = rules.owned(named, accounts).unionByName(late).select("account_id", "ts")
+    return {"cards": cards, "transfers": both}
+
+
+def gold_after(tables: Tables, entities: list[Entity]) -> Callable[[DataFrame], None]:
+    """For run_silver: alerts that each batch of raw events can change, made anew after its state is stored. Run from the first
+    batch on, it keeps what run_gold finds over all history at the end of each."""
+    by = {e.source_table: e for e in entities}
+
+    def after(batch: DataFrame) -> None:
+        cards, transfers, accounts = (view(tables, by[t]) for t in (CARDS, TRANSFERS, ACCOUNTS))
+        run_gold(tables, cards, transfers, accounts, touched_moments(batch, by, transfers, accounts))
+
+    return after
+
+
+def run_gold(tables: Tables, cards: DataFrame, transfers: DataFrame, accounts: DataFrame, touched: dict[str, DataFrame] | None = None) -> int:
+    """All rules over the latest state, or over what touched moments of `cards` and `transfers` reach; known alerts get new
+    evidence, new ones are added, and only buckets with such alerts are written. Returns how many there are."""
+    t = touched or {}
+    velocity, travel = rules.card_velocity(cards, touched=t.get("cards")), rules.impossible_travel(cards, touched=t.get("cards"))
+    found = rules.as_alerts(rules.union_rules(velocity, travel, rules.structuring(transfers, accounts, touched=t.get("transfers"))))
     keep = [c for c in found.columns if c not in ("alert_id", "evidence_keys")]
     have = tables.read("gold_fraud_alerts").select("alert_id", "evidence_keys")
     news = found.dropDuplicates(["alert_id"]).join(have, ["alert_id", "evidence_keys"], "left_anti").select(*found.columns).persist()

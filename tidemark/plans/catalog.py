@@ -732,6 +732,38 @@ def gold_run_twice(spark, sf_dir):
     return now.select("alert_id", "rule", F.col("account_id").cast("long").alias("account_id"), F.array_join("evidence_keys", ",").alias("evidence"), F.col("alert_created_at").eqNullSafe(F.col("made")).alias("kept"))
 
 
+@query(f"SELECT rule, account_id, evidence FROM ({GOLD_SQL})")
+def gold_by_batch(spark, sf_dir):
+    """Alerts made batch by batch, each from what the batch touches: users of either parity, orders before the accounts they belong to."""
+    from tidemark import pipeline
+    from tidemark.streaming.silver import Entity, run_silver
+    from tidemark.tables import Tables
+
+    root = _scratch(spark)
+    tables = Tables(spark, f"{root}/tables")
+    tables.ensure()
+    entities = [
+        Entity(pipeline.CARDS, "silver_cards", ["tx_id"], "tx_id BIGINT, account_id INT, country STRING, tx_ts TIMESTAMP"),
+        Entity(pipeline.TRANSFERS, "silver_transfers", ["transfer_id"], "transfer_id STRING, debtor_iban STRING, amount DOUBLE, booking_ts TIMESTAMP"),
+        Entity(pipeline.ACCOUNTS, "silver_accounts", ["account_id"], "account_id INT, iban STRING"),
+    ]
+
+    def created(e: Entity, rows: DataFrame) -> DataFrame:
+        key, image = (F.to_json(F.struct(*names)) for names in (e.primary_key, e.names))
+        at = F.col("tx_ts") if "tx_ts" in e.names else F.col("booking_ts") if "booking_ts" in e.names else F.current_timestamp()
+        return rows.select(F.concat_ws(":", F.lit(e.source_table), key).alias("event_id"), F.lit("c").alias("op"), F.lit(e.source_table).alias("source_table"), F.lit("1").alias("source_sequence"), at.alias("source_commit_ts"), key.alias("key_json"), image.alias("after_json"))
+
+    v, o, c = events(spark, sf_dir), table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    cards = v.select(F.col("event_id").alias("tx_id"), F.col("user_id").alias("account_id"), F.col("event_type").alias("country"), F.col("ts").alias("tx_ts"))
+    transfers = o.select(F.col("o_orderkey").cast("string").alias("transfer_id"), F.col("o_custkey").cast("string").alias("debtor_iban"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").cast("timestamp").alias("booking_ts"))
+    accounts = c.select(F.col("c_custkey").alias("account_id"), F.col("c_custkey").cast("string").alias("iban"))
+    batches = [[created(entities[0], cards.where("account_id % 2 = 0")), created(entities[1], transfers)], [created(entities[0], cards.where("account_id % 2 = 1")), created(entities[2], accounts)]]
+    for i, (a, b) in enumerate(batches):
+        tables.append("bronze_change_events", a.unionByName(b), batch=i)
+        run_silver(tables, entities, f"{root}/ck/silver", pipeline.gold_after(tables, entities))
+    return tables.read("gold_fraud_alerts").select("rule", F.col("account_id").cast("long").alias("account_id"), F.array_join("evidence_keys", ",").alias("evidence"))
+
+
 def _alert_messages(spark, sf_dir):
     """Alerts as messages; those of every third account are cut short."""
     from tidemark.operators.outbox import alert_json

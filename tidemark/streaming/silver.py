@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -48,14 +49,17 @@ def view(tables: Tables, e: Entity) -> DataFrame:
     return fold.flat(tables.read(name), e.primary_key, e.names)
 
 
-def run_silver(tables: Tables, entities: list[Entity], checkpoint: str):
-    """Folds the raw events that are new since the last run, and stops."""
+def run_silver(tables: Tables, entities: list[Entity], checkpoint: str, after: Callable[[DataFrame], None] | None = None):
+    """Folds the raw events that are new since the last run, and stops. `after` gets each batch once its state is stored; a
+    batch that fails is given again."""
 
     def each(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:
             for e in entities:
                 apply_batch(tables, batch, e)
+            if after:
+                after(batch)
         finally:
             batch.unpersist()
 
