@@ -61,6 +61,12 @@ def cosine(a, b):
     return float(a @ b / np.sqrt(a @ a) / np.sqrt(b @ b))
 
 
+SIGNS = [[1.0 if n >> k & 1 else -1.0 for k in range(8)] for n in range(256)]
+POWERS = [(i, [2.0 ** (i % 13 - 6) * x for x in (1.0, 3.0, -2.0, 0.5)]) for i in range(1, 31)] + [(50, [1.0, 3.0, -2.0, 0.5])]
+SCALED = [(i, [float(np.float32(x * (1 + i * 0.37))) for x in (0.3, -1.1, 0.77)]) for i in range(600)]
+TIES = [(i, SIGNS[i * 7 % 256]) for i in range(500)]
+
+
 @pytest.mark.parametrize("rows", [random_rows(400, 16, 1), random_rows(300, 3, 2) + [(i, [1.0, 2.0, 3.0]) for i in range(300, 420)], ODD, []])
 def test_top_k_equals_brute_force(spark, rows):
     df = vectors(spark, rows)
@@ -69,6 +75,26 @@ def test_top_k_equals_brute_force(spark, rows):
     assert got == want
 
 
+@pytest.mark.parametrize("rows", [random_rows(500, 6, 21) * 2 + [(77, [float(x)] * 6) for x in range(40)] * 3, random_rows(300, 3, 22) + [(i, [1e30, 1.0, 1.0]) for i in range(300, 320)], TIES + [(50, [1.0] * 8), (50, [2.0] * 8)]])
+def test_top_k_in_small_blocks(spark, monkeypatch, rows):
+    """Shards, slabs and blocks of a few rows: repeats that lie in two blocks count once, ties go to the smaller id."""
+    for name, value in (("SHARD_ROWS", 90), ("SLAB_BYTES", 200), ("STREAM_ROWS", 7), ("BLOCK_ROWS", 3)):
+        monkeypatch.setattr(vector_module, name, value)
+    df = vectors(spark, rows)
+    found = topk_taat.top_k(df, df.where("vec_id % 50 = 0"))
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect())
+    assert got == brute(rows, lambda a, b: min(max(dot(a, b), -(2**63)), 2**63 - 1))
+
+
+def test_a_slab_meets_blocks_in_turn():
+    slab = topk_taat.Slab(2, 1.0)
+    slab.ask(np.array([4, 9]), np.array([0, 0]), np.array([[1.0, 0.0], [0.0, 1.0]]))
+    for ids, m in (([1, 2], [[5, 1], [5, 2]]), ([2, 4], [[5, 2], [9, 9]]), ([4, 7, 9], [[9, 9], [5, 9], [6, 99]])):
+        slab.meet(np.array(ids), np.array(m, dtype=float))
+    (q, _, v, s), = slab.found()
+    assert list(zip(q, v, s)) == [(4, 9, 6), (4, 1, 5), (9, 4, 9), (9, 7, 9)]
+
+
 @pytest.mark.parametrize("rows", [random_rows(600, 8, 3), random_rows(500, 12, 4, clusters=9), random_rows(200, 3, 5) + [(i, [1.0, 2.0, 3.0]) for i in range(200, 330)], ODD, []])
 def test_factor_one_is_exact(spark, rows):
     df = vectors(spark, rows)
@@ -92,12 +118,6 @@ def exact_neighbours(rows, k=5):
     return sorted(out)
 
 
-SIGNS = [[1.0 if n >> k & 1 else -1.0 for k in range(8)] for n in range(256)]
-POWERS = [(i, [2.0 ** (i % 13 - 6) * x for x in (1.0, 3.0, -2.0, 0.5)]) for i in range(1, 31)] + [(50, [1.0, 3.0, -2.0, 0.5])]
-SCALED = [(i, [float(np.float32(x * (1 + i * 0.37))) for x in (0.3, -1.1, 0.77)]) for i in range(600)]
-TIES = [(i, SIGNS[i * 7 % 256]) for i in range(500)]
-
-
 @pytest.mark.parametrize("rows", [POWERS, SCALED, TIES, TIES + [(50, [1.0] * 8), (50, [2.0] * 8), (50, [1.0] * 7 + [-1.0])]])
 def test_ties_go_to_the_smaller_id(spark, rows):
     df = vectors(spark, rows)

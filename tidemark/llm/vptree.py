@@ -168,10 +168,11 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, factor: float
     some = F.exists("vec", lambda x: x != 0)
     rows, asked = vectors.usable(candidates, id_col, vec_col).where(some), vectors.usable(queries, id_col, vec_col).where(some)
     run = vectors.searcher(*_search(k, factor), pa.float64())
-    found = lambda units: units.mapInArrow(run, "query_id long, tag long, vec_id long, score double")
+    kind = "query_id long, tag long, vec_id long, score double"
+    found = lambda units: units.mapInArrow(run, kind)
     grid = cells.Cells(rows)
     if not len(grid.pivots):
-        return vectors.merged(found(vectors.units(rows, asked)), k)
+        return vectors.merged(rows.sparkSession.createDataFrame([], kind), k)
     home = written(grid.place(vectors.tagged(asked)), "vector-queries").drop("dist")
     first = written(found(grid.meet(home.withColumn("least", F.lit(vectors.NONE)))), "vector-homes")
     reached = F.sort_array(F.collect_list("score"), asc=False)
