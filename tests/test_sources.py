@@ -194,6 +194,63 @@ def test_a_share_with_a_client_of_its_own(spark):
     assert s.stats() == {"partner_transfers": {"rows": 2}}
 
 
+def test_a_file_is_never_one_row(spark, tmp_path):
+    import hashlib
+
+    from tidemark.sources import text_pieces
+
+    lines = [GOOD.format(i, "abc" if i % 5 == 0 else "10.00").replace(",ref", ',"a ""b"",\r\n\nc"') for i in range(60)]
+    data = b"\xef\xbb\xbf" + "\r\n".join([HEAD, "", *lines, 'T60,"open\r']).encode()
+    (tmp_path / "a b+.csv").write_bytes(data)
+    limits = {"spark.sql.sources.binaryFile.maxLength": "100", "spark.sql.files.maxPartitionBytes": "997", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        s = file_drop.FileDropSource(spark, str(tmp_path))
+        got = s.capture(None, "t")
+        sha = hashlib.sha256(data).hexdigest()
+        want = {f"a b+.csv:{i + 2}@{sha[:12]}": f"T{i}" for i in range(60)}
+        events = {r["source"]["position"]: (r["key"], '"a \\"b\\",\\n\\nc"' in r["after"]) for r in got.events.collect()}
+        assert events == {p: (f'{{"transfer_id":"{t}"}}', True) for p, t in want.items() if int(t[1:]) % 5}
+        rejects = {r["position"]: (r["reason"], r["raw"]) for r in got.rejects.collect()}
+        assert rejects.pop(f"a b+.csv:62@{sha[:12]}") == ("malformed record", 'T60,"open\n')
+        assert rejects.keys() == want.keys() - events.keys() and {r for r, _ in rejects.values()} == {"invalid amount"}
+        m = got.manifest.first()
+        assert (m["sha256"], m["size"], m["rows"], m["rejected"]) == (sha, len(data), 48, 13)
+        assert s.stats() == {"partner_transfers": {"rows": 48}}
+        cut = text_pieces.pieces(s.files.lines(["a b+.csv"]), 500).collect()
+        assert len(cut) > 10 and all(len(r["text"].encode()) <= 500 for r in cut)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_share_read_in_chunks(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    class Chunks(Share):
+        files = {"a.csv": f"\ufeff{HEAD}\n{GOOD.format(1, '10.00')}\n{GOOD.format(2, '20.00')}"}
+
+        def get_file_properties(self):
+            p = super().get_file_properties()
+            p.size = len(self.files[self.name].encode())
+            return p
+
+        def chunks(self):
+            data = self.files[self.name].encode()
+            yield from (data[i : i + 5] for i in range(0, len(data), 5))
+
+        def readall(self):
+            raise AssertionError("read whole")
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    got = file_drop.FileDropSource(spark, file_drop.RemoteShare(spark, Chunks)).capture(None, "t")
+    assert sorted(r["key"] for r in got.events.collect()) == ['{"transfer_id":"T1"}', '{"transfer_id":"T2"}']
+
+
 def test_long_fields_and_unbalanced_quotes(spark):
     big = "x" * (1 << 20)
     quoted = '"' + "y,\n" * (1 << 18) + '""z"'
