@@ -3,8 +3,11 @@
 import base64
 import collections
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -401,6 +404,36 @@ def test_language_equals_brute_force(spark):
     assert got == {(d, lang, round(float(score), 9)) for (d, *_), (lang, score) in zip(rows, brute_language(rows))} and len(rows) > 100
 
 
+WORKER = """
+import re, threading, time
+import numpy as np, pyarrow as pa, pyarrow.parquet as pq
+from tidemark.llm import langid_hd
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def watch():
+    while True:
+        seen.append(held())
+        time.sleep(0.02)
+
+docs = pq.read_table("/root/testdata/sf0.01/documents.parquet").combine_chunks().to_batches()[0]
+batch = pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(docs.columns, names=docs.schema.names)], names=["row"])
+names = sorted({x for x in docs.column("lang").to_pylist() if x})
+task = langid_hd._judge(names, np.eye(len(names), langid_hd.DIMENSIONS), "text")
+before, seen = held(), []
+threading.Thread(target=watch, daemon=True).start()
+rows = sum(b.num_rows for b in task(iter([batch])))
+print(rows, docs.num_rows, round(max(seen) - before), round(held() - before))
+"""
+
+
+def test_a_language_task_is_small_and_leaves_its_worker_small():
+    out = subprocess.run([sys.executable, "-c", WORKER], capture_output=True, text=True, check=True, env={**os.environ, "OMP_NUM_THREADS": "1"}).stdout
+    rows, given, most, left = map(int, out.split())
+    assert rows == given and most < 100 and left < 50, (most, left)
+
+
 def test_language_odd_rows(docs, odd):
     df = odd.drop("lang").withColumn("lang", F.lit("en"))
     got = langid_hd.identify(df).collect()

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import narrow, steps
+from tidemark.llm.common import lean, narrow, steps
 
 #: Bytes of text given to the library in one call (a longer text is a call of its own).
 CALL_BYTES = 1 << 20
@@ -91,6 +91,7 @@ def codec(path: str) -> Codec:
 
 
 def _encode(path: str, spans: bool):
+    @lean
     def run(batches):
         c = codec(path)
         for whole in batches:
@@ -114,6 +115,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 
 def _decode(path: str):
+    @lean
     def run(batches):
         c = codec(path)
         for b in batches:
@@ -131,6 +133,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
 
 def _round_trip(path: str, keep: list[str]):
+    @lean
     def run(batches):
         c = codec(path)
         for whole in batches:

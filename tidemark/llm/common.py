@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import os
 import tempfile
@@ -146,6 +148,25 @@ def unpacked(df: DataFrame, columns: list[str], name: str = "row") -> DataFrame:
     return df.select(*[F.col(name).getField(c).alias(c) for c in columns])
 
 
+def lean(run):
+    """A mapInArrow function whose task, at its end, gives memory that it has freed back to the system.
+
+    Spark takes its idle Python workers in turn, so that each of them, not only those at work, would go on holding what the
+    largest task needed.
+    """
+
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone keeps freed pages, and has this
+                trim(0)
+
+    return task
+
+
 def steps(batch: pa.RecordBatch, column: str | int = "text", limit: int = STEP_BYTES):
     """Slices of a batch whose texts have at most `limit` bytes together (or hold a single row)."""
     import numpy as np

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import dropped, release, written
+from tidemark.llm.common import dropped, lean, release, written
 
 #: Edges that are contracted at a time; bounds the memory of a worker.
 FOREST_ROWS = 1 << 20
@@ -39,6 +39,7 @@ def roots_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, nodes[root]
 
 
+@lean
 def _forest(batches):
     held, rows = [], 0
 

@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm import scan
-from tidemark.llm.common import narrow, packed, steps
+from tidemark.llm.common import lean, narrow, packed, steps
 
 DIMENSIONS = 512
 GRAM = 3
 #: N-grams that are turned into vectors at a time, and the largest table of n-gram counts kept as an array.
 BLOCK = 8192
 TABLE = 1 << 22
+#: Bytes of text that are counted at a time: less than elsewhere, as counting takes some hundred bytes for each of them.
+STEP_BYTES = 1 << 18
 
 _letters: np.ndarray | None = None
 _vectors: dict[int, np.ndarray] = {}
@@ -133,10 +135,11 @@ def bundles(rows: int, table: np.ndarray, text: np.ndarray, gram: np.ndarray, nu
     return out
 
 
+@lean
 def _train(batches):
     total: dict[str, np.ndarray] = {}
     for whole in batches:
-        for b in steps(whole):
+        for b in steps(whole, limit=STEP_BYTES):
             table, text, gram, number = gram_counts(b.column("text"))
             codes = b.column("lang").dictionary_encode()
             lang = codes.indices.to_numpy(zero_copy_only=False)
@@ -178,9 +181,10 @@ def predict_rows(column: pa.Array, names: list[str], prototypes: np.ndarray) ->
 
 
 def _predict(names: list[str], prototypes: np.ndarray, keep: list[str]):
+    @lean
     def run(batches):
         for whole in batches:
-            for b in steps(whole, column="__text"):
+            for b in steps(whole, column="__text", limit=STEP_BYTES):
                 lang, score = predict_rows(b.column("__text"), names, prototypes)
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(lang, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
 
@@ -207,11 +211,12 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray] | None = None, id_col
 
 
 def _judge(names: list[str], prototypes: np.ndarray, text_col: str):
+    @lean
     def run(batches):
         for whole in batches:
             row = whole.column("row")
             texts = pa.RecordBatch.from_arrays([row.field(text_col), pa.array(np.arange(len(row)))], names=["text", "at"])
-            for b in steps(texts):
+            for b in steps(texts, limit=STEP_BYTES):
                 lang, score = predict_rows(b.column("text"), names, prototypes)
                 yield pa.RecordBatch.from_arrays([row.slice(b.column("at")[0].as_py(), b.num_rows), pa.array(lang, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 

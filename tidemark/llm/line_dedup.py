@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import scan
-from tidemark.llm.common import STEP_BYTES, dropped, narrow, packed, release, steps, written
+from tidemark.llm.common import STEP_BYTES, dropped, lean, narrow, packed, release, steps, written
 
 KEYS = "h1 long, h2 long, anon boolean, doc long, rk long, pos int"
 
@@ -35,6 +35,7 @@ def _text_key():
 
 
 def _line_keys(min_chars: int):
+    @lean
     def run(batches):
         for whole in batches:
             for b in steps(whole):
@@ -51,6 +52,7 @@ def _line_keys(min_chars: int):
     return run
 
 
+@lean
 def _first_occurrences(batches):
     """Over one sorted partition. kind 0: a line to drop; 1: a line of the partition's first key, decided later;
     2: the partition's first key and its first document; 3: the last key and its first document here."""
@@ -125,6 +127,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.where("kind = 0").select(*cols).unionByName(late.select(*cols))
 
 
+@lean
 def _to_bitmaps(batches):
     for b in batches:
         maps = []
@@ -174,6 +177,7 @@ def _kept(batches, text_col: str):
             yield row.slice(b.column("at")[0].as_py(), b.num_rows), list(zip(b.column("text").to_pylist(), b.column("keep").to_pylist()))
 
 
+@lean
 def _digests(batches):
     for row, pairs in _kept(batches, "text"):
         out = [kept_text(*pair) for pair in pairs]
@@ -189,6 +193,7 @@ def line_digests(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 
 def _rewrite(names, text_col):
+    @lean
     def run(batches):
         for row, pairs in _kept(batches, text_col):
             kept = [kept_text(t, k)[0] if k is not None else t for t, k in pairs]

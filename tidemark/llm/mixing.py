@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import packed, unpacked, written
+from tidemark.llm.common import lean, packed, unpacked, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -64,6 +64,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     return own.select("source", "source_size", target.alias("target"))
 
 
+@lean
 def _local_ranks(batches):
     """Numbers the rows of a sorted partition within their source."""
     from pyspark import TaskContext

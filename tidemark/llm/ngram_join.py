@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import scan
-from tidemark.llm.common import dropped, narrow, release, steps, written
+from tidemark.llm.common import dropped, lean, narrow, release, steps, written
 from tidemark.llm.components import components
 
 COUNTER_BITS = 22
@@ -56,6 +56,7 @@ U64 = scan.U64
 
 
 def _count_tokens(n: int):
+    @lean
     def run(batches):
         total = np.zeros(1 << COUNTER_BITS, dtype=np.uint32)
         for whole in batches:
@@ -79,6 +80,7 @@ def _chunks(counters):
             yield pa.RecordBatch.from_arrays(cols, names=["part", "chunk", "width", "counts"])
 
 
+@lean
 def _add_counts(batches):
     """Streams; holds one chunk of counters for each chunk number of its partition."""
     held: dict[int, np.ndarray] = {}
@@ -128,6 +130,7 @@ def parities(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _by_parity(percent: int):
     """Pairs whose sets can overlap enough: they differ in at least as many tokens as their parities differ in bits."""
 
+    @lean
     def run(batches):
         names = ["a", "b", "a1", "a2", "b1", "b2"]
         for b in batches:
@@ -141,6 +144,7 @@ def _by_parity(percent: int):
 
 
 def _profile(n: int, percent: int, counts, tags: list[str]):
+    @lean
     def run(batches):
         freq = counts.value
         for whole in batches:
@@ -165,6 +169,7 @@ def _explode(counts, slice_rows: int):
     The counters bound a run from above, so that a slice has about slice_rows rows at most.
     """
 
+    @lean
     def run(batches):
         freq = counts.value
         for b in batches:
@@ -208,6 +213,7 @@ def _shared(percent: int):
             keep[at] = ok.any(axis=2)
         return rows.filter(pa.array(keep | sliced))
 
+    @lean
     def run(batches):
         held, passing = None, None
         for b in batches:
@@ -257,6 +263,7 @@ def _stars(percent: int):
     """Of a partition sorted by token, slice, band and mark: each row with the first of its band and the first of the band
     below. State between batches: two anchors. A row's component is that of its group's leader."""
 
+    @lean
     def run(batches):
         cell = None
         anchors: dict[int, tuple] = {}
@@ -369,6 +376,7 @@ def _crossings(percent: int):
     (mixed groups, component -1, are paired with all), with the room left after the token and the overlap needed. Memory
     holds a block's rows; blocks of one component are skipped."""
 
+    @lean
     def run(batches):
         read = lambda batch: [batch.column(c).to_numpy() for c in ("token", "i", "j", "slice", "g", "n", "pos", "comp")]
 
@@ -401,6 +409,7 @@ def _inside(percent: int):
     """Of a partition of members sorted by group and block: the pairs of a block that are of different components and whose
     parities let them overlap enough. Other pairs are never made into rows."""
 
+    @lean
     def run(batches):
         def read(batch):
             bits = np.frombuffer(scan.raw(batch.column("parity"))[0].tobytes(), "<u8").reshape(batch.num_rows, -1)
@@ -423,6 +432,7 @@ def _inside(percent: int):
 
 
 def _verify(percent: int):
+    @lean
     def run(batches):
         for b in batches:
             ok = []
@@ -445,6 +455,7 @@ def _filter_place(k1, k2, doc):
     return (scan.mix(x) >> U64(64 - FILTER_BITS)).astype(np.int64)
 
 
+@lean
 def _filter_bits(batches):
     bits = np.zeros(1 << FILTER_BITS, dtype=bool)
     for b in batches:
@@ -453,6 +464,7 @@ def _filter_bits(batches):
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([zlib.compress(np.packbits(bits).tobytes(), 1)], pa.binary())], names=["chunk", "bits"])
 
 
+@lean
 def _or_bits(batches):
     total = None
     for b in batches:
@@ -476,6 +488,7 @@ def _candidate_filter(keys: DataFrame) -> bytes:
 def _sets(n: int, bits):
     """k1, k2, set of the rows that are in the filter: one row of each candidate class, and few others."""
 
+    @lean
     def run(batches):
         member = np.unpackbits(np.frombuffer(bits.value, np.uint8)).astype(bool)
         for whole in batches:
