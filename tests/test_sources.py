@@ -1,3 +1,5 @@
+import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -273,3 +275,93 @@ def test_after_watermark_is_inclusive_without_given_keys(spark):
     end = F.lit("2026-10-01 09:00:20").cast("timestamp")
     got = row_versions.after_watermark(df, "ts", at, end, ["id"], spark.createDataFrame([(1,)], "id INT"))
     assert sorted(r["id"] for r in got.collect()) == [2, 3]
+
+
+def test_quotes_inside_plain_fields_are_text(spark, tmp_path):
+    """A quote opens a quoted field only at the field's start."""
+    refs = {2: '5" pipe', 4: '"doubled ""q"" here"', 5: '6" pipe', 6: '"closed" and more "'}
+    (tmp_path / "a.csv").write_text("\n".join([HEAD, *[GOOD.format(i, "10.00").replace(",ref", "," + refs.get(i, "ref")) for i in range(1, 7)], ""]))
+    got = file_drop.FileDropSource(spark, str(tmp_path)).capture(None, "t")
+    events = {r["source"]["position"].split("@")[0]: (r["key"], json.loads(r["after"])["reference"]) for r in got.events.collect()}
+    said = {2: '5" pipe', 4: 'doubled "q" here', 5: '6" pipe', 6: 'closed and more "'}
+    assert events == {f"a.csv:{i + 1}": (f'{{"transfer_id":"T{i}"}}', said.get(i, "ref")) for i in range(1, 7)} and got.rejects.count() == 0
+
+
+def test_the_automaton_by_runs_equals_the_one_by_bytes():
+    from tidemark.sources import text_pieces
+
+    def plain(text, state):
+        out = []
+        for i, c in enumerate(text):
+            if state == "quoted":
+                state = "behind" if c == '"' else state
+            elif c in ",\n":
+                state = "start"
+            elif c == '"' and state != "plain":
+                state = "quoted"
+            else:
+                state = "plain"
+            if c == "\n" and state == "start":
+                out.append(i)
+        return out, state == "quoted"
+
+    ends, r = text_pieces._automaton(), random.Random(1)
+    for _ in range(5000):
+        text = "".join(r.choices('",\na"', k=r.randint(0, 14))) + "\n"
+        for inside in (False, True):
+            found, end = ends(text.encode(), inside)
+            assert (found.tolist(), end) == plain(text, "quoted" if inside else "start"), text
+
+
+@pytest.mark.parametrize("seed, chunk, piece, unclosed, end", [(1, 1, 40, False, "\n"), (2, 60, 1, False, ""), (3, 100, 100, True, "\r\n"), (4, 1 << 20, 1 << 18, True, ""), (5, 7, 30, True, "\n")])
+def test_records_cut_in_parallel_are_those_of_a_csv_reader(spark, tmp_path, seed, chunk, piece, unclosed, end):
+    import csv
+    import io
+
+    from tidemark.sources import text_pieces
+
+    r = random.Random(seed)
+    field = lambda: "".join(r.choices(['"', '""', "a", "é", " ", "b c"], k=r.randint(0, 4)))
+    quoted = lambda: '"' + "".join(r.choices(['""', ",", "\n", "\r\n", "x", "日"], k=r.randint(0, 6))) + '"' + r.choice(["", "", 'tail"'])
+    plain = lambda: r.choice("xyz") + field()
+    record = lambda: ",".join(r.choice([plain, quoted, str])() for _ in range(r.randint(1, 4)))
+    breaks = ["\n", "\r\n", "\n\n", "\r\n\n"]
+    text = "\n" + 'a,"b\n1","c"' + "".join(r.choice(breaks) + record() for _ in range(300)) + ("\n1,\"open, ""\n,x" if unclosed else "") + end
+    (tmp_path / "x y.csv").write_bytes(text.encode())
+    (tmp_path / "other.csv").write_bytes(b'a,"b\n1","c"\n1,2,3\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        lines = file_drop.Folder(spark, str(tmp_path)).lines(["x y.csv", "other.csv"])
+        cut = text_pieces.pieces(lines, piece, chunk)
+        rows = file_drop.csv_rows(cut, "text", ["a", "b\n1", "c"], "header", "first").select("name", "line", "row", "unclosed").collect()
+        if chunk < 1000:
+            assert cut.where("name = 'x y.csv'").count() > 20 and lines.select("block").distinct().count() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    header, *want = [x for x in csv.reader(io.StringIO(text, newline=None)) if x]
+    assert header == ["a", "b\n1", "c"]
+    got = {x["line"]: x["row"] for x in rows if x["name"] == "x y.csv"}
+    assert sorted(got) == list(range(2, len(want) + 2))
+    for i, fields in enumerate(want):
+        row = got[i + 2]
+        if len(fields) > 3 or (unclosed and i == len(want) - 1):
+            assert row is None
+        else:
+            assert list(row) == fields + [None] * (3 - len(fields)), (i, fields)
+    assert [(x["line"], list(x["row"])) for x in rows if x["name"] == "other.csv"] == [(2, ["1", "2", "3"])]
+
+
+def test_a_header_beyond_the_first_split_refuses_the_records(spark, tmp_path):
+    from tidemark.sources import text_pieces
+
+    (tmp_path / "a.csv").write_text('a,"never closed\n' + "1,2\n" * 50)
+    (tmp_path / "b.csv").write_text('a,"b' + "\n" * 500 + '"\n1,2\n3,4\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        cut = text_pieces.pieces(file_drop.Folder(spark, str(tmp_path)).lines(["a.csv", "b.csv"]))
+        got = sorted((r["name"], r["line"], r["row"]) for r in file_drop.csv_rows(cut, "text", ["a"], "header", "first").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [("b.csv", 2, None), ("b.csv", 3, None)]

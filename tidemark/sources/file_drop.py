@@ -26,27 +26,27 @@ TRANSFER_COLUMNS = ["transfer_id", "value_date", "booking_ts", "debtor_iban", "c
 def csv_rows(files: DataFrame, content: str, columns: list[str], header: str | None = None, first: str | None = None) -> DataFrame:
     """Every CSV record after the header: the file's columns, line (records count from 2) and row, a struct of texts.
 
-    Fields are found by the header's names; quoted fields may hold commas, quotes and line ends. A record with more fields
-    than the header, or with unbalanced quotes, has row null. header, first: columns with the header and the number of the first
+    Fields are found by the header's names. A quote at the start of a field opens a quoted one, which may hold commas, line ends and doubled quotes; what
+    stands between its closing quote and the next comma belongs to it as it is, and so do quotes further on in a field. A record with more fields
+    than the header, or whose quote isn't closed before the file ends, has row null. header, first: columns with the header and the number of the first
     record, of texts that begin after the header.
     """
     text = F.col(content) if header else F.regexp_replace(F.regexp_replace(F.col(content), "^﻿", ""), "\r\n?", "\n")
-    # a record: fields, each quoted or without quotes, up to a line end outside quotes. Every repetition is possessive: the
-    # matcher neither goes back nor nests, however long a field is
-    records = F.filter(F.regexp_extract_all(text, F.lit(r'((?:[^"\n]++|"(?:[^"]++|"")*+"?+)++)(?:\n|$)'), 1), lambda x: x != "")
-    parts = lambda rec: F.regexp_extract_all(F.concat(rec, F.lit(",")), F.lit(r'("(?:[^"]++|"")*+"|[^,"]*+),'), 1)
-    plain = lambda f: F.when(f.startswith('"'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f)
+    # every repetition is possessive: the matcher neither goes back nor nests, however long a field is
+    field = r'(?:"(?:[^"]++|"")*+"?+[^,\n]*+|[^",\n][^,\n]*+|)'
+    records = F.filter(F.regexp_extract_all(text, F.lit(rf"({field}(?:,{field})*+)(?:\n|\z)"), 1), lambda x: x != "")
+    parts = lambda rec: F.regexp_extract_all(F.concat(rec, F.lit(",")), F.lit(f"({field}),"), 1)
+    inner, rest = (lambda f, i=i: F.regexp_extract(f, r'(?s)^"((?:[^"]++|"")*+)"(.*+)$', i) for i in (1, 2))
+    plain = lambda f: F.when(f.startswith('"'), F.concat(F.replace(inner(f), F.lit('""'), F.lit('"')), rest(f))).otherwise(f)
     fields = lambda rec: F.transform(parts(rec), plain)
     whole = files.withColumn("__records", records).withColumn("__header", fields(F.col(header) if header else F.get("__records", F.lit(0))))
     whole = whole.withColumn("__places", F.array(*[F.array_position("__header", c).cast("int") - 1 for c in columns]))
-    rest = F.col("__records") if header else F.slice("__records", F.lit(2), F.greatest(F.size("__records") - 1, F.lit(0)))
+    rest_of = F.col("__records") if header else F.slice("__records", F.lit(2), F.greatest(F.size("__records") - 1, F.lit(0)))
 
     def checked(r):
         raw, got = r["raw"], r["parts"]
-        commas = F.regexp_count(F.regexp_replace(raw, '"(?:[^"]++|"")*+"', ""), F.lit(","))
-        quotes = F.length(raw) - F.length(F.replace(raw, F.lit('"')))
-        # parts that make up the whole record hold all its commas and quotes, which then needn't be counted
-        good = (F.size(got) <= F.size("__header")) & ((F.array_join(got, ",") == raw) | ((F.size(got) == commas + 1) & (quotes % 2 == 0)))
+        # a quote that isn't closed takes the comma put behind the record too, and is in no part
+        good = (F.size(got) <= F.size("__header")) & (F.array_join(got, ",") == raw)
         return F.struct(raw.alias("raw"), F.when(good, F.transform(got, plain)).alias("fields"))
 
     def named(r):
@@ -54,7 +54,7 @@ def csv_rows(files: DataFrame, content: str, columns: list[str], header: str | N
         return F.struct(r["raw"].alias("raw"), F.when(r["fields"].isNotNull(), row).alias("row"))
 
     # records are split and checked within the array, each step once a record: what comes after the explode reads columns
-    entries = F.transform(F.transform(F.transform(rest, lambda r: F.struct(r.alias("raw"), parts(r).alias("parts"))), checked), named)
+    entries = F.transform(F.transform(F.transform(rest_of, lambda r: F.struct(r.alias("raw"), parts(r).alias("parts"))), checked), named)
     out = whole.select("*", F.posexplode(entries).alias("__at", "__entry"))
     out = out.withColumn("line", F.col("__at") + (F.col(first) if first else F.lit(2))).withColumn("row", F.col("__entry.row")).withColumn("raw", F.col("__entry.raw"))
     return out.drop("__records", "__header", "__places", "__at", "__entry")
