@@ -860,16 +860,16 @@ def file_capture(spark, sf_dir):
 SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '5" pipe' WHEN 1 THEN 'a "quoted", reference' WHEN 2 THEN 'two' || chr(10) || 'lines, "x"' WHEN 3 THEN 'closed and "more' ELSE '' END AS reference FROM orders""")
 def file_capture_quotes(spark, sf_dir):
     """Orders written as one file, with quotes within plain fields, doubled ones, line ends within quotes and text behind a closing quote; captured from it."""
-    from tidemark.sources.file_drop import TRANSFER_COLUMNS, FileDropSource
+    from tidemark.sources.file_drop import TRANSFER_COLUMNS, FileDropSource, Folder
 
     folder, key = f"{_scratch(spark)}/drop", F.col("o_orderkey")
     reference = F.when(key % 5 == 0, '5" pipe').when(key % 5 == 1, '"a ""quoted"", reference"').when(key % 5 == 2, '"two\nlines, ""x"""').when(key % 5 == 3, '"closed" and "more').otherwise("")
     values = {"transfer_id": key.cast("string"), "debtor_iban": F.lit("GB82WEST12345698765432"), "creditor_iban": F.lit("DE89370400440532013000"), "amount": F.lit("12.50"), "booking_ts": F.col("o_orderdate").cast("string"), "currency": F.lit("EUR"), "reference": reference}
     record = F.concat_ws(",", *[values.get(c, F.lit("x")) for c in TRANSFER_COLUMNS])
-    # records are written as they are: one column, whose name is the header, without quoting
-    lines = table(spark, sf_dir, "orders").select(record.alias(",".join(TRANSFER_COLUMNS)))
-    lines.coalesce(1).write.option("header", "true").option("sep", "\x01").option("quote", "\x00").csv(folder)
-    got = FileDropSource(spark, folder).capture(None, "t").events
+    head = spark.range(1).select(F.lit(0).alias("nth"), F.lit(",".join(TRANSFER_COLUMNS)).alias("value"))
+    lines = head.unionByName(table(spark, sf_dir, "orders").select(F.lit(1).alias("nth"), record.alias("value")))
+    lines.repartition(1).sortWithinPartitions("nth").select("value").write.text(folder)
+    got = FileDropSource(spark, Folder(spark, folder, ".txt")).capture(None, "t").events
     return got.select(F.get_json_object("key", "$.transfer_id").cast("long").alias("o_orderkey"), F.get_json_object("after", "$.reference").alias("reference"))
 
 
