@@ -6,10 +6,11 @@ their places are. Phrases grow by a word at a time: the occurrences of frequent
 with the postings k places further on; what meets is an occurrence of a phrase of k + 1 words, and the list of these is as long as the phrase
 is frequent. A longer phrase isn't extended unless both its first and its last k words are frequent.
 
-Lengths of lists are summed over shards by a shuffle of (language, phrase, length), pre-aggregated in the shard and by Spark, so a phrase that
-has a third of all occurrences is one row a shard. Which phrases go on to the next step the shards learn from a filter of hashed bits,
-whose size follows the number of frequent phrases up to 2^MOST_BITS bits; what passes it wrongly is counted like all others and then found to be rare, so
-results don't depend on it. Sums, cuts and ranks are DataFrame operations; products are decimals of 38 digits.
+Which phrases are frequent is found in two steps. First the shards send hashes with the lengths of their lists, packed by ranges of the hash (about four bytes
+for a phrase that a task meets once); a range is added up by one task, and hashes that reach the threshold become a filter of bits, whose size follows
+their number up to 2^MOST_BITS bits. With the filters of all sizes the shards then send the phrases themselves, pre-aggregated in the shard and
+by Spark, so a phrase that has a third of all occurrences is one row a shard; these are added up exactly. What passes a filter wrongly is counted like all others
+and then found to be rare, so results don't depend on hashes. Sums, cuts and ranks are DataFrame operations; products are decimals of 38 digits.
 
 Nulls: a null text is empty, a null language is `und` (as is the language of that name). Empty texts have no phrases. A text of any length is cut
 only at its words (a shard holds one long text at least). Ties are broken as `collocations` says; repeated rows count each. An empty
@@ -30,6 +31,8 @@ from tidemark.llm.scan import LOWER, STREAMS, U64, mix, raw
 
 SHARD_BYTES = 4 << 20
 LEAST_BITS, MOST_BITS = 16, 26
+#: Words for each range of hashes, and hashes that a task packs at once.
+RANGE_WORDS, PACKED = 1 << 19, 1 << 20
 
 #: What a byte is: 0 of a word, 1 blank, 2 an end of a piece.
 KIND = np.zeros(256, np.uint8)
@@ -61,26 +64,29 @@ def _one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-@lean
-def _invert(batches):
-    for whole in batches:
-        for part in steps(whole, limit=SHARD_BYTES):
-            lang = part.column("lang")
-            for name in pc.unique(lang):
-                data, offsets = raw(part.column("text").filter(pc.equal(lang, name)))
-                if not len(data):
-                    continue
-                words, code, places = occurrences(data, offsets)
-                if len(code):
-                    lists = places[np.argsort(code, kind="stable")]
-                    counts = np.bincount(code, minlength=len(words)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), *map(_one, (words, pa.array(counts), pa.array(lists)))], names=["lang", "words", "counts", "places"])
+def _invert(limit: int):
+    @lean
+    def run(batches):
+        for whole in batches:
+            for part in steps(whole, limit=limit):
+                lang = part.column("lang")
+                for name in pc.unique(lang):
+                    data, offsets = raw(part.column("text").filter(pc.equal(lang, name)))
+                    if not len(data):
+                        continue
+                    words, code, places = occurrences(data, offsets)
+                    if len(code):
+                        lists = places[np.argsort(code, kind="stable")]
+                        counts = np.bincount(code, minlength=len(words)).astype(np.int32)
+                        yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), *map(_one, (words, pa.array(counts), pa.array(lists)))], names=["lang", "words", "counts", "places"])
+
+    return run
 
 
 def inverted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, words, counts, places: the inverted file of each shard; places has the words' lists one after the other."""
     slim = narrow(docs, text=text_col, lang=lang_col)
-    return slim.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")).where("text is not null").mapInArrow(_invert, LISTS)
+    return slim.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")).where("text is not null").mapInArrow(_invert(SHARD_BYTES), LISTS)
 
 
 def word_hashes(lang: str, words) -> np.ndarray:
@@ -101,73 +107,151 @@ def passes(filters: bytes, h: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def extended(lang: str, words: pa.Array, counts: np.ndarray, lists: np.ndarray, filters: list[bytes]) -> tuple[pa.Array, np.ndarray] | None:
-    """Phrases of len(filters) + 1 words in a shard, and the lengths of their lists. filters: of frequent phrases of 1, 2, ... words."""
+def grown(lang: str, words: pa.Array, counts: np.ndarray, lists: np.ndarray, filters: list[bytes], exact: bool):
+    """Of a shard, for phrases of 2, 3, ... words: the number of each occurrence's first word among those of frequent words, the phrase's hash, and its
+    number among the shard's phrases (if exact); and the words. Phrases of as many words as there are filters have passed theirs, the last ones, one word longer,
+    haven't any."""
     hashes = word_hashes(lang, words.to_pylist())
     frequent = np.repeat(passes(filters[0], hashes), counts)
     place, word = lists[frequent], np.repeat(np.arange(len(words)), counts)[frequent]
     order = np.argsort(place)
     place, word = place[order], word[order]
-    # of each occurrence of a frequent phrase: its place, its hash and its number among the shard's phrases
     start, h, code, first = place, hashes[word], word, np.arange(len(place))
     for k in range(1, len(filters) + 1):
-        if k > 1:
-            stay = passes(filters[k - 1], h)
-            start, h, code, first = start[stay], h[stay], code[stay], first[stay]
-        if not len(start):
-            return None
         # merge of the phrases' places with the postings k places on, and with the phrases one place on
-        to = np.minimum(np.searchsorted(place, start + k), len(place) - 1)
-        suffix = np.append(start[1:] == start[:-1] + 1, False)
-        met = (place[to] == start + k) & suffix
-        start, first, next_word = start[met], first[met], word[to[met]]
-        h, code = chained(h[met], hashes[next_word]), code[met] * len(words) + next_word
-        _, at, code, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-    if not len(start):
-        return None
-    spelt = [words.take(pa.array(word[first[at] + j])) for j in range(len(filters) + 1)]
-    return pc.binary_join_element_wise(*spelt, " "), n
-
-
-def _extend(filters: list[bytes]):
+        to = np.searchsorted(place, start + k)
+        met = np.append(start[1:] == start[:-1] + 1, False)[: len(start)]
+        met &= place[np.minimum(to, len(place) - 1)] == start + k
+        next_word = word[to[met]]
+        start, first, h = start[met], first[met], chained(h[met], hashes[next_word])
+        code = code[met] * len(words) + next_word if exact else None
+        if k < len(filters):
+            stay = passes(filters[k], h)
+            start, first, h = start[stay], first[stay], h[stay]
+            code = np.unique(code[stay], return_inverse=True)[1] if exact else None
+        if len(start):
+            yield k + 1, first, h, code, word
+
+
+def _shards(batches):
+    for b in batches:
+        for i in range(b.num_rows):
+            words, counts, lists = (b.column(c)[i].values for c in ("words", "counts", "places"))
+            yield b.column("lang")[i].as_py(), words, counts.to_numpy(), lists.to_numpy()
+
+
+def _packed_hashes(filters: list[bytes], ranges: int):
+    """Hashes of phrases one word longer than there are filters: by range (their first `ranges` bits) the next 32 bits, of those that a task's
+    shards have once, and of the others with their number."""
+
+    def packed(keys, n):
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(at, np.concatenate(n)).astype(U64)
+        part, rest, once = (keys >> U64(32)).astype(np.int64), keys.astype(np.uint32), n == 1
+        found = np.unique(part)
+        cut = lambda some: np.searchsorted(part[some], np.append(found, 1 << ranges))
+        pack = lambda x, at: pa.BinaryArray.from_buffers(pa.binary(), len(found), [None, pa.py_buffer((x.itemsize * at).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+        more = rest[~once].astype(U64) << U64(32) | n[~once]
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pack(rest[once], cut(once)), pack(more, cut(~once))], names=["part", "once", "more"])
+
+    @lean
+    def run(batches):
+        keys, counted, held = [], [], 0
+        for lang, words, counts, lists in _shards(batches):
+            for size, _, h, _, _ in grown(lang, words, counts, lists, filters, False):
+                if size > len(filters):
+                    key, n = np.unique(h >> U64(32 - ranges), return_counts=True)
+                    keys.append(key)
+                    counted.append(n)
+                    held += len(key)
+            if held > PACKED:
+                yield packed(keys, counted)
+                keys, counted, held = [], [], 0
+        if held:
+            yield packed(keys, counted)
+
+    return run
+
+
+def _reached(least: int):
+    """Keys (range and 32 bits) whose numbers add up to `least`, of rows sorted by range."""
+
+    def out(part, once, more):
+        more = np.frombuffer(b"".join(more), U64)
+        rest = np.concatenate((np.frombuffer(b"".join(once), np.uint32), (more >> U64(32)).astype(np.uint32)))
+        n = np.concatenate((np.ones(len(rest) - len(more)), (more & U64(0xFFFFFFFF)).astype(np.float64)))
+        keys, at = np.unique(rest, return_inverse=True)
+        keys = keys[np.bincount(at, n) >= least].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(keys | part << 32, pa.int64())], names=["key"])
+
     @lean
     def run(batches):
+        part, once, more = None, [], []
         for b in batches:
-            for i in range(b.num_rows):
-                lang = b.column("lang")[i].as_py()
-                words, counts, lists = (b.column(c)[i].values for c in ("words", "counts", "places"))
-                if found := extended(lang, words, counts.to_numpy(), lists.to_numpy(), filters):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(lang, len(found[0])), pa.string()), found[0], pa.array(found[1], pa.int64())], names=["lang", "phrase", "n"])
+            for p, x, y in zip(*[b.column(c).to_pylist() for c in ("part", "once", "more")]):
+                if p != part:
+                    if part is not None:
+                        yield out(part, once, more)
+                    part, once, more = p, [], []
+                once.append(x)
+                more.append(y)
+        if part is not None:
+            yield out(part, once, more)
+
+    return run
+
+
+def _spelt(filters: list[bytes]):
+    """The phrases that pass all filters, and the lengths of their lists."""
+
+    @lean
+    def run(batches):
+        for lang, words, counts, lists in _shards(batches):
+            for size, first, _, code, word in grown(lang, words, counts, lists, filters, True):
+                if size > len(filters):
+                    continue
+                _, at, n = np.unique(code, return_index=True, return_counts=True)
+                text = pc.binary_join_element_wise(*[words.take(pa.array(word[first[at] + j])) for j in range(size)], " ")
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(lang, len(n)), pa.string()), pa.array(np.full(len(n), size, np.int32)), text, pa.array(n, pa.int64())], names=["lang", "size", "phrase", "n"])
 
     return run
 
 
-def _places(bits: int):
+def _word_keys(ranges: int):
     def run(batches):
         for b in batches:
-            out = np.zeros(b.num_rows, dtype=U64)
-            for i, (lang, phrase) in enumerate(zip(b.column("lang").to_pylist(), b.column("phrase").to_pylist())):
-                first, *rest = word_hashes(lang, phrase.split(" "))
-                h = np.array([first], dtype=U64)
-                for w in rest:
-                    h = chained(h, w)
-                out[i] = h[0]
-            yield pa.RecordBatch.from_arrays([pa.array((out >> U64(64 - bits)).astype(np.int64))], names=["place"])
+            h = np.zeros(b.num_rows, dtype=U64)
+            lang = b.column("lang")
+            for name in pc.unique(lang).to_pylist():
+                at = np.flatnonzero(pc.equal(lang, name).to_numpy(zero_copy_only=False))
+                h[at] = word_hashes(name, b.column("phrase").take(pa.array(at)).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array((h >> U64(32 - ranges)).astype(np.int64))], names=["key"])
 
     return run
 
 
-def frequent_phrases(lists: DataFrame, least: int = 30, longest: int = 4) -> list[DataFrame]:
-    """(lang, phrase, f) of all phrases of 1, 2, ... words with at least `least` occurrences, each a written table."""
-    found = lists.select("lang", F.inline(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").cast("array<long>").alias("n"))))
-    out, filters = [], []
-    for size in range(1, longest + 1):
-        out.append(written(found.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least), f"phrases-{size}"))
-        if size < longest:
-            bits = min(max((16 * out[-1].count()).bit_length(), LEAST_BITS), MOST_BITS)
-            filters.append(bit_filter(out[-1].mapInArrow(_places(bits), "place long"), bits))
-            found = lists.mapInArrow(_extend(list(filters)), "lang string, phrase string, n long")
-    return out
+def _filter(keys: DataFrame, ranges: int) -> bytes:
+    bits = min(max((32 * keys.count()).bit_length(), LEAST_BITS), MOST_BITS, 32 + ranges)
+    return bit_filter(keys.select(F.shiftright("key", 32 + ranges - bits).alias("place")), bits)
+
+
+def frequent_phrases(lists: DataFrame, least: int = 30, longest: int = 4) -> DataFrame:
+    """lang, size, phrase, f of all phrases of up to `longest` words with at least `least` occurrences, a written table."""
+    spark = lists.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_words = lists.select(F.sum(F.size("places"))).first()[0] or 0
+    ranges = min((8 + n_words // RANGE_WORDS).bit_length(), 30)
+    counts = lists.select("lang", F.inline(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").cast("array<long>").alias("n"))))
+    keep = lambda found: found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    words = written(keep(counts.withColumn("size", F.lit(1))), "words")
+    filters = [_filter(words.mapInArrow(_word_keys(ranges), "key long"), ranges)]
+    for _ in range(1, longest):
+        sent = lists.mapInArrow(_packed_hashes(list(filters), ranges), "part long, once binary, more binary")
+        keys = written(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_reached(least), "key long"), "keys")
+        filters.append(_filter(keys, ranges))
+        dropped(keys)
+    spelt = keep(lists.mapInArrow(_spelt(filters), "lang string, size int, phrase string, n long"))
+    return written(words.unionByName(spelt), "phrases")
 
 
 def collocations(docs: DataFrame, least: int = 30, longest: int = 4, top: int = 2000, inside: int = 80, scale: int = 2_000_000, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -178,12 +262,9 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, top: int =
     left out. Order: score, then a, both descending, then the phrase's bytes.
     """
     lists = written(inverted(docs, text_col, lang_col), "inverted")
-    sizes = [t.withColumn("size", F.lit(i + 1)) for i, t in enumerate(frequent_phrases(lists, least, longest))]
+    every = frequent_phrases(lists, least, longest)
     words = written(lists.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "words")
     dropped(lists)
-    every = sizes[0]
-    for t in sizes[1:]:
-        every = every.unionByName(t)
     candidates = every.where("size >= 2").withColumnRenamed("f", "a")
     cuts = candidates.select("*", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.withColumn("first", F.expr("substring_index(phrase, ' ', k)")).withColumn("rest", F.expr("substring_index(phrase, ' ', k - size)"))
