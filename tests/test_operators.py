@@ -167,3 +167,52 @@ def test_percentiles(spark):
 def test_verdicts(spark):
     df = spark.createDataFrame([("1", "1", False), ("1", "2", False), ("1", "2", True), (None, None, False)], "a STRING, b STRING, s BOOLEAN")
     assert [r[0] for r in df.select(quality.verdict(F.col("a"), F.col("b"), F.col("s"))).collect()] == ["PASS", "FAIL", "SKIP", "PASS"]
+
+
+VALUES = {
+    "even": [float(i) for i in range(300)],
+    "ties": [1.0] * 200 + [2.0] * 50 + [3.0],
+    "wide": [(-1.0) ** i * 10.0 ** (i % 40 - 20) for i in range(250)] + [1e308, -1e308, 5e-324, 0.0, -0.0],
+    "odd": [float("inf")] * 40 + [float("-inf")] * 40 + [float(i) for i in range(100)],
+    "near": [1.0 + i * 2.0**-52 for i in range(120)] + [1e300],
+    "one": [7.5],
+    None: [float(i * i % 97) for i in range(150)],
+}
+
+
+@pytest.mark.parametrize("bins, limit", [(8, 5), (1024, 1 << 14)])
+def test_ranks_are_selected_exactly(spark, monkeypatch, bins, limit):
+    from tidemark.operators import selection
+
+    monkeypatch.setattr(selection, "BINS", bins)
+    monkeypatch.setattr(selection, "LIMIT", limit)
+    df = spark.createDataFrame([(g, v) for g, vs in VALUES.items() for v in vs] + [("even", None), ("none", None)], "g STRING, v DOUBLE").repartition(3)
+    wanted = spark.createDataFrame([(g, r) for g, vs in VALUES.items() for r in {0, 1, len(vs) // 3, len(vs) // 2, len(vs) - 1, len(vs), -1}] + [("none", 0), ("new", 0)], "g STRING, rank LONG")
+    got = {(r["g"], r["rank"]): r["value"] for r in selection.order_statistics(df, "v", wanted, ["g"]).collect()}
+    assert got == {(g, r): sorted(vs)[r] for g, vs in VALUES.items() for r in {0, 1, len(vs) // 3, len(vs) // 2, len(vs) - 1} if r < len(vs)}
+    points = (0.0, 0.3, 0.5, 0.95, 1.0)
+    for r in selection.percentiles(df, "v", points, ["g"]).collect():
+        vs = sorted(VALUES.get(r["g"], []))
+        assert r["n"] == len(vs) and len(r["values"]) == 5
+        for p, x in zip(points, r["values"]):
+            if not vs:
+                assert x is None
+                continue
+            at = p * (len(vs) - 1)
+            low, high = vs[int(at)], vs[-int(-at // 1)]
+            assert x == low if low == high else abs(x - (low + (high - low) * (at % 1))) <= 1e-9 * max(abs(low), abs(high)) or abs(low) == float("inf") or abs(high) == float("inf")
+    alone = selection.percentiles(df.where("g = 'wide'"), "v", points).first()
+    assert alone["n"] == len(VALUES["wide"]) and alone["values"][2] == sorted(VALUES["wide"])[127]
+    assert list(selection.percentiles(df.where("false"), "v", points).first()) == [0, [None] * 5]
+
+
+def test_selection_holds_few_values(spark, monkeypatch):
+    """Spark sorts no column, and all values never meet in one task."""
+    from tidemark.operators import selection
+
+    monkeypatch.setattr(selection, "LIMIT", 50)
+    df = spark.range(20_000).selectExpr("pow(id, 3) as v", "id % 3 as g")
+    found = selection.order_statistics(df, "v", spark.range(1).selectExpr("7000L as rank"))
+    assert found.first()["value"] == 7000.0**3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "RangePartitioning" not in plan and "SinglePartition" not in plan

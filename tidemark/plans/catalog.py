@@ -223,6 +223,17 @@ def latency_percentiles(spark, sf_dir):
     return quality.percentiles(table(spark, sf_dir, "events"), "value")
 
 
+@query("""
+SELECT l_returnflag, l_linestatus, count(*) AS n, round(quantile_cont(l_extendedprice, 0.01), 3) AS p1, round(quantile_cont(l_extendedprice, 0.5), 3) AS p50,
+  round(quantile_cont(l_extendedprice, 0.95), 3) AS p95, round(quantile_cont(l_extendedprice, 0.999), 3) AS p999 FROM lineitem GROUP BY ALL""")
+def percentiles_by_group(spark, sf_dir):
+    """Exact percentiles of each group by selection of ranks."""
+    from tidemark.operators import selection
+
+    found = selection.percentiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", (0.01, 0.5, 0.95, 0.999), ["l_returnflag", "l_linestatus"])
+    return found.select("l_returnflag", "l_linestatus", "n", *[F.round(F.get("values", F.lit(i)), 3).alias(p) for i, p in enumerate(("p1", "p50", "p95", "p999"))])
+
+
 @query("SELECT count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS VARCHAR) AS balance_sum FROM customer")
 def balance_sum_exact(spark, sf_dir):
     """A source's own statistics: rows, and the sum of balances to the cent."""
