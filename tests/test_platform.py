@@ -15,6 +15,14 @@ def messages(spark, n, start=0):
     return spark.range(start, start + n).select(F.concat(F.lit("k"), (F.col("id") % 5).cast("string")).alias("key"), F.col("id").cast("string").alias("value"), F.create_map(F.lit("h"), F.lit("1")).alias("headers"))
 
 
+def valid(spark, lo, hi):
+    """Messages of well-formed create events."""
+    i = F.col("id").cast("string")
+    source = F.struct(F.lit("shop").alias("system"), F.lit("db").alias("database"), F.lit("t").alias("table"), i.alias("position"))
+    event = F.struct(F.sha2(i, 256).alias("event_id"), F.lit("c").alias("op"), F.struct("id").alias("key"), F.struct("id").alias("after"), source.alias("source"), F.lit("2024-01-01T00:00:00").alias("captured_at"), F.lit("t").alias("trace_id"), F.lit(1).alias("schema_version"), F.sha2(F.lit("p"), 256).alias("payload_hash"))
+    return spark.range(lo, hi).select(i.alias("key"), F.to_json(event).alias("value"), F.create_map(F.lit("h"), F.lit("1")).alias("headers"))
+
+
 def test_topics(spark, tmp_path):
     t = TopicLog(spark, str(tmp_path))
     assert t.ensure(["a", "b"]) == ["a", "b"] and t.ensure(["a", "b", "c"]) == ["c"]
@@ -319,3 +327,125 @@ def test_stored_events_are_not_shuffled_for_a_small_batch(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     semi = next(line for line in plan.splitlines() if "LeftSemi" in line)
     assert "BroadcastHashJoin" in semi
+
+
+def _keys(t, name="s"):
+    return sorted(r["k"] for r in t.read(name).collect())
+
+
+def test_merges_that_race_lose_nothing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    a, b = (Tables(spark, str(tmp_path), buckets=2) for _ in range(2))
+    rows = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k INT")
+    newest = lambda old, new: new if old is None else old.join(new, "k", "left_anti").unionByName(new)
+    tries = []
+
+    def slowly(*others):
+        def how(old, new):
+            tries.append(others)
+            if len(tries) == 1:
+                for ks in others:
+                    b.merge("s", rows(*ks), ["k"], newest)
+            return newest(old, new)
+
+        return how
+
+    for before, mine, others, again in (((), (9,), ((8,),), 2), ((1,), (3,), ((2,),), None), ((), tuple(range(40)), ((41,), (42,), (43,)), 2)):
+        a.merge("s", rows(*before), ["k"], newest)
+        had = _keys(a) if a.exists("s") else []
+        tries.clear()
+        a.merge("s", rows(*mine), ["k"], slowly(*others))
+        assert _keys(b) == sorted({*had, *mine, *[k for ks in others for k in ks]})
+        assert again is None or len(tries) == again
+    # buckets that nobody else touched follow upon the manifest that won, without another try
+    at = {k: a._touched(a._manifest("s"), rows(k), ["k"], 2)[0] for k in (1, 2, 3, 8, 9)}
+    one, other = next((x, y) for x in at for y in at if at[x] != at[y])
+    tries.clear()
+    stamped = lambda old, _: old.withColumn("k", F.col("k"))
+    a.merge("s", rows(one), ["k"], lambda old, new: (tries.append(1), b.merge("s", rows(other), ["k"], newest), newest(old, new))[2])
+    assert len(tries) == 1 and {one, other} <= set(_keys(a))
+    a.merge("s", rows(one), ["k"], stamped)
+    used = {f.split("/")[0] for m in (a._manifest("s"),) for f in [*m["at"].values(), *m["before"]]}
+    assert {n for n in a.files.names(a.path("s")) if n.startswith("v=")} == used
+
+
+def test_two_processes_keep_every_decision(spark, tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from tidemark.service import AlertStore
+
+    t = Tables(spark, str(tmp_path), buckets=2)
+    t.ensure()
+    store = AlertStore(t)
+    ids = [f"a{i}" for i in range(12)]
+    alert = "alert_id STRING, rule STRING, account_id INT, evidence_keys ARRAY<STRING>, first_evidence_ts STRING, last_source_commit_ts STRING, alert_created_at STRING, latency_seconds DOUBLE"
+    row = lambda i, *keys: (i, "r", 1, list(keys), "t", "t", "t", 1.0)
+    store.upsert(spark.createDataFrame([row(i, "1") for i in ids], alert))
+    code = f"""
+from pyspark.sql import SparkSession
+from tidemark.service import AlertStore
+from tidemark.tables import Tables
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+store = AlertStore(Tables(spark, {str(tmp_path)!r}, buckets=2))
+print("ready", flush=True)
+for i in {ids[::2]!r}:
+    store.set_status(i, "CONFIRMED", "theirs")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    other = subprocess.Popen([sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": root}, stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True)
+    while "ready" not in (line := other.stdout.readline()):
+        assert line or other.poll() is None
+    for k, i in enumerate(ids[1::2]):
+        store.set_status(i, "DISMISSED", "ours")
+        store.upsert(spark.createDataFrame([row(x, "1", str(k)) for x in ids], alert))
+    assert other.wait(timeout=120) == 0
+    got = {r["alert_id"]: (r["status"], r["note"], r["evidence_keys"]) for r in t.read(store.table).collect()}
+    assert got == {i: (*(("DISMISSED", "ours") if k % 2 else ("CONFIRMED", "theirs")), ["1", "5"]) for k, i in enumerate(ids)}
+
+
+def test_batches_that_cannot_hold_an_id_are_not_opened(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming.stored_ids import StoredIds
+
+    t = Tables(spark, str(tmp_path))
+    ids = lambda lo, hi: spark.range(lo, hi).select(F.concat(F.lit("e"), F.col("id")).alias("event_id"))
+    stored = StoredIds(t, "bronze_change_events")
+    opened = lambda df: {f.split("/batch=")[1].split("/")[0] for f in df.inputFiles()}
+    assert stored.known(ids(0, 5)).count() == 0
+    for b in range(4):
+        t.append("bronze_change_events", ids(100 * b, 100 * b + 100), batch=b)
+        stored.add(b)
+    assert opened(stored.known(ids(1000, 2000))) == set()  # all new
+    assert opened(stored.known(ids(150, 160))) == {"1"}  # a replay
+    assert opened(stored.known(ids(150, 160), but_batch=1)) == set()
+    assert opened(stored.known(ids(150, 250).union(ids(7, 8)))) == {"0", "1", "2"}
+    t.append("bronze_change_events", ids(5000, 5001), batch="by-other-means")
+    assert opened(stored.known(ids(1000, 2000))) == {"by-other-means"}
+    stored.forget(2)
+    assert opened(stored.known(ids(1000, 2000))) == {"2", "by-other-means"}
+    assert stored.known(ids(1000, 2000)).columns == t.read("bronze_change_events").columns
+
+
+def test_bronze_opens_what_it_must(spark, tmp_path, monkeypatch):
+    """Events that come again in a later micro-batch, and a batch that is repeated whole, are stored once."""
+    from tidemark.streaming import bronze, stored_ids
+
+    tables, topics = Tables(spark, f"{tmp_path}/t"), TopicLog(spark, f"{tmp_path}/topics")
+    tables.ensure()
+    topics.ensure(["a"])
+    seen, real = [], stored_ids.StoredIds.may_hold
+
+    def noted(self, ids, but_batch=None):
+        seen.append(real(self, ids, but_batch))
+        return seen[-1]
+
+    monkeypatch.setattr(stored_ids.StoredIds, "may_hold", noted)
+    for lo, hi in ((0, 3), (3, 6), (1, 2), (6, 9)):
+        topics.append("a", valid(spark, lo, hi), ["key"])
+        bronze.run_bronze(tables, topics, ["a"], f"{tmp_path}/ck")
+    assert seen == [[], [], ["batch=0"], []]
+    assert tables.read("bronze_change_events").count() == 9 == tables.read("bronze_change_events").select("event_id").distinct().count()

@@ -68,7 +68,7 @@ class Files:
         try:
             self._rename(p, q, "NONE")
         except Py4JJavaError as e:
-            if "AlreadyExists" in e.java_exception.getClass().getName():
+            if "AlreadyExists" in e.java_exception.getClass().getName() or fs.exists(q):  # a folder that came between the check and the move
                 return False
             raise
         return True

@@ -32,18 +32,18 @@ class AlertStore:
         """Stores a batch and returns how many alerts are new. Of repeats within the batch, one counts."""
         now = datetime.now(UTC).isoformat()
         once = alerts.dropDuplicates(["alert_id"])
-        have = [c for c in once.columns if c not in ANALYST]
-        rows = once.select(*have, F.lit("OPEN").alias("status"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("decided_at"), F.lit(now).alias("received_at"))
+        given = [c for c in once.columns if c not in ANALYST]
+        rows = once.select(*given, F.lit("OPEN").alias("status"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("decided_at"), F.lit(now).alias("received_at"))
         with self._lock:
-            old = self.tables.lookup(self.table, rows, ["alert_id"])
-            new = rows.join(old.select("alert_id"), "alert_id", "left_anti").count()
-            keep = [c for c in old.columns if c not in ("alert_id", "evidence_keys")]
+            have = lambda: self.tables.lookup(self.table, rows, ["alert_id"]).select("alert_id")
+            new = self.tables.stable(self.table, lambda: rows.join(have(), "alert_id", "left_anti").count())
+            keep = [c for c in rows.columns if c not in ("alert_id", "evidence_keys")]
             self.tables.upsert(self.table, rows, ["alert_id"], keep)
         return new
 
     def get(self, alert_id: str) -> dict[str, Any] | None:
-        near = self.tables.lookup(self.table, self._id(alert_id), ["alert_id"])  # the bucket it is in
-        rows = near.where(F.col("alert_id") == alert_id).take(1)
+        near = lambda: self.tables.lookup(self.table, self._id(alert_id), ["alert_id"])  # noqa: E731  the bucket it is in
+        rows = self.tables.stable(self.table, lambda: near().where(F.col("alert_id") == alert_id).take(1))
         return rows[0].asDict() if rows else None
 
     def _id(self, alert_id: str) -> DataFrame:
