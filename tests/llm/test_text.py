@@ -629,3 +629,70 @@ def test_planted_values_are_gone(spark):
     assert sum(map(len, was.values())) > 50
     assert not any(v in got[d] for d, vs in was.items() for v in vs)
     assert all(got[r["doc_id"]] == r["text"] for r in df.collect() if not re.search(r"\d|@", r["text"]))
+
+
+def test_digits_of_other_scripts_are_left_alone():
+    p = pii_feistel.Pseudonyms(b"k")
+    for text in ("+1 (２１２) 555-1234", "+1 ٢١٢ 555 1234", "４４４-12-3456", "1985-03-１２", "192.168.1.１"):
+        assert p.rewrite(text)[0] == text
+    made, found = p.rewrite("call +1 (212) 555-1234 or ２１２")
+    assert len(found) == 1 and made.endswith(" or ２１２") and p.restore(made) == "call +1 (212) 555-1234 or ２１２"
+
+
+def test_windows_of_a_long_text_count_what_the_whole_does(monkeypatch):
+    r = random.Random(9)
+    for size, letters in ((7, "abé日 .\n"), (50, "xy1 "), (64, "é"), (31, "a")):
+        text = "".join(r.choice(letters) for _ in range(400))
+        whole = dict(_grams(langid_hd.gram_counts(pa.array([text]))))
+        monkeypatch.setattr(langid_hd, "STEP_BYTES", size)
+        parts = list(langid_hd.windows(pa.array([text])))
+        total = collections.Counter()
+        for window in parts:
+            total.update(dict(_grams(langid_hd.gram_counts(*window))))
+        monkeypatch.undo()
+        assert len(parts) >= 400 // size and dict(total) == whole
+        assert [w for w in langid_hd.windows(pa.array([text, text]))][0][1:] == (False, False)
+
+
+def _grams(counts):
+    table, _, gram, number = counts
+    return [(tuple(table[g].tolist()), int(n)) for g, n in zip(gram, number)]
+
+
+def test_a_long_text_takes_the_memory_of_a_window():
+    import resource
+    import subprocess
+    import sys
+
+    code = """
+import numpy as np, pyarrow as pa, resource
+from tidemark.llm import langid_hd
+text = pa.array(["le chat dort sur la table. " * (1 << 20)])
+langid_hd.letter_table()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+p = np.ones((2, langid_hd.DIMENSIONS)) / np.sqrt(langid_hd.DIMENSIONS)
+langid_hd.predict_rows(text, ["a", "b"], p)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    assert resource and int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 200
+
+
+def test_other_vocabularies_are_refused(tmp_path):
+    import json
+
+    with open(queries.vocabulary("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    token_fst.check(spec, "as it is")
+    changes = [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"model": spec["model"] | {"ignore_merges": True}}, {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}, {"model": spec["model"] | {"type": "WordPiece"}}]
+    for change in changes:
+        with pytest.raises(ValueError, match="plain byte-level BPE"):
+            token_fst.check(spec | change, "changed")
+
+
+def test_a_third_of_equal_rows_is_laid_out_over_tasks(spark, docs):
+    rows = docs([(None, "a b c", None, "web")] * 400 + [(i, "x " * (i % 9), None, "web") for i in range(800)])
+    found = mixing.mix(rows)
+    assert found.count() == 1200
+    ours = found.where("doc_id is null").agg(F.count("*"), F.sum("copies"), F.sum("size")).first()
+    ratio = found.agg(F.sum("taken") / F.sum("size")).first()[0]
+    assert ours[0] == 400 and abs(ours[1] - ratio * 400) <= 2

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bit_filter, dropped, lean, narrow, steps, written
+from tidemark.llm.common import bit_filter, dropped, lean, narrow, ship, steps, written
 from tidemark.llm.scan import LOWER, STREAMS, U64, mix, raw
 
 SHARD_BYTES = 4 << 20
@@ -85,6 +85,7 @@ def _invert(limit: int):
 
 def inverted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, words, counts, places: the inverted file of each shard; places has the words' lists one after the other."""
+    ship(docs.sparkSession)
     slim = narrow(docs, text=text_col, lang=lang_col)
     return slim.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")).where("text is not null").mapInArrow(_invert(SHARD_BYTES), LISTS)
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import vectors
-from tidemark.llm.common import lean, narrow, written
+from tidemark.llm.common import lean, narrow, ship, written
 from tidemark.llm.topk_taat import LIMITS, integers
 
 SUB, CODES, SAMPLE_ROWS, ROUNDS = 4, 256, 8192, 8
@@ -252,6 +252,7 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = 5, nega
     For each anchor (a row of `anchors`, which are rows of the table) and each of its `positives` best rows of the same label the `negatives` best
     rows of other labels that satisfy low * positive_score <= 100 * negative_score <= high * positive_score.
     """
+    ship(rows.sparkSession)
     table, book = quantised(usable(rows, id_col, vec_col, label_col), scale)
     chosen = usable(anchors, id_col, vec_col, label_col).select("id", "tag").distinct()
     own = written(table.join(chosen, ["id", "tag"]).dropDuplicates(["id", "tag"]), "anchors").select("id", "label", "tag", "vec", "codes", "norms")

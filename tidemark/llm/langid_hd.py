@@ -8,6 +8,9 @@ language whose prototype has the largest cosine with its own bundle, and that co
 Training reads every labelled text of the training part, bundles within each task, and adds up DIMENSIONS numbers for
 each language and task; prediction needs the prototypes alone. Only the letters of a text are looked at.
 
+Texts are counted 256 KB at a time. A longer one is cut into windows of that size with a character of the next ones on either side, which is not
+counted there, so its counts are those of the whole and its memory is that of a window.
+
 Nulls, ties, repeats: a null text, or one without a letter, is `und` with score 0, and so is every text if nothing could be
 learned; ties go to the language whose name sorts first; rows without a language are not trained on, nor rows without
 an id (their part is unknown; held_out is false); every row is predicted on its own, repeated ids included; an empty table
@@ -69,8 +72,25 @@ def gram_vectors(grams: np.ndarray) -> np.ndarray:
     return out.astype(np.float32)
 
 
-def gram_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams (rows of code points); text, n-gram and number of each pair that occurs."""
+def windows(column: pa.Array):
+    """A column of texts as it is, or, if it is one text beyond the step, its windows; with whether a window's first and last
+    character belong to its neighbours."""
+    data, _ = scan.raw(column)
+    if len(column) != 1 or len(data) <= STEP_BYTES:
+        yield column, False, False
+        return
+    lead = lambda at, step: at if not 0 < at < len(data) or data[at] & 0xC0 != 0x80 else lead(at + step, step)
+    start = 0
+    while start < len(data):
+        end = lead(min(start + STEP_BYTES, len(data)), 1)
+        lo, hi = lead(max(start - 1, 0), -1), lead(min(end + 1, len(data)), 1)
+        yield pa.array([data[lo:hi].tobytes().decode()], pa.string()), start > 0, end < len(data)
+        start = end
+
+
+def gram_counts(column: pa.Array, first_apart: bool = False, last_apart: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams (rows of code points); text, n-gram and number of each pair that occurs. Those around the first and last character are left
+    out if asked."""
     data, offsets = scan.raw(column)
     lead, cp = scan.code_points(data)
     letters = letter_table()[cp]
@@ -94,6 +114,7 @@ def gram_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     middle = padded[GRAM // 2 : GRAM // 2 + width] != 0  # a gram is read around a letter
     owners = owner[GRAM // 2 : GRAM // 2 + width]
     at = np.flatnonzero(middle & (owners >= 0))
+    at = at[(at + GRAM // 2 > first_apart) & (at + GRAM // 2 < len(padded) - 1 - last_apart)]
     codes, small = np.unique(padded, return_inverse=True)
     n = len(codes)
     key = np.zeros(len(at), dtype=np.int64)
@@ -140,15 +161,16 @@ def _train(batches):
     total: dict[str, np.ndarray] = {}
     for whole in batches:
         for b in steps(whole, limit=STEP_BYTES):
-            table, text, gram, number = gram_counts(b.column("text"))
             codes = b.column("lang").dictionary_encode()
             lang = codes.indices.to_numpy(zero_copy_only=False)
             names = codes.dictionary.to_pylist()
-            pair, at = np.unique(lang[text] * max(len(table), 1) + gram, return_inverse=True) if len(text) else (np.zeros(0, np.int64), text)
-            sums = np.bincount(at, weights=number, minlength=len(pair))
-            made = bundles(len(names), table, pair // max(len(table), 1), pair % max(len(table), 1), sums)
-            for name, row in zip(names, made):
-                total[name] = total[name] + row if name in total else row
+            for window in windows(b.column("text")):
+                table, text, gram, number = gram_counts(*window)
+                pair, at = np.unique(lang[text] * max(len(table), 1) + gram, return_inverse=True) if len(text) else (np.zeros(0, np.int64), text)
+                sums = np.bincount(at, weights=number, minlength=len(pair))
+                made = bundles(len(names), table, pair // max(len(table), 1), pair % max(len(table), 1), sums)
+                for name, row in zip(names, made):
+                    total[name] = total[name] + row if name in total else row
     names = list(total)
     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([total[n].tolist() for n in names], pa.list_(pa.float64()))], names=["lang", "bundle"])
 
@@ -167,11 +189,12 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> di
 def predict_rows(column: pa.Array, names: list[str], prototypes: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and score of each text. prototypes: a unit row for each name."""
     rows = len(column)
-    counts = gram_counts(column)
-    made = bundles(rows, *counts)
+    made, lettered = np.zeros((rows, DIMENSIONS)), np.zeros(rows, dtype=bool)
+    for window in windows(column):
+        counts = gram_counts(*window)
+        made += bundles(rows, *counts)
+        lettered[counts[1]] = True
     norm = np.sqrt((made * made).sum(axis=1))
-    lettered = np.zeros(rows, dtype=bool)
-    lettered[counts[1]] = True
     if not names:
         return ["und"] * rows, np.zeros(rows)
     cosine = (made @ prototypes.T) / np.maximum(norm, 1e-300)[:, None]

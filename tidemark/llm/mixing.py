@@ -7,7 +7,7 @@ random offset is added, and a document is emitted once for each integer boundary
 makes the words taken come near the target even where a few documents hold many of them.
 
 Prefix sums need a rank within the source, and a source may hold a third of all rows: documents are range-partitioned by
-(source, size, id), numbered within their partition, and shifted by the counts of earlier partitions, a table with one row
+(source, size, id, number of the row), numbered within their partition, and shifted by the counts of earlier partitions, a table with one row
 for each source and partition. The only work in a single task is on the table of sources.
 
 Nulls, ties, repeats: a null text has size 0; a null source is a source, after all others; every row is a document of its
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lean, packed, unpacked, written
+from tidemark.llm.common import lean, packed, ship, unpacked, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -85,11 +85,14 @@ def _local_ranks(batches):
 def mix(docs: DataFrame, key_cols: tuple[str, ...] = ("doc_id",), source_col: str = "source", text_col: str = "text", weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = 7) -> DataFrame:
     """key columns, source, size, source_size, target, copies, taken for every row (copies may be 0)."""
     spark = docs.sparkSession
+    ship(spark)
     keys = [f"k{i}" for i in range(len(key_cols))]
     base = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(key_cols, keys)], F.col(f"`{source_col}`").alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"))
-    base = written(base, "mix-sizes")  # words are counted once; the range partitioning reads its input twice
+    # words are counted once; the range partitioning reads its input twice. Rows that are equal in all else are told apart by a number that is
+    # written down with them, so that a third of all rows can't fall to one task
+    base = written(base.withColumn("nth", F.monotonically_increasing_id()), "mix-sizes")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("source").asc_nulls_last(), "size", *[F.col(k).asc_nulls_last() for k in keys]]
+    order = [F.col("source").asc_nulls_last(), "size", *[F.col(k).asc_nulls_last() for k in keys], "nth"]
     laid = base.repartitionByRange(n, *order).sortWithinPartitions(*order)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema) + ", part int, local_rank long"
     ranked = written(laid.mapInArrow(_local_ranks, schema), "mix-ranks")

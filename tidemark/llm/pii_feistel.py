@@ -36,7 +36,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import STEP_BYTES, narrow, steps
+from tidemark.llm.common import STEP_BYTES, narrow, ship, steps
 
 ROUNDS = 10
 KINDS = ("card", "phone", "ssn", "iban", "ip", "date", "email")
@@ -150,20 +150,21 @@ def _padded(value: int, like: str) -> str:
     return str(value).zfill(len(like))
 
 
+#: Digits are ASCII ones: those of other scripts have no place in the formats, and would come back as ASCII.
 NUMBER = re.compile(
     r"""(?<![\w.+-])(?:
-      (?P<ymd>(?:19|20)\d\d([-/])\d\d?\2\d\d?(?:(?=T\d)|(?![\w/-])))
-    | (?P<dmy>\d\d?([./])\d\d?\4(?:19|20)\d\d(?![\w/]))
-    | (?P<ssn>\d{3}-\d\d-\d{4}(?![\w-]))
-    | (?P<card>(?:\d{13,19}|\d{4}([ -])\d{4}\7\d{4}\7\d{4}|\d{4}([ -])\d{6}\8\d{5})(?![\d-]))
-    | (?P<nanp>(?:(?:\+?1[ .-]?)?\(\d{3}\)[ ]?\d{3}|\+1[ .-]?\d{3}[ .-]\d{3}|(?:1[ .-]?)?[2-9]\d\d[ .-][2-9]\d\d)[ .-]\d{4}(?!\d))
-    | (?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))
-    | (?P<iban>[A-Z]{2}\d\d(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-    )|(?<!\w)(?P<plus>\+1(?:[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|(?:[ .-]?\d){10})(?!\d))
-    |(?<![\w+])(?P<intl>\+(?!\d{1,3}[ -](?:\d{4}[ -]){3}\d{4}(?!\d))  # no card after a sign
-      (?:[1-9](?:[ .-]?\d){6}
-        (?:(?:[ ](?!\d{4}[/-]\d\d?[/-]\d|\d\d?[./]\d\d?[./]\d{4}(?!\d)|\d{3}-\d\d-\d{4}(?!\d)|\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))|[.-])?\d){0,8}  # up to a value of another kind
-      |0\d{0,2}(?:[ .-]\d{2,4}){2,4})(?!\d))""",
+      (?P<ymd>(?:19|20)[0-9][0-9]([-/])[0-9][0-9]?\2[0-9][0-9]?(?:(?=T[0-9])|(?![\w/-])))
+    | (?P<dmy>[0-9][0-9]?([./])[0-9][0-9]?\4(?:19|20)[0-9][0-9](?![\w/]))
+    | (?P<ssn>[0-9]{3}-[0-9][0-9]-[0-9]{4}(?![\w-]))
+    | (?P<card>(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\7[0-9]{4}\7[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\8[0-9]{5})(?![\d-]))
+    | (?P<nanp>(?:(?:\+?1[ .-]?)?\([0-9]{3}\)[ ]?[0-9]{3}|\+1[ .-]?[0-9]{3}[ .-][0-9]{3}|(?:1[ .-]?)?[2-9][0-9][0-9][ .-][2-9][0-9][0-9])[ .-][0-9]{4}(?!\d))
+    | (?P<ip>[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9]))
+    | (?P<iban>[A-Z]{2}[0-9][0-9](?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
+    )|(?<!\w)(?P<plus>\+1(?:[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:[ .-]?[0-9]){10})(?!\d))
+    |(?<![\w+])(?P<intl>\+(?![0-9]{1,3}[ -](?:[0-9]{4}[ -]){3}[0-9]{4}(?!\d))  # no card after a sign
+      (?:[1-9](?:[ .-]?[0-9]){6}
+        (?:(?:[ ](?![0-9]{4}[/-][0-9][0-9]?[/-][0-9]|[0-9][0-9]?[./][0-9][0-9]?[./][0-9]{4}(?!\d)|[0-9]{3}-[0-9][0-9]-[0-9]{4}(?!\d)|[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))|[.-])?[0-9]){0,8}  # up to a value of another kind
+      |0[0-9]{0,2}(?:[ .-][0-9]{2,4}){2,4})(?!\d))""",
     re.X,
 )
 #: Country codes: one or two digits where those are given out, three elsewhere.
@@ -333,6 +334,7 @@ def _rewrite(key: bytes, names: list[str], text_col: str, counts: bool):
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text with pseudonyms, and how many of each kind were replaced."""
+    ship(docs.sparkSession)
     slim = narrow(docs, doc_id=id_col, text=text_col)
     kind = slim.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text string, " + ", ".join(f"n_{k} long" for k in KINDS)
@@ -341,4 +343,5 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
 
 def pseudonymise_table(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """docs with pseudonyms in the text column; all rows and other columns stay."""
+    ship(docs.sparkSession)
     return docs.mapInArrow(_rewrite(key, docs.columns, text_col, False), docs.schema)

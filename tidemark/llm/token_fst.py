@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm import scan
 from tidemark.llm.bpe_codec import byte_characters
-from tidemark.llm.common import narrow, steps
+from tidemark.llm.common import narrow, ship, steps
 
 MAX_STATES = 1 << 18
 CHUNK = 256
@@ -220,12 +220,25 @@ class Transducer:
         return known[order] >> 32, known[order] & 0xFFFFFFFF, leave[order], count[order]
 
 
+def check(spec: dict, path: str) -> None:
+    """Refuses a file that asks for more than byte-level BPE with the built-in split: its counts would be wrong without a word."""
+    pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    odd = [f"model.{k}" for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+    odd += [] if model.get("type", "BPE") == "BPE" else ["model.type"]
+    odd += ["normalizer"] if spec.get("normalizer") else []
+    odd += [] if pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True) else ["pre_tokenizer"]
+    odd += [f"added token {t['content']!r}" for t in spec["added_tokens"] if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if odd:
+        raise ValueError(f"{path} isn't a plain byte-level BPE: {', '.join(odd)}")
+
+
 class Counter:
     """Token counts of texts by the vocabulary file of a byte-level BPE tokenizer (JSON)."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check(spec, path)
         back = {c: b for b, c in enumerate(byte_characters())}
         raw = lambda t: bytes(back[c] for c in t)
         self.added = sorted((t["content"].encode() for t in spec["added_tokens"]), key=len, reverse=True)
@@ -334,6 +347,7 @@ def _count(path: str, limit: int):
 
 def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row."""
+    ship(docs.sparkSession)
     slim = narrow(docs, doc_id=id_col, text=text_col)
     kind = slim.schema["doc_id"].dataType.simpleString()
     return slim.mapInArrow(_count(path, limit), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import cells, vectors
 from tidemark.llm.cells import distances, rescaled
-from tidemark.llm.common import written
+from tidemark.llm.common import ship, written
 
 LEAF = 64
 FACTOR = 1.2
@@ -165,6 +165,7 @@ def _search(k: int, factor: float):
 
 def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, factor: float = FACTOR, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score (cosine): the k nearest found for each query among candidates other than its own id."""
+    ship(candidates.sparkSession)
     some = F.exists("vec", lambda x: x != 0)
     rows, asked = vectors.usable(candidates, id_col, vec_col).where(some), vectors.usable(queries, id_col, vec_col).where(some)
     run = vectors.searcher(*_search(k, factor), pa.float64())

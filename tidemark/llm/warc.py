@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bit_filter, dropped, narrow, new_path, written
+from tidemark.llm.common import bit_filter, dropped, narrow, new_path, ship, written
 
 #: An archive is closed once it holds so many bytes.
 ARCHIVE_BYTES = 32 << 20
@@ -251,6 +251,7 @@ def _write_first(folder: str, limit: int, store, again, responses):
 def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, store=open_store) -> DataFrame:
     """Writes the archives and returns their manifest: path, bytes, records. store: from a URI to (pyarrow file system, path)."""
     spark = pages.sparkSession
+    ship(spark)
     folder = folder or new_path(spark, "warc")
     store(folder)  # fails here rather than in a task
     slim = narrow(pages, page_id=id_col, url=url_col, html=html_col).withColumn("page_id", F.col("page_id").cast("long"))
@@ -356,6 +357,7 @@ def _reader(check: bool, store):
 
 def read_archives(manifest: DataFrame, check: bool = True, store=open_store) -> DataFrame:
     """Every record of the archives in a manifest; payloads of responses are checked against their digests."""
+    ship(manifest.sparkSession)
     paths = manifest.select("path")
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return paths.repartition(n).mapInArrow(_reader(check, store), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string")
