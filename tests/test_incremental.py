@@ -60,7 +60,9 @@ def raw(spark, rows):
     return spark.createDataFrame(out, RAW)
 
 
-def test_batches_leave_what_whole_runs_leave(spark, tmp_path):
+@pytest.mark.parametrize("by_slabs, images", [(False, True), (True, True), (True, False)])
+def test_batches_leave_what_whole_runs_leave(spark, tmp_path, by_slabs, images):
+    """images: whether changes have the image before, which a polled source doesn't give; by slabs, they need none."""
     r, iso = random.Random(5), lambda s: (T0 + timedelta(seconds=s)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
     card = lambda i: {"tx_id": i, "account_id": r.randrange(3), "country": r.choice(["PT", "ES"]), "tx_ts": iso(r.randrange(40_000))}
     send = lambda i: {"transfer_id": f"t{i}", "debtor_iban": f"X{r.randrange(3)}", "amount": r.choice([9500.0, 9100.0, 50.0]), "booking_ts": iso(r.randrange(900_000))}
@@ -74,8 +76,11 @@ def test_batches_leave_what_whole_runs_leave(spark, tmp_path):
     for i, rows in enumerate((first, second, third)):
         for t in (by_batch, whole):
             t.ensure()
-            t.append("bronze_change_events", raw(spark, rows), batch=i)
-            run_silver(t, ENTITIES, f"{tmp_path}/ck-{t.root[-5:]}", pipeline.gold_after(t, ENTITIES) if t is by_batch else None)
+            events = raw(spark, rows)
+            t.append("bronze_change_events", events if images else events.withColumn("before_json", F.when(F.col("op") == "d", F.col("before_json"))), batch=i)
+            gold = pipeline.GoldBySlabs(t, ENTITIES, 4) if by_slabs else None
+            hooks = {} if t is whole else {"before": gold.before, "after": gold.after} if by_slabs else {"after": pipeline.gold_after(t, ENTITIES)}
+            run_silver(t, ENTITIES, f"{tmp_path}/ck-{t.root[-5:]}", **hooks)
         pipeline.run_gold(whole, *[view(whole, e) for e in ENTITIES])
         a, b = (alerts(t.read("gold_fraud_alerts")) for t in (by_batch, whole))
         assert a == b
@@ -91,3 +96,35 @@ def test_a_change_of_an_account_that_keeps_its_iban_touches_nothing(spark):
     assert t["cards"].count() == t["transfers"].count() == 0
     new = pipeline.touched_moments(batch.withColumn("before_json", F.lit(None).cast("string")), {e.source_table: e for e in ENTITIES}, transfers, accounts)
     assert [tuple(x) for x in new["transfers"].collect()] == [(0, T0)]
+
+
+def test_slabs_choose_what_is_read(spark, tmp_path):
+    """Moved, deleted and new rows lie where they are now; a batch that is given again changes nothing and still knows where rows were."""
+    from tidemark.streaming import slabs
+    from tidemark.streaming.silver import apply_batch
+
+    t, e = Tables(spark, str(tmp_path), buckets=32), ENTITIES[0]
+    index = slabs.Slabs(e, "account_id", "tx_ts", 3600, 2)
+    iso = lambda h: (T0 + timedelta(hours=h)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+    card = lambda i, h, who: {"tx_id": i, "account_id": who, "country": "PT", "tx_ts": iso(h)}
+    first = raw(spark, [(0, "c", 1, None, card(i, i, i % 3)) for i in range(60)])
+    index.merge(t, slabs.noted(t, first, e, 0))
+    apply_batch(t, first, e)
+    moves = {3: 40, 4: 4, 59: 0}
+    second = raw(spark, [(0, "u", 2, None, card(i, h, 2)) for i, h in moves.items()] + [(0, "c", 2, None, card(99, 7, 1)), (0, "c", 2, None, card(98, 7, None))])
+    for stored in (False, True, True):  # it fails before the state is stored, then behind
+        changed = slabs.noted(t, second, e, 1)
+        index.merge(t, changed)
+        if stored:
+            apply_batch(t, second, e)
+        places = {(r["account_id"], r["tx_ts"]) for r in slabs.images(changed, "account_id", "tx_ts").collect()}
+        assert {(i % 3, T0 + timedelta(hours=i)) for i in moves} | {(2, T0 + timedelta(hours=h)) for h in moves.values()} <= places
+    now = {i: (moves.get(i, i), 2 if i in moves else i % 3) for i in range(60)} | {99: (7, 1)}
+    lie = {r["tx_id"]: (r["__slab"] - int(T0.timestamp()) // 3600, r["account_id"]) for r in t.read(index.name).collect()}
+    assert lie == now
+    moments = spark.createDataFrame([(2, T0 + timedelta(hours=40)), (None, T0), (1, None)], "owner INT, ts TIMESTAMP")
+    got = index.around(t, moments, 3600)
+    assert {r["tx_id"] for r in got.collect()} == {i for i, (h, who) in now.items() if who == 2 and 39 <= h <= 41}
+    assert len(got.inputFiles()) <= 3 < len(t.read(index.name).inputFiles())
+    assert {r["tx_id"] for r in index.of_owners(t, spark.createDataFrame([(1,)], "account_id INT")).collect()} == {i for i, (_, who) in now.items() if who == 1}
+    assert "_first_commit_ts" in got.columns and "__slab" not in got.columns

@@ -19,6 +19,8 @@ from tidemark.functions.identity import alert_id
 
 #: Slab length in units of the rule's window.
 SLAB = 64
+# Seconds that the bank's rules look at.
+VELOCITY_S, TRAVEL_S, STRUCTURING_S = 600, 3600, 86_400
 
 
 def seconds(ts: Column) -> Column:
@@ -47,6 +49,16 @@ def _reached(dealt: DataFrame, touched: DataFrame | None, window_s: int, back: i
     return dealt.join(around, (F.col("account_id") == F.col("__who")) & (F.col("__slab") == F.col("__at"))).drop("__who", "__at")
 
 
+def reach_of_bursts(window_s: int) -> int:
+    """Seconds around a touched moment beyond which `bursts` looks at no row."""
+    return (3 * SLAB + 2) * window_s
+
+
+def reach_of_changes(max_gap_s: int) -> int:
+    """The same of `changes_of`."""
+    return (2 * SLAB + 2) * max_gap_s
+
+
 def bursts(events: DataFrame, key: str, item: str, ts: str, min_count: int, window_s: int, rule: str, commit: str | None = None, touched: DataFrame | None = None) -> DataFrame:
     """One row for each burst: at least min_count events of a key within window_s seconds (both ends included).
 
@@ -103,12 +115,12 @@ def as_alerts(found: DataFrame, created_at: Column | None = None) -> DataFrame:
     return out.select("alert_id", "rule", F.col("account_id").cast("int").alias("account_id"), "evidence_keys", "first_evidence_ts", "last_source_commit_ts", "alert_created_at", latency.alias("latency_seconds"), F.lit(None).cast("timestamp").alias("published_at"))
 
 
-def card_velocity(cards: DataFrame, min_count: int = 5, window_s: int = 600, touched: DataFrame | None = None) -> DataFrame:
+def card_velocity(cards: DataFrame, min_count: int = 5, window_s: int = VELOCITY_S, touched: DataFrame | None = None) -> DataFrame:
     """Deleted transactions count: an expired authorisation was an attempt."""
     return bursts(cards, "account_id", "tx_id", "tx_ts", min_count, window_s, "card_velocity", "_first_commit_ts", touched)
 
 
-def impossible_travel(cards: DataFrame, max_gap_s: int = 3600, touched: DataFrame | None = None) -> DataFrame:
+def impossible_travel(cards: DataFrame, max_gap_s: int = TRAVEL_S, touched: DataFrame | None = None) -> DataFrame:
     return changes_of(cards, "account_id", "tx_id", "tx_ts", "country", max_gap_s, "impossible_travel", "_first_commit_ts", touched)
 
 
@@ -117,7 +129,7 @@ def owned(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
     return transfers.join(accounts.select("iban", "account_id"), transfers["debtor_iban"] == accounts["iban"]).select(*[transfers[c] for c in transfers.columns], "account_id")
 
 
-def structuring(transfers: DataFrame, accounts: DataFrame, low: int = 9000, high: int = 10000, min_count: int = 3, window_s: int = 86_400, touched: DataFrame | None = None) -> DataFrame:
+def structuring(transfers: DataFrame, accounts: DataFrame, low: int = 9000, high: int = 10000, min_count: int = 3, window_s: int = STRUCTURING_S, touched: DataFrame | None = None) -> DataFrame:
     """Live outgoing transfers within the band."""
     live = in_band(transfers.where("not _is_deleted"), "amount", low, high)
     return bursts(owned(live, accounts), "account_id", "transfer_id", "booking_ts", min_count, window_s, "structuring", "_first_commit_ts", touched)

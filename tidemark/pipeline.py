@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import outbox, quality, rules
 from tidemark.sources.base import REJECT, Source, event_json
+from tidemark.streaming import slabs
 from tidemark.streaming.silver import Entity, view
 from tidemark.streaming.topic_log import TopicLog, message
 from tidemark.tables import Tables
@@ -116,17 +117,65 @@ def gold_after(tables: Tables, entities: list[Entity]) -> Callable[[DataFrame],
 
     def after(batch: DataFrame) -> None:
         cards, transfers, accounts = (view(tables, by[t]) for t in (CARDS, TRANSFERS, ACCOUNTS))
-        run_gold(tables, cards, transfers, accounts, touched_moments(batch, by, transfers, accounts))
+        store_alerts(tables, found_alerts(cards, transfers, accounts, touched_moments(batch, by, transfers, accounts)))
 
     return after
 
 
-def run_gold(tables: Tables, cards: DataFrame, transfers: DataFrame, accounts: DataFrame, touched: dict[str, DataFrame] | None = None) -> int:
-    """All rules over the latest state, or over what touched moments of `cards` and `transfers` reach; known alerts get new
-    evidence, new ones are added, and only buckets with such alerts are written. Returns how many there are."""
+class GoldBySlabs:
+    """For run_silver, as `before` and `after`: alerts that a batch can change, made anew from the slabs around what it changed.
+
+    Run from the first batch on, it keeps what run_gold finds over all history at the end of each batch, as gold_after does; but cards and
+    transfers are read by slab, and where a row was comes from the state, so sources need no image before. Accounts, of which there
+    are far fewer, are read whole, and so are transfers when an account's IBAN changes.
+    """
+
+    def __init__(self, tables: Tables, entities: list[Entity], parts: int = slabs.PARTS):
+        self.tables, self.by = tables, {e.source_table: e for e in entities}
+        self.cards = slabs.Slabs(self.by[CARDS], "account_id", "tx_ts", rules.SLAB * rules.TRAVEL_S, parts)
+        self.transfers = slabs.Slabs(self.by[TRANSFERS], "debtor_iban", "booking_ts", rules.SLAB * rules.STRUCTURING_S, parts)
+        self.changed: dict[str, DataFrame] = {}
+
+    def before(self, batch: DataFrame, number: int) -> None:
+        self.changed = {t: slabs.noted(self.tables, batch, self.by[t], number) for t in (CARDS, TRANSFERS, ACCOUNTS)}
+        self.cards.merge(self.tables, self.changed[CARDS])
+        self.transfers.merge(self.tables, self.changed[TRANSFERS])
+
+    def touched(self) -> dict[str, DataFrame]:
+        """Per rule input the (account_id, ts) whose alerts the last batch can change."""
+        accounts = view(self.tables, self.by[ACCOUNTS])
+        cards = slabs.images(self.changed[CARDS], "account_id", "tx_ts").withColumnRenamed("tx_ts", "ts")
+        named = slabs.images(self.changed[TRANSFERS], "debtor_iban", "booking_ts").withColumnRenamed("booking_ts", "ts")
+        both = rules.owned(named, accounts)
+        moved = slabs.images(self.changed[ACCOUNTS].where("not (was.iban <=> now.iban)"), "iban", "account_id").where("iban is not null").distinct()
+        if self.tables.exists(self.transfers.name) and not moved.isEmpty():
+            theirs = self.transfers.of_owners(self.tables, moved.select(F.col("iban").alias("debtor_iban")))
+            both = both.unionByName(rules.owned(theirs.select("debtor_iban", F.col("booking_ts").alias("ts")), moved))
+        return {"cards": cards, "transfers": both.select("account_id", "ts")}
+
+    def after(self, batch: DataFrame) -> None:
+        t = {k: df.distinct().persist() for k, df in self.touched().items()}
+        try:
+            accounts = view(self.tables, self.by[ACCOUNTS])
+            some = lambda s, moments, reach: s.around(self.tables, moments, reach) if self.tables.exists(s.name) else view(self.tables, s.entity)
+            cards = some(self.cards, t["cards"].withColumnRenamed("account_id", "owner"), max(rules.reach_of_bursts(rules.VELOCITY_S), rules.reach_of_changes(rules.TRAVEL_S)))
+            owners = t["transfers"].join(accounts.select("account_id", F.col("iban").alias("owner")), "account_id").select("owner", "ts")
+            transfers = some(self.transfers, owners, rules.reach_of_bursts(rules.STRUCTURING_S))
+            store_alerts(self.tables, found_alerts(cards, transfers, accounts, t))
+        finally:
+            for df in t.values():
+                df.unpersist()
+
+
+def found_alerts(cards: DataFrame, transfers: DataFrame, accounts: DataFrame, touched: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Alerts of all rules over these rows, or over what touched moments of `cards` and `transfers` reach."""
     t = touched or {}
     velocity, travel = rules.card_velocity(cards, touched=t.get("cards")), rules.impossible_travel(cards, touched=t.get("cards"))
-    found = rules.as_alerts(rules.union_rules(velocity, travel, rules.structuring(transfers, accounts, touched=t.get("transfers"))))
+    return rules.as_alerts(rules.union_rules(velocity, travel, rules.structuring(transfers, accounts, touched=t.get("transfers"))))
+
+
+def store_alerts(tables: Tables, found: DataFrame) -> None:
+    """Known alerts get new evidence, new ones are added; only buckets with such alerts are written."""
     keep = [c for c in found.columns if c not in ("alert_id", "evidence_keys")]
     have = tables.read("gold_fraud_alerts").select("alert_id", "evidence_keys")
     news = found.dropDuplicates(["alert_id"]).join(have, ["alert_id", "evidence_keys"], "left_anti").select(*found.columns).persist()
@@ -134,6 +183,12 @@ def run_gold(tables: Tables, cards: DataFrame, transfers: DataFrame, accounts: D
         tables.upsert("gold_fraud_alerts", news, ["alert_id"], keep)
     finally:
         news.unpersist()
+
+
+def run_gold(tables: Tables, cards: DataFrame, transfers: DataFrame, accounts: DataFrame, touched: dict[str, DataFrame] | None = None) -> int:
+    """All rules over the latest state, or over what touched moments of `cards` and `transfers` reach; known alerts get new
+    evidence, new ones are added, and only buckets with such alerts are written. Returns how many there are."""
+    store_alerts(tables, found_alerts(cards, transfers, accounts, touched))
     return tables.read("gold_fraud_alerts").count()
 
 
