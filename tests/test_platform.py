@@ -449,3 +449,35 @@ def test_bronze_opens_what_it_must(spark, tmp_path, monkeypatch):
         bronze.run_bronze(tables, topics, ["a"], f"{tmp_path}/ck")
     assert seen == [[], [], ["batch=0"], []]
     assert tables.read("bronze_change_events").count() == 9 == tables.read("bronze_change_events").select("event_id").distinct().count()
+
+
+def test_lineage_reads_the_batches_that_hold_its_keys(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import quality
+    from tidemark.streaming.postings import Postings
+
+    t = Tables(spark, str(tmp_path))
+    sources = {"r": ("cards", "tx_id"), "s": ("sends", "id")}
+    postings = Postings(t, set(sources.values()))
+    raw = lambda lo, hi, table, key: spark.range(lo, hi).select(F.concat(F.lit(table), F.col("id")).alias("event_id"), F.lit("c").alias("op"), F.lit(table).alias("source_table"), F.to_json(F.struct(F.col("id").alias(key))).alias("key_json"))
+    for b in range(6):
+        t.append("bronze_change_events", raw(10 * b, 10 * b + 10, "cards", "tx_id").unionByName(raw(0, 3, "sends", "id") if b == 2 else raw(0, 1, "accounts", "tx_id")), batch=b)
+        postings.add(b)
+    alerts = spark.createDataFrame([("a", "r", ["3", "4", "41"]), ("b", "s", ["1"]), ("c", "other", ["30"])], "alert_id STRING, rule STRING, evidence_keys ARRAY<STRING>")
+    folders = lambda: postings.holding(quality.evidence(alerts, sources))
+    found = lambda: sorted((r["alert_id"], r["event_id"]) for r in postings.lineage(alerts, sources).collect())
+    want = [("a", "cards3"), ("a", "cards4"), ("a", "cards41"), ("b", "sends1")]
+    assert folders() == ["batch=0", "batch=2", "batch=4"] and found() == want
+    postings.merge(3)
+    assert len(postings._runs()) == 1 and folders() == ["batch=0", "batch=2", "batch=4"] and found() == want
+    t.append("bronze_change_events", raw(3, 5, "cards", "tx_id"), batch=9)  # without postings: read in any case
+    assert folders() == ["batch=0", "batch=2", "batch=4", "batch=9"]
+    postings.add(9)
+    assert folders() == ["batch=0", "batch=2", "batch=4", "batch=9"] and len(found()) == 6
+    postings.forget(9)
+    t.append("bronze_change_events", raw(100, 101, "cards", "tx_id"), batch=9)
+    postings.add(9)
+    assert folders() == ["batch=0", "batch=2", "batch=4"] and found() == want
+    opened = postings.lineage(alerts.where("rule = 'r'"), sources).inputFiles()
+    assert {f.split("/batch=")[1].split("/")[0] for f in opened} == {"0", "4"}

@@ -19,15 +19,23 @@ def missing_events(audit: DataFrame, bronze: DataFrame) -> DataFrame:
     return audit.join(bronze.select("event_id"), "event_id", "left_anti")
 
 
-def lineage(alerts: DataFrame, bronze: DataFrame, sources: dict[str, tuple[str, str]]) -> DataFrame:
-    """Every source change behind each alert: rules map to (source table, key name) in `sources`. Bronze is read once."""
-    pairs = sorted(set(sources.values()))
+def evidence(alerts: DataFrame, sources: dict[str, tuple[str, str]]) -> DataFrame:
+    """alert_id, source_table, key_name, entity_key of the evidence of each alert. sources: (source table, key name) of each rule."""
     at = lambda k: F.coalesce(*[F.when(F.col("rule") == rule, F.lit(pair[k])) for rule, pair in sorted(sources.items())])
-    wanted = alerts.where(F.col("rule").isin(*sources)).select("alert_id", at(0).alias("source_table"), at(1).alias("key_name"), F.explode("evidence_keys").alias("entity_key"))
-    named = F.array(*[F.when(F.col("source_table") == t, F.struct(F.lit(k).alias("key_name"), F.get_json_object("key_json", f"$.{k}").alias("entity_key"))) for t, k in pairs])
+    return alerts.where(F.col("rule").isin(*sources)).select("alert_id", at(0).alias("source_table"), at(1).alias("key_name"), F.explode("evidence_keys").alias("entity_key"))
+
+
+def named_keys(bronze: DataFrame, pairs: set[tuple[str, str]]) -> DataFrame:
+    """Raw events of these source tables, with key_name and entity_key of each of the named keys that their key has."""
+    named = F.array(*[F.when(F.col("source_table") == t, F.struct(F.lit(k).alias("key_name"), F.get_json_object("key_json", f"$.{k}").alias("entity_key"))) for t, k in sorted(pairs)])
     found = bronze.where(F.col("source_table").isin(*{t for t, _ in pairs})).withColumn("__key", F.explode(F.array_compact(named)))
-    found = found.withColumns({c: F.col(f"__key.{c}") for c in ("key_name", "entity_key")})
-    return wanted.join(found, ["source_table", "key_name", "entity_key"]).select("alert_id", "event_id", "op", "source_system", "source_table", "source_position", "source_sequence", "source_commit_ts", "kafka_topic", "kafka_partition", "kafka_offset", "entity_key", "after_json")
+    return found.withColumns({c: F.col(f"__key.{c}") for c in ("key_name", "entity_key")})
+
+
+def lineage(alerts: DataFrame, bronze: DataFrame, sources: dict[str, tuple[str, str]]) -> DataFrame:
+    """Every source change behind each alert: rules map to (source table, key name) in `sources`. Bronze is read once."""
+    found = named_keys(bronze, set(sources.values()))
+    return evidence(alerts, sources).join(found, ["source_table", "key_name", "entity_key"]).select("alert_id", "event_id", "op", "source_system", "source_table", "source_position", "source_sequence", "source_commit_ts", "kafka_topic", "kafka_partition", "kafka_offset", "entity_key", "after_json")
 
 
 def scores(alerts: DataFrame, truth: DataFrame) -> DataFrame:

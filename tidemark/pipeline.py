@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import outbox, quality, rules
 from tidemark.sources.base import REJECT, Source, event_json
 from tidemark.streaming import slabs
+from tidemark.streaming.postings import Postings
 from tidemark.streaming.silver import Entity, view
 from tidemark.streaming.topic_log import TopicLog, message
 from tidemark.tables import Tables
@@ -241,5 +242,5 @@ def run_reconciliation(tables: Tables, entities: dict[str, list[Entity]], stats:
 
 
 def run_lineage(tables: Tables, alerts: DataFrame) -> DataFrame:
-    """Every stored source change behind the alerts."""
-    return quality.lineage(alerts, tables.read("bronze_change_events"), LINEAGE)
+    """Every stored source change behind the alerts, from the batches that hold their evidence."""
+    return Postings(tables, set(LINEAGE.values())).lineage(alerts, LINEAGE)

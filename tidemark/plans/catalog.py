@@ -418,6 +418,29 @@ def lineage_explode(spark, sf_dir):
     return _lineage(spark, sf_dir, rules.as_alerts(_velocity(spark, sf_dir)))
 
 
+@query(f"""
+WITH a AS (SELECT sha256(rule || '|' || account_id || '|' || split_part(evidence, ',', 1)) AS alert_id, unnest(string_split(evidence, ',')) AS k FROM ({VELOCITY_SQL}))
+SELECT alert_id, CAST(e.event_id AS VARCHAR) AS entity_key, e.event_type AS op FROM a JOIN events e ON CAST(e.event_id AS VARCHAR) = a.k""")
+def lineage_by_postings(spark, sf_dir):
+    """The same from raw events in twelve batches, of which those are read that the postings of their keys name; eight are merged, one has none."""
+    from tidemark.streaming.postings import Postings
+    from tidemark.tables import Tables
+
+    tables = Tables(spark, f"{_scratch(spark)}/tables")
+    tables.ensure()
+    sources = {"card_velocity": ("events", "event_id")}
+    postings = Postings(tables, set(sources.values()))
+    e = events(spark, sf_dir)
+    raw = e.select(F.col("event_id").cast("string").alias("event_id"), F.col("event_type").alias("op"), F.lit("events").alias("source_table"), identity.row_json(e.schema, ["event_id"]).alias("key_json"), (F.col("event_id") % 12).alias("b"))
+    for b in range(12):
+        tables.append("bronze_change_events", raw.where(F.col("b") == b), batch=b)
+        if b < 11:
+            postings.add(b)
+        if b == 7:
+            postings.merge()
+    return postings.lineage(rules.as_alerts(_velocity(spark, sf_dir)), sources).select("alert_id", "entity_key", "op")
+
+
 @query("""
 SELECT s_suppkey, CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS amount FROM supplier WHERE s_acctbal > 0 AND s_acctbal < 2000""")
 def amount_band_decimal(spark, sf_dir):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import checks
+from tidemark.streaming.postings import Postings
 from tidemark.streaming.stored_ids import StoredIds
 from tidemark.streaming.topic_log import TopicLog
 from tidemark.tables import Tables
@@ -36,8 +37,9 @@ def parsed(messages: DataFrame) -> DataFrame:
     )
 
 
-def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: str, dlq: str | None = None, source: DataFrame | None = None):
-    """Reads what is new in the topics (or in `source`, a stream of messages) once and stops. Bad messages go to the dead-letter topic."""
+def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: str, dlq: str | None = None, source: DataFrame | None = None, postings: Postings | None = None):
+    """Reads what is new in the topics (or in `source`, a stream of messages) once and stops. Bad messages go to the dead-letter topic. postings: gets the
+    keys of each batch."""
 
     stored = StoredIds(tables, "bronze_change_events")
 
@@ -51,9 +53,11 @@ def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: s
             rows.count()  # so that the batch's size is known to the planner
             good = rows.where("size(faults) = 0").drop("faults", "raw")
             fresh = new_rows(good, stored.known(good, but_batch=batch_id))
-            stored.forget(batch_id)
+            for beside in (stored, postings) if postings else (stored,):
+                beside.forget(batch_id)
             tables.append("bronze_change_events", fresh, batch=batch_id)
-            stored.add(batch_id)
+            for beside in (stored, postings) if postings else (stored,):
+                beside.add(batch_id)
             bad = rows.where("size(faults) > 0")
             if dlq and not bad.isEmpty():
                 value = F.to_json(F.struct(F.lit("topic").alias("source_system"), F.concat_ws(":", "kafka_topic", "kafka_partition", "kafka_offset").alias("position"), F.array_join("faults", "; ").alias("reason"), "raw"))
