@@ -365,3 +365,24 @@ def test_a_header_beyond_the_first_split_refuses_the_records(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == [("b.csv", 2, None), ("b.csv", 3, None)]
+
+
+@pytest.mark.parametrize("changed", [0, 3, 400])
+def test_only_ranges_that_differ_are_joined(spark, monkeypatch, changed):
+    from tidemark.sources import range_digests
+
+    monkeypatch.setattr(range_digests, "BITS", 4)
+    monkeypatch.setattr(range_digests, "LEAF", 40)
+    n = 5000
+    known = spark.range(n).select((F.col("id") % 50).alias("a"), (F.col("id") / 50).cast("int").cast("string").alias("b"), F.lit("f").alias("fingerprint"), F.lit("t").alias("ts"))
+    known = known.union(spark.createDataFrame([(7, None, "f", "t")], "a LONG, b STRING, fingerprint STRING, ts STRING"))
+    pick = F.xxhash64("a", "b") % max(1, n // max(changed, 1)) == 0
+    now = known.drop("ts").select(F.col("a").cast("int").alias("a"), "b", F.when(pick & F.lit(changed > 0), "g").otherwise(F.col("fingerprint")).alias("fingerprint"))
+    now = now.union(spark.createDataFrame([(99, "new", "f")] if changed else [], "a INT, b STRING, fingerprint STRING")).where(~((F.col("a") == 3) & (F.col("b") == "3")) | F.lit(changed == 0))
+    differ = range_digests.Ranges(now, known, ["a", "b"])
+    some = differ.of(now).count() + differ.of(known).count()
+    full = sorted(map(tuple, row_versions.snapshot_changes(now, known.drop("ts"), ["a", "b"]).select("a", "b", "op").where("b is not null").collect()))
+    got = sorted(map(tuple, row_versions.snapshot_changes(differ.of(now), differ.of(known.drop("ts")), ["a", "b"]).select("a", "b", "op").where("b is not null").collect()))
+    assert got == full and (len(full) > 2) == (changed > 0)
+    assert some <= 80 * len(full) and (changed == 400 or some < n)
+    assert differ.of(known).columns == known.columns

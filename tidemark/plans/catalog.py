@@ -190,6 +190,24 @@ def snapshot_diff(spark, sf_dir):
     return snapshot_changes(now, known, ["o_orderkey"]).select("o_orderkey", "op", "fingerprint")
 
 
+@query("""
+WITH old AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 997 <> 0),
+cur AS (SELECT o_orderkey, CASE WHEN o_orderkey % 499 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 1009 <> 0)
+SELECT coalesce(cur.o_orderkey, old.o_orderkey) AS o_orderkey, CASE WHEN old.o_orderkey IS NULL THEN 'c' WHEN cur.o_orderkey IS NULL THEN 'd' ELSE 'u' END AS op
+FROM cur FULL JOIN old ON cur.o_orderkey = old.o_orderkey WHERE cur.o_totalprice IS DISTINCT FROM old.o_totalprice""")
+def snapshot_ranges(spark, sf_dir):
+    """Two versions of a table that differ in few rows: only rows in ranges of the key whose digests differ are joined."""
+    from tidemark.sources.range_digests import Ranges
+    from tidemark.sources.row_versions import snapshot_changes
+
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    version = lambda df: df.select("o_orderkey", identity.fingerprint(F.col("o_totalprice").cast("string")).alias("fingerprint"))
+    known = version(rows.where("o_orderkey % 997 <> 0"))
+    now = version(rows.where("o_orderkey % 1009 <> 0").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 499 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))))
+    differ = Ranges(now, known, ["o_orderkey"])
+    return snapshot_changes(differ.of(now), differ.of(known), ["o_orderkey"]).select("o_orderkey", "op")
+
+
 @query("""
 SELECT event_id, sha256('shop|events|{"event_id":' || event_id || '}|' || strftime(ts, '%Y-%m-%dT%H:%M:%S')) AS change_id,
   sha256('[null,{"event_id":' || event_id || ',"user_id":' || user_id || '}]') AS payload_hash FROM events""")
@@ -572,6 +590,30 @@ def stream_to_latest_state(spark, sf_dir):
     return out.select("user_id", "value", F.col("_source_sequence").cast("bigint").cast("string").alias("last_event"), "_op", "_is_deleted")
 
 
+@query("SELECT CASE o_orderkey % 2 WHEN 0 THEN 'batch=0' ELSE 'batch=2' END AS batch, o_orderkey FROM orders")
+def bronze_batches(spark, sf_dir):
+    """Orders published in three parts: the even ones, a part of these again, and all. Each is stored once, with the batch that brought it first; batches are
+    compared with those alone whose fingerprints they share."""
+    from tidemark.sources.base import event_json, to_events
+    from tidemark.streaming.bronze import run_bronze
+    from tidemark.streaming.topic_log import TopicLog, message
+    from tidemark.tables import Tables
+
+    root = _scratch(spark)
+    tables, topics = Tables(spark, f"{root}/tables"), TopicLog(spark, f"{root}/topics")
+    tables.ensure()
+    topics.ensure(["orders", "dead"])
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").withColumn("seq", F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    image = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
+    ev = to_events(o, "db2", "shop", "orders", ["o_orderkey"], identity.row_json(o.schema, ["o_orderkey"]), F.lit("c"), F.lit(None).cast("string"), image, F.col("seq"), F.lit("2025-01-01T00:00:00"), F.col("seq"), "trace")
+    rows = ev.select(*message(event_json(), F.col("topic_key"), {"event_id": F.col("event_id")}), F.col("source.sequence").alias("seq"))
+    for part in ("seq % 2 = 0", "seq % 4 = 0", "true"):
+        topics.append("orders", rows.where(part), ["seq"])
+        run_bronze(tables, topics, ["orders"], f"{root}/ck/bronze", "dead")
+    stored = tables.read("bronze_change_events").select(F.regexp_extract(F.col("_metadata.file_path"), "/(batch=[0-9]+)/", 1).alias("batch"), F.get_json_object("key_json", "$.o_orderkey").cast("long").alias("o_orderkey"))
+    return stored
+
+
 @query("SELECT o_custkey, max(o_orderkey) AS last_order, count(*) AS orders FROM orders GROUP BY o_custkey")
 def state_bucket_merge(spark, sf_dir):
     """A state table of customers that the orders are merged into in three batches, its buckets doubling on the way."""

@@ -4,7 +4,7 @@ The watermark is inclusive, as rows may share a timestamp and some may have come
 left out by an anti-join. What is known of every row (key and fingerprint) is a table of its own, not part of
 the watermark, so its size is no limit. Rows younger than the safety lag wait for the next run.
 
-A snapshot finds deletes and missed changes by one full outer join on the key. Deletes are sought among all rows of
+A snapshot finds deletes and missed changes by one full outer join on the key, of the rows in ranges whose digests differ. Deletes are sought among all rows of
 the table, those within the safety lag included, so a row changed just now is never taken for deleted. A delete's
 position names the version it ended (fingerprint and time), so replays agree and delete, re-insert, delete differ.
 """
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import identity
 from tidemark.sources.base import Capture, Known, to_events
+from tidemark.sources.range_digests import Ranges
 
 
 def after_watermark(rows: DataFrame, ts: str, since: Column | None, until: Column, keys: list[str], given: DataFrame | None) -> DataFrame:
@@ -125,7 +126,9 @@ class RowVersionSource:
         updated = _newest(known, news, keys)
         if due:
             settled = spark_rows.where(F.col("__ts") < upper)
-            diff = snapshot_changes(settled, updated, keys, deletes_from=spark_rows)
+            # what was polled differs from what is known too: ranges without a difference need no join
+            differ = Ranges(settled, known, keys)
+            diff = snapshot_changes(differ.of(settled), _newest(differ.of(known), differ.of(news), keys), keys, deletes_from=differ.of(spark_rows))
             scan = now.strftime("%Y-%m-%dT%H:%M:%S.%f")
             gone = F.col("op") == "d"
             changes = changes.unionByName(
