@@ -216,3 +216,55 @@ def test_selection_holds_few_values(spark, monkeypatch):
     assert found.first()["value"] == 7000.0**3
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "RangePartitioning" not in plan and "SinglePartition" not in plan
+
+
+def test_sketches_tell_what_is_missing(spark, tmp_path):
+    from tidemark.operators import set_sketch
+    from tidemark.tables import Tables
+
+    t = Tables(spark, str(tmp_path))
+    ids = lambda lo, hi, *but: spark.range(lo, hi).select(F.concat(F.lit("e"), F.col("id")).alias("event_id")).where(~F.col("event_id").isin(*but) if but else F.lit(True))
+    lost = lambda: sorted(r["event_id"] for r in set_sketch.missing(t, "cdc_event_audit", "bronze_change_events").collect())
+    assert lost() == []
+    t.append("cdc_event_audit", ids(0, 3000), batch="a")
+    t.append("bronze_change_events", ids(0, 3000, "e5", "e77"), batch=0)
+    assert lost() == ["e5", "e77"]
+    t.append("cdc_event_audit", ids(2990, 3500), batch="b")  # ten ids were sent twice
+    t.append("bronze_change_events", ids(3000, 3600, "e3001"), batch=1)  # and a hundred come from elsewhere
+    assert lost() == ["e3001", "e5", "e77"]
+    t.append("bronze_change_events", ids(5, 6), batch=2)
+    reads = []
+    real = t.read
+    t.read = lambda *a, **k: reads.append(k.get("only")) or real(*a, **k)
+    equal = lost()
+    t.read = real
+    assert equal == ["e3001", "e77"] and [r for r in reads if r] == [["batch=2"]]
+    for b in range(20):  # sketches of many batches become one
+        t.append("cdc_event_audit", ids(9000 + b, 9001 + b), batch=f"c{b}")
+        set_sketch.Sketches(t, "cdc_event_audit").total().count()
+    assert len(set_sketch.Sketches(t, "cdc_event_audit")._described()) < 16
+    assert lost() == sorted(["e3001", "e77", *[f"e{9000 + b}" for b in range(20)]])
+    t.append("cdc_event_audit", ids(20_000, 30_000), batch="d")  # too many to decode: the join
+    assert len(lost()) == 10_022
+    t.append("cdc_event_audit", ids(20_000, 20_001), batch="e")
+    t.append("cdc_event_audit", ids(20_000, 20_001), batch="f")
+    t.append("bronze_change_events", ids(20_000, 30_000), batch=3)
+    assert lost() == sorted(["e3001", "e77", *[f"e{9000 + b}" for b in range(20)]])
+
+
+@pytest.mark.parametrize("ours, theirs", [(0, 0), (1, 0), (900, 700), (3500, 300), (9000, 0)])
+def test_decoding(spark, ours, theirs):
+    from tidemark.operators import set_sketch
+
+    cells = {}
+    ids = spark.range(ours + theirs).select(F.col("id").cast("string").alias("k"), "id")
+    for sign, part in ((1, ids.where(F.col("id") < ours)), (-1, ids.where(F.col("id") >= ours))):
+        for r in set_sketch.sketch(part, "k").collect():
+            c = cells.setdefault(r["cell"], [0, 0, 0, 0])
+            c[:] = [c[0] + sign * r["n"], c[1] ^ r["x1"], c[2] ^ r["x2"], c[3] ^ r["c"]]
+    got = set_sketch.decoded(cells)
+    if ours == 9000:
+        assert got is None
+    else:
+        want = [{(r["x1"], r["x2"]) for r in set_sketch.hashed(p, "k").collect()} for p in (ids.where(F.col("id") < ours), ids.where(F.col("id") >= ours))]
+        assert [set(g) for g in got] == want

@@ -590,6 +590,27 @@ def stream_to_latest_state(spark, sf_dir):
     return out.select("user_id", "value", F.col("_source_sequence").cast("bigint").cast("string").alias("last_event"), "_op", "_is_deleted")
 
 
+@query("""
+SELECT 'none' AS case_, o_orderkey FROM orders WHERE false UNION ALL SELECT 'few', o_orderkey FROM orders WHERE o_orderkey % 1000 = 7
+UNION ALL SELECT 'most', o_orderkey FROM orders WHERE o_orderkey % 10 <> 0""")
+def audit_missing_ids(spark, sf_dir):
+    """Ids that were sent and never stored, from sketches of the batches on both sides: none, a few, and more than a sketch can tell, which takes the join."""
+    from tidemark.operators import set_sketch
+    from tidemark.tables import Tables
+
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("event_id"), "o_orderkey")
+    out = None
+    for case, kept in (("none", "true"), ("few", "o_orderkey % 1000 <> 7"), ("most", "o_orderkey % 10 = 0")):
+        tables = Tables(spark, f"{_scratch(spark)}/tables")
+        tables.ensure()
+        for b in range(3):
+            tables.append("cdc_event_audit", o.where(F.col("o_orderkey") % 3 == b), batch=b)
+            tables.append("bronze_change_events", o.where((F.col("o_orderkey") / 5000).cast("int") % 3 == b).where(kept), batch=b)
+        lost = set_sketch.missing(tables, "cdc_event_audit", "bronze_change_events").select(F.lit(case).alias("case_"), F.col("event_id").cast("long").alias("o_orderkey"))
+        out = lost if out is None else out.unionByName(lost)
+    return out
+
+
 @query("SELECT CASE o_orderkey % 2 WHEN 0 THEN 'batch=0' ELSE 'batch=2' END AS batch, o_orderkey FROM orders")
 def bronze_batches(spark, sf_dir):
     """Orders published in three parts: the even ones, a part of these again, and all. Each is stored once, with the batch that brought it first; batches are
