@@ -481,3 +481,31 @@ def test_lineage_reads_the_batches_that_hold_its_keys(spark, tmp_path):
     assert folders() == ["batch=0", "batch=2", "batch=4"] and found() == want
     opened = postings.lineage(alerts.where("rule = 'r'"), sources).inputFiles()
     assert {f.split("/batch=")[1].split("/")[0] for f in opened} == {"0", "4"}
+
+
+def test_counts_of_a_repeated_batch_stand(spark, tmp_path, monkeypatch):
+    """The consumer fails after its alerts are stored: the batch that is given again is counted as it was."""
+    from tidemark.service import AlertStore
+    from tidemark.streaming import queue
+
+    tables, topics = Tables(spark, f"{tmp_path}/t"), TopicLog(spark, f"{tmp_path}/topics")
+    tables.ensure()
+    topics.ensure(["alerts"])
+    store = AlertStore(tables)
+    alert = F.to_json(F.struct(F.concat(F.lit("a"), F.col("id")).alias("alert_id"), F.lit("r").alias("rule"), F.lit(1).alias("account_id"), F.array(F.lit("k")).alias("evidence_keys")))
+    rows = spark.range(5).select(F.col("id").cast("string").alias("key"), F.when(F.col("id") < 4, alert).otherwise("no json").alias("value"), F.create_map(F.lit("h"), F.lit("1")).alias("headers"))
+    topics.append("alerts", rows.union(rows.where("key = '0'")), ["key"])
+    upsert = AlertStore.upsert
+
+    def fails_after(self, *a, **k):
+        upsert(self, *a, **k)
+        raise RuntimeError("lost after storing")
+
+    monkeypatch.setattr(AlertStore, "upsert", fails_after)
+    with pytest.raises(Exception, match="lost after storing"):
+        queue.consume(store, topics, "alerts", f"{tmp_path}/ck")
+    monkeypatch.setattr(AlertStore, "upsert", upsert)
+    assert queue.consume(store, topics, "alerts", f"{tmp_path}/ck") == {"stored": 4, "duplicate": 1, "rejected": 1}
+    topics.append("alerts", rows.where("key < '2'"), ["key"])
+    assert queue.consume(store, topics, "alerts", f"{tmp_path}/ck") == {"stored": 0, "duplicate": 2, "rejected": 0}
+    assert queue.totals(store, f"{tmp_path}/ck") == {"stored": 4, "duplicate": 3, "rejected": 1} and tables.read(store.table).count() == 4

@@ -1009,6 +1009,64 @@ def file_capture_quotes(spark, sf_dir):
     return got.select(F.get_json_object("key", "$.transfer_id").cast("long").alias("o_orderkey"), F.get_json_object("after", "$.reference").alias("reference"))
 
 
+@query("SELECT o_orderkey, 'c' AS op, 'partner-drop' AS source_database FROM orders UNION ALL SELECT o_orderkey, 'u', 'partner-drop' FROM orders WHERE o_orderkey % 4 = 0")
+def file_capture_share(spark, sf_dir):
+    """Orders in files of a share with a client of its own, which executors download in chunks; one of the four files comes again, changed."""
+    from tidemark.sources.file_drop import TRANSFER_COLUMNS, FileDropSource, RemoteShare
+
+    folder = f"{_scratch(spark)}/share"
+    key = F.col("o_orderkey")
+    values = {"transfer_id": key.cast("string"), "debtor_iban": F.lit("GB82WEST12345698765432"), "creditor_iban": F.lit("DE89370400440532013000"), "amount": F.lit("12.50"), "booking_ts": F.col("o_orderdate").cast("string"), "currency": F.lit("EUR")}
+
+    def put(version: str, where: str) -> None:
+        rows = table(spark, sf_dir, "orders").where(where).select((key % 4).alias("part"), *[values.get(c, F.lit(version)).alias(c) for c in TRANSFER_COLUMNS])
+        rows.repartition("part").write.mode("append").option("header", "true").partitionBy("part").csv(f"{folder}/{version}")
+
+    class Client:
+        """Of a share whose names are the part and the version."""
+
+        def __init__(self, versions, name=None):
+            self.versions, self.name = versions, name
+
+        def _paths(self, part):
+            import pyarrow.fs
+
+            fs, root = pyarrow.fs.FileSystem.from_uri(f"{folder}/{self.versions[part]}/part={part}")
+            return fs, [i.path for i in fs.get_file_info(pyarrow.fs.FileSelector(root)) if i.path.endswith(".csv")][0]
+
+        def list_directories_and_files(self):
+            return [{"name": f"{p}.csv", "is_directory": False} for p in self.versions]
+
+        def get_file_client(self, name):
+            return Client(self.versions, name)
+
+        def get_file_properties(self):
+            from datetime import datetime
+            from types import SimpleNamespace
+
+            part = int(self.name.split(".")[0])
+            fs, path = self._paths(part)
+            return SimpleNamespace(etag=f'"{self.versions[part]}"', size=fs.get_file_info(path).size, last_modified=datetime(2025, 1, 1))
+
+        def download_file(self):
+            return self
+
+        def chunks(self):
+            fs, path = self._paths(int(self.name.split(".")[0]))
+            with fs.open_input_stream(path) as f:
+                while data := f.read(100_000):
+                    yield data
+
+    put("first", "true")
+    put("second", "o_orderkey % 4 = 0")
+    taken, out = None, None
+    for versions in ({p: "first" for p in range(4)}, {0: "second"} | {p: "first" for p in range(1, 4)}):
+        got = FileDropSource(spark, RemoteShare(spark, lambda v=versions: Client(v)), manifest=lambda: taken).capture(None, "t")
+        events = got.events.select(F.get_json_object("key", "$.transfer_id").cast("long").alias("o_orderkey"), "op", F.col("source.database").alias("source_database"))
+        taken, out = got.manifest.select("file_name", "etag"), events if out is None else out.unionByName(events)
+    return out
+
+
 @query("""
 SELECT table_name AS tab, string_agg(column_name || ' ' || CASE data_type WHEN 'INTEGER' THEN 'INT' WHEN 'VARCHAR' THEN 'STRING' ELSE data_type END, ', ' ORDER BY ordinal_position) AS columns
 FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'orders', 'events') GROUP BY table_name""")

@@ -28,15 +28,20 @@ class AlertStore:
     def __init__(self, tables: Tables):
         self.tables, self._lock = tables, threading.Lock()
 
-    def upsert(self, alerts: DataFrame) -> int:
-        """Stores a batch and returns how many alerts are new. Of repeats within the batch, one counts."""
+    def unknown(self, alerts: DataFrame) -> int:
+        """How many alerts of a batch aren't stored yet."""
+        ids = alerts.select("alert_id").distinct()
+        have = lambda: self.tables.lookup(self.table, ids, ["alert_id"]).select("alert_id")
+        return self.tables.stable(self.table, lambda: ids.join(have(), "alert_id", "left_anti").count())
+
+    def upsert(self, alerts: DataFrame, count: bool = True) -> int | None:
+        """Stores a batch and returns how many alerts are new, if asked. Of repeats within the batch, one counts."""
         now = datetime.now(UTC).isoformat()
         once = alerts.dropDuplicates(["alert_id"])
         given = [c for c in once.columns if c not in ANALYST]
         rows = once.select(*given, F.lit("OPEN").alias("status"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("decided_at"), F.lit(now).alias("received_at"))
         with self._lock:
-            have = lambda: self.tables.lookup(self.table, rows, ["alert_id"]).select("alert_id")
-            new = self.tables.stable(self.table, lambda: rows.join(have(), "alert_id", "left_anti").count())
+            new = self.unknown(rows) if count else None
             keep = [c for c in rows.columns if c not in ("alert_id", "evidence_keys")]
             self.tables.upsert(self.table, rows, ["alert_id"], keep)
         return new

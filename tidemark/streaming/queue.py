@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from tidemark.streaming.topic_log import TopicLog
 
 # Fixed values.
 REQUIRED = ("alert_id", "rule", "account_id", "evidence_keys")
+COUNTS = ("stored", "duplicate", "rejected")
 ALERT = "alert_id STRING, rule STRING, account_id INT, evidence_keys ARRAY<STRING>, first_evidence_ts STRING, last_source_commit_ts STRING, alert_created_at STRING, latency_seconds DOUBLE"
 
 
@@ -23,19 +26,34 @@ def readable(messages: DataFrame) -> DataFrame:
 
 
 def consume(store: AlertStore, topics: TopicLog, topic: str, checkpoint: str) -> dict[str, int]:
-    """Stores what is new and returns counts of stored, duplicate and rejected messages."""
-    counts = {"stored": 0, "duplicate": 0, "rejected": 0}
+    """Stores what is new and returns counts of stored, duplicate and rejected messages of this run.
+
+    A batch's counts are written down before its alerts are stored, under its number; if it is given again, they stand, so no message is
+    counted twice or, as its alerts are there by then, as a duplicate of itself. `totals` adds up those of all runs.
+    """
+    mine: dict[int, dict[str, int]] = {}
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, number: int) -> None:
         rows = readable(batch).persist()
-        total, good = rows.count(), rows.where("ok").drop("ok")
-        n_good = good.count()
-        new = store.upsert(good)
-        counts["stored"] += new
-        counts["duplicate"] += n_good - new
-        counts["rejected"] += total - n_good
-        rows.unpersist()
+        try:
+            good = rows.where("ok").drop("ok")
+            at = f"{checkpoint}/counts/{number}.json"
+            if not store.tables.files.exists(at):
+                n, n_good = rows.agg(F.count("*"), F.count_if("ok")).first()
+                new = store.unknown(good)
+                store.tables.files.write_text(at, json.dumps({"stored": new, "duplicate": n_good - new, "rejected": n - n_good}))
+            mine[number] = json.loads(store.tables.files.read_text(at))
+            store.upsert(good, count=False)
+        finally:
+            rows.unpersist()
 
     q = topics.stream([topic]).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return counts
+    return {k: sum(c[k] for c in mine.values()) for k in COUNTS}
+
+
+def totals(store: AlertStore, checkpoint: str) -> dict[str, int]:
+    """Counts of all batches under a checkpoint."""
+    files = store.tables.files
+    found = [json.loads(files.read_text(f"{checkpoint}/counts/{f}")) for f in files.names(f"{checkpoint}/counts")]
+    return {k: sum(c[k] for c in found) for k in COUNTS}
