@@ -242,7 +242,7 @@ def test_sketches_tell_what_is_missing(spark, tmp_path):
     for b in range(20):  # sketches of many batches become one
         t.append("cdc_event_audit", ids(9000 + b, 9001 + b), batch=f"c{b}")
         set_sketch.Sketches(t, "cdc_event_audit").total().count()
-    assert len(set_sketch.Sketches(t, "cdc_event_audit")._described()) < 16
+    assert len(set_sketch.Sketches(t, "cdc_event_audit").runs.described()) < 16
     assert lost() == sorted(["e3001", "e77", *[f"e{9000 + b}" for b in range(20)]])
     t.append("cdc_event_audit", ids(20_000, 30_000), batch="d")  # too many to decode: the join
     assert len(lost()) == 10_022

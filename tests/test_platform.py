@@ -470,7 +470,7 @@ def test_lineage_reads_the_batches_that_hold_its_keys(spark, tmp_path):
     want = [("a", "cards3"), ("a", "cards4"), ("a", "cards41"), ("b", "sends1")]
     assert folders() == ["batch=0", "batch=2", "batch=4"] and found() == want
     postings.merge(3)
-    assert len(postings._runs()) == 1 and folders() == ["batch=0", "batch=2", "batch=4"] and found() == want
+    assert len(postings.runs.described()) == 1 and folders() == ["batch=0", "batch=2", "batch=4"] and found() == want
     t.append("bronze_change_events", raw(3, 5, "cards", "tx_id"), batch=9)  # without postings: read in any case
     assert folders() == ["batch=0", "batch=2", "batch=4", "batch=9"]
     postings.add(9)

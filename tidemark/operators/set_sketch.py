@@ -12,14 +12,13 @@ the tables are joined.
 
 from __future__ import annotations
 
-import json
 import struct
-import uuid
 
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.streaming.runs import Runs
 from tidemark.tables import Tables
 
 SIDE = 1 << 11
@@ -63,34 +62,23 @@ class Sketches:
 
     def __init__(self, tables: Tables, table: str, key: str = "event_id"):
         self.tables, self.table, self.key = tables, table, key
-        self.path = f"{tables.path(table)}__sketch"
-
-    def _described(self) -> dict[str, list[str]]:
-        files = self.tables.files
-        return {r: json.loads(files.read_text(f"{self.path}/{r}/_batches.json")) for r in files.names(self.path) if files.exists(f"{self.path}/{r}/_batches.json")}
+        self.runs = Runs(tables, f"{tables.path(table)}__sketch", CELL)
 
     def total(self) -> DataFrame:
         """The table's cells; batches that no sketch describes yet are read and get one. Many sketches become one."""
-        runs = self._described()
-        known = {b for bs in runs.values() for b in bs}
-        new = [f for f in self.tables.folders(self.table) if f not in known]
-        if new:
-            runs[self._write(sketch(self.tables.read(self.table, only=new), self.key), new)] = new
-        if len(runs) > 16:
-            merged = self._write(self._sum(self._read(runs)), sorted({b for bs in runs.values() for b in bs}))
-            for r in runs:
-                self.tables.files.delete(f"{self.path}/{r}")
-            runs = {merged: []}
-        return self._sum(self._read(runs)) if runs else self.tables.spark.createDataFrame([], CELL)
-
-    def _read(self, runs) -> DataFrame:
-        return self.tables.spark.read.schema(CELL).parquet(*[f"{self.path}/{r}" for r in runs])
-
-    def _write(self, cells: DataFrame, batches: list[str]) -> str:
-        run = uuid.uuid4().hex
-        cells.coalesce(1).write.parquet(f"{self.path}/{run}")
-        self.tables.files.write_text(f"{self.path}/{run}/_batches.json", json.dumps(batches))
-        return run
+        have = self.runs.described()
+        known = {b for bs in have.values() for b in bs}
+        if new := [f for f in self.tables.folders(self.table) if f not in known]:
+            have[self.runs.write(sketch(self.tables.read(self.table, only=new), self.key).coalesce(1), new)] = new
+        seen: set[str] = set()
+        for run, of in sorted(have.items(), key=lambda x: -len(x[1])):  # after a crash, those that another one has taken in go
+            if seen.issuperset(of):
+                self.runs.drop([run])
+                del have[run]
+            seen.update(of)
+        if len(have) > 16:
+            have = {self.runs.replace(have, self._sum(self.runs.read(have)).coalesce(1)): []}
+        return self._sum(self.runs.read(have))
 
     @staticmethod
     def _sum(cells: DataFrame) -> DataFrame:

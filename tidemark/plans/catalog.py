@@ -974,6 +974,36 @@ def reconciliation_run(spark, sf_dir):
     return spark.createDataFrame([(r["check_name"], r["source_value"], r["target_value"], r["status"]) for r in got], "check_name STRING, source_value STRING, target_value STRING, status STRING")
 
 
+@query("""
+SELECT 'rows' AS what, CAST(count(*) AS VARCHAR) AS total FROM customer WHERE c_custkey % 7 <> 0
+UNION ALL SELECT 'balance', CAST(sum(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_custkey % 3 = 0 THEN 1.25 ELSE 0 END) AS VARCHAR) FROM customer WHERE c_custkey % 7 <> 0""")
+def totals_by_retraction(spark, sf_dir):
+    """Row count and balance of a latest state, kept by what each batch changes: creates, updates that come before their creates, deletes, a replay."""
+    from tidemark.streaming.silver import Entity, run_silver
+    from tidemark.streaming.totals import Totals
+    from tidemark.tables import Tables
+
+    root = _scratch(spark)
+    tables = Tables(spark, f"{root}/tables")
+    tables.ensure()
+    e = Entity("customer", "silver_customer", ["c_custkey"], "c_custkey BIGINT, balance DECIMAL(18,2)")
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
+    kept = Totals(tables, [e])
+
+    def sent(rows: DataFrame, op: str, seq: int) -> DataFrame:
+        key = F.to_json(F.struct("c_custkey"))
+        return rows.select(F.concat_ws(":", key, F.lit(seq)).alias("event_id"), F.lit(op).alias("op"), F.lit(e.source_table).alias("source_table"), F.lit(str(seq)).alias("source_sequence"), F.current_timestamp().alias("source_commit_ts"), key.alias("key_json"), (F.lit(None) if op == "d" else F.to_json(F.struct("c_custkey", "balance"))).cast("string").alias("after_json"))
+
+    more = c.where("c_custkey % 3 = 0").withColumn("balance", (F.col("balance") + F.lit("1.25").cast("decimal(18,2)")).cast("decimal(18,2)"))
+    gone = sent(c.where("c_custkey % 7 = 0"), "d", 3)
+    batches = [sent(c.where("c_custkey % 2 = 0"), "c", 1).unionByName(sent(more, "u", 2)), sent(c, "c", 1), gone, gone.unionByName(sent(more, "u", 2))]
+    for i, rows in enumerate(batches):
+        tables.append("bronze_change_events", rows, batch=i)
+        run_silver(tables, [e], f"{root}/ck/silver", before=kept.before)
+    got = kept.read(e)
+    return spark.createDataFrame([("rows", str(got["rows"])), ("balance", str(got["balance"]))], "what STRING, total STRING")
+
+
 @query("""
 WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN '1.250,00' ELSE '12.50' END AS amount FROM orders)
 SELECT CASE WHEN try_cast(amount AS DECIMAL(38,18)) IS NULL THEN 'invalid amount' ELSE 'event' END AS what, count(*) AS n, count(DISTINCT o_orderkey) AS ids FROM t GROUP BY 1""")

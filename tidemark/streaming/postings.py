@@ -8,13 +8,11 @@ wants, and reads these alone. Postings only choose what is read: they may name a
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
+from tidemark.streaming.runs import Runs
 from tidemark.tables import Tables
 
 POSTINGS = "source_table STRING, key_name STRING, entity_key STRING, batch STRING"
@@ -26,48 +24,31 @@ class Postings:
 
     def __init__(self, tables: Tables, pairs: set[tuple[str, str]], table: str = "bronze_change_events"):
         self.tables, self.pairs, self.table = tables, pairs, table
-        self.path = f"{tables.path(table)}__keys"
-
-    def _runs(self) -> dict[str, list[str]]:
-        """The batches that each folder of postings describes."""
-        read = lambda r: json.loads(self.tables.files.read_text(f"{self.path}/{r}/_batches.json"))
-        return {r: read(r) for r in self.tables.files.names(self.path) if self.tables.files.exists(f"{self.path}/{r}/_batches.json")}
-
-    def _write(self, run: str, rows: DataFrame, batches: list[str]) -> None:
-        """The file that names the batches comes last: without it, a folder counts for nothing."""
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{run}")
-        self.tables.files.write_text(f"{self.path}/{run}/_batches.json", json.dumps(batches))
-
-    def _read(self, runs) -> DataFrame:
-        return self.tables.spark.read.schema(POSTINGS).parquet(*[f"{self.path}/{r}" for r in runs])
+        self.runs = Runs(tables, f"{tables.path(table)}__keys", POSTINGS)
 
     def forget(self, batch: int | str) -> None:
         """To be called before a batch is written anew."""
-        self.tables.files.delete(f"{self.path}/of-{batch}")
+        self.runs.drop([f"of-{batch}"])
 
     def add(self, batch: int | str) -> None:
         """Writes the postings of a batch that is stored now."""
         keys = quality.named_keys(self.tables.read(self.table, only=[f"batch={batch}"]), self.pairs).select(*KEY).distinct()
         one = 1 + self.tables.files.size(f"{self.tables.path(self.table)}/batch={batch}") // (1 << 30)
-        self._write(f"of-{batch}", keys.withColumn("batch", F.lit(f"batch={batch}")).repartitionByRange(one, *KEY).sortWithinPartitions(*KEY), [f"batch={batch}"])
+        self.runs.write(keys.withColumn("batch", F.lit(f"batch={batch}")).repartitionByRange(one, *KEY).sortWithinPartitions(*KEY), [f"batch={batch}"], f"of-{batch}")
 
     def merge(self, files: int | None = None) -> None:
         """One set of postings in place of all there are, in so many ranges of the key."""
-        runs = self._runs()
-        if len(runs) < 2:
+        have = self.runs.described()
+        if len(have) < 2:
             return
         n = files or int(self.tables.spark.conf.get("spark.sql.shuffle.partitions"))
-        self._write(f"merged-{uuid.uuid4().hex}", self._read(runs).distinct().repartitionByRange(n, *KEY).sortWithinPartitions(*KEY), sorted({b for bs in runs.values() for b in bs}))
-        for r in runs:
-            self.tables.files.delete(f"{self.path}/{r}")
+        self.runs.replace(have, self.runs.read(have).distinct().repartitionByRange(n, *KEY).sortWithinPartitions(*KEY))
 
     def holding(self, wanted: DataFrame) -> list[str]:
         """Folders of the batches that may hold the wanted (source_table, key_name, entity_key); their names reach the driver."""
-        runs, stored = self._runs(), self.tables.folders(self.table)
-        described = {b for bs in runs.values() for b in bs}
-        if not runs:
-            return stored
-        held = {r["batch"] for r in self._read(runs).join(wanted.select(*KEY).distinct(), KEY, "left_semi").select("batch").distinct().collect()}
+        have, stored = self.runs.described(), self.tables.folders(self.table)
+        described = {b for bs in have.values() for b in bs}
+        held = {r["batch"] for r in self.runs.read(have).join(wanted.select(*KEY).distinct(), KEY, "left_semi").select("batch").distinct().collect()}
         return [f for f in stored if f in held or f not in described]
 
     def lineage(self, alerts: DataFrame, sources: dict[str, tuple[str, str]]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -49,15 +50,16 @@ def view(tables: Tables, e: Entity) -> DataFrame:
     return fold.flat(tables.read(name), e.primary_key, e.names)
 
 
-def run_silver(tables: Tables, entities: list[Entity], checkpoint: str, after: Callable[[DataFrame], None] | None = None, before: Callable[[DataFrame, int], None] | None = None):
-    """Folds the raw events that are new since the last run, and stops. `before` gets each batch and its number, `after` the batch once its state
-    is stored; a batch that fails is given again."""
+def run_silver(tables: Tables, entities: list[Entity], checkpoint: str, after: Callable[[DataFrame], None] | None = None, before: Callable[[DataFrame, str], None] | None = None):
+    """Folds the raw events that are new since the last run, and stops. `before` gets each batch and a name that it has again if it is given again, `after` the batch
+    once its state is stored; a batch that fails is given again."""
 
     def each(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
             if before:
-                before(batch, number)
+                query = json.loads(tables.files.read_text(f"{checkpoint}/metadata"))["id"]
+                before(batch, f"{query}-{number}")
             for e in entities:
                 apply_batch(tables, batch, e)
             if after:

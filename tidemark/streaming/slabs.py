@@ -38,15 +38,15 @@ def changes(tables: Tables, bronze: DataFrame, e: Entity) -> DataFrame:
     return flat(fold.merge(old, news, pk), "now").join(flat(old, "was"), [f"__k{i}" for i in range(len(pk))], "left").select("was", "now")
 
 
-def noted(tables: Tables, bronze: DataFrame, e: Entity, batch: int) -> DataFrame:
+def noted(tables: Tables, bronze: DataFrame, e: Entity, batch: int | str) -> DataFrame:
     """`changes` of a batch, written down, with those that earlier tries of the same batch found; those of other batches go."""
     root = f"{tables.path(e.silver_table)}__changed"
     found = changes(tables, bronze, e)
     kind = found.schema
-    found.write.parquet(f"{root}/batch={batch}-{uuid.uuid4().hex}")
+    found.write.parquet(f"{root}/batch={batch}-try-{uuid.uuid4().hex}")
     mine = []
     for f in tables.files.names(root):
-        if f.startswith(f"batch={batch}-"):
+        if f.startswith(f"batch={batch}-try-"):
             mine.append(f"{root}/{f}")
         else:
             tables.files.delete(f"{root}/{f}")
