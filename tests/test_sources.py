@@ -386,3 +386,33 @@ def test_only_ranges_that_differ_are_joined(spark, monkeypatch, changed):
     assert got == full and (len(full) > 2) == (changed > 0)
     assert some <= 80 * len(full) and (changed == 400 or some < n)
     assert differ.of(known).columns == known.columns
+
+
+def test_a_log_as_a_stream(spark, tmp_path):
+    """Offsets are positions: an empty log, a restart in the middle, a repeat of nothing, and a gap, which stops the query."""
+    from tidemark.sources import log_stream
+
+    ddl = "lsn BINARY, seq BINARY, code INT, id INT"
+    uri, ck, got = f"file://{tmp_path}/log", f"{tmp_path}/ck", []
+
+    def run(oldest=None):
+        spark.dataSource.register(log_stream.log_source(log_stream.parquet_log(uri, ["lsn", "seq", "code", "id"], oldest), ddl, "small_log", 3))
+        seen = []
+        stream = spark.readStream.format("small_log").load()
+        stream.writeStream.foreachBatch(lambda b, n: seen.extend((int.from_bytes(r["lsn"], "big"), r["code"], r["id"]) for r in b.collect())).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+        got.append(sorted(seen))
+
+    def write(*positions):
+        spark.createDataFrame([(lsn(p), lsn(1), c, p) for p in positions for c in ((3, 4) if p % 2 else (2,))], ddl).repartition(2).write.mode("append").parquet(f"{tmp_path}/log")
+
+    run()
+    write(*range(5, 12))
+    run()
+    run()
+    write(*range(12, 20))
+    run(lsn(11))
+    rows = lambda lo, hi: sorted((p, c, p) for p in range(lo, hi) for c in ((3, 4) if p % 2 else (2,)))
+    assert got == [[], rows(5, 12), [], rows(12, 20)]
+    write(40, 41)
+    with pytest.raises(Exception, match="older than the oldest one kept"):
+        run(lsn(30))

@@ -739,6 +739,30 @@ def log_change_scan(spark, sf_dir):
     return first.events.unionByName(second.events).select("key", "op", "source.position", "before", "after")
 
 
+@query(f"WITH {LOG_SQL} SELECT key, op, position, CASE WHEN op <> 'c' THEN image END AS before, CASE WHEN op <> 'd' THEN image END AS after FROM l")
+def log_change_stream(spark, sf_dir):
+    """The same as a stream whose offsets are the log's positions: it stops in the middle of the log, and a second one goes on from the checkpoint."""
+    from tidemark.sources.change_log import ChangeLogSource, LogTable
+    from tidemark.sources.log_stream import log_source, parquet_log
+
+    root = _scratch(spark)
+    root = root if "://" in root else f"file://{root}"
+    source, top = _event_log(spark, sf_dir)
+    log = source(top).read("dbo.events").withColumn("commit_ts", F.date_format("commit_ts", identity.ISO_MICROS))
+    t, ddl = LogTable("dbo", "events", ["event_id"]), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema)
+    capture = ChangeLogSource("shop", "db", [t], None, None, None)
+
+    def each(batch: DataFrame, number: int) -> None:
+        capture.events_of(batch.withColumn("commit_ts", F.col("commit_ts").cast("timestamp")), t, "trace").write.mode("overwrite").parquet(f"{root}/events/batch={number}")
+
+    middle = F.unhex(F.lpad(F.hex(F.lit(top // 2)), 20, "0"))
+    for part in (F.col("lsn") <= middle, F.col("lsn") > middle):  # the log grows between the runs
+        log.where(part).write.mode("append").parquet(f"{root}/log")
+        spark.dataSource.register(log_source(parquet_log(f"{root}/log", log.columns), ddl))
+        spark.readStream.format("change_log").load().writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/events").select("key", "op", "source.position", "before", "after")
+
+
 @query("SELECT r_name, 2 * r_regionkey < 4 AS gap FROM region")
 def log_gap_detection(spark, sf_dir):
     """For each last position read (twice the key): whether changes after it are gone, where the log begins at 4."""

@@ -81,12 +81,13 @@ class ChangeLogSource:
             elif oldest > top:
                 continue
             df = df.where(F.col("lsn") <= F.lit(bytearray(top)))  # the range reaches the scan
-            part = self._events(df, t, trace_id)
+            part = self.events_of(df, t, trace_id)
             events = part if events is None else events.unionByName(part)
             done[t.qualified] = "0x" + top.hex()
         return Capture(events, {"lsn": done})
 
-    def _events(self, df: DataFrame, t: LogTable, trace_id: str) -> DataFrame:
+    def events_of(self, df: DataFrame, t: LogTable, trace_id: str) -> DataFrame:
+        """Change events of a log table's rows, such as those of a micro-batch of log_stream."""
         data = [c for c in df.columns if c not in self.meta and not c.startswith("__")]
         rows = df.select("lsn", "seq", "code", "commit_ts", F.struct(identity.row_json(df.schema, data).alias("json"), F.struct(*t.primary_key).alias("key")).alias("image"))
         p = paired(rows, "lsn", "seq", "code", "image").withColumn("key", F.coalesce("after.key", "before.key"))
