@@ -330,7 +330,7 @@ def test_registered_queries_equal_their_sql(spark):
         got = con.execute(sql)
         names = [d[0] for d in got.description]
         assert shown(df.select(*names).collect()) == shown(got.fetchall()), name
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 CLASHING = ["score", "lang_pred", "__text", "__ld_keep", "__near1", "__words", "__mix1", "copies", "row", "keep", "key1", "key2", "n", "copy", "doc", "at", "words", "size", "target", "taken"]
