@@ -416,3 +416,48 @@ def test_a_log_as_a_stream(spark, tmp_path):
     write(40, 41)
     with pytest.raises(Exception, match="older than the oldest one kept"):
         run(lsn(30))
+
+
+def test_statistics_read_no_file_twice(spark, tmp_path, monkeypatch):
+    import os
+
+    from tidemark import pipeline
+    from tidemark.tables import Tables
+
+    drop, tables, taken, read = tmp_path / "drop", Tables(spark, f"{tmp_path}/t"), [], []
+    drop.mkdir()
+    source = file_drop.FileDropSource(spark, str(drop), manifest=lambda: spark.createDataFrame(taken, "file_name STRING, etag STRING") if taken else None, ids=lambda: pipeline.file_ids(tables, "d"))
+    full = file_drop.FileDropSource(spark, str(drop))
+    whole = file_drop.FileDropSource._read
+    monkeypatch.setattr(file_drop.FileDropSource, "_read", lambda self, found: (read.append(sorted(f["name"] for f in found)), whole(self, found))[1])
+
+    def put(name, ids, at):
+        (drop / name).write_text("\n".join([HEAD, *[GOOD.format(i, "abc" if i % 5 == 0 else "1.00") for i in ids], ""]))
+        os.utime(drop / name, (at, at))
+
+    def capture():
+        got = source.capture(None, "t")
+        pipeline.keep_ids(tables, "d", got.ids)
+        taken.extend((r["file_name"], r["etag"]) for r in got.manifest.collect())
+
+    def same():
+        read.clear()
+        ours = source.stats()
+        mine = list(read)
+        assert ours == full.stats()
+        return ours["partner_transfers"]["rows"], mine
+
+    assert same() == (0, [])
+    put("a.csv", range(1, 10), 1e9)
+    put("b.csv", range(7, 14), 1e9)
+    capture()
+    assert same() == (11, [])
+    put("a.csv", range(1, 4), 2e9)  # comes again, not taken yet
+    assert same() == (9, [["a.csv"]])
+    capture()
+    assert same() == (9, [])
+    put("a.csv", [5, 10], 3e9)  # and once more, without a valid row
+    capture()
+    assert same() == (6, [])
+    os.remove(drop / "b.csv")
+    assert same() == (0, [])

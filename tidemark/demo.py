@@ -47,7 +47,7 @@ class Platform:
         self.log = ChangeLogSource("sqlserver_cards", "cards", logged, lambda t: bank.log_rows(spark, short(t), ddl[t]), bank.max_lsn, lambda t: (1).to_bytes(10, "big"), lambda t: bank.current_rows(spark, short(t), ddl[t]))
         polled = [VersionedRows("CORE", "LOANS", ["LOAN_ID"], "ROW_CHANGED")]
         self.loans = RowVersionSource("db2_core", "COREBANK", polled, lambda t: bank.loan_rows(spark, ddl[t]), lambda: bank.now + timedelta(seconds=10), lambda t: pipeline.known_table(self.tables, "db2_core", t), self.cfg["sources"]["db2_core"]["snapshot_every"])
-        self.drop = FileDropSource(spark, str(self.folder), manifest=lambda: self.tables.read("cdc_file_manifest"))
+        self.drop = FileDropSource(spark, str(self.folder), manifest=lambda: self.tables.read("cdc_file_manifest"), ids=lambda: pipeline.file_ids(self.tables, "partner_fileshare"))
         self.sources = [self.log, self.loans, self.drop]
 
     def capture(self) -> dict[str, dict[str, Any]]:

@@ -62,6 +62,21 @@ def known_table(tables: Tables, source: str, table: str) -> DataFrame | None:
     return tables.read(name) if tables.exists(name) else None
 
 
+def file_ids(tables: Tables, source: str) -> DataFrame | None:
+    """file_name, etag, id: what a file source gave of each file that it took last."""
+    name = f"ids__{source}"
+    return tables.read(name) if tables.exists(name) else None
+
+
+def keep_ids(tables: Tables, source: str, ids: DataFrame) -> None:
+    """A file that comes again takes its old ids back."""
+    ids = ids.persist()
+    try:
+        tables.merge(f"ids__{source}", ids, ["file_name"], lambda old, new: new if old is None else old.join(new.select("file_name").distinct(), "file_name", "left_anti").unionByName(new))
+    finally:
+        ids.unpersist()
+
+
 def run_capture(tables: Tables, topics: TopicLog, source: Source, topic_of: dict[str, str], dlq: str, trace_id: str | None = None) -> dict[str, Any]:
     trace, began = trace_id or str(uuid.uuid4()), datetime.now(UTC)
     got = source.capture(read_watermark(tables, source.name), trace)
@@ -72,6 +87,8 @@ def run_capture(tables: Tables, topics: TopicLog, source: Source, topic_of: dict
             tables.append("cdc_event_audit", audit)
         if got.manifest is not None:
             tables.append("cdc_file_manifest", got.manifest.withColumn("processed_at", F.current_timestamp()))
+        if got.ids is not None:
+            keep_ids(tables, source.name, got.ids)
         for table, k in got.known.items():
             name = f"known__{source.name}__{table}"
             if k.news is None:

@@ -28,12 +28,14 @@ class Known:
 
 @dataclass
 class Capture:
-    """events: columns of the wire schema and topic_key. known: by table, what is kept with the watermark."""
+    """events: columns of the wire schema and topic_key. known: by table, what is kept with the watermark. ids: file_name, etag, id of the valid rows of
+    each file that was taken, and a row without id for each file."""
 
     events: DataFrame | None
     watermark: dict[str, Any]
     rejects: DataFrame | None = None
     manifest: DataFrame | None = None
+    ids: DataFrame | None = None
     known: dict[str, Known] = field(default_factory=dict)
 
     @property

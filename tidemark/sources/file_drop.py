@@ -131,13 +131,14 @@ class RemoteShare:
 
 class FileDropSource:
     """manifest: the rows (file_name, etag) of the files that earlier runs took, or None. It is the state: what is listed there with
-    the same version is left alone. Only names of new files reach the driver."""
+    the same version is left alone. Only names of new files reach the driver. ids: the ids that earlier runs gave and that are kept by file, or None; with them
+    the source's own statistics read no file twice."""
 
     system = "azure_fileshare"
     table = "partner_transfers"
 
-    def __init__(self, spark: SparkSession, folder: str | Folder | RemoteShare, name: str = "partner_fileshare", share: str = "partner-drop", manifest: Callable[[], DataFrame | None] = lambda: None):
-        self.spark, self.name, self.share, self.manifest = spark, name, share, manifest
+    def __init__(self, spark: SparkSession, folder: str | Folder | RemoteShare, name: str = "partner_fileshare", share: str = "partner-drop", manifest: Callable[[], DataFrame | None] = lambda: None, ids: Callable[[], DataFrame | None] = lambda: None):
+        self.spark, self.name, self.share, self.manifest, self.ids = spark, name, share, manifest, ids
         self.files = Folder(spark, folder) if isinstance(folder, str) else folder
 
     def arrivals(self) -> DataFrame:
@@ -164,15 +165,21 @@ class FileDropSource:
         events = to_events(flat, self.system, self.share, self.table, ["transfer_id"], F.col("key_json"), F.col("op"), null, F.col("after"), F.col("position"), F.col("last_modified"), sequence, trace_id, "row.")
         per = rows.groupBy("name").agg(F.count_if(F.col("fault").isNull()).alias("rows"), F.count_if(F.col("fault").isNotNull()).alias("rejected"))
         manifest = files.join(per, "name", "left").select(F.col("name").alias("file_name"), "etag", "size", "sha256", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.coalesce("rejected", F.lit(0)).cast("long").alias("rejected"), F.lit(trace_id).alias("trace_id"))
-        return Capture(events, {"files": (watermark or {}).get("files", 0) + len(new)}, rejects, manifest)
+        own = files.select(F.col("name").alias("file_name"), "etag", null.alias("id")).unionByName(good.select(F.col("name").alias("file_name"), "etag", F.col("row.transfer_id").alias("id")).distinct())
+        return Capture(events, {"files": (watermark or {}).get("files", 0) + len(new)}, rejects, manifest, own)
 
     def stats(self) -> dict[str, dict[str, Any]]:
-        """Distinct valid transfers over all files."""
-        found = self.files.listing().select("name", "etag", "last_modified", F.lit(False).alias("again"), "size").collect()
-        if not found:
-            return {self.table: {"rows": 0}}
-        rows = self._read(found)[1].where("fault is null")
-        return {self.table: {"rows": rows.agg(F.count_distinct("row.transfer_id")).first()[0]}}
+        """Distinct valid transfers over all files that are there: of those whose ids are kept from them, of others by reading them."""
+        listed, kept = self.files.listing().select("name", "etag", "last_modified", F.lit(False).alias("again"), "size"), self.ids()
+        ids = None
+        if kept is not None:
+            place = [F.col("file_name").alias("name"), "etag"]
+            ids = kept.where("id is not null").select(*place, "id").join(listed, ["name", "etag"], "left_semi").select("id")
+            listed = listed.join(kept.select(*place).distinct(), ["name", "etag"], "left_anti").select(*listed.columns)
+        if found := listed.collect():
+            read = self._read(found)[1].where("fault is null").select(F.col("row.transfer_id").alias("id"))
+            ids = read if ids is None else ids.unionByName(read)
+        return {self.table: {"rows": ids.agg(F.count_distinct("id")).first()[0] if ids is not None else 0}}
 
     def _read(self, found: list) -> tuple[DataFrame, DataFrame]:
         """The listed files with sha256 and valid (whether they are UTF-8), and the records of the valid ones with their fault. Files are read once
