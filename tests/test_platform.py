@@ -509,3 +509,29 @@ def test_counts_of_a_repeated_batch_stand(spark, tmp_path, monkeypatch):
     topics.append("alerts", rows.where("key < '2'"), ["key"])
     assert queue.consume(store, topics, "alerts", f"{tmp_path}/ck") == {"stored": 0, "duplicate": 2, "rejected": 0}
     assert queue.totals(store, f"{tmp_path}/ck") == {"stored": 4, "duplicate": 3, "rejected": 1} and tables.read(store.table).count() == 4
+
+
+def test_walking_pages_gives_each_alert_once(spark, tmp_path):
+    """While others arrive and statuses change; without a time, alerts come last."""
+    from tidemark.service import AlertStore, answer
+
+    t = Tables(spark, str(tmp_path), buckets=2)
+    t.ensure()
+    store = AlertStore(t)
+    alert = "alert_id STRING, rule STRING, account_id INT, evidence_keys ARRAY<STRING>, first_evidence_ts STRING, last_source_commit_ts STRING, alert_created_at STRING, latency_seconds DOUBLE"
+    row = lambda i, at: (f"a{i:02}", "r", 1, ["k"], "t", "t", at, 1.0)
+    store.upsert(spark.createDataFrame([row(i, f"2026-01-0{1 + i % 3}" if i % 5 else None) for i in range(20)], alert))
+    seen, after = [], ""
+    while True:
+        status, page = answer(store, "GET", f"/alerts?limit=6{after}")
+        assert status == 200
+        seen += [p["alert_id"] for p in page]
+        if len(page) < 6:
+            break
+        after = f"&after={page[-1]['alert_id']}"
+        if len(seen) == 6:
+            store.upsert(spark.createDataFrame([row(50, "2026-02-01")], alert))  # newer than what was seen
+            store.set_status(seen[0], "CONFIRMED")
+    order = sorted(range(20), key=lambda i: (-(1 + i % 3) if i % 5 else 0, i))
+    assert seen == [f"a{i:02}" for i in order]
+    assert answer(store, "GET", "/alerts?after=none")[0] == 422

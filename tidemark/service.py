@@ -54,12 +54,17 @@ class AlertStore:
     def _id(self, alert_id: str) -> DataFrame:
         return self.tables.spark.range(0, 1, 1, 1).select(F.lit(alert_id).alias("alert_id"))
 
-    def page(self, status: str | None = None, rule: str | None = None, account_id: int | None = None, limit: int = 100, offset: int = 0) -> DataFrame:
-        """Newest first; filters hold together."""
+    def page(self, status: str | None = None, rule: str | None = None, account_id: int | None = None, limit: int = 100, offset: int = 0, after: tuple[str | None, str] | None = None) -> DataFrame:
+        """Newest first; filters hold together. after: (alert_created_at, alert_id) of the last row of the page before; alerts that come meanwhile then neither
+        repeat a row nor hide one, and no row before it is sorted."""
         df = self.tables.read(self.table)
         for column, value in (("status", status), ("rule", rule), ("account_id", account_id)):
             if value is not None:
                 df = df.where(F.col(column) == value)
+        if after is not None:
+            at, alert_id = F.lit(after[0]).cast("string"), F.lit(after[1])
+            time = F.col("alert_created_at")
+            df = df.where((time < at) | (time.isNull() & at.isNotNull()) | (time.eqNullSafe(at) & (F.col("alert_id") > alert_id)))
         return df.orderBy(F.col("alert_created_at").desc(), "alert_id").offset(offset).limit(limit)
 
     def list(self, *args, **options) -> list[dict[str, Any]]:
@@ -101,6 +106,16 @@ def _whole(query: dict[str, list[str]], name: str, default: int | None, low: int
     return n
 
 
+def _after(store: AlertStore, query: dict[str, list[str]]) -> tuple[str | None, str] | None:
+    """The place of the alert that a page goes on behind."""
+    if "after" not in query:
+        return None
+    found = store.get(query["after"][0])
+    if found is None:
+        raise BadRequest("after is the id of an alert")
+    return found["alert_created_at"], found["alert_id"]
+
+
 def answer(store: AlertStore, method: str, target: str, body: bytes = b"", counts: dict | None = None, running: bool = False) -> tuple[int, Any]:
     """Status and JSON value for a request. GET /health /alerts /alerts/{id} /stats, PATCH /alerts/{id}."""
     url = urlsplit(target)
@@ -115,7 +130,7 @@ def answer(store: AlertStore, method: str, target: str, body: bytes = b"", count
             status = q.get("status", [None])[0]
             if status is not None and status not in STATUSES:
                 raise BadRequest("unknown status")
-            return 200, store.list(status, q.get("rule", [None])[0], _whole(q, "account_id", None), _whole(q, "limit", 100, 1, 1000), _whole(q, "offset", 0, 0))
+            return 200, store.list(status, q.get("rule", [None])[0], _whole(q, "account_id", None), _whole(q, "limit", 100, 1, 1000), _whole(q, "offset", 0, 0), _after(store, q))
         if one and method == "GET":
             found = store.get(one[1])
         elif one and method == "PATCH":
