@@ -461,3 +461,14 @@ def test_statistics_read_no_file_twice(spark, tmp_path, monkeypatch):
     assert same() == (6, [])
     os.remove(drop / "b.csv")
     assert same() == (0, [])
+
+
+def test_a_file_that_is_split_in_another_way_is_not_cut():
+    from tidemark.sources import text_pieces
+
+    cut = text_pieces._cut(100)
+    import pyarrow as pa
+
+    row = {"name": ["a.csv"], "block": pa.array([7], pa.int64()), "seq": pa.array([0], pa.int32()), "data": [b"1,2\n"], "inside": pa.array([None], pa.bool_()), "before": pa.array([None], pa.int64()), "header": pa.array([None], pa.string())}
+    with pytest.raises(RuntimeError, match="split in another way"):
+        list(cut([pa.RecordBatch.from_pydict(row)]))

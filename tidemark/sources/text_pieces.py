@@ -234,6 +234,9 @@ def _cut(piece: int):
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.string())
 
         def cut(name, block, seq, data, inside, before, header):
+            if inside is None:  # the two reads must see the same splits, which Spark makes for the cores that it has
+                raise RuntimeError(f"{name} was split in another way when it was read again: run the capture anew")
+
             def out(first, text, part):
                 row = (name, first, block, seq, text.decode(), part, data.endswith(b"\r\n"), header)
                 return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=["name", "first", "block", "seq", "text", "part", "crlf", "header"])
@@ -307,7 +310,8 @@ def pieces(lines: DataFrame, piece: int = PIECE, chunk: int = CHUNK) -> DataFram
     """header (the first record), first (the number of the first record; the header's is 1) and text of pieces that are whole records
     after the header; line ends are "\\n". Empty lines outside quotes aren't records. unclosed: the piece is a record whose quote isn't
     closed before the file ends; its last "\\n" isn't there if the file lacks the last line end. header is null if the first record goes on beyond the
-    first split of its file. Files must be valid UTF-8. Lines are read twice; what a task holds is a chunk, or a record that is longer.
+    first split of its file. Files must be valid UTF-8. Lines are read twice, in the same
+    splits (else the query fails, as when cores come between the reads); what a task holds is a chunk, or a record that is longer.
     """
     order = ["name", "block", "seq"]
     chunks, names = _chunks(chunk), ["name", "block", "seq", "data"]
@@ -319,7 +323,7 @@ def pieces(lines: DataFrame, piece: int = PIECE, chunk: int = CHUNK) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.string(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=names)
 
     starts = lines.mapInArrow(_maps(chunk), MAPS).repartition("name").sortWithinPartitions(*order).mapInArrow(_starts(), STARTS)
-    parts = lines.mapInArrow(whole, CHUNKS).join(starts, order).mapInArrow(_cut(piece), PARTS)
+    parts = lines.mapInArrow(whole, CHUNKS).join(starts, order, "left").mapInArrow(_cut(piece), PARTS)
     return parts.repartition("name", "first").sortWithinPartitions("name", "first", "block", "seq").mapInArrow(_joined(), PIECES)
 
 
