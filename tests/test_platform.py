@@ -535,3 +535,38 @@ def test_walking_pages_gives_each_alert_once(spark, tmp_path):
     order = sorted(range(20), key=lambda i: (-(1 + i % 3) if i % 5 else 0, i))
     assert seen == [f"a{i:02}" for i in order]
     assert answer(store, "GET", "/alerts?after=none")[0] == 422
+
+
+def test_a_walk_of_the_queue_scans_it_once(spark, tmp_path):
+    """Page numbers are those of pages that go on behind each other's last row, and the jobs don't grow with the pages."""
+    from tidemark.service import AlertStore
+
+    t = Tables(spark, str(tmp_path), buckets=2)
+    t.ensure()
+    store = AlertStore(t)
+    alert = "alert_id STRING, rule STRING, account_id INT, evidence_keys ARRAY<STRING>, first_evidence_ts STRING, last_source_commit_ts STRING, alert_created_at STRING, latency_seconds DOUBLE"
+    rows = [(f"a{i:02}", "r" if i % 4 else "other", 1, ["k"], "t", "t", f"2026-01-0{1 + i % 3}" if i % 5 else None, 1.0) for i in range(40)]
+    assert store.upsert(spark.createDataFrame(rows, alert), count=False) is None
+    jobs = {}
+    for size in (2, 30, 64):
+        want, after = [], None
+        while True:
+            page = store.page(rule="r", limit=size, after=after).collect()
+            want += [r["alert_id"] for r in page]
+            if len(page) < size:
+                break
+            after = page[-1]["alert_created_at"], page[-1]["alert_id"]
+        spark.sparkContext.setJobGroup(f"walk-{size}", "")
+        got = [(r["page"], r["alert_id"]) for r in store.walk(size, rule="r").collect()]
+        jobs[size] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"walk-{size}"))
+        spark.sparkContext.setJobGroup("none", "")
+        assert sorted(got) == sorted((k // size, i) for k, i in enumerate(want)) and len(got) == 30
+    assert len(set(jobs.values())) == 1
+
+
+def test_the_walk_query_reads_no_page_by_itself(spark, tmp_path, monkeypatch):
+    from tidemark.plans import catalog
+    from tidemark.service import AlertStore
+
+    monkeypatch.setattr(AlertStore, "page", lambda *a, **k: pytest.fail("a scan of the queue for a page"))
+    assert catalog.QUERIES["alert_queue_walk"](spark, "/root/testdata/sf0.001").columns == ["page", "alert_id", "account_id", "last_ts"]

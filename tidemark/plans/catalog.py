@@ -367,7 +367,7 @@ def _queue(spark, sf_dir):
     tables = Tables(spark, f"{_scratch(spark)}/tables")
     tables.ensure()
     store = AlertStore(tables)
-    store.upsert(a.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cols]))
+    store.upsert(a.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cols]), count=False)
     return store
 
 
@@ -381,14 +381,8 @@ def alert_queue_page(spark, sf_dir):
 @query(f"SELECT CAST((row_number() OVER (ORDER BY last_ts DESC, alert_id) - 1) // 1000 AS INT) AS page, alert_id, account_id, last_ts FROM ({PAGE_SQL})")
 def alert_queue_walk(spark, sf_dir):
     """All alerts by pages of a thousand, each of which goes on behind the last row of the one before."""
-    store, after, out = _queue(spark, sf_dir), None, None
-    for number in range(1 << 30):
-        page = store.page(rule="card_velocity", limit=1000, after=after).select(F.lit(number).alias("page"), "alert_id", F.col("account_id").cast("long").alias("account_id"), F.col("alert_created_at").alias("last_ts"))
-        rows = page.collect()
-        out = page if out is None else out.unionByName(page)
-        if len(rows) < 1000:
-            return out
-        after = (rows[-1]["last_ts"], rows[-1]["alert_id"])
+    walked = _queue(spark, sf_dir).walk(1000, rule="card_velocity")
+    return walked.select("page", "alert_id", F.col("account_id").cast("long").alias("account_id"), F.col("alert_created_at").alias("last_ts"))
 
 
 @query(f"SELECT alert_id, 'CONFIRMED' AS status, 'seen' AS note, true AS decided FROM ({PAGE_SQL} LIMIT 2)")

@@ -10,9 +10,10 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from typing import Any
 from urllib.parse import parse_qs, urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.streaming.topic_log import with_offsets
 from tidemark.tables import Tables
 
 # Fixed values.
@@ -39,11 +40,14 @@ class AlertStore:
         now = datetime.now(UTC).isoformat()
         once = alerts.dropDuplicates(["alert_id"])
         given = [c for c in once.columns if c not in ANALYST]
-        rows = once.select(*given, F.lit("OPEN").alias("status"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("decided_at"), F.lit(now).alias("received_at"))
-        with self._lock:
-            new = self.unknown(rows) if count else None
-            keep = [c for c in rows.columns if c not in ("alert_id", "evidence_keys")]
-            self.tables.upsert(self.table, rows, ["alert_id"], keep)
+        rows = once.select(*given, F.lit("OPEN").alias("status"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("string").alias("decided_at"), F.lit(now).alias("received_at")).persist()
+        try:
+            with self._lock:
+                new = self.unknown(rows) if count else None
+                keep = [c for c in rows.columns if c not in ("alert_id", "evidence_keys")]
+                self.tables.upsert(self.table, rows, ["alert_id"], keep)
+        finally:
+            rows.unpersist()
         return new
 
     def get(self, alert_id: str) -> dict[str, Any] | None:
@@ -57,15 +61,30 @@ class AlertStore:
     def page(self, status: str | None = None, rule: str | None = None, account_id: int | None = None, limit: int = 100, offset: int = 0, after: tuple[str | None, str] | None = None) -> DataFrame:
         """Newest first; filters hold together. after: (alert_created_at, alert_id) of the last row of the page before; alerts that come meanwhile then neither
         repeat a row nor hide one, and no row before it is sorted."""
-        df = self.tables.read(self.table)
-        for column, value in (("status", status), ("rule", rule), ("account_id", account_id)):
-            if value is not None:
-                df = df.where(F.col(column) == value)
+        df = self._filtered(status, rule, account_id)
         if after is not None:
             at, alert_id = F.lit(after[0]).cast("string"), F.lit(after[1])
             time = F.col("alert_created_at")
             df = df.where((time < at) | (time.isNull() & at.isNotNull()) | (time.eqNullSafe(at) & (F.col("alert_id") > alert_id)))
-        return df.orderBy(F.col("alert_created_at").desc(), "alert_id").offset(offset).limit(limit)
+        return df.orderBy(*self._order()).offset(offset).limit(limit)
+
+    def _filtered(self, status: str | None, rule: str | None, account_id: int | None) -> DataFrame:
+        df = self.tables.read(self.table)
+        for column, value in (("status", status), ("rule", rule), ("account_id", account_id)):
+            if value is not None:
+                df = df.where(F.col(column) == value)
+        return df
+
+    @staticmethod
+    def _order() -> list[Column]:
+        return [F.col("alert_created_at").desc(), F.col("alert_id").asc()]
+
+    def walk(self, size: int, status: str | None = None, rule: str | None = None, account_id: int | None = None) -> DataFrame:
+        """All alerts, each with the number of its page (`page`, from 0) if pages of `size` go on behind each other's last row. The queue is scanned and dealt by
+        ranges of that order once, however many pages there are; `page` scans it for each."""
+        rows = self._filtered(status, rule, account_id).withColumn("__queue", F.lit(0))
+        placed = with_offsets(rows, "__queue", self._order(), "__place", {})
+        return placed.select(F.floor(F.col("__place") / size).cast("int").alias("page"), *[c for c in rows.columns if c != "__queue"])
 
     def list(self, *args, **options) -> list[dict[str, Any]]:
         return [r.asDict() for r in self.page(*args, **options).collect()]
