@@ -570,3 +570,24 @@ def test_the_walk_query_reads_no_page_by_itself(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(AlertStore, "page", lambda *a, **k: pytest.fail("a scan of the queue for a page"))
     assert catalog.QUERIES["alert_queue_walk"](spark, "/root/testdata/sf0.001").columns == ["page", "alert_id", "account_id", "last_ts"]
+
+
+def test_a_micro_batch_of_raw_events_stays_out_of_the_cache(spark, tmp_path):
+    """A batch of any size is read from files while it is stored, and these go with it; good messages aren't carried along as text."""
+    from tidemark.streaming import bronze
+
+    tables, t = Tables(spark, f"{tmp_path}/tables"), TopicLog(spark, f"{tmp_path}/topics")
+    tables.ensure()
+    t.ensure(["in", "dead"])
+    t.append("in", messages(spark, 6), ["value"])
+    real, cache, seen = t.append, spark._jsparkSession.sharedState().cacheManager(), []
+    spark.catalog.clearCache()
+
+    def noted(topic, *a, **k):
+        seen.append((topic, cache.isEmpty()))
+        return real(topic, *a, **k)
+
+    t.append = noted
+    bronze.run_bronze(tables, t, ["in"], f"{tmp_path}/ck", "dead")
+    assert seen == [("dead", True)] and t.read("dead").count() == 6
+    assert tables.files.names(f"{tables.path('bronze_change_events')}__parsed") == []

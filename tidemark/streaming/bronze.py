@@ -26,14 +26,14 @@ def new_rows(batch: DataFrame, have: DataFrame, key: str = "event_id") -> DataFr
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """Bronze columns of each message, and what is wrong with it (empty: nothing)."""
+    """Bronze columns of each message, and what is wrong with it (empty: nothing), with the message itself if something is."""
     m = messages.withColumn("e", F.from_json("value", EVENT)).withColumn("faults", checks.event_faults("e"))
     s = lambda n: F.col(f"e.source.{n}")
     return m.select(
         "e.event_id", "e.op", s("system").alias("source_system"), s("database").alias("source_database"), s("table").alias("source_table"), s("position").alias("source_position"),
         F.coalesce(s("sequence"), s("position")).alias("source_sequence"), F.try_to_timestamp(s("commit_ts")).alias("source_commit_ts"),
         F.col("e.key").alias("key_json"), F.col("e.before").alias("before_json"), F.col("e.after").alias("after_json"), "e.payload_hash", F.try_to_timestamp(F.col("e.captured_at")).alias("captured_at"), "e.trace_id",
-        F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), F.col("timestamp").alias("kafka_ts"), F.current_timestamp().alias("ingested_at"), "faults", F.col("value").alias("raw"),
+        F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), F.col("timestamp").alias("kafka_ts"), F.current_timestamp().alias("ingested_at"), "faults", F.when(F.size("faults") > 0, F.col("value")).alias("raw"),
     )
 
 
@@ -48,9 +48,9 @@ def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: s
         return json.loads(tables.files.read_text(f"{checkpoint}/metadata"))["id"]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = parsed(batch).persist()
+        staged = f"{tables.path('bronze_change_events')}__parsed/{query_id()}-{batch_id}"
         try:
-            rows.count()  # so that the batch's size is known to the planner
+            rows = tables.files_of(parsed(batch), staged)
             good = rows.where("size(faults) = 0").drop("faults", "raw")
             fresh = new_rows(good, stored.known(good, but_batch=batch_id))
             for beside in (stored, postings) if postings else (stored,):
@@ -64,7 +64,7 @@ def run_bronze(tables: Tables, topics: TopicLog, names: list[str], checkpoint: s
                 key = F.concat_ws(":", "kafka_topic", "kafka_partition", "kafka_offset")
                 topics.append(dlq, bad.select(key.alias("key"), value.alias("value"), F.create_map(F.lit("kind"), F.lit("event")).alias("headers")), ["key"], once=(query_id(), batch_id))
         finally:
-            rows.unpersist()
+            tables.files.delete(staged)
 
     stream = source if source is not None else topics.stream(names)
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
