@@ -160,3 +160,15 @@ def test_totals_follow_the_state(spark, tmp_path, monkeypatch):
         run_silver(t, [e], f"{tmp_path}/ck", after, kept.before)
         assert kept.read(e) == kept.counted(e)
     assert kept.read(e)["rows"] > 5 and len(kept._runs(e).described()) <= 4
+
+
+def test_a_batch_of_latest_state_stays_out_of_the_cache(spark, tmp_path):
+    """It is read from files, which are there as long as its hooks run."""
+    t, seen = Tables(spark, str(tmp_path), buckets=2), []
+    cache = spark._jsparkSession.sharedState().cacheManager()
+    spark.catalog.clearCache()
+    noted = lambda batch, *name: seen.append((batch.count(), cache.isEmpty()))
+    t.append("bronze_change_events", raw(spark, [(2, "c", 1, None, {"account_id": i, "iban": f"X{i}"}) for i in range(9)]), batch=0)
+    run_silver(t, ENTITIES, f"{tmp_path}/ck", noted, noted)
+    assert seen == [(9, True), (9, True)] and view(t, ENTITIES[2]).count() == 9
+    assert t.files.names(f"{t.path('bronze_change_events')}__folded") == []

@@ -52,20 +52,21 @@ def view(tables: Tables, e: Entity) -> DataFrame:
 
 def run_silver(tables: Tables, entities: list[Entity], checkpoint: str, after: Callable[[DataFrame], None] | None = None, before: Callable[[DataFrame, str], None] | None = None):
     """Folds the raw events that are new since the last run, and stops. `before` gets each batch and a name that it has again if it is given again, `after` the batch
-    once its state is stored; a batch that fails is given again."""
+    once its state is stored; both must be done with it when they return. A batch that fails is given again."""
 
     def each(batch: DataFrame, number: int) -> None:
-        batch.persist()
+        query = json.loads(tables.files.read_text(f"{checkpoint}/metadata"))["id"]
+        staged = f"{tables.path('bronze_change_events')}__folded/{query}-{number}"
         try:
+            rows = tables.files_of(batch, staged)
             if before:
-                query = json.loads(tables.files.read_text(f"{checkpoint}/metadata"))["id"]
-                before(batch, f"{query}-{number}")
+                before(rows, f"{query}-{number}")
             for e in entities:
-                apply_batch(tables, batch, e)
+                apply_batch(tables, rows, e)
             if after:
-                after(batch)
+                after(rows)
         finally:
-            batch.unpersist()
+            tables.files.delete(staged)
 
     stream = tables.stream("bronze_change_events", TABLES["bronze_change_events"])
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
