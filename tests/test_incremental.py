@@ -172,3 +172,17 @@ def test_a_batch_of_latest_state_stays_out_of_the_cache(spark, tmp_path):
     run_silver(t, ENTITIES, f"{tmp_path}/ck", noted, noted)
     assert seen == [(9, True), (9, True)] and view(t, ENTITIES[2]).count() == 9
     assert t.files.names(f"{t.path('bronze_change_events')}__folded") == []
+
+
+def test_rows_before_and_after_a_batch_come_from_one_aggregation(spark, tmp_path):
+    """No joins of the state with the batch's keys and with itself; keys that the batch doesn't have aren't given."""
+    from tidemark.streaming import slabs
+    from tidemark.streaming.silver import apply_batch
+
+    t, e = Tables(spark, str(tmp_path), buckets=2), ENTITIES[2]
+    apply_batch(t, raw(spark, [(2, "c", 1, None, {"account_id": i, "iban": f"X{i}"}) for i in range(9)]), e)
+    second = raw(spark, [(2, "u", 2, None, {"account_id": 3, "iban": "Y"}), (2, "c", 2, None, {"account_id": 20, "iban": "Z"})])
+    found = slabs.changes(t, second, e)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    was = {(r["now"]["account_id"], r["now"]["iban"]): r["was"] and r["was"]["iban"] for r in found.collect()}
+    assert was == {(3, "Y"): "X3", (20, "Z"): None}

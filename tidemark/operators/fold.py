@@ -32,30 +32,45 @@ def state_of(changes: DataFrame, keys: list[str], image_col: Column, op: str = "
 
 def fold(state: DataFrame, keys: list[str]) -> DataFrame:
     """One row for each key."""
-    return state.groupBy(*keys).agg(
+    return state.groupBy(*keys).agg(*_newest())
+
+
+def _newest() -> list[Column]:
+    return [
         F.max_by("head", F.struct("head.seq", "head.event_id")).alias("head"),
         F.max_by("body", F.when(F.col("body").isNotNull(), F.struct("body.seq", "body.event_id"))).alias("body"),
         F.min("first_commit").alias("first_commit"),
-    )
+    ]
 
 
 def merge(state: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataFrame:
     return fold(batch if state is None else state.unionByName(batch), keys)
 
 
+def before_and_after(state: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """As `merge`, of the batch's keys alone, and `was`: head, body and first_commit as the state has them (null: nothing)."""
+    both = state.withColumn("__new", F.lit(False)).unionByName(batch.withColumn("__new", F.lit(True)))
+    was = F.any_value(F.when(~F.col("__new"), F.struct("head", "body", "first_commit")), F.lit(True)).alias("was")
+    return both.groupBy(*keys).agg(*_newest(), was, F.bool_or("__new").alias("__new")).where("__new").drop("__new")
+
+
 def flat(state: DataFrame, keys: list[str], columns: list[str], updated_at: Column | None = None) -> DataFrame:
     """The public table: entity columns and the state's own."""
-    value = lambda c: F.coalesce(F.col(f"body.image.`{c}`"), F.col(f"`{c}`")) if c in keys else F.col(f"body.image.`{c}`")
-    return state.select(
+    return state.select(*public(keys, columns), (F.current_timestamp() if updated_at is None else updated_at).alias("_updated_at"))
+
+
+def public(keys: list[str], columns: list[str], within: str = "") -> list[Column]:
+    """The public columns, but for `_updated_at`, of a state row or of one within a struct (`within`: its name and a dot), whose keys lie beside it."""
+    value = lambda c: F.coalesce(F.col(f"{within}body.image.`{c}`"), F.col(f"`{c}`")) if c in keys else F.col(f"{within}body.image.`{c}`")
+    return [
         *[value(c).alias(c) for c in columns],
-        F.col("head.event_id").alias("_event_id"),
-        F.col("head.op").alias("_op"),
-        F.col("head.seq").alias("_source_sequence"),
-        F.col("first_commit").alias("_first_commit_ts"),
-        F.col("head.commit_ts").alias("_last_commit_ts"),
-        (F.col("head.op") == "d").alias("_is_deleted"),
-        (F.current_timestamp() if updated_at is None else updated_at).alias("_updated_at"),
-    )
+        F.col(f"{within}head.event_id").alias("_event_id"),
+        F.col(f"{within}head.op").alias("_op"),
+        F.col(f"{within}head.seq").alias("_source_sequence"),
+        F.col(f"{within}first_commit").alias("_first_commit_ts"),
+        F.col(f"{within}head.commit_ts").alias("_last_commit_ts"),
+        (F.col(f"{within}head.op") == "d").alias("_is_deleted"),
+    ]
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -174,14 +174,17 @@ class GoldBySlabs:
 
     def after(self, batch: DataFrame) -> None:
         t = {k: df.distinct().persist() for k, df in self.touched().items()}
+        near = f"{self.tables.path(self.cards.name)}__near-{uuid.uuid4().hex}"
         try:
             accounts = view(self.tables, self.by[ACCOUNTS])
             some = lambda s, moments, reach: s.around(self.tables, moments, reach) if self.tables.exists(s.name) else view(self.tables, s.entity)
             cards = some(self.cards, t["cards"].withColumnRenamed("account_id", "owner"), max(rules.reach_of_bursts(rules.VELOCITY_S), rules.reach_of_changes(rules.TRAVEL_S)))
+            cards = self.tables.files_of(cards, near)  # two rules read them
             owners = t["transfers"].join(accounts.select("account_id", F.col("iban").alias("owner")), "account_id").select("owner", "ts")
             transfers = some(self.transfers, owners, rules.reach_of_bursts(rules.STRUCTURING_S))
             store_alerts(self.tables, found_alerts(cards, transfers, accounts, t))
         finally:
+            self.tables.files.delete(near)
             for df in t.values():
                 df.unpersist()
 

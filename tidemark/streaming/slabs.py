@@ -28,14 +28,12 @@ def changes(tables: Tables, bronze: DataFrame, e: Entity) -> DataFrame:
     """was, now: the latest-state row of each key in a batch, before it (null: none) and after it. The state isn't written."""
     name, pk = f"{e.silver_table}__state", e.primary_key
     news = entity_state(bronze, e)
-    keys = [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(pk)]
-    flat = lambda state, c: fold.flat(state, pk, e.names).drop("_updated_at").select(*keys, F.struct("*").alias(c))
+    now = F.struct(*fold.public(pk, e.names)).alias("now")
     if not tables.exists(name):
-        after = flat(fold.fold(news, pk), "now")
+        after = fold.fold(news, pk).select(now)
         return after.select(F.lit(None).cast(after.schema["now"].dataType).alias("was"), "now")
-    own = news.select(*[F.col(f"`{k}`") for k in pk]).distinct()
-    old = tables.lookup(name, own, pk).join(own, pk, "left_semi")
-    return flat(fold.merge(old, news, pk), "now").join(flat(old, "was"), [f"__k{i}" for i in range(len(pk))], "left").select("was", "now")
+    both = fold.before_and_after(tables.lookup(name, news, pk), news, pk)
+    return both.select(F.when(F.col("was").isNotNull(), F.struct(*fold.public(pk, e.names, "was."))).alias("was"), now)
 
 
 def noted(tables: Tables, bronze: DataFrame, e: Entity, batch: int | str) -> DataFrame:
@@ -74,20 +72,17 @@ class Slabs:
         return F.pmod(F.xxhash64(owner), F.lit(self.parts)).cast("int")
 
     def merge(self, tables: Tables, changed: DataFrame) -> None:
-        """Takes changed rows from where they were and puts them where they are. Rows without owner or time lie nowhere."""
+        """Takes changed rows, as they are written down, from where they were and puts them where they are. Rows without owner or time lie nowhere."""
         both = changed.select(F.explode(F.array(F.struct(F.lit(True).alias("gone"), F.col("was").alias("r")), F.struct(F.lit(False).alias("gone"), F.col("now").alias("r")))).alias("x"))
         rows = both.where("x.r is not null").select(F.col("x.gone").alias("__gone"), "x.r.*").where(F.col(f"`{self.owner}`").isNotNull() & F.col(f"`{self.ts}`").isNotNull())
-        rows = rows.withColumn("__slab", F.floor(seconds(F.col(f"`{self.ts}`")) / self.length).cast("long")).withColumn("__part", self._part(F.col(f"`{self.owner}`"))).persist()
+        rows = rows.withColumn("__slab", F.floor(seconds(F.col(f"`{self.ts}`")) / self.length).cast("long")).withColumn("__part", self._part(F.col(f"`{self.owner}`")))
         place = ["__slab", "__part", *self.entity.primary_key]
 
         def moved(old: DataFrame | None, new: DataFrame) -> DataFrame:
             here = new.where("not __gone").drop("__gone").dropDuplicates(place)
             return here if old is None else old.join(new.select(*place).distinct(), place, "left_anti").unionByName(here)
 
-        try:
-            tables.merge(self.name, rows, ["__slab", "__part"], moved)
-        finally:
-            rows.unpersist()
+        tables.merge(self.name, rows, ["__slab", "__part"], moved)
 
     def around(self, tables: Tables, moments: DataFrame, reach: int) -> DataFrame:
         """Rows of the owners in moments (owner, ts) that lie `reach` seconds from one of them at most, and some more: of the slabs that these
