@@ -201,8 +201,8 @@ class Tables:
         self.merge(name, new, keys, lambda old, new: fold.upsert(old, new, keys, keep))
 
     def files_of(self, rows: DataFrame, path: str) -> DataFrame:
-        """The rows, written down to be read more than once. A cache of a large batch would fill the executors' memory, and what it puts
-        to disk goes through Java's serializer, which holds on to a hundred blocks of ten thousand rows at a time; readers of files also take the columns they need alone."""
+        """The rows, written down to be read more than once. A cache of a large batch would take the executors' storage memory; readers of
+        files also take the columns they need alone."""
         kind = rows.schema
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
         return self.spark.read.schema(kind).parquet(path)
